@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
+from codexloom.llm import byte_bpe as e6
 from codexloom.llm import exact_dedup as e4
+from codexloom.llm import secrets as e9
+from codexloom.llm import simhash as e2
+from codexloom.llm import token_counts as e1
 
-QUERIES = {"op4_exact_dedup": e4.op4_exact_dedup}
+QUERIES = {
+    "op1_token_counts": e1.op1_token_counts,
+    "op2_simhash": e2.op2_simhash,
+    "op4_exact_dedup": e4.op4_exact_dedup,
+    "op6_byte_bpe": e6.op6_byte_bpe,
+    "op9_secret_scan": e9.op9_secret_scan,
+}
 ORACLES = {"op4_exact_dedup": e4.OP4_SQL}
