@@ -19,11 +19,20 @@ def get_session(app: str = "codexloom", cpus: str | int = "*") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CODEXLOOM_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
 
 
+def let_workers_import(spark: SparkSession) -> SparkSession:
+    """Adds the folder of this package to the Python workers' path, for callers that have not installed it."""
+    home, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    if home not in (known := env.get("PYTHONPATH", "")).split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (home, known) if x)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
     global _own_dir
