@@ -7,11 +7,13 @@ from codexloom.llm import exact_dedup as e4
 from codexloom.llm import secrets as e9
 from codexloom.llm import simhash as e2
 from codexloom.llm import token_counts as e1
+from codexloom.llm import toxicity as e5
 
 QUERIES = {
     "op1_token_counts": e1.op1_token_counts,
     "op2_simhash": e2.op2_simhash,
     "op4_exact_dedup": e4.op4_exact_dedup,
+    "op5_toxicity": e5.op5_toxicity,
     "op6_byte_bpe": e6.op6_byte_bpe,
     "op9_secret_scan": e9.op9_secret_scan,
 }
