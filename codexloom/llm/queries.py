@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from codexloom.llm import byte_bpe as e6
 from codexloom.llm import exact_dedup as e4
+from codexloom.llm import ngram_lm as e3
 from codexloom.llm import secrets as e9
 from codexloom.llm import simhash as e2
 from codexloom.llm import token_counts as e1
@@ -12,6 +13,7 @@ from codexloom.llm import toxicity as e5
 QUERIES = {
     "op1_token_counts": e1.op1_token_counts,
     "op2_simhash": e2.op2_simhash,
+    "op3_lm_score": e3.op3_lm_score,
     "op4_exact_dedup": e4.op4_exact_dedup,
     "op5_toxicity": e5.op5_toxicity,
     "op6_byte_bpe": e6.op6_byte_bpe,
