@@ -17,8 +17,8 @@ import regex
 
 #: Rank of a pair that doesn't merge.
 NEVER = np.int64(1 << 40)
-#: Entries of a worker's cache; about 150 bytes each. A full cache is emptied.
-CACHE = 400_000
+#: Entries of a worker's cache; about 200 bytes each. A full cache keeps what was asked for again.
+CACHE = 500_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -108,12 +108,15 @@ class ChunkCache:
     """What solve(list of new chunks) gives for each chunk, kept between batches of a Python worker."""
 
     def __init__(self, solve: Callable[[list[str]], list], size: int = CACHE):
-        self.solve, self.size, self.known = solve, size, {}
+        self.solve, self.size, self.known, self.again = solve, size, {}, set()
 
     def learn(self, wanted: set[str]) -> dict:
-        new = list(wanted.difference(self.known))
+        met = wanted.intersection(self.known)
+        new = list(wanted.difference(met))
+        self.again |= met
         if len(self.known) + len(new) > self.size:
-            self.known, new = {}, list(wanted)
+            keep = self.again if len(self.again) + len(new) <= self.size // 2 else met
+            self.known, self.again = {k: self.known[k] for k in keep}, set()
         for i in range(0, len(new), 65_536):
             part = new[i : i + 65_536]
             self.known.update(zip(part, self.solve(part), strict=True))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from codexloom.llm import byte_bpe as e6
 from codexloom.llm import exact_dedup as e4
 from codexloom.llm import ngram_lm as e3
+from codexloom.llm import packing as e8
 from codexloom.llm import secrets as e9
 from codexloom.llm import simhash as e2
 from codexloom.llm import token_counts as e1
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_exact_dedup": e4.op4_exact_dedup,
     "op5_toxicity": e5.op5_toxicity,
     "op6_byte_bpe": e6.op6_byte_bpe,
+    "op8_packing": e8.op8_packing,
     "op9_secret_scan": e9.op9_secret_scan,
 }
 ORACLES = {"op4_exact_dedup": e4.OP4_SQL}
