@@ -12,8 +12,8 @@ task, and it grows with the corpus: no n-gram is left out. Up to `broadcast_byte
 workers. A larger filter stays in its table: each text sends its n-grams to their shards, one row per text and shard,
 and gets the levels back; the scores are the same.
 
-Exact counts for the base score reach the texts in two ways: words that make up a 2**-21 part of all tokens or more, at
-most 2**21 words and in practice some ten thousand, are broadcast; all others are joined, and none of their keys can be
+Exact counts for the base score reach the texts in two ways: words that make up a 2**-22 part of all tokens or more, at
+most 2**22 words and in practice some ten thousand, are broadcast; all others are joined, and none of their keys can be
 hot.
 
 Cases: a null or empty text is its end token alone. Rows that repeat are trained on and scored row by row; a null
@@ -39,16 +39,17 @@ from codexloom.session import written
 
 #: Quantisation bases of single tokens and of pairs.
 BASES = (1.1, math.sqrt(2))
-#: Bits of the filter and hash functions per entry: about three wrong answers in a thousand.
-BITS, PROBES = 12, 8
+#: Bits of the filter per entry. An entry sets four bits in each of two 64-bit words of its shard: about three wrong
+#: answers in a thousand, at two memory accesses.
+BITS = 14
 #: N-grams in a shard, on average.
 SHARD = 1_000_000
 #: A word with this share of all tokens is broadcast.
-HEAVY_SHARE = 1 / (1 << 21)
+HEAVY_SHARE = 1 / (1 << 22)
 #: Characters of text handled at a time; n-grams that a task keeps before it hands them on.
 SLICE, HELD = 4_000_000, 3_000_000
 #: The token that ends a text, and the hash that stands before its first token.
-END, START = b"", np.uint64(0x9AE16A3B2F90404F)
+END, START = b"", np.array(0x9AE16A3B2F90404F, np.uint64)[()]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,57 +82,74 @@ def count_of(level: np.ndarray, base: float) -> np.ndarray:
     return np.where(level > 0, np.where(high > low, (low + high) / 2, low), 0.0)
 
 
-def place(h: np.ndarray, level: np.ndarray, probe: int, size: np.ndarray) -> np.ndarray:
-    """The bit of one of the PROBES hash functions for each hash at its level in a shard of so many bits."""
-    a = mix(h ^ (level * _GOLD))
-    b = mix(a + np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
-    return ((a + np.uint64(probe) * b) % size).astype(np.int64)
+def place(h: np.ndarray, level: np.ndarray, base: np.ndarray, size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The two words of each hash at its level, in a shard of so many words that begins at base, and their bits."""
+    out, x = [], mix(h + level * _GOLD)
+    for _ in range(2):
+        at = base + (((x >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
+        bits = np.zeros(len(x), np.uint64)
+        for k in (0, 6, 12, 18):
+            bits |= np.uint64(1) << ((x >> np.uint64(k)) & np.uint64(63))
+        out.append((at, bits))
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = x ^ (x >> np.uint64(32))
+    return out
 
 
 def build_shard(h: np.ndarray, levels: np.ndarray) -> bytes:
-    """The bits of one shard for hashes with their top levels."""
-    entries = int(levels.sum())
-    size = np.array([max(64, (entries * BITS + 63) // 64 * 64)], np.uint64)
-    bits = np.zeros(int(size[0]), bool)
-    for i in range(0, len(h), 500_000):
-        hh, n = h[i : i + 500_000], levels[i : i + 500_000]
-        each = np.repeat(hh, n)
-        level = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + 1
-        for probe in range(PROBES):
-            bits[place(each, level.astype(np.uint64), probe, size)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
+    """The words of one shard for hashes with their top levels."""
+    size = np.array([max(2, int(levels.sum()) * BITS // 64 + 1)], np.uint64)
+    words, zero = np.zeros(int(size[0]), "<u8"), np.zeros(1, np.int64)
+    for i in range(0, len(h), 200_000):
+        hh, n = h[i : i + 200_000], levels[i : i + 200_000]
+        level = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + 1
+        for at, bits in place(np.repeat(hh, n), level.astype(np.uint64), zero, size):
+            np.bitwise_or.at(words, at, bits)
+    return words.tobytes()
 
 
 class Filter:
-    """The shards end to end."""
-
-    def __init__(self, shards: dict[int, bytes], n_shards: int):
-        self.n_shards = n_shards
-        self.size, self.base = np.ones(n_shards, np.uint64), np.zeros(n_shards, np.int64)
-        parts, at = [], 0
-        for s in range(n_shards):
-            data = shards.get(s, bytes(8))
-            self.size[s], self.base[s] = len(data) * 8, at
-            parts.append(np.frombuffer(data, np.uint8))
-            at += len(data)
-        self.bytes = np.concatenate(parts)
+    """The words of all shards end to end, and where each shard begins."""
+
+    def __init__(self, words: np.ndarray, ends: np.ndarray):
+        self.words, self.n_shards = words, len(ends)
+        self.base = np.append(0, ends[:-1]).astype(np.int64)
+        self.size = (ends - self.base).astype(np.uint64)
+
+    @classmethod
+    def joined(cls, shards: Iterator[tuple[int, bytes]], n_shards: int, n_bytes: int) -> Filter:
+        """From (shard, bytes) in the order of shards; one that is missing holds nothing."""
+        words, ends, at, last = np.zeros(n_bytes // 8 + 2 * n_shards, "<u8"), np.zeros(n_shards, np.int64), 0, -1
+        for s, data in shards:
+            for k in range(last + 1, s):
+                at += 2
+                ends[k] = at
+            words[at : at + len(data) // 8] = np.frombuffer(data, "<u8")
+            at += len(data) // 8
+            ends[s], last = at, s
+        for k in range(last + 1, n_shards):
+            at += 2
+            ends[k] = at
+        return cls(words[:at], ends)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The top level found of each hash, 0 for none."""
         out, todo, level = np.zeros(len(h), np.int64), np.arange(len(h)), 1
         shard = shard_of(h, self.n_shards)
+        base, size = self.base[shard], self.size[shard]
         while len(todo):
-            live = todo
-            for probe in range(PROBES):
-                at = place(h[live], np.array([level], np.uint64), probe, self.size[shard[live]])
-                live = live[(self.bytes[self.base[shard[live]] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1]
-            out[live] = level
-            todo, level = live, level + 1
+            found = np.ones(len(todo), bool)
+            for at, bits in place(h, np.array([level], np.uint64), base, size):
+                found &= self.words[at] & bits == bits
+            todo, h, base, size = todo[found], h[found], base[found], size[found]
+            out[todo] = level
+            level += 1
         return out
 
 
 def shard_of(h: np.ndarray, n_shards: int) -> np.ndarray:
-    return ((h >> np.uint64(20)) % np.uint64(n_shards)).astype(np.int64)
+    """Shards are consecutive ranges of hashes, so sorted hashes are sorted by shard."""
+    return (((h >> np.uint64(32)) * np.uint64(n_shards)) >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass
@@ -203,33 +221,42 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def count_pairs(texts: DataFrame, n_shards: int) -> DataFrame:
-    """Of one text column: shard, hash of a pair, and its count so far, pre-summed per task."""
+    """Of one text column: shard, and runs of pair hashes with their counts, pre-summed per task, as little-endian arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            h, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            return h, np.bincount(at, np.concatenate([c for _, c in held]), len(h)).astype(np.int64)
+        hashes: dict[bytes, int] = {}
+        held: list[np.ndarray] = []
+        places = 0
 
-        def out() -> Iterator[pa.RecordBatch]:
-            h, c = held[0] if len(held) == 1 else summed()
-            for i in range(0, len(h), 100_000):
-                part = h[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(shard_of(part, n_shards), pa.int32()), pa.array(part.view(np.int64)), pa.array(c[i : i + 100_000])], ["shard", "h", "c"])
+        def out() -> pa.RecordBatch:
+            h, c = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
+            shard = shard_of(h, n_shards)
+            firsts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            ends = [*firsts[1:].tolist(), len(h)]
+            h, c = h.astype("<u8"), c.astype("<u4")
+            runs = [(h[a:b].tobytes(), c[a:b].tobytes()) for a, b in zip(firsts.tolist(), ends, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(shard[firsts], pa.int32()), pa.array([x for x, _ in runs], pa.binary()), pa.array([x for _, x in runs], pa.binary())], ["shard", "h", "c"])
 
         for b in batches:
-            for _, _, batch in _batches(b.column(0)):
-                held.append((batch.pair_hashes(), np.bincount(batch.which, minlength=len(batch.pairs))))
-                if sum(len(h) for h, _ in held) > HELD:
-                    held[:] = [summed()]
-                    if len(held[0][0]) > HELD // 2:
-                        yield from out()
+            for t in b.column(0):
+                ws = tokens(t.as_py())
+                new = set(ws).difference(hashes)
+                if len(hashes) + len(new) > 400_000:
+                    hashes.clear()
+                    new = set(ws)
+                for w in new:
+                    hashes[w] = xxhash.xxh64_intdigest(w, 7)
+                h = np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))
+                held.append(pair_hash(np.append(START, h[:-1]), h))
+                places += len(ws)
+                if places >= HELD:
+                    places = 0
+                    yield out()
         if held:
-            yield from out()
+            yield out()
 
-    return texts.mapInArrow(run, "shard int, h long, c long")
+    return texts.mapInArrow(run, "shard int, h binary, c binary")
 
 
 def build_filter(words: DataFrame, pairs: DataFrame, starts: int, n_shards: int) -> DataFrame:
@@ -238,22 +265,36 @@ def build_filter(words: DataFrame, pairs: DataFrame, starts: int, n_shards: int)
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h = np.fromiter((xxhash.xxh64_intdigest(w.as_py(), 7) for w in b.column(0)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(shard_of(h, n_shards), pa.int32()), pa.array(h.view(np.int64)), b.column(1)], ["shard", "h", "c"])
-
-    spark = words.sparkSession
-    single = words.select("word", "c").mapInArrow(hashed, "shard int, h long, c long")
-    start = np.array([START], np.uint64)
-    single = single.unionByName(spark.createDataFrame([(int(shard_of(start, n_shards)[0]), int(start.view(np.int64)[0]), int(starts))], "shard int, h long, c long").where("c > 0"))
-    # Pairs first move to their shard, already summed per task; all further steps of a shard stay where it is.
-    grams = single.withColumn("pair", F.lit(False)).unionByName(pairs.withColumn("pair", F.lit(True)))
-    grams = grams.repartition(max(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard").groupBy("shard", "pair", "h").agg(F.sum("c").alias("c"))
-
-    def build(table: pa.Table) -> pa.Table:
-        h, c = table["h"].to_numpy().view(np.uint64), table["c"].to_numpy()
-        pair = table["pair"].to_numpy(zero_copy_only=False)
-        levels = np.where(pair, top_level(c, BASES[1]), top_level(c, BASES[0]))
-        mass = float(count_of(levels[~pair & (h != START)], BASES[0]).sum())
-        return pa.table({"shard": table["shard"][:1], "bits": pa.array([build_shard(h, levels)], pa.binary()), "mass": [mass]})
+            order = np.argsort(h)
+            h, c = h[order], b.column(1).to_numpy()[order]
+            shard = shard_of(h, n_shards)
+            firsts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(h) else np.zeros(0, np.int64)
+            ends = [*firsts[1:].tolist(), len(h)][: len(firsts)]
+            runs = [(h[i:j].astype("<u8").tobytes(), c[i:j].astype("<u8").tobytes()) for i, j in zip(firsts.tolist(), ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[firsts], pa.int32()), pa.array([x for x, _ in runs], pa.binary()), pa.array([x for _, x in runs], pa.binary())], ["shard", "h", "c"])
+
+    single = words.select("word", "c").mapInArrow(hashed, "shard int, h binary, c binary").withColumn("pair", F.lit(False))
+    grams = single.unionByName(pairs.withColumn("pair", F.lit(True)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, found = None, {True: ([], []), False: ([], [])}
+        for b in batches:
+            for s, h, c, pair in zip(*(b.column(k).to_pylist() for k in ("shard", "h", "c", "pair")), strict=True):
+                shard = s
+                found[pair][0].append(np.frombuffer(h, "<u8"))
+                found[pair][1].append(np.frombuffer(c, "<u4" if pair else "<u8").astype(np.int64))
+        hashes, levels, mass = [], [], 0.0
+        for pair, (h, c) in found.items():
+            if h:
+                distinct, at = np.unique(np.concatenate(h), return_inverse=True)
+                total = np.bincount(at, np.concatenate(c), len(distinct)).astype(np.int64)
+                hashes.append(distinct)
+                levels.append(top_level(total, BASES[pair]))
+                mass += 0.0 if pair else float(count_of(levels[-1], BASES[0]).sum())
+        if starts and shard == shard_of(START[None], n_shards)[0]:
+            hashes.append(START[None])
+            levels.append(top_level(np.array([starts]), BASES[0]))
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([build_shard(np.concatenate(hashes), np.concatenate(levels))], pa.binary()), pa.array([mass])], ["shard", "bits", "mass"])
 
     return grams.groupBy("shard").applyInArrow(build, "shard int, bits binary, mass double")
 
@@ -271,9 +312,6 @@ class Model:
     bits_bytes: int
     weight: float = 0.5
 
-    def given(self, unigram: np.ndarray) -> np.ndarray:
-        return (count_of(unigram, BASES[0]) + 1) / (self.mass + self.n_words + 1)
-
 
 def train(texts: DataFrame, *, weight: float = 0.5) -> Model:
     """A model of the one text column of texts."""
@@ -298,7 +336,7 @@ def _log_probabilities(model: dict, batch: Batch, unigram: np.ndarray, pair: np.
     return np.log10(p)[batch.which]
 
 
-def _rows(ids: pa.Array, batch: Batch, logs: np.ndarray, heavy: dict[bytes, int], total: int, distinct: int) -> pa.RecordBatch:
+def _rows(rows: pa.Array, ids: pa.Array, batch: Batch, logs: np.ndarray, heavy: dict[bytes, int], total: int, distinct: int) -> pa.RecordBatch:
     """One row per text with what heavy words give to it, and one per text and other word."""
     starts = np.cumsum(batch.lens) - batch.lens
     c = np.fromiter((heavy.get(w, -1) for w in batch.words), np.int64, len(batch.words))
@@ -313,7 +351,8 @@ def _rows(ids: pa.Array, batch: Batch, logs: np.ndarray, heavy: dict[bytes, int]
     none = lambda k, t: pa.nulls(k, t)
     return pa.RecordBatch.from_arrays(
         [
-            pa.concat_arrays([ids, ids.take(pa.array(of))]),
+            pa.concat_arrays([rows, rows.take(pa.array(of))]),
+            pa.concat_arrays([ids, none(m, pa.string())]),
             pa.concat_arrays([none(n, pa.binary()), pa.array([batch.words[i] for i in word], pa.binary())]),
             pa.concat_arrays([none(n, pa.int64()), pa.array(times, pa.int64())]),
             pa.concat_arrays([pa.array(batch.lens), none(m, pa.int64())]),
@@ -321,50 +360,53 @@ def _rows(ids: pa.Array, batch: Batch, logs: np.ndarray, heavy: dict[bytes, int]
             pa.concat_arrays([pa.array(base), none(m, pa.float64())]),
             pa.concat_arrays([pa.array(score), none(m, pa.float64())]),
         ],
-        ["_id", "word", "times", "n_tokens", "known", "base", "score"],
+        ["_row", "_id", "word", "times", "n_tokens", "known", "base", "score"],
     )
 
 
-_OUT = "_id string, word binary, times long, n_tokens long, known long, base double, score double"
+_OUT = "_row long, _id string, word binary, times long, n_tokens long, known long, base double, score double"
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = 256 << 20) -> DataFrame:
     """Per row of docs: `_id`, n_tokens, n_known, base_score, score. Rows are told apart even if their identifier repeats."""
     spark = docs.sparkSession
     kind = docs.select(id_col).schema[0].dataType
-    rows = docs.select(F.col(id_col).alias("_real"), F.concat_ws("\x1f", F.coalesce(F.col(id_col).cast("string"), F.lit("\x1e")), F.monotonically_increasing_id().cast("string")).alias("_id"), F.col(text_col).alias("_text"))
-    rows = rows.select("_id", "_text")
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_text"))
     heavy_rows = model.words.where(F.col("c") >= max(1.0, model.n_tokens * HEAVY_SHARE)).select("word", "c").toArrow()
     heavy = spark.sparkContext.broadcast(dict(zip(heavy_rows["word"].to_pylist(), heavy_rows["c"].to_pylist(), strict=True)))
     known = {"mass": model.mass, "n_words": model.n_words, "weight": model.weight}
     total, distinct, n_shards = model.n_tokens, model.n_words, model.n_shards
     if model.bits_bytes <= broadcast_bytes:
         held = model.shards.select("shard", "bits").toArrow()
-        bits = spark.sparkContext.broadcast(dict(zip(held["shard"].to_pylist(), held["bits"].to_pylist(), strict=True)))
+        order = np.argsort(held["shard"].to_numpy()).tolist()
+        joined = Filter.joined(((held["shard"][i].as_py(), held["bits"][i].as_py()) for i in order), n_shards, model.bits_bytes)
+        del held
+        bits = spark.sparkContext.broadcast((joined.words, np.append(joined.base[1:], len(joined.words))))
+        del joined
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            probe, common = Filter(bits.value, n_shards), heavy.value
+            probe, common = Filter(*bits.value), heavy.value
             for b in batches:
-                for i, j, batch in _batches(b.column(1)):
+                for i, j, batch in _batches(b.column(2)):
                     logs = _log_probabilities(known, batch, probe.levels(batch.hashes), probe.levels(batch.pair_hashes()))
-                    yield _rows(b.column(0)[i:j], batch, logs, common, total, distinct)
+                    yield _rows(b.column(0)[i:j], b.column(1)[i:j], batch, logs, common, total, distinct)
 
         parts = rows.mapInArrow(run, _OUT)
     else:
         parts = _routed(rows, model, known, heavy, total, distinct, n_shards)
     # One row of a text stands for itself; the others take their word's count. A text's own row has a key of its own.
-    keyed = parts.withColumn("key", F.coalesce("word", F.concat(F.lit("\x00own\x00"), "_id").cast("binary")))
+    keyed = parts.withColumn("key", F.coalesce("word", F.concat(F.lit("\x00own\x00"), F.col("_row").cast("string")).cast("binary")))
     words = model.words.where(F.col("c") < max(1.0, model.n_tokens * HEAVY_SHARE)).select(F.col("word").alias("key"), "c")
     joined = keyed.join(words, "key", "left")
     c = F.coalesce("c", F.lit(0))
-    out = joined.groupBy("_id").agg(
+    out = joined.groupBy("_row").agg(
+        F.max("_id").cast(kind).alias("_id"),
         F.max("n_tokens").alias("n_tokens"),
         (F.max("known") + F.coalesce(F.sum(F.when(c > 0, F.col("times"))), F.lit(0))).alias("n_known"),
         (F.max("base") + F.coalesce(F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(total + distinct + 1)))), F.lit(0.0))).alias("base_score"),
         F.max("score").alias("score"),
     )
-    own = F.split_part(F.col("_id"), F.lit("\x1f"), F.lit(1))
-    return out.withColumn("_id", F.when(own != "\x1e", own).cast(kind))
+    return out.drop("_row")
 
 
 def _routed(rows: DataFrame, model: Model, known: dict, heavy, total: int, distinct: int, n_shards: int) -> DataFrame:
@@ -374,39 +416,40 @@ def _routed(rows: DataFrame, model: Model, known: dict, heavy, total: int, disti
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                batch = Batch.of([b.column(1)[k].as_py()])
+                batch = Batch.of([b.column(2)[k].as_py()])
                 h = np.concatenate([batch.hashes, batch.pair_hashes()])
                 shard = shard_of(h, n_shards)
                 order = np.argsort(shard, kind="stable")
                 cuts = np.flatnonzero(np.diff(shard[order])) + 1
                 groups = np.split(order, cuts)
-                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[k].as_py()] * len(groups)), pa.array([int(shard[g[0]]) for g in groups], pa.int32()), pa.array([h[g].tobytes() for g in groups], pa.binary())], ["_id", "shard", "asked"])
+                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[k].as_py()] * len(groups), pa.int64()), pa.array([int(shard[g[0]]) for g in groups], pa.int32()), pa.array([h[g].tobytes() for g in groups], pa.binary())], ["_row", "shard", "asked"])
 
     def answer(asked: pa.Table, shard: pa.Table) -> pa.Table:
-        probe = Filter({0: shard["bits"][0].as_py()} if shard.num_rows else {}, 1)
+        data = shard["bits"][0].as_py() if shard.num_rows else bytes(16)
+        probe = Filter.joined(iter([(0, data)]), 1, len(data))
         told = [probe.levels(np.frombuffer(a.as_py(), np.uint64)).astype("<u2").tobytes() for a in asked["asked"]]
-        return pa.table({"_id": asked["_id"], "shard": asked["shard"], "told": pa.array(told, pa.binary())})
+        return pa.table({"_row": asked["_row"], "shard": asked["shard"], "told": pa.array(told, pa.binary())})
 
     # A shard's questions are dealt to several tasks, each with its own copy of the shard.
     salts = 8
-    asked = rows.mapInArrow(ask, "_id string, shard int, asked binary").withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+    asked = rows.mapInArrow(ask, "_row long, shard int, asked binary").withColumn("salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
     shards = model.shards.select("shard", "bits").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    told = asked.groupBy("shard", "salt").cogroup(shards.groupBy("shard", "salt")).applyInArrow(answer, "_id string, shard int, told binary")
-    told = told.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("shard", "told"))).alias("told"))
+    told = asked.groupBy("shard", "salt").cogroup(shards.groupBy("shard", "salt")).applyInArrow(answer, "_row long, shard int, told binary")
+    told = told.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("shard", "told"))).alias("told"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = heavy.value
         for b in batches:
             for k in range(b.num_rows):
-                batch = Batch.of([b.column(1)[k].as_py()])
+                batch = Batch.of([b.column(2)[k].as_py()])
                 h = np.concatenate([batch.hashes, batch.pair_hashes()])
                 order = np.argsort(shard_of(h, n_shards), kind="stable")
                 levels = np.empty(len(h), np.int64)
-                levels[order] = np.frombuffer(b"".join(x["told"] for x in b.column(2)[k].as_py()), "<u2")
+                levels[order] = np.frombuffer(b"".join(x["told"] for x in b.column(3)[k].as_py()), "<u2")
                 logs = _log_probabilities(known, batch, levels[: len(batch.hashes)], levels[len(batch.hashes) :])
-                yield _rows(b.column(0)[k : k + 1], batch, logs, common, total, distinct)
+                yield _rows(b.column(0)[k : k + 1], b.column(1)[k : k + 1], batch, logs, common, total, distinct)
 
-    return rows.join(told, "_id").select("_id", "_text", "told").mapInArrow(finish, _OUT)
+    return rows.join(told, "_row").select("_row", "_id", "_text", "told").mapInArrow(finish, _OUT)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
