@@ -17,7 +17,9 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,19 +40,36 @@ BUCKET = 100_000
 # ---- token ids ------------------------------------------------------------------------------------------------------
 
 
+#: Marks that end a word and are never part of it.
+_ENDS = ".,;:!?"
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     fast = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    # The tokenizer drops white space and merges nothing across it, so words are encoded once each.
-    cache = ChunkCache(lambda parts: [np.array(e.ids, "<u4").tobytes() for e in fast(parts, add_special_tokens=False)])
+    # The tokenizer drops white space and merges nothing across it, nor across the end of a run of letters, so words are
+    # encoded once each, without the marks behind them. (In lower case, İ ends in a mark that isn't a letter.)
+    cores = ChunkCache(lambda parts: [array("I", e.ids).tobytes() for e in fast(parts, add_special_tokens=False)])
+
+    def solve(parts: list[str]) -> list[bytes]:
+        cut = []
+        for p in parts:
+            core = p.rstrip(_ENDS)
+            cut.append((core, p[len(core) :]) if core.isalpha() and "İ" not in core else (p, ""))
+        known = cores.learn({x for pair in cut for x in pair})
+        return [known[a] + known[b] if b else known[a] for a, b in cut]
+
+    cache = ChunkCache(solve)
 
     def encode(texts: list[str]) -> list[bytes]:
         out = []
         for run in slices(texts):
-            parts = [t.split(" ") for t in run]
+            # The four separators are white space to Python only.
+            parts = [t.split() if t.isprintable() or not _SEPARATORS.search(t) else t.split(" ") for t in run]
             known = cache.learn(set().union(*parts))
             out += [b"".join(map(known.__getitem__, p)) for p in parts]
         return out

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from codexloom.llm import byte_bpe as e6
+from codexloom.llm import embedding_dedup as e7
 from codexloom.llm import exact_dedup as e4
+from codexloom.llm import importance as e10
 from codexloom.llm import ngram_lm as e3
 from codexloom.llm import packing as e8
 from codexloom.llm import secrets as e9
@@ -18,7 +20,9 @@ QUERIES = {
     "op4_exact_dedup": e4.op4_exact_dedup,
     "op5_toxicity": e5.op5_toxicity,
     "op6_byte_bpe": e6.op6_byte_bpe,
+    "op7_embedding_dedup": e7.op7_embedding_dedup,
     "op8_packing": e8.op8_packing,
     "op9_secret_scan": e9.op9_secret_scan,
+    "op10_importance": e10.op10_importance,
 }
 ORACLES = {"op4_exact_dedup": e4.OP4_SQL}
