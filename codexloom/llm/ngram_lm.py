@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from codexloom.session import written
 
 #: Quantisation bases of single tokens and of pairs.
-BASES = (1.1, math.sqrt(2))
+BASES = (1.2, math.sqrt(2))
 #: Bits of the filter per entry. An entry sets four bits in each of two 64-bit words of its shard: about three wrong
 #: answers in a thousand, at two memory accesses.
 BITS = 14
@@ -47,7 +47,7 @@ SHARD = 1_000_000
 #: A word with this share of all tokens is broadcast.
 HEAVY_SHARE = 1 / (1 << 22)
 #: Characters of text handled at a time; n-grams that a task keeps before it hands them on.
-SLICE, HELD = 4_000_000, 3_000_000
+SLICE, HELD = 3_000_000, 3_000_000
 #: The token that ends a text, and the hash that stands before its first token.
 END, START = b"", np.array(0x9AE16A3B2F90404F, np.uint64)[()]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
