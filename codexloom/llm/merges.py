@@ -13,6 +13,8 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Rank of a pair that doesn't merge.
@@ -134,3 +136,14 @@ def slices(texts: list[str], chars: int = 4_000_000):
             run, n = [], 0
     if run:
         yield run
+
+
+def arrow_slices(texts: pa.Array, chars: int = 4_000_000):
+    """texts, none null, in consecutive slices of about that many bytes."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        done = int(sizes[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, done + chars)))
+        yield texts[start:stop]
+        start = stop

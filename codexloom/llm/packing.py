@@ -17,7 +17,6 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -27,10 +26,11 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexloom.llm.merges import ChunkCache, slices
+from codexloom.llm.merges import ChunkCache, arrow_slices
 from codexloom.session import written
 
 #: Pieces that one task ranks per length, on average, at most.
@@ -42,7 +42,6 @@ BUCKET = 100_000
 
 #: Marks that end a word and are never part of it.
 _ENDS = ".,;:!?"
-_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 @lru_cache(maxsize=2)
@@ -65,13 +64,24 @@ def _encoder(path: str):
 
     cache = ChunkCache(solve)
 
-    def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for run in slices(texts):
-            # The four separators are white space to Python only.
-            parts = [t.split() if t.isprintable() or not _SEPARATORS.search(t) else t.split(" ") for t in run]
-            known = cache.learn(set().union(*parts))
-            out += [b"".join(map(known.__getitem__, p)) for p in parts]
+    def encode(texts: pa.Array) -> list[bytes]:
+        # Words are told apart and numbered by Arrow; Python sees the distinct ones of a slice.
+        out: list[bytes] = []
+        for part in arrow_slices(texts):
+            lists = pc.split_pattern(pc.replace_substring(part, "\n", " "), " ")
+            words = lists.flatten().dictionary_encode()
+            wanted = words.dictionary.to_pylist()
+            known = cache.learn(set(wanted))
+            ids = [known[w] for w in wanted]
+            n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(n) - n
+            which = words.indices.to_numpy()
+            many = n[which]
+            ends = np.append(0, np.cumsum(many))
+            shift = first[which] - ends[:-1]
+            found = flat[np.arange(ends[-1]) + np.repeat(shift, many)].tobytes()
+            cuts = (ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4).tolist()
+            out += [found[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
     return encode
@@ -86,7 +96,7 @@ def pieces(text: Column, *, capacity: int = 2048, end_id: int = 0, path: str | N
     def run(texts: pa.Array) -> pa.Array:
         tail, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         cut, ends = [], [0]
-        for ids in _encoder(path)([t or "" for t in texts.to_pylist()]):
+        for ids in _encoder(path)(pc.fill_null(texts, "")):
             ids += tail
             cut += [(i // step, i // 4, ids[i : i + step]) for i in range(0, len(ids), step)]
             ends.append(len(cut))
@@ -223,7 +233,7 @@ def assignment(made: Plan) -> dict[str, np.ndarray]:
 
 def _ranked(cut: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """cut with _rank, 0 ... within each length."""
-    buckets = max(1, -(-n // BUCKET))
+    buckets = max(32, -(-n // BUCKET))
     order = ", ".join(keys)
     cut = cut.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     sizes = cut.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
