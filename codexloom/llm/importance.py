@@ -31,6 +31,8 @@ from codexloom.session import written
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 #: Words whose hash a worker remembers.
 MEMORY = 300_000
+#: Identifiers of the target are broadcast up to this many (8 bytes each), else joined by shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 class Features:
@@ -56,21 +58,24 @@ class Features:
         return (np.append(mixed, pair) % np.uint64(self.buckets)).astype(np.int64)
 
 
-def bucket_counts(texts: DataFrame, buckets: int) -> np.ndarray:
-    """The n-gram counts of one text column, summed over all rows."""
+def bucket_counts(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of docs (text, good): the n-gram counts of the good rows and of all rows, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, total = Features(buckets), np.zeros(buckets, np.int64)
+        features, total = Features(buckets), np.zeros((2, buckets), np.int64)
         for b in batches:
-            for t in b.column(0):
-                total += np.bincount(features.of(t.as_py()), minlength=buckets)
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit])], ["bucket", "n"])
+            for t, good in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                n = np.bincount(features.of(t.as_py()), minlength=buckets)
+                total[1] += n
+                if good:
+                    total[0] += n
+        hit = np.flatnonzero(total[1])
+        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[0][hit]), pa.array(total[1][hit])], ["bucket", "good", "n"])
 
-    summed = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(buckets)
-    out[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
-    return out
+    summed = docs.mapInArrow(run, "bucket int, good long, n long").groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("n").alias("n")).toArrow()
+    good, raw = np.zeros(buckets), np.zeros(buckets)
+    good[summed["bucket"].to_numpy()], raw[summed["bucket"].to_numpy()] = summed["good"].to_numpy(), summed["n"].to_numpy()
+    return good, raw
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray, smooth: float = 1.0) -> np.ndarray:
@@ -122,9 +127,13 @@ def kth_largest(keys: DataFrame, k: int) -> int | None:
     return low
 
 
-def resample(docs: DataFrame, good: DataFrame, *, keep_share: float, id_col: str = "doc_id", text_col: str = "text", buckets: int = 10_000, seed: int = 42) -> DataFrame:
-    """Per row of docs: `_id`, n_grams, log_weight, gumbel_key, kept. good: one text column, the target."""
-    ratio = log_ratio(bucket_counts(good, buckets), bucket_counts(docs.select(text_col), buckets))
+def resample(docs: DataFrame, good_ids: DataFrame, *, keep_share: float, id_col: str = "doc_id", text_col: str = "text", buckets: int = 10_000, seed: int = 42) -> DataFrame:
+    """Per row of docs: `_id`, n_grams, log_weight, gumbel_key, kept. good_ids: one column, the target's identifiers."""
+    good = good_ids.toDF("_good").where("_good IS NOT NULL").distinct()
+    if good.count() <= BROADCAST_ROWS:
+        good = F.broadcast(good)
+    marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(good, F.col("_id") == F.col("_good"), "left")
+    ratio = log_ratio(*bucket_counts(marked.select("_text", F.col("_good").isNotNull().alias("good")), buckets))
     scored = docs.select(F.col(id_col).alias("_id"), log_weights(F.col(text_col), ratio).alias("_w")).select("_id", "_w.*")
     scored = written(scored.withColumn("gumbel_key", F.col("log_weight") + gumbel("_id", seed)), "weights")
     k = round(scored.count() * keep_share)
@@ -137,6 +146,4 @@ def resample(docs: DataFrame, good: DataFrame, *, keep_share: float, id_col: str
 def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     n, good = labels.agg(F.count("quality"), F.coalesce(F.sum("quality"), F.lit(0))).first()
-    target = docs.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-    out = resample(docs, target, keep_share=good / n if n else 1.0)
-    return out.withColumnRenamed("_id", "doc_id")
+    return resample(docs, labels.where("quality = 1").select("doc_id"), keep_share=good / n if n else 1.0).withColumnRenamed("_id", "doc_id")
