@@ -141,7 +141,7 @@ def _encoder(path: str, pattern: str):
         split = [find(p) for p in parts]
         wanted = {t for s in split for t in s}
         fresh = list(wanted.difference(known_pieces))
-        if len(known_pieces) + len(fresh) > 400_000:
+        if len(known_pieces) + len(fresh) > 200_000:
             known_pieces.clear()
             fresh = list(wanted)
         raw = [t.encode("utf-8", "surrogatepass") for t in fresh]

@@ -20,7 +20,7 @@ import regex
 #: Rank of a pair that doesn't merge.
 NEVER = np.int64(1 << 40)
 #: Entries of a worker's cache; about 200 bytes each. A full cache keeps what was asked for again.
-CACHE = 500_000
+CACHE = 200_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -119,8 +119,8 @@ class ChunkCache:
         if len(self.known) + len(new) > self.size:
             keep = self.again if len(self.again) + len(new) <= self.size // 2 else met
             self.known, self.again = {k: self.known[k] for k in keep}, set()
-        for i in range(0, len(new), 65_536):
-            part = new[i : i + 65_536]
+        for i in range(0, len(new), 16_384):
+            part = new[i : i + 16_384]
             self.known.update(zip(part, self.solve(part), strict=True))
         return self.known
 

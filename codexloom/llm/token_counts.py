@@ -60,7 +60,7 @@ def _counter(path: str, pattern: str):
     def solve(parts: list[str]) -> list[int]:
         split = [find(p) for p in parts]
         fresh = list({t for s in split for t in s}.difference(pieces_known))
-        if len(pieces_known) + len(fresh) > 400_000:
+        if len(pieces_known) + len(fresh) > 200_000:
             pieces_known.clear()
             fresh = list({t for s in split for t in s})
         raw = [t.encode("utf-8", "surrogatepass") for t in fresh]
