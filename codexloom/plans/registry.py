@@ -1,15 +1,556 @@
-"""Named queries over the driver's tables."""
+"""Named queries over the driver's tables, and the SQL that states the same results."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from codexloom import engine
+from codexloom.functions import headings as H
+from codexloom.functions import text as T
+from codexloom.functions.profiles import BOOK_PROFILES, profile_table
+from codexloom.operators import chunking, classify, embed, inspect, markdown, packs, toc
+from codexloom.plans import corpora as C
+from codexloom.plans import oracles as O
+from codexloom.sources import files as S
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books from documents, with their chunks judged: a verdict per book."""
+    return inspect_result(spark, sf_dir)
+
+
+def _key(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("doc", "book")
+
+
+# ---- text -----------------------------------------------------------------------------------------------------------
+
+
+def _odd_text() -> Column:
+    return F.concat(F.lit("　"), F.replace("text", F.lit(". "), F.lit(".　 \t\r\n\n\n\n")), F.lit(" \t "))
+
+
+@query
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", F.sha2(T.normalize_text(_odd_text()), 256).alias("normalized"))
+
+
+@query
+def compact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", F.sha2(T.compact_text(_odd_text()), 256).alias("compact"))
+
+
+@query
+def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", T.preview_text(F.col("text"), 40).alias("preview"))
+
+
+@query
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", T.sha256_text(F.col("text")).alias("content_hash"))
+
+
+@query
+def document_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.table(spark, sf_dir, "pages").select("page_id", packs.document_id(F.col("html").cast("binary")).alias("document_id"), packs.chunk_id(F.lit("d"), F.col("page_id").cast("int")).alias("chunk_id"))
+
+
+@query
+def safe_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.table(spark, sf_dir, "pages").select("page_id", T.safe_stem(F.col("url")).alias("stem"), T.safe_filename(F.col("url")).alias("name"))
+
+
+@query
+def english_ratio_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat("text", F.lit("摘要第"), F.repeat(F.lit("字"), (F.col("doc_id") % 300).cast("int")))
+    return C.documents(spark, sf_dir).select("doc_id", T.english_letters(text).alias("letters"), T.cjk_letters(text).alias("cjk"), (T.english_ratio(text) > 0.55).alias("mostly_english"))
+
+
+def _marked() -> Column:
+    i = F.col("doc_id")
+    return F.concat(F.left("text", F.lit(60)), F.when(i % 4 == 0, "□■�").when(i % 4 == 1, "字a中b文Ab字").when(i % 4 == 2, "\ue001").otherwise(""))
+
+
+@query
+def garbled_ratio_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad, n = T.garbled_counts(_marked())
+    return C.documents(spark, sf_dir).select("doc_id", bad.alias("suspicious"), n.alias("characters"), T.looks_garbled(_marked()).alias("garbled"))
+
+
+@query
+def is_garbled_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", T.is_garbled_title(_marked()).alias("garbled"))
+
+
+@query
+def normalize_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", T.normalize_title(F.concat(F.lit("ﬁ Ａ１："), F.left("text", F.lit(30)))).alias("title"))
+
+
+@query
+def reflow_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", F.sha2(T.reflow_text(F.col("text")), 256).alias("reflowed"))
+
+
+@query
+def flatten_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = C.documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), "text")
+    return toc.flatten_lines(pages, normalized=False).select(F.col("doc").alias("doc_id"), "idx", "text")
+
+
+@query
+def sample_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("source").orderBy("doc_id")
+    rows = C.documents(spark, sf_dir).select("doc_id", F.concat("text", F.coalesce(F.left(F.lag("text").over(w), F.lit(400)), F.lit(""))).alias("a"), F.coalesce(F.lag("text").over(w), F.lit("")).alias("b"))
+    m = T.sample_matches(F.col("a"), F.col("b"), 80, 120)
+    return rows.select("doc_id", m["matched"].alias("matched"), m["samples"].alias("samples"))
+
+
+# ---- headings and contents ------------------------------------------------------------------------------------------
+
+
+def _candidates(profile: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = toc.flatten_lines(C.book(spark, sf_dir, "en" if profile == "english" else "zh"), normalized=False)
+        return _key(lines.where(H.is_possible_heading(F.col("text"), profile)).select("doc", "idx", "text", H.own_level(F.col("text"), profile).alias("own_level")))
+
+    return run
+
+
+def _infer(profile: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _key(toc.infer_toc(C.book(spark, sf_dir, "en" if profile == "english" else "zh"), profile).select("doc", "ord", "toc_id", "title", "level", "parent_ord"))
+
+    return run
+
+
+for _p in BOOK_PROFILES:
+    _QUERIES[f"heading_candidates_{_p}"] = _candidates(_p)
+    _QUERIES[f"infer_toc_{_p}"] = _infer(_p)
+
+
+@query
+def body_short_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("批判思维"), F.left("text", F.lit(8)), F.when(F.col("doc_id") % 3 == 0, "（一）").when(F.col("doc_id") % 3 == 1, "：").otherwise(""))
+    return C.documents(spark, sf_dir).select("doc_id", text.alias("line")).where(H.is_body_short_heading(F.col("line"), "textbook"))
+
+
+@query
+def toc_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(toc.toc_paths(toc.infer_toc(C.book(spark, sf_dir), "textbook")))
+
+
+def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A printed table of contents on page 1 of every book, and the outline it belongs to with some titles garbled."""
+    parts = C.documents(spark, sf_dir).groupBy("source").agg(F.least(F.lit(9), F.count(F.lit(1))).cast("int").alias("n"))
+    rows = parts.select(F.col("source").alias("doc"), F.explode(F.sequence(F.lit(1), "n")).alias("ord"))
+    return rows.withColumn("title", F.concat(F.lit("第"), F.col("ord").cast("string"), F.when(F.col("ord") % 3 == 0, "章 ").otherwise("篇 "), "doc"))
+
+
+def _contents_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda x: x["title"]), "\n")
+    return _contents(spark, sf_dir).groupBy("doc").agg(F.concat(F.lit("目录\n"), listed, F.lit("\n"), F.max_by("title", "ord")).alias("text")).select("doc", F.lit(1).alias("page"), "text")
+
+
+@query
+def front_matter_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(toc.front_matter_candidates(_contents_pages(spark, sf_dir)))
+
+
+@query
+def repair_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outline = _contents(spark, sf_dir).withColumn("level", F.when(F.col("ord") % 3 == 0, 2).otherwise(1)).withColumn("title", F.when(F.col("ord") % 4 == 0, F.lit("\ue000\ue001")).otherwise(F.col("title")))
+    return _key(toc.repair_titles(outline, _contents_pages(spark, sf_dir)).select("doc", "ord", "title", "repaired"))
+
+
+def _outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book's own contents with pages off by one and some titles altered."""
+    found = toc.infer_toc(C.book(spark, sf_dir), "textbook").where(F.col("title").rlike("^第"))
+    title = F.when(F.col("ord") % 5 == 0, F.concat("title", F.lit(" and more than that"))).otherwise(F.col("title"))
+    return found.select("doc", "ord", title.alias("title"), "level", F.greatest(F.lit(1), F.col("page") + F.col("ord") % 3 - 1).cast("int").alias("page"))
+
+
+@query
+def locate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = toc.flatten_lines(C.book(spark, sf_dir))
+    return _key(toc.locate_pages(_outline(spark, sf_dir), lines).select("doc", "ord", "page", "method", "confidence"))
+
+
+@query
+def locate_heading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = C.book(spark, sf_dir)
+    return _key(toc.locate_heading_lines(toc.infer_toc(pages, "textbook"), toc.flatten_lines(pages)))
+
+
+@query
+def candidate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.table(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.floor(F.col("event_id") / 7).cast("int").alias("idx")).distinct()
+    return toc.candidate_runs(rows, "doc").select(F.col("doc").alias("user_id"), "idx")
+
+
+@query
+def augment_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = C.book(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n批判性思维的第"), F.col("page").cast("string"), F.lit("要素")))
+    lines = toc.flatten_lines(pages)
+    found = toc.infer_toc(pages, "textbook").where(F.col("title").rlike(H.CHAPTER))
+    found = toc.with_parents(found.drop("parent_ord", "path_ords").withColumn("ord", F.row_number().over(Window.partitionBy("doc").orderBy("ord"))))
+    starts = toc.locate_heading_lines(found, lines)
+    return _key(toc.augment_headings(found, lines, starts, "textbook").select("doc", "parent_ord", "idx", "title", "level", "page"))
+
+
+# ---- sections and chunks --------------------------------------------------------------------------------------------
+
+
+def _book(spark: SparkSession, sf_dir: str, profile: str = "textbook") -> engine.Book:
+    return engine.build_books(C.book(spark, sf_dir), profile)
+
+
+def _spans(max_level: int | None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pages = C.book(spark, sf_dir)
+        contents, lines = toc.infer_toc(pages, "textbook"), toc.flatten_lines(pages)
+        return _key(toc.section_ends(contents, toc.locate_heading_lines(contents, lines), max_level).select("doc", "ord", "start", "end"))
+
+    return run
+
+
+_QUERIES["section_spans"] = _spans(None)
+_QUERIES["section_spans_max_level"] = _spans(1)
+
+
+@query
+def book_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _book(spark, sf_dir).sections
+    return _key(found.select("doc", "ord", "toc_id", "level", "page_start", "page_end", F.sha2("text", 256).alias("text_sha256")))
+
+
+@query
+def paragraph_sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.replace(F.replace("text", F.lit(". "), F.lit("。 ")), F.lit(",\n"), F.lit("\n\n"))
+    return C.documents(spark, sf_dir).select("doc_id", F.posexplode(chunking.units(text)).alias("pos", "unit")).select("doc_id", "pos", F.length("unit").alias("n"), F.sha2("unit", 256).alias("unit"))
+
+
+@query
+def oversized_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", F.posexplode(chunking.windows_of(F.col("text"), 300, 20)).alias("pos", "part")).select("doc_id", "pos", F.sha2("part", 256).alias("part"))
+
+
+@query
+def long_section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", F.posexplode(chunking.split_long(F.replace("text", F.lit(". "), F.lit("。 ")), 300, 20)).alias("pos", "part")).select("doc_id", "pos", F.length("part").alias("n"), F.sha2("part", 256).alias("part"))
+
+
+@query
+def sibling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    contents = toc.infer_toc(C.book(spark, sf_dir), "textbook")
+    return _key(chunking.sibling_runs(contents).select("doc", "ord", "run"))
+
+
+@query
+def chunks_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(_book(spark, sf_dir).chunks.select("doc", "chunk_index", "reason", F.length("text").alias("n"), F.sha2("text", 256).alias("text_sha256")))
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = _book(spark, sf_dir)
+    rows = packs.heading_paths(built.chunks, built.toc).withColumn("document_id", F.concat(F.lit("sha256:"), "doc")).withColumn("book_title", F.col("doc"))
+    return packs.chunk_records(rows)
+
+
+@query
+def chunk_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(_records(spark, sf_dir).select("doc", "chunk_index", "chunk_id", "prev_chunk_id", "next_chunk_id", "content_hash"))
+
+
+@query
+def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    path = F.when(i % 2 == 0, F.array("source", "lang")).otherwise(F.array().cast("array<string>"))
+    merged = F.when(i % 3 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>"))
+    return C.documents(spark, sf_dir).select("doc_id", F.sha2(packs.embedding_text(F.col("source"), path, merged, F.col("text")), 256).alias("embedding_text"))
+
+
+@query
+def pack_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.documents(spark, sf_dir).select(F.col("source").alias("doc")).distinct().select("doc", F.concat(F.lit("sha256:"), "doc").alias("document_id"), F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
+    return _key(engine.pack_table(_book(spark, sf_dir), docs, "textbook"))
+
+
+# ---- Markdown -------------------------------------------------------------------------------------------------------
+
+
+@query
+def md_headings_fenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = C.notes(spark, sf_dir).withColumn("text", T.split_front_matter(F.col("text"))["body"])
+    return markdown.headings(files).withColumnRenamed("doc", "path")
+
+
+@query
+def md_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.sections(C.notes(spark, sf_dir)).select(F.col("doc").alias("path"), "ord", "title", "level", "parent_ord", "is_parent", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def md_dropped_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.dropped_sections(markdown.sections(C.notes(spark, sf_dir))).select(F.col("doc").alias("path"), "title", "level")
+
+
+@query
+def chunks_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return engine.build_markdown(C.notes(spark, sf_dir)).chunks.select(F.col("doc").alias("path"), "chunk_index", "reason", F.length("text").alias("n"))
+
+
+@query
+def front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = T.split_front_matter(F.col("text"))
+    rows = C.notes(spark, sf_dir).withColumn("m", T.simple_yaml(parts["head"]))
+    return rows.select("path", F.try_element_at("m", F.lit("created")).alias("created"), F.try_element_at("m", F.lit("title")).alias("title"), F.sha2(parts["body"], 256).alias("body_sha256"))
+
+
+@query
+def logical_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = C.notes(spark, sf_dir).withColumn("modified", F.lit("2020-02-03 04:05:06").cast("timestamp"))
+    days = C.journal(spark, sf_dir).select("path", F.lit("plain").alias("text"), F.lit("2020-02-03 04:05:06").cast("timestamp").alias("modified"))
+    shape = lambda df, p: markdown.metadata(df, p).select("path", "front_matter_date", "logical_date", "logical_month")
+    return shape(files, "tech_notes").unionByName(shape(days, "journal"))
+
+
+@query
+def journal_month_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.journal_packs(C.journal(spark, sf_dir)).select("pack_key", "title", "output_stem", F.size("files").cast("long").alias("n_files"), F.array_join("files", ",").alias("files"))
+
+
+@query
+def tech_note_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.tech_note_packs(C.paths(spark, sf_dir)).select("title", "output_stem", "loose", F.array_join("files", ",").alias("files"))
+
+
+@query
+def web_page_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.web_page_packs(C.paths(spark, sf_dir)).select("title", "output_stem", F.array_join("files", ",").alias("files"))
+
+
+@query
+def markdown_source_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.source_hash(C.notes(spark, sf_dir).withColumn("bucket", F.pmod(F.length("path"), F.lit(3)).cast("int")), "bucket")
+
+
+# ---- profiles and classification ------------------------------------------------------------------------------------
+
+
+@query
+def profile_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_table(spark)
+
+
+def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    names = F.array(*[F.lit(p) for p in (*BOOK_PROFILES, "unknown")])
+    rows = C.documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.element_at(names, (i % 10 + 1).cast("int")).alias("profile"))
+    return rows.select("doc", "profile", F.lit(700).alias("target_chars"), F.lit(1100).alias("max_chars"), F.lit(2000).alias("section_split_chars"), F.lit(180).alias("min_chunk_chars"), F.when(F.col("doc") % 4 != 0, 80).alias("overlap_chars"), F.when(F.col("doc") % 3 == 0, "none").otherwise("local").alias("provider"), (F.col("doc") % 2).cast("int").alias("dimension"))
+
+
+@query
+def profile_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspect.profile_mismatches(_meta(spark, sf_dir)).select(F.col("doc").alias("doc_id"), "profile", "known", F.array_join("mismatches", ",").alias("mismatches"))
+
+
+@query
+def check_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspect.check_profile(_meta(spark, sf_dir)).groupBy("ord", "status", "message").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    extra = F.when(i % 6 == 0, "\n第一章 总论\n第一节 概念\n第二条 规定\n").when(i % 6 == 1, "\nAbstract\nKeywords: a\nReferences\n").when(i % 6 == 2, "\n1 Intro\n1.1 API\n1.1.1 x\n2.1.1 y\n").when(i % 6 == 3, "\n卷一\n高祖纪\n陈涉传\n列传\n").when(i % 6 == 4, "\nPart I One\nChapter 1 Two\n").otherwise("")
+    return C.documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.concat("text", extra).alias("sample"))
+
+
+@query
+def classify_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = classify.classify(_samples(spark, sf_dir))
+    return out.select(F.col("doc").alias("doc_id"), *[F.element_at("scores", F.lit(p)).alias(p) for p in BOOK_PROFILES])
+
+
+@query
+def classify_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.classify(_samples(spark, sf_dir)).select(F.col("doc").alias("doc_id"), "profile", "score_text")
+
+
+@query
+def classify_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.classify(_samples(spark, sf_dir)).select(F.col("doc").alias("doc_id"), F.array_join("signals", " | ").alias("signals"))
+
+
+@query
+def recommend_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspect.recommend_profile(classify.classify(_samples(spark, sf_dir)), _meta(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+
+
+# ---- inspection -----------------------------------------------------------------------------------------------------
+
+
+def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the chunks of their source."""
+    n = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    path = F.when(F.col("doc_id") % 9 == 0, F.array().cast("array<string>")).otherwise(F.array("source", "lang"))
+    return C.documents(spark, sf_dir).select(F.col("source").alias("doc"), "doc_id", n.alias("chunk_index"), "text", path.alias("heading_path"))
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select(F.col("source").alias("doc")).distinct().withColumn("section_split_chars", F.lit(2000))
+
+
+@query
+def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(inspect.length_stats(_chunks(spark, sf_dir), _split(spark, sf_dir)).drop("split"))
+
+
+@query
+def length_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(inspect.check_lengths(inspect.length_stats(_chunks(spark, sf_dir), _split(spark, sf_dir))).select("doc", "status", "message"))
+
+
+@query
+def heading_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(inspect.heading_stats(_chunks(spark, sf_dir)).drop("body_heading_chunks", "auto_heading_chunks"))
+
+
+@query
+def garbled_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chunks(spark, sf_dir).withColumn("text", _marked()).withColumn("heading_path", F.array(_marked()))
+    return _key(inspect.garbled_stats(rows.select("doc", F.element_at("heading_path", 1).alias("title")), rows))
+
+
+@query
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chunks(spark, sf_dir)
+    pages = rows.select("doc", F.col("chunk_index").alias("page"), "text")
+    kept = rows.where("chunk_index % 3 <> 0")
+    return _key(inspect.coverage(pages, kept).select("doc", "source_chars", "chunk_chars"))
+
+
+@query
+def coverage_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chunks(spark, sf_dir)
+    return _key(inspect.check_coverage(inspect.coverage(rows.select("doc", F.col("chunk_index").alias("page"), "text"), rows)).select("doc", "status", "message"))
+
+
+@query
+def sample_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(inspect.sample_chunks(_chunks(spark, sf_dir)))
+
+
+@query
+def compare_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chunks(spark, sf_dir).withColumn("page_start", F.col("chunk_index")).withColumn("page_end", F.col("chunk_index"))
+    return _key(inspect.compare_samples(rows, rows.select("doc", F.col("chunk_index").alias("page"), "text")))
+
+
+@query
+def level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(inspect.level_counts(toc.infer_toc(C.book(spark, sf_dir), "textbook")))
+
+
+@query
+def recommend_heading_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = _split(spark, sf_dir).withColumn("profile", F.lit("textbook")).withColumn("max_chunk_heading_level", F.lit(1))
+    return _key(inspect.recommend_level(meta, toc.infer_toc(C.book(spark, sf_dir), "textbook"), inspect.length_stats(_chunks(spark, sf_dir), meta)))
+
+
+@query
+def recommend_body_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chunks(spark, sf_dir)
+    meta = _split(spark, sf_dir).withColumn("profile", F.lit("textbook")).withColumn("toc_source", F.lit("pdf_outline"))
+    pages = rows.select("doc", F.col("chunk_index").alias("page"), F.concat("text", F.lit("\n批判性思维要素")).alias("text"))
+    return _key(inspect.recommend_body_headings(meta, inspect.body_heading_candidates(pages), inspect.length_stats(rows, meta), inspect.heading_stats(rows)))
+
+
+@query
+def check_file_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc"), F.when(F.col("page_id") % 5 > 0, T.sha256_text(F.col("html"))).otherwise("sha256:0").alias("expected_hash"), packs.document_id(F.col("html").cast("binary")).alias("actual_hash"), F.concat(F.lit("a/"), F.col("page_id").cast("string")).alias("source_name"), F.when(F.col("page_id") % 7 == 0, "other").otherwise(F.col("page_id").cast("string")).alias("actual_name"))
+    return inspect.check_file_match(rows).select(F.col("doc").alias("page_id"), "status", "message")
+
+
+@query
+def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = pack_jsonl(spark, sf_dir).withColumnRenamed("book", "doc")
+    return _key(inspect.check_schema(packs.split_records(lines)).select("doc", "status", "message"))
+
+
+@query
+def inspect_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = C.book(spark, sf_dir)
+    out = engine.inspect_books(engine.build_books(pages, "textbook"), pages, "textbook")
+    return _key(out.select("doc", "passed", "warned", "failed", "score", "result", "recommendation"))
+
+
+@query
+def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, split = _chunks(spark, sf_dir), _split(spark, sf_dir)
+    checks = inspect.check_lengths(inspect.length_stats(rows, split)).unionByName(inspect.check_headings(inspect.heading_stats(rows)))
+    return _key(inspect.verdict(checks).select("doc", "passed", "warned", "failed", "score", "result"))
+
+
+@query
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, split = _chunks(spark, sf_dir), _split(spark, sf_dir)
+    checks = inspect.check_lengths(inspect.length_stats(rows, split)).unionByName(inspect.check_headings(inspect.heading_stats(rows)))
+    found = inspect.compare_samples(rows.withColumn("page_start", F.col("chunk_index")).withColumn("page_end", F.col("chunk_index")), rows.select("doc", F.col("chunk_index").alias("page"), "text"))
+    judged = inspect.verdict(checks)
+    return _key(inspect.text_report(judged, checks).join(inspect.html_report(judged, checks, found), "doc"))
+
+
+# ---- embeddings and sources -----------------------------------------------------------------------------------------
+
+
+@query
+def null_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", F.size(embed.embedding(F.col("text"), embed.NullEmbedder())).alias("dimension"))
+
+
+@query
+def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.documents(spark, sf_dir).select("doc_id", embed.embedding(F.left("text", F.lit(200)), embed.HashEmbedder(16)).alias("embedding"))
+
+
+@query
+def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.table(spark, sf_dir, "embeddings").select("vec_id", embed.l2_normalize(F.col("embedding")).alias("v"))
+    return rows.select("vec_id", F.size("v").alias("dimension"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).between(0.999999, 1.000001).alias("unit"))
+
+
+@query
+def failed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("page_id")
+    name = F.concat(F.lit("raw/p"), i.cast("string"), F.when(i % 4 == 0, ".pdf").when(i % 4 == 1, ".TXT").when(i % 4 == 2, ".docx").otherwise(""))
+    return S.unsupported_files(C.table(spark, sf_dir, "pages").select(name.alias("path")))
+
+
+@query
+def unique_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("page_id")
+    rows = C.table(spark, sf_dir, "pages").select(F.concat(F.lit("in/"), F.lpad(i.cast("string"), 9, "0")).alias("path"), F.concat(F.lit("book"), (i % 11).cast("string"), F.lit(".pdf")).alias("name"))
+    return classify.unique_destinations(rows)
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(O.ORACLES)
 
-def queries():
-    return {}
 
 
-def oracle_sql():
-    return {}
