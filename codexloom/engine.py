@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from codexloom.functions.profiles import PROFILES, Profile
 from codexloom.operators import chunking, inspect, markdown, packs, sections, toc
 from codexloom.operators.embed import Embedder, NullEmbedder, embedding
+from codexloom.session import written
 
 
 @dataclass
@@ -26,26 +27,28 @@ def build_books(pages: DataFrame, profile: str | Profile = "social_science", out
     """pages (doc, page, text) to chunks. outline: doc, ord, title, level, page of documents that bring their own
     contents; those are repaired, located and augmented, all others get contents by heading rules."""
     p = PROFILES[profile] if isinstance(profile, str) else profile
-    lines = toc.flatten_lines(pages)
+    # Tables that several later steps read are written once; no plan holds them twice.
+    lines = written(toc.flatten_lines(pages), "lines")
     if outline is None:
-        contents = toc.infer_toc(pages, p.name)
-        starts = toc.locate_heading_lines(contents, lines)
+        contents = written(toc.infer_toc(pages, p.name), "toc")
+        starts = written(toc.locate_heading_lines(contents, lines), "starts")
     else:
         fixed = toc.repair_titles(outline, pages).drop("repaired")
-        located = toc.with_parents(toc.locate_pages(fixed, lines, before=before, after=after)).withColumn("toc_id", toc.toc_id(F.col("ord")))
-        first = toc.locate_heading_lines(located, lines)
-        contents = toc.augmented_toc(located, first, toc.augment_headings(located, lines, first, p.name), lines)
-        starts = toc.locate_heading_lines(contents, lines)
+        located = written(toc.with_parents(toc.locate_pages(fixed, lines, before=before, after=after)).withColumn("toc_id", toc.toc_id(F.col("ord"))), "outline")
+        first = written(toc.locate_heading_lines(located, lines), "starts")
+        contents = written(toc.augmented_toc(located, first, toc.augment_headings(located, lines, first, p.name), lines), "toc")
+        starts = written(toc.locate_heading_lines(contents, lines), "starts")
     found = sections.build_sections(contents, lines, starts, p.max_level)
     bare = pages.join(contents.select("doc").distinct(), "doc", "left_anti")
     found = found.unionByName(sections.whole_document(bare))
-    return Book(lines, contents, found, chunking.make_chunks(found, p))
+    found = written(found, "sections")
+    return Book(lines, contents, found, written(chunking.make_chunks(found, p), "chunks"))
 
 
 def build_markdown(files: DataFrame, profile: str = "tech_notes", pack: str | None = None) -> Book:
     """files (path, text[, pack]) to chunks. A pack's files follow each other by path; a file without pack is its own."""
     p = PROFILES[profile]
-    found = markdown.sections(files)
+    found = written(markdown.sections(files), "notes")
     chosen = markdown.select_sections(found)
     rows = chosen.select("doc", "ord", F.format_string("toc:%06d", "ord").alias("toc_id"), "title", "level", "parent_ord", "path_ords", "text", F.lit(None).cast("int").alias("page_start"), F.lit(None).cast("int").alias("page_end"))
     return Book(files, found, rows, chunking.make_chunks(rows, p))
@@ -65,7 +68,7 @@ def pack_table(book: Book, docs: DataFrame, profile: str, embedder: Embedder | N
 
 def inspect_books(book: Book, pages: DataFrame, profile: str) -> DataFrame:
     """A verdict per document from the length, heading, garbling and coverage checks."""
-    chunks = packs.heading_paths(book.chunks, book.toc)
+    chunks = written(packs.heading_paths(book.chunks, book.toc), "paths")
     meta = chunks.select("doc").distinct().withColumn("section_split_chars", F.lit(PROFILES[profile].split))
     checks = (
         inspect.check_lengths(inspect.length_stats(chunks, meta))

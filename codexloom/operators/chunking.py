@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from codexloom.functions import text as T
 from codexloom.functions.profiles import PLAIN, Profile
+from codexloom.session import written
 
 #: A paragraph up to this length is a unit; a longer one is cut into sentences.
 PARAGRAPH = 500
@@ -105,6 +106,7 @@ def make_chunks(sections: DataFrame, p: Profile = PLAIN) -> DataFrame:
     part_index, part_count, ords (sections in it), path_ords, page_start, page_end."""
     run = sibling_runs(sections.withColumn("_t", T.strip(F.col("text"))).where("_t <> ''"))
     run = run.withColumn("len", F.length("_t")).withColumn("_parts", F.when(F.col("len") > p.split, split_long(F.col("text"), p.max, p.overlap)))
+    run = written(run, "runs")
     sized = run.select("doc", "run", F.col("ord").cast("int").alias("ord"), "len", (F.length("title") + 3).alias("head"), F.coalesce(F.size("_parts"), F.lit(0)).alias("parts"), F.coalesce(F.length(F.element_at("_parts", -1)), F.lit(0)).alias("last"))
     plan = merge_plan(sized.withColumn("parts", F.greatest("parts", F.lit(0))), p)
     told = run.join(plan, ["doc", "run", "ord"])

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from codexloom.functions import text as T
 from codexloom.operators.toc import section_ends
+from codexloom.session import written
 
 #: Lines after a heading that may continue it.
 WRAPPED = 12
+#: Lines in a block in which sections and lines meet.
+BLOCK = 64
 
 
 def heading_extent(spans: DataFrame, lines: DataFrame) -> DataFrame:
@@ -29,11 +32,15 @@ def heading_extent(spans: DataFrame, lines: DataFrame) -> DataFrame:
 
 def build_sections(toc: DataFrame, lines: DataFrame, starts: DataFrame, max_level: int | None = None) -> DataFrame:
     """Sections with text: doc, ord, toc_id, title, level, parent_ord, path_ords, text, page_start, page_end."""
-    spans = heading_extent(section_ends(toc, starts, max_level), lines)
+    spans = written(heading_extent(written(section_ends(toc, starts, max_level), "ends"), lines), "spans")
     if max_level is not None:
         spans = spans.where(F.col("level") <= max_level)
-    marks = spans.select("doc", "ord", F.col("body").alias("lo"), F.coalesce("end", F.lit(1 << 30)).alias("hi"), "start")
-    held = marks.join(lines.select("doc", "idx", "page", "text"), "doc").where("idx >= start AND (idx < hi OR idx = start)")
+    # Lines meet their sections in blocks of the document, not line by section.
+    size = lines.groupBy("doc").agg((F.max("idx") + 1).alias("_size"))
+    marks = spans.join(size, "doc").select("doc", "ord", F.col("body").alias("lo"), F.coalesce("end", "_size").alias("hi"), "start")
+    block = lambda c: F.floor(c / BLOCK)
+    marks = marks.withColumn("_block", F.explode(F.sequence(block(F.col("start")), F.greatest(block(F.col("start")), block(F.col("hi") - 1)))))
+    held = marks.join(lines.select("doc", "idx", "page", "text", block(F.col("idx")).alias("_block")), ["doc", "_block"]).where("idx >= start AND (idx < hi OR idx = start)")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("idx") >= F.col("lo")) & (F.col("idx") < F.col("hi")), F.struct("idx", "text")))), lambda x: x["text"]), "\n")
     body = held.groupBy("doc", "ord").agg(text.alias("_raw"), F.min_by("page", "idx").alias("page_start"), F.max_by("page", "idx").alias("page_end"))
     out = spans.join(body, ["doc", "ord"]).withColumn("text", T.reflow_text(F.col("_raw")))

@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from codexloom.functions import headings as H
 from codexloom.functions import text as T
+from codexloom.session import written
 
 #: Deepest level of a heading: six from the rules, one more for Markdown, two to spare for outlines.
 DEEPEST = 9
@@ -171,7 +172,7 @@ def locate_heading_lines(toc: DataFrame, lines: DataFrame) -> DataFrame:
     heads = lines.select("doc", "idx", F.col("page").alias("_page"), "normalized").join(cuts, "doc").select("doc", "idx", "_page", "normalized", F.explode("_cuts").alias("_cut"))
     heads = heads.where(F.length("normalized") >= F.col("_cut")).withColumn("_head", F.left(F.col("normalized"), F.col("_cut"))).drop("normalized")
     hits = items.join(heads, ["doc", "_cut", "_head"]).where("_page BETWEEN page - 1 AND page + 2").groupBy("doc", "ord").agg(F.min("idx").alias("start"))
-    placed = items.join(hits, ["doc", "ord"], "left")
+    placed = written(items.join(hits, ["doc", "ord"], "left"), "placed")
     left = placed.where("start IS NULL").select("doc").distinct()
     schema = "doc string, ord int, start int"
 
