@@ -40,6 +40,7 @@ class DigestIndex:
             raise ValueError("keep is 'min' or 'max'")
         self.spark, self.path, self.keep, self.digest_bytes, self.memtables = spark, path or scratch_path(spark, "digests"), keep, digest_bytes, memtables
         self.runs: list[str] = []
+        self.schema = ""
 
     def digest(self, text: Column) -> Column:
         return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, self.digest_bytes)
@@ -49,6 +50,7 @@ class DigestIndex:
 
     def _store(self, entries: DataFrame, name: str, *by: str) -> None:
         path = f"{self.path}/{name}"
+        self.schema = f"digest binary, keep_id {dict(entries.dtypes)['keep_id']}, n long"
         (
             entries.sortWithinPartitions(*by, "digest")
             .write.option("parquet.bloom.filter.enabled#digest", "true")
@@ -68,7 +70,7 @@ class DigestIndex:
         self._store(entries, f"level0-{len(self.runs)}", "memtable")
 
     def _all(self) -> DataFrame:
-        tables = [self.spark.read.parquet(p).select("digest", "keep_id", "n") for p in self.runs]
+        tables = [self.spark.read.schema(self.schema).parquet(p) for p in self.runs]  # a run without rows has no files
         out = tables[0]
         for t in tables[1:]:
             out = out.unionByName(t)

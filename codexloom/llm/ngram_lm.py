@@ -367,6 +367,14 @@ def _rows(rows: pa.Array, ids: pa.Array, batch: Batch, logs: np.ndarray, heavy:
 _OUT = "_row long, _id string, word binary, times long, n_tokens long, known long, base double, score double"
 
 
+def _fetched(shards: DataFrame, n_shards: int, group: int = 16) -> Iterator[tuple[int, bytes]]:
+    """(shard, bits) in order, a few shards on their way to the driver at a time."""
+    for first in range(0, n_shards, group):
+        held = shards.where(F.col("shard").between(first, first + group - 1)).select("shard", "bits").toArrow()
+        for i in np.argsort(held["shard"].to_numpy()).tolist():
+            yield held["shard"][i].as_py(), held["bits"][i].as_buffer()
+
+
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = 256 << 20) -> DataFrame:
     """Per row of docs: `_id`, n_tokens, n_known, base_score, score. Rows are told apart even if their identifier repeats."""
     spark = docs.sparkSession
@@ -377,10 +385,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     known = {"mass": model.mass, "n_words": model.n_words, "weight": model.weight}
     total, distinct, n_shards = model.n_tokens, model.n_words, model.n_shards
     if model.bits_bytes <= broadcast_bytes:
-        held = model.shards.select("shard", "bits").toArrow()
-        order = np.argsort(held["shard"].to_numpy()).tolist()
-        joined = Filter.joined(((held["shard"][i].as_py(), held["bits"][i].as_py()) for i in order), n_shards, model.bits_bytes)
-        del held
+        joined = Filter.joined(_fetched(model.shards, n_shards), n_shards, model.bits_bytes)
         bits = spark.sparkContext.broadcast((joined.words, np.append(joined.base[1:], len(joined.words))))
         del joined
 
