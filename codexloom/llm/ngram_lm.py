@@ -39,15 +39,17 @@ from codexloom.session import written
 
 #: Quantisation bases of single tokens and of pairs.
 BASES = (1.2, math.sqrt(2))
-#: Bits of the filter per entry. An entry sets four bits in each of two 64-bit words of its shard: about three wrong
+#: Bits of the filter per entry. An entry sets four bits in each of two 64-bit words of its shard: about five wrong
 #: answers in a thousand, at two memory accesses.
-BITS = 14
+BITS = 12
 #: N-grams in a shard, on average.
 SHARD = 1_000_000
 #: A word with this share of all tokens is broadcast.
 HEAVY_SHARE = 1 / (1 << 22)
+#: Words of the filter in a broadcast piece.
+PIECE = 1 << 20
 #: Characters of text handled at a time; n-grams that a task keeps before it hands them on.
-SLICE, HELD = 3_000_000, 3_000_000
+SLICE, HELD = 2_000_000, 3_000_000
 #: The token that ends a text, and the hash that stands before its first token.
 END, START = b"", np.array(0x9AE16A3B2F90404F, np.uint64)[()]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -242,7 +244,7 @@ def count_pairs(texts: DataFrame, n_shards: int) -> DataFrame:
             for t in b.column(0):
                 ws = tokens(t.as_py())
                 new = set(ws).difference(hashes)
-                if len(hashes) + len(new) > 400_000:
+                if len(hashes) + len(new) > 200_000:
                     hashes.clear()
                     new = set(ws)
                 for w in new:
@@ -367,6 +369,17 @@ def _rows(rows: pa.Array, ids: pa.Array, batch: Batch, logs: np.ndarray, heavy:
 _OUT = "_row long, _id string, word binary, times long, n_tokens long, known long, base double, score double"
 
 
+def _unpacked(pieces: list, size: int) -> np.ndarray:
+    """The broadcast pieces end to end; a piece that has been copied is let go."""
+    words, at = np.empty(size, "<u8"), 0
+    for piece in pieces:
+        part = piece.value
+        words[at : at + len(part)] = part
+        at += len(part)
+        vars(piece).pop("_value", None)
+    return words
+
+
 def _fetched(shards: DataFrame, n_shards: int, group: int = 16) -> Iterator[tuple[int, bytes]]:
     """(shard, bits) in order, a few shards on their way to the driver at a time."""
     for first in range(0, n_shards, group):
@@ -386,11 +399,13 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     total, distinct, n_shards = model.n_tokens, model.n_words, model.n_shards
     if model.bits_bytes <= broadcast_bytes:
         joined = Filter.joined(_fetched(model.shards, n_shards), n_shards, model.bits_bytes)
-        bits = spark.sparkContext.broadcast((joined.words, np.append(joined.base[1:], len(joined.words))))
+        ends = np.append(joined.base[1:], len(joined.words))
+        # In pieces, so that no process holds the filter twice while it unpacks it.
+        pieces = [spark.sparkContext.broadcast(joined.words[i : i + PIECE]) for i in range(0, len(joined.words), PIECE)]
         del joined
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            probe, common = Filter(*bits.value), heavy.value
+            probe, common = Filter(_unpacked(pieces, int(ends[-1])), ends), heavy.value
             for b in batches:
                 for i, j, batch in _batches(b.column(2)):
                     logs = _log_probabilities(known, batch, probe.levels(batch.hashes), probe.levels(batch.pair_hashes()))
