@@ -6,9 +6,10 @@ White space is what Unicode and Python call so, spelled out: the regex engines d
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -25,6 +26,17 @@ def rx(pattern: str) -> str:
     return pattern.replace(r"[^\s", f"[^{W_IN}").replace(r"[:.\s-]", f"[:.{W_IN}-]").replace(r"[　\s]", W).replace(r"\S", f"[^{W_IN}]").replace(r"\s", W).replace(r"\d", r"\p{Nd}")
 
 
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once per row. A projection would be merged into what is built on it, and a
+    lambda would compute it anew for each element; a generator's output stays as it is."""
+    return df.select(*df.columns, F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_pinned")).select(*df.columns, "_pinned.*")
+
+
+def bound(x: Column, use: Callable[[Column], Column]) -> Column:
+    """use(x) with x computed once."""
+    return F.transform(F.array(x), use)[0]
+
+
 def strip(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, f"^{W}+", ""), f"{W}+$", "")
 
@@ -171,17 +183,16 @@ def sample_windows(x: Column, window: int, most: int) -> Column:
 def sample_matches(source: Column, target: Column, window: int = 80, most: int = 120) -> Column:
     """struct<matched, samples>: windows of source and how many of them target holds."""
     pair = lambda a, b: F.struct(a.cast("long").alias("matched"), b.cast("long").alias("samples"))
-    many = sample_windows(source, window, most)
     return (
         F.when((source == "") | (target == "") | source.isNull() | target.isNull(), pair(F.lit(0), F.lit(0)))
         .when(F.length(source) <= window, pair(F.contains(target, source).cast("int"), F.lit(1)))
-        .otherwise(pair(F.size(F.filter(many, lambda s: F.contains(target, s))), F.size(many)))
+        .otherwise(bound(sample_windows(source, window, most), lambda many: pair(F.size(F.filter(many, lambda s: F.contains(target, s))), F.size(many))))
     )
 
 
 def sample_match_rate(source: Column, target: Column, window: int = 80, most: int = 120) -> Column:
-    m = sample_matches(source, target, window, most)
-    return F.when(m["samples"] == 0, 0.0).otherwise(F.bround(m["matched"] / F.nullif(m["samples"], F.lit(0).cast("long")), 3))
+    rate = lambda m: F.when(m["samples"] == 0, 0.0).otherwise(F.bround(m["matched"] / F.nullif(m["samples"], F.lit(0).cast("long")), 3))
+    return bound(sample_matches(source, target, window, most), rate)
 
 
 def split_front_matter(x: Column) -> Column:

@@ -123,10 +123,11 @@ def joined_text(rows: DataFrame, order: str, sep: str = "\n") -> DataFrame:
 
 def coverage(pages: DataFrame, chunks: DataFrame) -> DataFrame:
     """How much of the source the chunks hold and the other way round, by length and by samples of 80 characters."""
-    src = joined_text(pages, "page").select("doc", T.compact_text(F.col("text")).alias("s"))
-    out = joined_text(chunks, "chunk_index").select("doc", T.compact_text(F.col("text")).alias("c"))
-    both = src.join(out, "doc", "left").withColumn("c", F.coalesce("c", F.lit("")))
-    rows = both.select("doc", F.length("s").alias("source_chars"), F.length("c").alias("chunk_chars"), T.sample_match_rate(F.col("s"), F.col("c")).alias("source_rate"), T.sample_match_rate(F.col("c"), F.col("s")).alias("chunk_rate"))
+    src = joined_text(pages, "page").select("doc", F.col("text").alias("a"))
+    out = joined_text(chunks, "chunk_index").select("doc", F.col("text").alias("b"))
+    both = T.pinned(src.join(out, "doc", "left"), s=T.compact_text(F.col("a")), c=F.coalesce(T.compact_text(F.col("b")), F.lit("")))
+    both = T.pinned(both.select("doc", "s", "c"), source_rate=T.sample_match_rate(F.col("s"), F.col("c")), chunk_rate=T.sample_match_rate(F.col("c"), F.col("s")))
+    rows = both.select("doc", F.length("s").alias("source_chars"), F.length("c").alias("chunk_chars"), "source_rate", "chunk_rate")
     ratio = F.least(F.lit(1.0), F.col("chunk_chars") / F.nullif(F.col("source_chars"), F.lit(0)))
     return rows.withColumn("char_ratio", F.coalesce(ratio, F.lit(0.0))).withColumn("coverage", F.bround(F.col("char_ratio") * 0.35 + F.col("source_rate") * 0.35 + F.col("chunk_rate") * 0.30, 3))
 
@@ -264,7 +265,8 @@ def compare_samples(chunks: DataFrame, pages: DataFrame, most: int = 5) -> DataF
     some = sample_chunks(chunks, most).join(chunks.select("doc", "chunk_index", "text", "page_start", "page_end"), ["doc", "chunk_index"])
     spans = some.select("doc", "chunk_index", F.explode(F.sequence("page_start", "page_end")).alias("page")).join(pages.select("doc", "page", F.col("text").alias("p")), ["doc", "page"])
     source = spans.groupBy("doc", "chunk_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "p"))), lambda x: x["p"]), "\n\n").alias("_src"))
-    rows = some.join(source, ["doc", "chunk_index"], "left").withColumn("_src", F.coalesce("_src", F.lit(""))).withColumn("_c", T.compact_text(F.col("text"))).withColumn("_p", T.compact_text(F.col("_src")))
+    rows = some.join(source, ["doc", "chunk_index"], "left").withColumn("_src", F.coalesce("_src", F.lit("")))
+    rows = T.pinned(rows, _c=T.compact_text(F.col("text")), _p=T.compact_text(F.col("_src")))
     # The offset in the compact text is used in the page text as it is.
     at = F.when(F.col("_c") == "", 0).otherwise(F.instr(F.col("_p"), F.left(F.col("_c"), F.lit(40))))
     shown = F.when(at > 0, F.substring(F.col("_src"), at, F.length("_src"))).otherwise(F.col("_src"))

@@ -51,7 +51,7 @@ def sections(files: DataFrame) -> DataFrame:
     spans = toc.join(lines, "doc")
     last = F.coalesce("end", F.size("_l"))
     text = F.array_join(F.slice("_l", F.col("line") + 2, F.greatest(F.lit(0), last - F.col("line") - 1)), "\n")
-    return spans.withColumn("text", T.normalize_text(text)).drop("_l", "end")
+    return T.pinned(spans, text=T.normalize_text(text)).drop("_l", "end")
 
 
 def select_sections(found: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def build_sections(toc: DataFrame, lines: DataFrame, starts: DataFrame, max_leve
     held = marks.join(lines.select("doc", "idx", "page", "text", block(F.col("idx")).alias("_block")), ["doc", "_block"]).where("idx >= start AND (idx < hi OR idx = start)")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("idx") >= F.col("lo")) & (F.col("idx") < F.col("hi")), F.struct("idx", "text")))), lambda x: x["text"]), "\n")
     body = held.groupBy("doc", "ord").agg(text.alias("_raw"), F.min_by("page", "idx").alias("page_start"), F.max_by("page", "idx").alias("page_end"))
-    out = spans.join(body, ["doc", "ord"]).withColumn("text", T.reflow_text(F.col("_raw")))
+    out = T.pinned(spans.join(body, ["doc", "ord"]), text=T.reflow_text(F.col("_raw")))
     return out.where(T.strip(F.col("text")) != "").select("doc", "ord", "toc_id", "title", "level", "parent_ord", "path_ords", "text", "page_start", "page_end")
 
 
