@@ -40,29 +40,14 @@ BUCKET = 100_000
 # ---- token ids ------------------------------------------------------------------------------------------------------
 
 
-#: Marks that end a word and are never part of it.
-_ENDS = ".,;:!?"
-
-
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     fast = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    # The tokenizer drops white space and merges nothing across it, nor across the end of a run of letters, so words are
-    # encoded once each, without the marks behind them. (In lower case, İ ends in a mark that isn't a letter.)
-    cores = ChunkCache(lambda parts: [array("I", e.ids).tobytes() for e in fast(parts, add_special_tokens=False)])
-
-    def solve(parts: list[str]) -> list[bytes]:
-        cut = []
-        for p in parts:
-            core = p.rstrip(_ENDS)
-            cut.append((core, p[len(core) :]) if core.isalpha() and "İ" not in core else (p, ""))
-        known = cores.learn({x for pair in cut for x in pair})
-        return [known[a] + known[b] if b else known[a] for a, b in cut]
-
-    cache = ChunkCache(solve)
+    # The tokenizer drops white space and merges nothing across it, so words are encoded once each.
+    cache = ChunkCache(lambda parts: [array("I", e.ids).tobytes() for e in fast(parts, add_special_tokens=False)], 300_000)
 
     def encode(texts: pa.Array) -> list[bytes]:
         # Words are told apart and numbered by Arrow; Python sees the distinct ones of a slice.
