@@ -195,3 +195,11 @@ def near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("_id", "vec_id")
+
+
+OP7_SQL = """
+WITH RECURSIVE good AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, min(r.b) AS component_id, e.vec_id = min(r.b) AS kept FROM embeddings e JOIN reach r ON r.a = e.vec_id GROUP BY e.vec_id
+"""

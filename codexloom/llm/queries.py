@@ -25,4 +25,4 @@ QUERIES = {
     "op9_secret_scan": e9.op9_secret_scan,
     "op10_importance": e10.op10_importance,
 }
-ORACLES = {"op4_exact_dedup": e4.OP4_SQL}
+ORACLES = {"op4_exact_dedup": e4.OP4_SQL, "op7_embedding_dedup": e7.OP7_SQL}
