@@ -268,3 +268,18 @@ SELECT doc AS book, chunk_index::INT AS chunk_index, row_number() OVER (PARTITIO
 ORACLES["coverage"] = f"WITH {CH} SELECT doc AS book, length({compact('string_agg(text, chr(10) ORDER BY chunk_index)')})::INT AS source_chars, length({compact('string_agg(text, chr(10) ORDER BY chunk_index) FILTER (chunk_index % 3 <> 0)')})::INT AS chunk_chars FROM ch GROUP BY doc"
 ORACLES["check_file_match"] = f"""SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN page_id % 5 = 0 THEN {q(I.M['hash_bad'])} ELSE {q(I.M['hash_ok'])} END AS message FROM pages
 UNION ALL SELECT page_id, 'WARN', {q(I.M['name_bad'])} FROM pages WHERE page_id % 7 = 0"""
+ORACLES["garbled_checks"] = f"""WITH {TITLE}, g AS (SELECT source, doc_id, ({strip('m')} <> '' AND ({GARBLED} OR (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.12))) AS looks, n > 0 AND least(1.0, bad::DOUBLE / n) > 0.04 AS odd, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM t2)
+SELECT source AS book, count(*) FILTER (looks) AS garbled_titles, count(*) FILTER (looks) AS garbled_headings, count(*) FILTER (odd AND k <= 80) AS garbled_chunks FROM g GROUP BY source"""
+ORACLES["recommend_heading_level"] = f"""WITH {TB}, {LEN}, d AS (SELECT doc, max(level) AS deep FROM heads GROUP BY doc), r AS (SELECT ls.doc, deep, deep > 1 AND (long + very_long) / chunks > 0.18 AS up, (very_short + short) / chunks > 0.35 AS down FROM ls JOIN d USING (doc))
+SELECT doc AS book, 1::INT AS "current", CASE WHEN up THEN least(deep, 2) ELSE 1 END::INT AS recommended, CASE WHEN up THEN 'consider_increase' WHEN down THEN 'consider_decrease' ELSE 'keep' END AS action, CASE WHEN NOT up AND down THEN 'low' ELSE 'medium' END AS confidence FROM r"""
+ORACLES["recommend_profile"] = f"""WITH {SCORED}, {META}, s AS (SELECT doc_id, {_pick} AS top, list_sort([{', '.join(BOOK_PROFILES)}], 'DESC') AS l FROM sc), c AS (SELECT s.*, meta.profile AS cur, CASE WHEN l[1] >= 6 AND l[1] - l[2] >= 4 THEN 'high' WHEN l[1] >= 4 AND l[1] - l[2] >= 2 THEN 'medium' ELSE 'low' END AS sure FROM s JOIN meta USING (doc_id))
+SELECT doc_id, cur AS "current", CASE WHEN sure = 'low' THEN cur ELSE top END AS recommended, sure AS confidence, CASE WHEN top = cur OR sure = 'low' THEN 'keep' ELSE 'consider_change' END AS action FROM c"""
+_SHORT = ORACLES["body_short_headings"].split("WHERE ", 1)[1].replace("line", "text")
+ORACLES["augment_headings"] = f"""WITH {flat(C.ZH.replace("|| text AS text", "|| text || chr(10) || '批判性思维的第' || n || '要素' AS text"))},
+chapters AS (SELECT doc, idx, row_number() OVER (PARTITION BY doc ORDER BY idx)::INT AS ord FROM flat WHERE {like('text', H.CHAPTER)} AND {gate('text', 'textbook')})
+SELECT f.doc AS book, max(c.ord) AS parent_ord, f.idx, f.text AS title, 2::INT AS level, f.page FROM flat f JOIN chapters c ON c.doc = f.doc AND c.idx < f.idx WHERE {_SHORT} GROUP BY f.doc, f.idx, f.text, f.page"""
+ORACLES["locate_pages"] = f"""WITH {TB}, keyed AS (SELECT doc, idx, page, {key('text')} AS k FROM flat),
+o AS (SELECT doc, ord, {key("title || CASE WHEN ord % 5 = 0 THEN ' and more than that' ELSE '' END")} AS t, greatest(1, page + ord % 3 - 1)::INT AS page FROM heads WHERE starts_with(title, '第')),
+m AS (SELECT o.doc, o.ord, k.page, k.idx, CASE WHEN k.k = t THEN 1.0 ELSE 0.9 END::DOUBLE AS sure FROM o JOIN keyed k ON k.doc = o.doc AND k.page BETWEEN o.page - 1 AND o.page + 2 AND (starts_with(k.k, left(t, 18)) OR starts_with(t, k.k))),
+b AS (SELECT doc, ord, page, sure FROM m QUALIFY row_number() OVER (PARTITION BY doc, ord ORDER BY sure DESC, idx) = 1)
+SELECT o.doc AS book, o.ord, coalesce(b.page, o.page)::INT AS page, CASE b.sure WHEN 1.0 THEN 'exact_normalized' WHEN 0.9 THEN 'prefix_normalized' ELSE 'bookmark_page_fallback' END AS method, coalesce(b.sure, 0.5)::DOUBLE AS confidence FROM o LEFT JOIN b USING (doc, ord)"""

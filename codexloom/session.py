@@ -25,8 +25,14 @@ def get_session(app: str = "codexloom", cpus: str | int = "*") -> SparkSession:
     )
 
 
+#: Bytes of an Arrow batch; a worker and its executor hold a few at a time, however long the texts are.
+ARROW_BATCH = "8m"
+
+
 def let_workers_import(spark: SparkSession) -> SparkSession:
-    """Adds the folder of this package to the Python workers' path, for callers that have not installed it."""
+    """Adds the folder of this package to the Python workers' path, for callers that have not installed it, and keeps
+    the batches that they get small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
     home, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
     if home not in (known := env.get("PYTHONPATH", "")).split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (home, known) if x)
