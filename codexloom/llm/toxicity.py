@@ -36,7 +36,7 @@ TAIL = bytes(range(1, 9)) + b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ#$%&" + bytes(
 #: Windows that lean toxic by at least so many bytes are counted.
 THRESHOLDS = tuple(range(1, 9))
 #: Remembered windows of a worker; a full memory is emptied.
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 def windows(text: str | None, words: int = 1) -> list[bytes]:
