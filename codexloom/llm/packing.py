@@ -17,6 +17,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import string
 import zlib
 from array import array
 from collections import defaultdict
@@ -40,14 +41,32 @@ BUCKET = 100_000
 # ---- token ids ------------------------------------------------------------------------------------------------------
 
 
+#: Marks that may stand behind a run of letters and are never merged with it; an apostrophe may be.
+_MARKS = string.punctuation.replace("'", "")
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     fast = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    # The tokenizer drops white space and merges nothing across it, so words are encoded once each.
-    cache = ChunkCache(lambda parts: [array("I", e.ids).tobytes() for e in fast(parts, add_special_tokens=False)], 300_000)
+    # The tokenizer drops white space, reads letters in lower case and merges nothing across the end of a run of letters.
+    # So runs of letters are encoded once each, in lower case, without the marks behind them.
+    cores = ChunkCache(lambda parts: [array("I", e.ids).tobytes() for e in fast(parts, add_special_tokens=False)])
+
+    def solve(parts: list[str]) -> list[bytes]:
+        cut = []
+        for p in parts:
+            core = p.rstrip(_MARKS)
+            if core.isalpha() and "İ" not in core and "Σ" not in core:
+                cut.append((core.lower(), p[len(core) :]))
+            else:
+                cut.append((p, ""))
+        known = cores.learn({x for pair in cut for x in pair})
+        return [known[a] + known[b] if b else known[a] for a, b in cut]
+
+    cache = ChunkCache(solve)
 
     def encode(texts: pa.Array) -> list[bytes]:
         # Words are told apart and numbered by Arrow; Python sees the distinct ones of a slice.
