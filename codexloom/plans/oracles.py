@@ -283,3 +283,8 @@ o AS (SELECT doc, ord, {key("title || CASE WHEN ord % 5 = 0 THEN ' and more than
 m AS (SELECT o.doc, o.ord, k.page, k.idx, CASE WHEN k.k = t THEN 1.0 ELSE 0.9 END::DOUBLE AS sure FROM o JOIN keyed k ON k.doc = o.doc AND k.page BETWEEN o.page - 1 AND o.page + 2 AND (starts_with(k.k, left(t, 18)) OR starts_with(t, k.k))),
 b AS (SELECT doc, ord, page, sure FROM m QUALIFY row_number() OVER (PARTITION BY doc, ord ORDER BY sure DESC, idx) = 1)
 SELECT o.doc AS book, o.ord, coalesce(b.page, o.page)::INT AS page, CASE b.sure WHEN 1.0 THEN 'exact_normalized' WHEN 0.9 THEN 'prefix_normalized' ELSE 'bookmark_page_fallback' END AS method, coalesce(b.sure, 0.5)::DOUBLE AS confidence FROM o LEFT JOIN b USING (doc, ord)"""
+ORACLES["source_files"] = "SELECT 'raw/p' || page_id || CASE page_id % 4 WHEN 0 THEN '.pdf' ELSE '.TXT' END AS path FROM pages WHERE page_id % 4 IN (0, 1)"
+ORACLES["match_packs"] = "SELECT 'out/p' || page_id || '_noembedding.pack.jsonl' AS pack, 'p' || page_id AS stem, CASE WHEN page_id % 4 = 0 THEN 'raw/p' || page_id || '.pdf' END AS book FROM pages WHERE page_id % 3 < 2"
+ORACLES["sample_text"] = f"WITH {C.ZH} SELECT doc AS book, sha256(string_agg(text, chr(10) ORDER BY page)) AS sample FROM book WHERE page <= 20 GROUP BY doc"
+ORACLES["remove_heading_prefix"] = "SELECT doc_id, sha256(regexp_replace(text, '\\n$', '')) AS rest FROM documents"
+ORACLES["common_parent_path"] = "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source ELSE source || '/' || lang END AS path FROM documents"

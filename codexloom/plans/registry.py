@@ -533,9 +533,43 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def failed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.unsupported_files(_raw(spark, sf_dir))
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("page_id")
-    name = F.concat(F.lit("raw/p"), i.cast("string"), F.when(i % 4 == 0, ".pdf").when(i % 4 == 1, ".TXT").when(i % 4 == 2, ".docx").otherwise(""))
-    return S.unsupported_files(C.table(spark, sf_dir, "pages").select(name.alias("path")))
+    return C.table(spark, sf_dir, "pages").select(F.concat(F.lit("raw/p"), i.cast("string"), F.when(i % 4 == 0, ".pdf").when(i % 4 == 1, ".TXT").when(i % 4 == 2, ".docx").otherwise("")).alias("path"))
+
+
+@query
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.source_files(_raw(spark, sf_dir)).where(~classify.is_ignored_file(markdown.file_name(F.col("path"))))
+
+
+@query
+def match_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("page_id").cast("string")
+    made = C.table(spark, sf_dir, "pages").where("page_id % 3 < 2").select(F.concat(F.lit("out/p"), i, F.lit("_noembedding.pack.jsonl")).alias("path"))
+    found, missing = S.match_packs(made, S.source_files(_raw(spark, sf_dir), ".pdf"))
+    return found.unionByName(missing.withColumn("book", F.lit(None).cast("string"))).select("pack", "stem", "book")
+
+
+@query
+def sample_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(classify.sample_text(C.book(spark, sf_dir)).select("doc", F.sha2("sample", 256).alias("sample")))
+
+
+@query
+def remove_heading_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("Intro line\nThe Title Of It\n"), "text")
+    return C.documents(spark, sf_dir).select("doc_id", F.sha2(T.remove_heading_prefix(text, F.lit("The Title Of It")), 256).alias("rest"))
+
+
+@query
+def common_parent_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    last = F.when(i % 2 == 0, F.array("source", F.lit("x"))).otherwise(F.array("source", "lang", F.lit("y")))
+    return C.documents(spark, sf_dir).select("doc_id", F.array_join(chunking.common_parent_path(F.array(F.array("source", "lang", F.lit("a")), last)), "/").alias("path"))
 
 
 @query

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: str | None = None
+_scratch: list[str] = []
 
 
 def get_session(app: str = "codexloom", cpus: str | int = "*") -> SparkSession:
@@ -50,7 +51,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch tables made so far; frames that read them can't be used afterwards."""
+    jvm, n = spark.sparkContext._jvm, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        n += int(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def written(df: DataFrame, label: str, **options: str) -> DataFrame:
