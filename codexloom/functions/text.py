@@ -239,7 +239,11 @@ def now_iso() -> Column:
 
 def remove_heading_prefix(text: Column, title: Column) -> Column:
     """text after the first of its first 20 lines that matches the title; all of it if none does."""
-    lines, target = splitlines(text), normalize_title(title)
-    keys = F.transform(F.slice(lines, 1, 20), lambda v: normalize_title(v, ascii_only=True))
-    hit = F.array_position(F.transform(keys, lambda k: k.startswith(F.left(target, F.lit(18)))), True)
+    lines = splitlines(text)
+    head = F.array_join(F.slice(lines, 1, 20), "\n")
+    folded = F.when(head.rlike(r"[^\x00-\x7f]"), _nfkc(head)).otherwise(head)
+    keys = F.transform(F.split(folded, "\n", -1), lambda v: F.regexp_replace(F.translate(v, "：", ":"), f"{W}+", ""))
+    # The title stands beside each line: a lambda may not reach for what Python has computed.
+    pairs = F.arrays_zip(keys.alias("key"), F.array_repeat(F.left(normalize_title(title), F.lit(18)), 20).alias("head"))
+    hit = F.array_position(F.transform(pairs, lambda p: F.coalesce(p["key"].startswith(p["head"]), F.lit(False))), True)
     return F.when(hit > 0, F.array_join(F.slice(lines, hit.cast("int") + 1, F.greatest(F.size(lines), F.lit(1))), "\n")).otherwise(text)
