@@ -1,9 +1,14 @@
+import pytest
+from pyspark.errors import AnalysisException
+
 from codexloom import session
 
 
-def test_scratch_tables_live_in_the_shared_folder_and_go(spark, tmp_path, monkeypatch):
+def test_scratch_tables_live_in_the_shared_folder_and_go(spark, monkeypatch):
     monkeypatch.setattr(session, "_scratch", [])
-    monkeypatch.setattr(session, "_own_dir", f"file://{tmp_path}")
     table = session.written(spark.range(5), "five")
-    assert table.count() == 5 and len(list(tmp_path.iterdir())) == 1
-    assert session.drop_scratch(spark) == 1 and not list(tmp_path.iterdir())
+    path = session._scratch[0]
+    assert table.count() == 5 and path.startswith(session.scratch_root(spark))
+    assert session.drop_scratch(spark) == 1
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
