@@ -2,10 +2,11 @@
 
 Only lengths matter to a packing, and there are at most `capacity` of them. Their histogram, `capacity` numbers whatever
 the input, goes to the driver. A configuration is a multiset of lengths that fits one sequence; the program asks for the
-fewest configurations, counted with multiplicity, that hold every piece. It is solved by multiplicative weights: each
-length has a weight; the best configuration under the weights is priced by knapsack dynamic programming over the
-capacity; it is used a little, and the weights of the lengths that it serves fall. The fractional solution is rounded
-down, never beyond a length's pieces, and the pieces that are left over are packed best-fit decreasing.
+fewest configurations, counted with multiplicity, that hold every piece. It is solved by multiplicative weights in rounds
+until every length is covered: a length's weight falls with its covered share; knapsack dynamic programming over the
+capacity prices the best configuration with each length; those near the best of all are used, in whole numbers and for
+no more than a step of a length's pieces. The step is halved until the number of sequences stops falling. Sequences of
+the cover that stay under 98 % full are packed again best-fit decreasing where that takes fewer of them.
 
 The plan then names, per length, which ranks go to which sequences and offsets. Pieces are ranked within their length:
 row numbers within (length, bucket) and the sizes of the buckets before, so that a length that a third of all pieces
@@ -120,59 +121,78 @@ def pieces(text: Column, *, capacity: int = 2048, end_id: int = 0, path: str | N
 Plan = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, times) from the longest, sequences of that kind)
 
 
-def price(lengths: np.ndarray, weight: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of the greatest weight: lengths (by index) and times, no length more often than `most`."""
-    best = np.zeros(capacity + 1)
-    items, sizes = [], []
-    for k in np.argsort(-weight / lengths, kind="stable"):
-        if weight[k] <= 0:
-            continue
-        # Doubling the times keeps a bounded knapsack to a few passes.
-        left, part = int(min(most[k], capacity // lengths[k])), 1
-        while left > 0:
-            take = min(part, left)
-            items.append((int(k), take))
-            sizes.append((int(lengths[k]) * take, float(weight[k]) * take))
-            left, part = left - take, part * 2
-    chosen = np.zeros((len(items), capacity + 1), bool)
-    for i, (size, gain) in enumerate(sizes):
-        moved = best[: capacity + 1 - size] + gain
-        better = moved > best[size:] + 1e-15
-        chosen[i, size:] = better
-        best[size:] = np.where(better, moved, best[size:])
-    out: dict[int, int] = defaultdict(int)
-    room = int(np.argmax(best))
-    for i in range(len(items) - 1, -1, -1):
-        if chosen[i, room]:
-            out[items[i][0]] += items[i][1]
-            room -= sizes[i][0]
-    return dict(out)
+def price(lengths: np.ndarray, weight: np.ndarray, capacity: int) -> tuple[np.ndarray, list[int]]:
+    """By room: the greatest weight of a configuration that fits, and the place of its first length plus one (0: none).
+    lengths fall; how many pieces a length has is not asked."""
+    best, first = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    start = (len(lengths) - np.searchsorted(lengths[::-1], np.arange(capacity + 1), side="right")).tolist()
+    for room in range(int(lengths[-1]), capacity + 1):
+        k = start[room]
+        gain = best[room - lengths[k:]]
+        gain += weight[k:]
+        i = int(gain.argmax())
+        best[room], first[room] = gain[i], k + i + 1
+    return best, first.tolist()
+
+
+Uses = dict[tuple[tuple[int, int], ...], int]  # configuration -> sequences
 
 
-def solve(hist: dict[int, int], capacity: int, *, rounds: int = 100, rate: float = 0.5) -> dict[tuple[tuple[int, int], ...], float]:
-    """Configurations and how often each is used, fractionally, covering no length beyond its pieces."""
+def cover(hist: dict[int, int], capacity: int, step: float) -> Uses:
+    """Configurations that cover every length exactly. In a round no length is served beyond `step` of its pieces."""
     lengths = np.array(sorted(hist, reverse=True), np.int64)
-    left = np.array([hist[int(x)] for x in lengths], float)
-    weight = lengths / capacity  # a length is worth the room it takes until it proves scarce
-    out: dict[tuple[tuple[int, int], ...], float] = defaultdict(float)
-    for _ in range(rounds):
-        if (left >= 1).sum() == 0:
-            break
-        chosen = price(lengths, np.where(left >= 1, weight, 0.0), np.floor(left), capacity)
-        if not chosen:
-            break
-        k, times = np.array(list(chosen)), np.array(list(chosen.values()), float)
-        # As often as the scarcest of its lengths allows, or half of that while other configurations may need it too.
-        most = (left[k] / times).min()
-        use = most if most < 8 else most / 2
-        out[tuple((int(lengths[i]), int(n)) for i, n in sorted(zip(k.tolist(), times, strict=True)))] += use
-        served = times * use / np.maximum(left[k], 1)
-        left[k] = np.maximum(0, left[k] - times * use)
-        weight[k] *= np.exp(-rate * served * lengths[k] / capacity)
-        weight = weight / weight.max() if weight.max() > 0 else weight
+    n = np.array([hist[int(x)] for x in lengths], np.int64)
+    most, left, rng, out = np.maximum(1, (step * n).astype(np.int64)), n.copy(), np.random.default_rng(0), defaultdict(int)
+    while left.any():
+        share = 1 - left / n
+        at = np.flatnonzero(left)
+        size = lengths[at]
+        # A length is worth the room it takes, less the more of it is covered; a little noise parts those worth the same.
+        weight = size * np.exp(share.mean() - share[at]) * (1 + 0.1 * step * rng.random(len(at)))
+        best, first = price(size, weight, capacity)
+        given = np.minimum(left, most)[at]
+        free, sizes, worth = given.tolist(), size.tolist(), weight.tolist()
+        total = weight + best[capacity - size]
+        enough, taken = float(total.max()) * (1 - 0.2 * step), False
+        # The best configuration with each length, from the best of all; a length used up gives way to the next shorter.
+        for j in np.argsort(-total, kind="stable").tolist():
+            if total[j] < enough:
+                break
+            if not free[j]:
+                continue
+            room, value, times = capacity - sizes[j], worth[j], {j: 1}
+            while first[room]:
+                i = first[room] - 1
+                while i < len(sizes) and (sizes[i] > room or times.get(i, 0) >= free[i]):
+                    i += 1
+                if i == len(sizes):
+                    break
+                times[i] = times.get(i, 0) + 1
+                room, value = room - sizes[i], value + worth[i]
+            if taken and value < enough:
+                continue
+            taken = True
+            use = min(free[i] // t for i, t in times.items())
+            for i, t in times.items():
+                free[i] -= use * t
+            out[tuple(sorted(((sizes[i], t) for i, t in times.items()), reverse=True))] += use
+        left[at] -= given - np.array(free, np.int64)
     return dict(out)
 
 
+def solve(hist: dict[int, int], capacity: int, *, step: float = 0.25, gain: float = 0.002) -> Uses:
+    """Covers of every length with steps halved until the sequences stop falling by `gain`, or meet the lower bound."""
+    bound = -(-sum(length * n for length, n in hist.items()) // capacity)
+    best = cover(hist, capacity, step)
+    while (before := sum(best.values())) > bound:
+        step /= 2
+        finer = cover(hist, capacity, step)
+        best = min(best, finer, key=lambda uses: sum(uses.values()))
+        if sum(finer.values()) > before * (1 - gain):
+            break
+    return best
+
+
 def best_fit(hist: dict[int, int], capacity: int) -> Plan:
     """Best-fit decreasing over counts of equal lengths at a time."""
     open_: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = defaultdict(list)  # room -> kinds and how many
@@ -208,14 +228,17 @@ def best_fit(hist: dict[int, int], capacity: int) -> Plan:
 
 def plan(hist: dict[int, int], capacity: int, **options) -> Plan:
     """Configurations with whole numbers of sequences that hold every piece exactly once."""
-    left, out = dict(hist), []
-    for kind, x in sorted(solve(hist, capacity, **options).items(), key=lambda kv: (-kv[1], kv[0])):
-        n = min([int(x + 1e-9), *[left[length] // times for length, times in kind]])
-        if n > 0:
-            out.append((kind, n))
-            for length, times in kind:
-                left[length] -= n * times
-    return out + best_fit({k: v for k, v in left.items() if v}, capacity)
+    made = sorted(solve(hist, capacity, **options).items(), key=lambda kv: (-kv[1], kv[0])) if hist else []
+    # Whole numbers may leave sequences unfilled; best fit packs those again where it needs fewer.
+    loose = [(kind, n) for kind, n in made if sum(length * t for length, t in kind) < 0.98 * capacity]
+    rest: dict[int, int] = defaultdict(int)
+    for kind, n in loose:
+        for length, times in kind:
+            rest[length] += n * times
+    again = best_fit(rest, capacity)
+    if sum(n for _, n in again) < sum(n for _, n in loose):
+        made = [x for x in made if x not in loose] + again
+    return made
 
 
 def assignment(made: Plan) -> dict[str, np.ndarray]:

@@ -141,6 +141,18 @@ def test_plan_is_near_the_bound():
     assert sum(n for _, n in made) <= math.ceil(sum(k * v for k, v in hist.items()) / 2048) * 1.005 + 1
 
 
+def test_program_covers_every_length():
+    for hist in ({n: 1000 for n in range(500, 1001)}, {n: 3 for n in range(1, 2049, 7)}, {700: 1, 2048: 5, 1: 3}):
+        held = collections.Counter()
+        for kind, n in packing.solve(hist, 2048).items():
+            assert sum(length * times for length, times in kind) <= 2048
+            for length, times in kind:
+                held[length] += n * times
+        assert held == hist
+    many = {n: 1000 for n in range(500, 1001)}
+    assert sum(n for _, n in packing.plan(many, 2048)) < 0.97 * sum(n for _, n in packing.best_fit(many, 2048))
+
+
 def spans(text):
     found = []
     for i, (kind, pattern, group, least) in enumerate((("assign", r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24))):
