@@ -57,15 +57,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         mine = pages.join(named.where(F.col("profile") == profile), "doc", "left_semi")
         if mine.isEmpty():
             continue
-        book = engine.build_books(mine, parameters(args, profile))
+        chosen = parameters(args, profile)
+        book = engine.build_books(mine, chosen)
+        docs = source_table(listed.join(mine.select(F.col("doc").alias("path")).distinct(), "path", "left_semi"))
         if args.verb in ("inspect", "preflight"):
-            verdicts = written(engine.inspect_books(book, mine, profile), "verdicts")
+            verdicts = written(engine.inspect_books(book, mine, chosen, docs), "verdicts")
             verdicts.select("doc", "result", "score", "recommendation").show(truncate=False)
             failed += verdicts.where("result = 'FAIL'").count()
         if args.output and args.verb in ("build", "preflight") and not failed:
-            docs = source_table(listed.join(mine.select(F.col("doc").alias("path")).distinct(), "path", "left_semi"))
             embedder = SentenceTransformerEmbedder(args.embedding_model, batch_size=args.batch_size) if args.embedding_model else NullEmbedder()
-            write_packs(engine.pack_table(book, docs, profile, embedder), f"{args.output}/{profile}")
+            write_packs(engine.pack_table(book, docs, chosen, embedder), f"{args.output}/{profile}")
     return int(failed > 0)
 
 

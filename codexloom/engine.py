@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexloom.functions.profiles import PROFILES, Profile
-from codexloom.operators import chunking, inspect, markdown, packs, sections, toc
+from codexloom.operators import chunking, classify, inspect, markdown, packs, sections, toc
 from codexloom.operators.embed import Embedder, NullEmbedder, embedding
 from codexloom.session import written
 
@@ -54,9 +54,9 @@ def build_markdown(files: DataFrame, profile: str = "tech_notes", pack: str | No
     return Book(files, found, rows, chunking.make_chunks(rows, p))
 
 
-def pack_table(book: Book, docs: DataFrame, profile: str, embedder: Embedder | None = None) -> DataFrame:
+def pack_table(book: Book, docs: DataFrame, profile: str | Profile, embedder: Embedder | None = None) -> DataFrame:
     """The lines of the packs of docs (doc, document_id, title, file_name)."""
-    p, e = PROFILES[profile], embedder or NullEmbedder()
+    p, e = PROFILES[profile] if isinstance(profile, str) else profile, embedder or NullEmbedder()
     counts = book.toc.groupBy("doc").agg(F.count(F.lit(1)).alias("item_count"))
     named = docs.join(counts, "doc", "left").withColumn("item_count", F.coalesce("item_count", F.lit(0)))
     chunks = packs.heading_paths(book.chunks, book.toc).join(docs.select("doc", "document_id", F.col("title").alias("book_title")), "doc")
@@ -66,14 +66,38 @@ def pack_table(book: Book, docs: DataFrame, profile: str, embedder: Embedder | N
     return packs.pack_lines(packs.manifest(named, p, model=e.model_name, dimension=e.dimension), packs.toc_record(book.toc), records)
 
 
-def inspect_books(book: Book, pages: DataFrame, profile: str) -> DataFrame:
-    """A verdict per document from the length, heading, garbling and coverage checks."""
-    chunks = written(packs.heading_paths(book.chunks, book.toc), "paths")
-    meta = chunks.select("doc").distinct().withColumn("section_split_chars", F.lit(PROFILES[profile].split))
+def inspect_books(book: Book, pages: DataFrame, profile: str | Profile, docs: DataFrame) -> DataFrame:
+    """inspect_packs of the packs that docs (doc, document_id, title, file_name) get without embeddings."""
+    return inspect_packs(pack_table(book, docs, profile), pages, docs)
+
+
+def inspect_packs(lines: DataFrame, pages: DataFrame, sources: DataFrame) -> DataFrame:
+    """A verdict per document from all checks of its pack's lines (doc, line_no, line) against its pages and its source
+    (doc, document_id, file_name), with recommendations and samples."""
+    records = written(packs.split_records(lines), "records")
+    # A pack without manifest is judged all the same.
+    meta = written(sources.select("doc", F.col("document_id").alias("actual_hash"), F.col("file_name").alias("actual_name")).join(inspect.manifest_fields(records), "doc", "left"), "meta")
+    chunks, items = written(inspect.pack_chunks(records), "paths"), written(inspect.pack_items(records), "items")
+    lengths, heads = written(inspect.length_stats(chunks, meta), "lengths"), written(inspect.heading_stats(chunks), "heads")
+    none = sources.select("doc").join(records.select("doc").distinct(), "doc", "left_anti").select("doc", F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("record_type"))
     checks = (
-        inspect.check_lengths(inspect.length_stats(chunks, meta))
-        .unionByName(inspect.check_headings(inspect.heading_stats(chunks)))
-        .unionByName(inspect.check_garbled(inspect.garbled_stats(book.toc.select("doc", "title"), chunks)))
+        inspect.check_file_match(meta)
+        .unionByName(inspect.check_schema(records.select("doc", "line_no", "line", "record_type").unionByName(none)))
+        .unionByName(inspect.check_profile(meta))
+        .unionByName(inspect.check_lengths(lengths))
+        .unionByName(inspect.check_headings(heads))
+        .unionByName(inspect.check_garbled(inspect.garbled_stats(items.select("doc", "title"), chunks)))
         .unionByName(inspect.check_coverage(inspect.coverage(pages, chunks)))
     )
-    return inspect.verdict(checks)
+    listed = inspect.body_heading_candidates(pages).join(meta.select("doc", "profile"), "doc").select("doc", F.when(F.col("profile") == "reference", 0).otherwise(F.col("candidates")).alias("candidates"))
+    advice = {
+        "profile": inspect.recommend_profile(classify.classify(classify.sample_text(pages)), meta),
+        "level": inspect.recommend_level(meta.drop("section_split_chars"), items, lengths),
+        "body_headings": inspect.recommend_body_headings(meta, listed, lengths, heads),
+    }
+    out = inspect.verdict(checks, meta)
+    for name, rows in advice.items():
+        out = out.join(rows.select("doc", F.struct(*[c for c in rows.columns if c != "doc"]).alias(f"_{name}")), "doc", "left")
+    samples = inspect.compare_samples(chunks, pages)
+    samples = samples.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(*[c for c in samples.columns if c != "doc"]))).alias("samples"))
+    return out.withColumn("recommendations", F.struct(*[F.col(f"_{n}").alias(n) for n in advice])).drop(*[f"_{n}" for n in advice]).join(samples, "doc", "left")

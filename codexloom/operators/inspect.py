@@ -187,6 +187,28 @@ def check_profile(meta: DataFrame) -> DataFrame:
     return messages(rows, 30, (~known, "WARN", "profile_unknown"), (known & bad, "WARN", "profile_bad"), (known & ~bad, "PASS", "profile_ok"), (other, "WARN", "provider_bad"), (wide, "WARN", "dimension_bad"), (known & ~other & ~wide, "PASS", "embedding_ok"))
 
 
+def manifest_fields(records: DataFrame) -> DataFrame:
+    """Of the packs' manifests what the checks ask for: hash and name of the source, profile, parameters, embedding."""
+    at = lambda path: F.get_json_object("line", f"$.{path}")
+    named = {"source_name": "source.file_name", "title": "title", "profile": "chunking.profile", "toc_source": "toc.source", "provider": "embedding.provider"}
+    numbers = {c: f"chunking.{c}" for c in (*PARAMETERS, "max_chunk_heading_level")} | {"dimension": "embedding.dimension"}
+    hashed = F.coalesce(F.nullif(at("source.source_sha256"), F.lit("")), at("document_id")).alias("expected_hash")
+    return records.where("record_type = 'manifest'").select("doc", hashed, *[at(path).alias(c) for c, path in named.items()], *[at(path).try_cast("int").alias(c) for c, path in numbers.items()])
+
+
+def pack_chunks(records: DataFrame) -> DataFrame:
+    """The chunks of the packs' lines."""
+    kind = "chunk_index int, chunk_id string, text string, heading_path array<string>, toc_path array<struct<toc_id:string,level:int,title:string>>, source struct<pdf_page_start:int,pdf_page_end:int>"
+    rows = records.where("record_type = 'chunk'").select("doc", F.from_json("line", kind).alias("c")).select("doc", "c.*")
+    return rows.withColumn("page_start", F.col("source.pdf_page_start")).withColumn("page_end", F.col("source.pdf_page_end")).drop("source")
+
+
+def pack_items(records: DataFrame) -> DataFrame:
+    """The items of the packs' contents."""
+    items = F.from_json("line", "items array<struct<toc_id:string,title:string,level:int>>")["items"]
+    return records.where("record_type = 'toc'").select("doc", F.inline(items))
+
+
 def score(failed: Column, warned: Column) -> Column:
     return F.greatest(F.lit(0), F.lit(100) - 35 * failed - 8 * warned)
 

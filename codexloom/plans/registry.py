@@ -492,8 +492,9 @@ def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inspect_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = C.book(spark, sf_dir)
-    out = engine.inspect_books(engine.build_books(pages, "textbook"), pages, "textbook")
-    return _key(out.select("doc", "passed", "warned", "failed", "score", "result", "recommendation"))
+    sources = inspect.joined_text(pages, "page").select("doc", T.sha256_text(F.col("text")).alias("document_id"), F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
+    out = engine.inspect_books(engine.build_books(pages, "textbook"), pages, "textbook", sources)
+    return _key(out.select("doc", "passed", "warned", "failed", "score", "result", "recommendation", "recommendations", "samples"))
 
 
 @query

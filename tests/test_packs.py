@@ -80,6 +80,20 @@ def test_inspection_verdicts(spark):
     assert inspect.garbled_stats(titles, good).first().garbled_titles == 1
 
 
+def test_inspection_uses_every_check_of_the_pack(spark):
+    pages = spark.createDataFrame([("b", 1, "第一章 总论\n" + "这是一个完整的句子内容说明。" * 40)], "doc string, page int, text string")
+    docs = spark.createDataFrame([("b", "sha256:x", "书", "b.txt")], "doc string, document_id string, title string, file_name string")
+    lines = engine.pack_table(engine.build_books(pages, "textbook"), docs, "textbook").toPandas()
+    frame = lambda: spark.createDataFrame(lines)
+    good = engine.inspect_packs(frame(), pages, docs).first()
+    assert (good.failed, good.passed >= 9) == (0, True) and good.samples and good.recommendations.profile.current == "textbook"
+    stranger = engine.inspect_packs(frame(), pages, docs.withColumn("document_id", F.lit("sha256:y"))).first()
+    assert (stranger.result, stranger.failed) == ("FAIL", 1)
+    lines["line"] = [x.replace('"schema_version"', '"version"').replace('"profile":"textbook"', '"profile":"none such"') for x in lines["line"]]
+    poor = engine.inspect_packs(frame(), pages, docs).first()
+    assert (poor.result, poor.failed, poor.warned) == ("FAIL", 1, good.warned + 1)
+
+
 def test_samples_and_reports(spark):
     rows = chunk_rows(spark, ["甲" * 50, "乙" * 90, "丙" * 10, "丁" * 50, "<b>" + "戊" * 50])
     pages = spark.createDataFrame([("d", 1, "\n".join(["甲" * 50, "乙" * 90]))], "doc string, page int, text string")
