@@ -523,7 +523,7 @@ def null_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.documents(spark, sf_dir).select("doc_id", embed.embedding(F.left("text", F.lit(200)), embed.HashEmbedder(16)).alias("embedding"))
+    return C.documents(spark, sf_dir).select("doc_id", embed.embedding(F.col("text"), embed.HashEmbedder(16)).alias("embedding"))
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from codexloom import engine
 from codexloom.functions import text as T
 from codexloom.operators import classify, embed, inspect, markdown, packs
+from codexloom.plans import registry
 from codexloom.sources import files as S
 from codexloom.sources.sinks import write_packs
 
@@ -134,3 +135,9 @@ def test_streaming_ingest(spark, tmp_path):
     (tmp_path / "in" / "a.txt").write_text("第一章 甲\n" + "正文内容。" * 80)
     ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"), lambda pages: engine.build_books(pages, "textbook").chunks).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_hash_embedding_query_reads_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(1, "ab" * 150 + "x"), (2, "ab" * 150 + "y")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    a, b = registry.queries()["hash_embedding"](spark, str(tmp_path)).collect()
+    assert a.embedding != b.embedding
