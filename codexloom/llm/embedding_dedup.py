@@ -3,8 +3,9 @@
 *Cells.* Centres are fitted by spherical k-means on a sample of at most `sample_rows` vectors, the first by hash of the
 identifier. Every vector belongs to the cell of its nearest centre and also visits each cell whose border is near: with
 own centre c and other centre d, a partner at chord r = sqrt(2 - 2 threshold) can lie beyond the border only if
-(c - d).x <= r' |c - d|, where r' is r for certainty and, by default, three standard deviations of r in a random
-direction, 3 r / sqrt(dimension). There is no limit on the cells that a vector visits.
+(c - d).x <= r |c - d|. Of two such partners on either side of the border one is within r / 2 of it, and one visit is
+enough to meet; so by default a vector visits at (c - d).x <= r |c - d| / 2, and no link is lost. There is no limit on
+the cells that a vector visits.
 
 *Pairs.* In a cell its own vectors meet each other and the visitors, in blocks of bounded size; each pair is counted in
 one cell only. A block pair hands on the number of links of each vector and a spanning forest of the links, never the
@@ -173,7 +174,7 @@ def near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
         sample = nodes.where(F.col("dim") == d).orderBy(F.xxhash64("_key"), "_key").limit(sample_rows).select("vector").toArrow()["vector"].combine_chunks()
         index[d] = fit_centres(_unit(sample), int(min(MOST_CELLS, max(1, n // CELL), max(1, len(sample) // 8))))
     chord = math.sqrt(max(0.0, 2 - 2 * threshold))
-    dealt = _deal(nodes, index, (lambda d: chord) if exact else (lambda d: min(chord, 3 * chord / math.sqrt(d))))
+    dealt = _deal(nodes, index, (lambda d: chord) if exact else (lambda d: chord / 2 + 1e-9))
     dealt = written(dealt, "dealt")
     blocks = dealt.groupBy("dim", "cell").agg(F.sum((F.col("home") == F.col("cell")).cast("long")).alias("owned"), F.count(F.lit(1)).alias("all"))
     blocks = blocks.select("dim", "cell", F.ceil(F.col("owned") / OWN_BLOCK).cast("int").alias("nown"), F.ceil(F.col("all") / OTHER_BLOCK).cast("int").alias("nall"))

@@ -188,3 +188,12 @@ def test_embeddings_in_many_cells_and_blocks(spark, monkeypatch):
     got = {r["_id"]: r.n_links for r in embedding_dedup.near_dedup(table, exact=True).collect()}
     assert got == want
     assert embedding_dedup.near_dedup(table.limit(0)).count() == 0
+
+
+def test_links_halved_by_a_border_are_found(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL", 3)
+    # A circle in 64 dimensions whose neighbours are linked; two cells cut it between neighbours.
+    rows = [(i, [math.cos(i * math.pi / 10), math.sin(i * math.pi / 10)] + [0.0] * 62) for i in range(20)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["_id"]: (r.n_links, r.component_id) for r in embedding_dedup.near_dedup(table).collect()}
+    assert got == {i: (2, 0) for i in range(20)}
