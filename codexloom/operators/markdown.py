@@ -100,10 +100,15 @@ def all_packs(journal: DataFrame, notes: DataFrame, web: DataFrame) -> DataFrame
 
 
 def source_hash(files: DataFrame, *by: str) -> DataFrame:
-    """Per pack the digest of its files' names and digests, in the order of paths."""
-    pair = F.struct(F.split("path", "/").alias("o"), file_name(F.col("path")).alias("n"), T.sha256_text(F.col("text")).alias("h"))
-    listed = F.flatten(F.transform(F.array_sort(F.collect_list(pair)), lambda x: F.array(x["n"], x["h"])))
-    return files.groupBy(*by).agg(T.sha256_text(F.to_json(F.struct(listed.alias("files")))).alias("document_id"))
+    """Per pack the digest of its files' names below their common folder and digests, in the order of paths."""
+    pair = F.struct(F.split("path", "/").alias("o"), T.sha256_text(F.col("text")).alias("h"))
+    rows = files.groupBy(*by).agg(F.array_sort(F.collect_list(pair)).alias("_f"))
+    # Paths in order agree as far as the first and the last do.
+    first, last = F.element_at("_f", 1)["o"], F.element_at("_f", -1)["o"]
+    same = F.size(F.filter(F.sequence(F.lit(1), F.least(F.size(first), F.size(last))), lambda i: F.slice(first, 1, i) == F.slice(last, 1, i)))
+    rows = rows.withColumn("_k", F.least(same, F.size(first) - 1, F.size(last) - 1))
+    listed = F.flatten(F.transform("_f", lambda x: F.array(F.array_join(F.slice(x["o"], F.col("_k") + 1, F.size(x["o"])), "/"), x["h"])))
+    return rows.select(*by, T.sha256_text(F.to_json(F.struct(listed.alias("files")))).alias("document_id"))
 
 
 def merged_sources(sources: Column) -> Column:

@@ -1,5 +1,6 @@
 """Markdown, packs, classification, inspection, sources."""
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -30,6 +31,15 @@ def test_packs_by_month_folder_and_page(spark):
     assert [(r.profile, r.output_stem, len(r.files)) for r in jobs] == [("journal", "journal_2026-04", 2), ("tech_notes", "RAG", 1), ("tech_notes", "loose", 1), ("web_page_collection", "Milvus HNSW", 1)]
 
 
+def test_source_hash_names_files_below_their_common_folder(spark):
+    shapes = {"one": ["n/a/x.md", "n/c/y.md"], "moved": ["n/b/x.md", "n/c/y.md"], "elsewhere": ["m/a/x.md", "m/c/y.md"], "single": ["q/x.md"]}
+    rows = [(k, path, "t") for k, paths in shapes.items() for path in paths]
+    got = {r["pack"]: r.document_id for r in markdown.source_hash(spark.createDataFrame(rows, "pack string, path string, text string"), "pack").collect()}
+    digest = lambda text: "sha256:" + hashlib.sha256(text.encode()).hexdigest()
+    want = lambda *names: digest(json.dumps({"files": [x for n in names for x in (n, digest("t"))]}, separators=(",", ":")))
+    assert got == {"one": want("a/x.md", "c/y.md"), "moved": want("b/x.md", "c/y.md"), "elsewhere": want("a/x.md", "c/y.md"), "single": want("x.md")}
+
+
 def test_pack_lines_read_back(spark, tmp_path):
     pages = spark.createDataFrame([("b", 1, "第一章 总论\n" + "内容说明。" * 60 + "\n第二章 方法\n" + "方法说明。" * 60)], "doc string, page int, text string")
     book = engine.build_books(pages, "textbook")
