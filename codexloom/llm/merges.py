@@ -58,7 +58,7 @@ class PairTable:
         return at
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     letters = {chr(b): b for b in plain}
@@ -77,7 +77,7 @@ def merge_list(path: str) -> tuple[PairTable, np.ndarray, list[str]]:
     pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
     ids = np.array([[vocab[a], vocab[b], vocab[a + b]] for a, b in pairs], np.int64).reshape(-1, 3)
     of_byte = np.zeros(256, np.int64)
-    for letter, b in _byte_letters().items():
+    for letter, b in byte_letters().items():
         of_byte[b] = vocab[letter]
     return PairTable(ids[:, 0], ids[:, 1], np.arange(len(ids)), ids[:, 2]), of_byte, [t["content"] for t in spec["added_tokens"]]
 
