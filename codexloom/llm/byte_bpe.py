@@ -12,15 +12,17 @@ the pattern by itself. Decoding gives the bytes back; an id that isn't in the vo
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexloom.llm.merges import NEVER, ChunkCache, PairTable, chunks, rank_file, slices, splitter
+from codexloom.llm.merges import NEVER, Memory, PairTable, arrow_slices, byte_level_parts, gather, rank_file, splitter
 
 #: Pre-tokens up to this many bytes share arrays; leaves of such an array at a time.
 BATCHED, LEAVES = 256, 1 << 18
@@ -133,36 +135,41 @@ def encode_pieces(pieces: list[bytes], table: PairTable, of_byte: np.ndarray, ra
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str):
+def _memory(path: str, pattern: str) -> Memory:
     table, of_byte, ranks, _ = rank_file(path)
-    find, known_pieces = splitter(pattern).findall, {}
+    find = splitter(pattern).findall
 
-    def solve(parts: list[str]) -> list[bytes]:
-        split = [find(p) for p in parts]
-        wanted = {t for s in split for t in s}
-        fresh = list(wanted.difference(known_pieces))
-        if len(known_pieces) + len(fresh) > 200_000:
-            known_pieces.clear()
-            fresh = list(wanted)
-        raw = [t.encode("utf-8", "surrogatepass") for t in fresh]
-        known_pieces.update(zip(fresh, encode_pieces(raw, table, of_byte, ranks), strict=True))
-        return [b"".join(map(known_pieces.__getitem__, s)) for s in split]
+    def learn(words: list[str], single: bool) -> tuple[np.ndarray, np.ndarray]:
+        split = [[w] for w in words] if single else [find(w) for w in words]
+        number = {t: k for k, t in enumerate(dict.fromkeys(t for s in split for t in s))}
+        ids = encode_pieces([t.encode("utf-8", "surrogatepass") for t in number], table, of_byte, ranks)
+        found = ids if single else [b"".join(ids[number[t]] for t in s) for s in split]
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
-    cache = ChunkCache(solve)
+    return Memory(learn)
 
-    def encode(texts: list[str]) -> list[bytes]:
-        out = []
-        for run in slices(texts):
-            parts = [(chunks(t) or find(t)) if t else [] for t in run]
-            known = cache.learn(set().union(*parts))
-            out += [b"".join(map(known.__getitem__, p)) for p in parts]
-        return out
 
-    return encode
+def encode_texts(texts: pa.Array, path: str, pattern: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of texts, none null, slice by slice: all ids, and where each text's begin and the last one's end."""
+    known, find = _memory(path, pattern), splitter(pattern).findall
+    for part in arrow_slices(texts):
+        words, single, which, ends = byte_level_parts(part, find)
+        flat, first, many = known.of(words, single)
+        ids, places = gather(flat, first[which], many[which])
+        yield ids, places[ends]
 
 
-def decode_ids(ids: bytes, tokens: list[bytes]) -> bytes:
-    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens end to end, and where each begins and the last ends."""
+    tokens = rank_file(path)[3]
+    return np.frombuffer(b"".join(tokens), np.uint8), np.append(0, np.cumsum([len(t) for t in tokens]))
+
+
+def decode_texts(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids end to end, and where those of each begin and the last one's end."""
+    data, ends = token_bytes(path)
+    return gather(data, ends[ids], ends[ids + np.int64(1)] - ends[ids])
 
 
 def _paths(path: str | None, pattern: str | None) -> tuple[str, str]:
@@ -175,9 +182,12 @@ def encode(text: Column, path: str | None = None, pattern: str | None = None) ->
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        ids = _encoder(path, pattern)([t or "" for t in texts.to_pylist()])
-        offsets = np.cumsum([0, *[len(b) // 4 for b in ids]])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        flat, size, offsets = [np.zeros(0, "<u4")], 0, [np.zeros(1, np.int64)]
+        for ids, ends in encode_texts(pc.fill_null(texts, ""), path, pattern):
+            flat.append(ids)
+            offsets.append(size + ends[1:])
+            size += len(ids)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(np.concatenate(flat).view("<i4")))
 
     return run(text)
 
@@ -200,10 +210,14 @@ def digests(text: Column, path: str | None = None, pattern: str | None = None) -
 
     @F.arrow_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
     def run(texts: pa.Array) -> pa.Array:
-        tokens, sha = rank_file(path)[3], hashlib.sha256
-        ids = _encoder(path, pattern)([t or "" for t in texts.to_pylist()])
-        columns = [pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array([sha(b).hexdigest() for b in ids]), pa.array([sha(decode_ids(b, tokens)).hexdigest() for b in ids])]
-        return pa.StructArray.from_arrays([columns[0], columns[1].cast(pa.string()), columns[2].cast(pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+        sha, n, encoded, decoded = hashlib.sha256, [], [], []
+        for ids, ends in encode_texts(pc.fill_null(texts, ""), path, pattern):
+            n.append(np.diff(ends))
+            raw, places = decode_texts(ids, path)
+            for out, data, cuts in ((encoded, memoryview(ids).cast("B"), 4 * ends), (decoded, memoryview(raw), places[ends])):
+                out += [sha(data[a:b]).hexdigest() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        columns = [pa.array(np.concatenate(n) if n else [], pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run(text)
 

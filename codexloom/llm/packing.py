@@ -18,14 +18,11 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import string
 import unicodedata
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -34,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexloom.llm.merges import arrow_slices, byte_letters
+from codexloom.llm.merges import Memory, arrow_slices, byte_letters, gather, without_marks
 from codexloom.session import written
 
 #: Pieces that one task ranks per length, on average, at most.
@@ -44,105 +41,31 @@ BUCKET = 100_000
 # ---- token ids ------------------------------------------------------------------------------------------------------
 
 
-#: Marks that may stand behind a run of letters and are never merged with it; an apostrophe may be.
-_MARKS = string.punctuation.replace("'", "")
-#: Words whose ids a worker remembers in each of two generations (about 200 bytes each); words that the tokenizer gets at
-#: a time.
-MEMORY, CALL = 250_000, 1_024
-
-
-class _Known:
-    """Words and their ids, end to end in one array."""
-
-    def __init__(self):
-        self.place: dict[str, int] = {}
-        self.first, self.many, self.flat, self.size = array("q"), array("q"), [], 0
-
-    def put(self, words: list[str], ids: np.ndarray, many: np.ndarray) -> None:
-        self.place.update(zip(words, range(len(self.first), len(self.first) + len(words)), strict=True))
-        self.first.extend((self.size + np.cumsum(many) - many).tolist())
-        self.many.extend(many.tolist())
-        self.flat.append(ids)
-        self.size += len(ids)
-
-    def places(self, words: list[str]) -> np.ndarray:
-        """The number of each word, -1 for an unknown one."""
-        return np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-
-    def at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids, and where those of the words at these places begin and how many they are."""
-        self.flat = [np.concatenate([np.zeros(0, "<u4"), *self.flat])]
-        # Copies: an array that a view of it has exported can't grow.
-        return self.flat[0], np.array(self.first, np.int64)[places], np.array(self.many, np.int64)[places]
-
-
-def _gather(flat: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of flat end to end, and the places where each begins and the last ends."""
-    ends = np.append(0, np.cumsum(many))
-    return flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], many)], ends
-
-
-class WordIds:
-    """The ids of words, remembered. The tokenizer's model ends every run of letters with a token that says so, so many
-    runs go to it in one call; white space, case, normal form and the letters for bytes are settled before."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        whole = Tokenizer.from_file(path)
-        fast = getattr(whole, "encode_batch_fast", whole.encode_batch)
-        self._whole = lambda words: [np.array(e.ids, "<u4") for e in fast(words, add_special_tokens=False)]
-        bare = Tokenizer(whole.model)
-        bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self._bare = getattr(bare, "encode_batch_fast", bare.encode_batch)
-        self._letters = {b: letter for letter, b in byte_letters().items()} | {0x20: " "}
-        self.last = np.zeros(whole.get_vocab_size(with_added_tokens=True), bool)
-        self.last[[i for t, i in whole.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self.now, self.before = _Known(), _Known()
-
-    def _apart(self, words: list[str]) -> None:
-        found = self._whole(words)
-        self.now.put(words, np.concatenate(found), np.array([len(x) for x in found], np.int64))
-
-    def _runs(self, words: list[str]) -> None:
-        bare = unicodedata.normalize("NFC", " ".join(words)).encode().decode("latin-1").translate(self._letters)
-        ids = np.array(self._bare([bare], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(self.last[ids])
-        if len(ends) == len(words):
-            self.now.put(words, ids, np.diff(ends, prepend=-1))
-        else:  # letters of which the tokenizer does not know that they are
-            self._apart(words)
-
-    def of(self, words: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct words, and which of them are runs of letters in lower case: as _Known.at gives it."""
-        places = self.now.places(words)
-        if (places < 0).sum() + len(self.now.place) > MEMORY and self.now.place:
-            self.now, self.before, places = _Known(), self.now, np.full(len(words), -1)
-        new = np.flatnonzero(places < 0)
-        if len(new):
-            fresh = [words[k] for k in new.tolist()]
-            old = self.before.places(fresh)
-            if (old >= 0).any():
-                ids, ends = _gather(*self.before.at(old[old >= 0]))
-                self.now.put([fresh[k] for k in np.flatnonzero(old >= 0).tolist()], ids, np.diff(ends))
-            for learn, kind in ((self._runs, True), (self._apart, False)):
-                todo = [fresh[k] for k in np.flatnonzero((old < 0) & (letters[new] == kind)).tolist()]
-                for i in range(0, len(todo), CALL):
-                    learn(todo[i : i + CALL])
-            places[new] = self.now.places(fresh)
-        return self.now.at(places)
-
-
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
-def _ends_of(words: pa.Array, n: np.ndarray) -> pa.Array:
-    """The last n bytes of each word, all ASCII."""
-    offsets = np.frombuffer(words.buffers()[1], "<i4")[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    data, ends = _gather(np.frombuffer(words.buffers()[2] or b"", np.uint8), offsets[1:] - n, n)
-    return pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(data.tobytes())])
+def _memory(path: str) -> Memory:
+    """The ids of words. The tokenizer's model ends every run of letters with a token that says so, so many runs go to it
+    in one call; white space, case, normal form and the letters for bytes are settled before."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    whole = Tokenizer.from_file(path)
+    bare = Tokenizer(whole.model)
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    called = {t: getattr(t, "encode_batch_fast", t.encode_batch) for t in (whole, bare)}
+    letters = {b: letter for letter, b in byte_letters().items()} | {0x20: " "}
+    last = np.zeros(whole.get_vocab_size(with_added_tokens=True), bool)
+    last[[i for t, i in whole.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
+
+    def learn(words: list[str], runs: bool) -> tuple[np.ndarray, np.ndarray]:
+        if runs:
+            text = unicodedata.normalize("NFC", " ".join(words)).encode().decode("latin-1").translate(letters)
+            ids = np.array(called[bare]([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(last[ids])
+            if len(ends) == len(words):
+                return ids, np.diff(ends, prepend=-1)
+        found = [np.array(e.ids, "<u4") for e in called[whole](words, add_special_tokens=False)]
+        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+
+    return Memory(learn, 1_024)
 
 
 def _parts(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -151,23 +74,19 @@ def _parts(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarra
 
     The tokenizer reads letters in lower case and merges nothing across the end of a run of letters. So a run of letters
     is a part in lower case, without the marks behind it; any other word is a part as it is."""
-    core = pc.utf8_rtrim(words, characters=_MARKS)
-    plain = pc.and_not(pc.utf8_is_alpha(core), pc.match_substring_regex(core, "[İΣ]"))
-    first = pc.if_else(plain, pc.utf8_lower(core), words).dictionary_encode()
-    plain = plain.to_numpy(zero_copy_only=False)
-    cut = np.where(plain, pc.subtract(pc.binary_length(words), pc.binary_length(core)).to_numpy(zero_copy_only=False), 0)
-    marks = _ends_of(words, cut.astype(np.int64)).dictionary_encode()
-    parts = pa.concat_arrays([first.dictionary, marks.dictionary]).dictionary_encode()
-    first, then = (parts.indices.to_numpy()[x] for x in (first.indices.to_numpy(), len(first.dictionary) + marks.indices.to_numpy()))
-    letters = np.zeros(len(parts.dictionary), bool)
-    letters[first] = plain
-    return parts.dictionary, letters, first, np.where(cut > 0, then, -1)
+    core, letters, marks = without_marks(words)
+    letters = letters & ~pc.match_substring_regex(core, "[İΣ]").to_numpy(zero_copy_only=False)
+    first = pc.if_else(pa.array(letters), pc.utf8_lower(core), words)
+    parts, n = pa.concat_arrays([first, marks]).dictionary_encode(), len(words)
+    number, runs = parts.indices.to_numpy().astype(np.int64), np.zeros(len(parts.dictionary), bool)
+    runs[number[:n]] = letters
+    return parts.dictionary, runs, number[:n], np.where(letters & (pc.binary_length(marks).to_numpy(zero_copy_only=False) > 0), number[n:], -1)
 
 
 def encode(texts: pa.Array, path: str) -> list[bytes]:
     """The ids of each text, none null, as little-endian unsigned 32-bit integers."""
-    known, out = _word_ids(path), []
-    for part in arrow_slices(texts, 8_000_000):
+    known, out = _memory(path), []
+    for part in arrow_slices(texts):
         # Words are told apart and numbered by Arrow; Python sees the distinct ones of a slice.
         lists = pc.ascii_split_whitespace(part)
         words = lists.flatten().dictionary_encode()
@@ -176,7 +95,7 @@ def encode(texts: pa.Array, path: str) -> list[bytes]:
         start, many, which = np.append(start, 0), np.append(many, 0), words.indices.to_numpy()
         # Per word the ids of its first part and those of the marks behind it.
         two = [np.stack([x[first], x[then]], 1)[which].ravel() for x in (start, many)]
-        ids, ends = _gather(flat, *two)
+        ids, ends = gather(flat, *two)
         found, cuts = ids.tobytes(), (ends[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())] * 4).tolist()
         out += [found[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
     return out

@@ -11,15 +11,17 @@ library's default has it. Any length is counted whole. Repeated rows get equal c
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexloom.llm.merges import NEVER, ChunkCache, PairTable, chunks, merge_list, slices, splitter
+from codexloom.llm.merges import NEVER, Memory, PairTable, arrow_slices, byte_level_parts, merge_list, splitter
 
 #: Symbols in a flat array at a time; a longer pre-token is an array by itself.
 FLAT = 2_000_000
@@ -52,53 +54,61 @@ def merge_counts(pre_tokens: list[bytes], table: PairTable, of_byte: np.ndarray)
     return out
 
 
+def _counts(pre_tokens: list[str], table: PairTable, of_byte: np.ndarray) -> np.ndarray:
+    """merge_counts of any number of pre-tokens, in arrays of bounded size."""
+    raw, out, i = [t.encode("utf-8", "surrogatepass") for t in pre_tokens], [np.zeros(0, np.int64)], 0
+    while i < len(raw):
+        j, n = i, 0
+        while j < len(raw) and (j == i or n + len(raw[j]) <= FLAT):
+            n += len(raw[j])
+            j += 1
+        out.append(merge_counts(raw[i:j], table, of_byte))
+        i = j
+    return np.concatenate(out)
+
+
 @lru_cache(maxsize=2)
 def _counter(path: str, pattern: str):
     table, of_byte, special = merge_list(path)
-    find, pieces_known = splitter(pattern).findall, {}
-
-    def solve(parts: list[str]) -> list[int]:
-        split = [find(p) for p in parts]
-        fresh = list({t for s in split for t in s}.difference(pieces_known))
-        if len(pieces_known) + len(fresh) > 200_000:
-            pieces_known.clear()
-            fresh = list({t for s in split for t in s})
-        raw = [t.encode("utf-8", "surrogatepass") for t in fresh]
-        i = 0
-        while i < len(raw):
-            j, n = i, 0
-            while j < len(raw) and (j == i or n + len(raw[j]) <= FLAT):
-                n += len(raw[j])
-                j += 1
-            pieces_known.update(zip(fresh[i:j], merge_counts(raw[i:j], table, of_byte).tolist(), strict=True))
-            i = j
-        return [sum(map(pieces_known.__getitem__, s)) for s in split]
-
-    cache = ChunkCache(solve)
-
-    def count(texts: list[str]) -> list[int]:
-        out = []
-        for run in slices(texts):
-            parts: list[list[str]] = []
-            for t in run:
-                extra, bits = 0, [t]
-                for s in special:
-                    if s in t:
-                        cut = [b.split(s) for b in bits]
-                        extra += sum(len(c) - 1 for c in cut)
-                        bits = [x for c in cut for x in c]
-                words: list[str] = []
-                for b in bits:
-                    if b:
-                        words += chunks(b) or find(b)
-                out.append(extra)
-                parts.append(words)
-            known = cache.learn(set().union(*parts))
-            for k, words in enumerate(parts, len(out) - len(run)):
-                out[k] += sum(map(known.__getitem__, words))
-        return out
-
-    return count
+    find = splitter(pattern).findall
+
+    def learn(words: list[str], single: bool) -> tuple[np.ndarray, np.ndarray]:
+        if single:
+            n = _counts(words, table, of_byte)
+        else:
+            split = [find(w) for w in words]
+            number = {t: k for k, t in enumerate(dict.fromkeys(t for s in split for t in s))}
+            each = _counts(list(number), table, of_byte)
+            n = np.add.reduceat(each[[number[t] for s in split for t in s]], np.cumsum([0, *[len(s) for s in split[:-1]]]))
+        return n.astype("<u4"), np.ones(len(n), np.int64)
+
+    known = Memory(learn)
+
+    def count(texts: pa.Array) -> np.ndarray:
+        """Of texts, none null."""
+        out = [np.zeros(0, np.int64)]
+        for part in arrow_slices(texts):
+            words, single, which, ends = byte_level_parts(part, find)
+            flat, first, _ = known.of(words, single)
+            out.append(np.diff(np.append(0, np.cumsum(flat[first].astype(np.int64)[which]))[ends]))
+        return np.concatenate(out)
+
+    def run(texts: pa.Array) -> np.ndarray:
+        if not special:
+            return count(texts)
+        # Texts with special strings are cut at these, each of which is a token.
+        held = np.flatnonzero(pc.match_substring_regex(texts, "|".join(map(re.escape, special))).to_numpy(zero_copy_only=False))
+        cut = [re.split("|".join(map(re.escape, sorted(special, key=len, reverse=True))), texts[k].as_py()) for k in held.tolist()]
+        if cut:
+            mask = np.ones(len(texts), bool)
+            mask[held] = False
+            texts = pc.replace_with_mask(texts, pa.array(~mask), pa.array([""] * len(held), pa.string()))
+        n = count(texts)
+        for k, bits in zip(held.tolist(), cut, strict=True):
+            n[k] = len(bits) - 1 + count(pa.array(bits, pa.string())).sum()
+        return n
+
+    return run
 
 
 def token_counts(text: Column, path: str | None = None, pattern: str | None = None) -> Column:
@@ -107,7 +117,7 @@ def token_counts(text: Column, path: str | None = None, pattern: str | None = No
 
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(_counter(path, pattern)([t or "" for t in texts.to_pylist()]), pa.int64())
+        return pa.array(_counter(path, pattern)(pc.fill_null(texts, "")), pa.int64())
 
     return run(text)
 
