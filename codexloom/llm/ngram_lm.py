@@ -24,9 +24,9 @@ score is 0. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codexloom.llm.merges import arrow_slices
 from codexloom.session import written
 
 #: Quantisation bases of single tokens and of pairs.
@@ -48,10 +49,10 @@ SHARD = 1_000_000
 HEAVY_SHARE = 1 / (1 << 22)
 #: Words of the filter in a broadcast piece.
 PIECE = 1 << 20
-#: Characters of text handled at a time; n-grams that a task keeps before it hands them on.
-SLICE, HELD = 2_000_000, 3_000_000
-#: The token that ends a text, and the hash that stands before its first token.
-END, START = b"", np.array(0x9AE16A3B2F90404F, np.uint64)[()]
+#: Bytes of text handled at a time; n-grams that a task keeps before it hands them on.
+SLICE, HELD = 4_000_000, 3_000_000
+#: The hash that stands before the first token of a text.
+START = np.array(0x9AE16A3B2F90404F, np.uint64)[()]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,9 +69,33 @@ def pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u + _GOLD) ^ (w * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    out = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    out.append(END)
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of texts, none null: their distinct tokens (binary), the tokens of all texts by number, end to end, and how many
+    each text has. White space and letters are ASCII's; the token that ends a text is empty."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+    words = lists.flatten().dictionary_encode()
+    distinct, which = words.dictionary, words.indices.to_numpy().astype(np.int64)
+    end = pc.index(distinct, "").as_py()
+    if end < 0:
+        end, distinct = len(distinct), pa.concat_arrays([distinct, pa.array([""], pa.string())])
+    # A text without words is one empty token already.
+    ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).astype(np.int64)[1:]
+    ends = ends[which[ends - 1] != end] if len(ends) else ends
+    lens = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    flat = np.insert(which, ends, end)
+    return distinct.cast(pa.binary()), flat, lens + (which[np.cumsum(lens) - 1] != end if len(lens) else 0)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    h = xxhash.xxh64_intdigest
+    return np.fromiter((h(w, 7) for w in words.to_pylist()), np.uint64, len(words))
+
+
+def before(flat: np.ndarray, lens: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """What stands before each token: the token before it, or start."""
+    out = np.empty_like(flat)
+    out[1:] = flat[:-1]
+    out[np.cumsum(lens) - lens] = start
     return out
 
 
@@ -158,7 +183,7 @@ def shard_of(h: np.ndarray, n_shards: int) -> np.ndarray:
 class Batch:
     """Texts as token numbers, with the distinct tokens and pairs."""
 
-    words: list[bytes]
+    words: pa.Array
     flat: np.ndarray  # token numbers of all texts, end to end
     lens: np.ndarray
     hashes: np.ndarray  # per distinct token, the last for the start
@@ -166,94 +191,63 @@ class Batch:
     which: np.ndarray  # per place, its pair
 
     @classmethod
-    def of(cls, texts: list[str | None]) -> Batch:
-        number: dict[bytes, int] = {}
-        lens, flat = [], []
-        for t in texts:
-            ws = tokens(t)
-            lens.append(len(ws))
-            for w in set(ws).difference(number):
-                number[w] = len(number)
-            flat.append(np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)))
-        n = len(number) + 1
-        ids, lens = np.concatenate(flat), np.array(lens, np.int64)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[np.cumsum(lens) - lens] = n - 1
-        pairs, which = np.unique(before * n + ids, return_inverse=True)
-        h = xxhash.xxh64_intdigest
-        hashes = np.array([h(w, 7) for w in number] + [int(START)], np.uint64)
-        return cls(list(number), ids, lens, hashes, pairs, which)
+    def of(cls, texts: pa.Array) -> Batch:
+        words, flat, lens = tokens(texts)
+        n = len(words) + 1
+        pairs = pa.array(before(flat, lens, n - 1) * n + flat).dictionary_encode()
+        return cls(words, flat, lens, np.append(word_hashes(words), START), pairs.dictionary.to_numpy(), pairs.indices.to_numpy())
 
     def pair_hashes(self) -> np.ndarray:
         n = len(self.words) + 1
         return pair_hash(self.hashes[self.pairs // n], self.hashes[self.pairs % n])
 
 
-def _batches(texts: pa.Array) -> Iterator[tuple[int, int, Batch]]:
-    """Consecutive slices of texts: first row, row after the last, what they hold."""
-    n = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
-    start, total = 0, 0
-    for i in range(len(texts)):
-        total += int(n[i])
-        if total >= SLICE or i == len(texts) - 1:
-            yield start, i + 1, Batch.of(texts[start : i + 1].to_pylist())
-            start, total = i + 1, 0
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
+    """Consecutive slices of texts, with nothing for null: first row, row after the last, texts."""
+    start, texts = 0, pc.fill_null(texts, "")
+    for part in arrow_slices(texts, SLICE):
+        yield start, start + len(part), part
+        start += len(part)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """Of one text column: word (binary; the end token is empty) and its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        for b in batches:
+            for _, _, part in _slices(b.column(0)):
+                words, flat, _ = tokens(part)
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(flat, minlength=len(words)))], ["word", "c"])
 
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "c"])
-            held.clear()
-            return made
+    return texts.mapInArrow(run, "word binary, c long").where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
 
-        for b in batches:
-            for t in b.column(0):
-                held.update(tokens(t.as_py()))
-                if len(held) > 200_000:
-                    yield out()
-        yield out()
 
-    return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def _runs(h: np.ndarray, n_shards: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """Sorted hashes and what belongs to them, a row per shard, as little-endian arrays."""
+    shard = shard_of(h, n_shards)
+    firsts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(h) else np.zeros(0, np.int64)
+    ends = [*firsts[1:].tolist(), len(h)][: len(firsts)]
+    cut = [pa.array([x[a:b].tobytes() for a, b in zip(firsts.tolist(), ends, strict=True)], pa.binary()) for x in (h.astype("<u8"), *columns)]
+    return pa.RecordBatch.from_arrays([pa.array(shard[firsts], pa.int32()), *cut], ["shard", "h", "c"])
 
 
 def count_pairs(texts: DataFrame, n_shards: int) -> DataFrame:
     """Of one text column: shard, and runs of pair hashes with their counts, pre-summed per task, as little-endian arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[bytes, int] = {}
         held: list[np.ndarray] = []
-        places = 0
 
         def out() -> pa.RecordBatch:
             h, c = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            shard = shard_of(h, n_shards)
-            firsts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-            ends = [*firsts[1:].tolist(), len(h)]
-            h, c = h.astype("<u8"), c.astype("<u4")
-            runs = [(h[a:b].tobytes(), c[a:b].tobytes()) for a, b in zip(firsts.tolist(), ends, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(shard[firsts], pa.int32()), pa.array([x for x, _ in runs], pa.binary()), pa.array([x for _, x in runs], pa.binary())], ["shard", "h", "c"])
+            return _runs(h, n_shards, c.astype("<u4"))
 
         for b in batches:
-            for t in b.column(0):
-                ws = tokens(t.as_py())
-                new = set(ws).difference(hashes)
-                if len(hashes) + len(new) > 200_000:
-                    hashes.clear()
-                    new = set(ws)
-                for w in new:
-                    hashes[w] = xxhash.xxh64_intdigest(w, 7)
-                h = np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))
-                held.append(pair_hash(np.append(START, h[:-1]), h))
-                places += len(ws)
-                if places >= HELD:
-                    places = 0
+            for _, _, part in _slices(b.column(0)):
+                words, flat, lens = tokens(part)
+                h = word_hashes(words)[flat]
+                held.append(pair_hash(before(h, lens, START), h))
+                if sum(map(len, held)) >= HELD:
                     yield out()
         if held:
             yield out()
@@ -266,14 +260,9 @@ def build_filter(words: DataFrame, pairs: DataFrame, starts: int, n_shards: int)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = np.fromiter((xxhash.xxh64_intdigest(w.as_py(), 7) for w in b.column(0)), np.uint64, b.num_rows)
+            h = word_hashes(b.column(0))
             order = np.argsort(h)
-            h, c = h[order], b.column(1).to_numpy()[order]
-            shard = shard_of(h, n_shards)
-            firsts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(h) else np.zeros(0, np.int64)
-            ends = [*firsts[1:].tolist(), len(h)][: len(firsts)]
-            runs = [(h[i:j].astype("<u8").tobytes(), c[i:j].astype("<u8").tobytes()) for i, j in zip(firsts.tolist(), ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(shard[firsts], pa.int32()), pa.array([x for x, _ in runs], pa.binary()), pa.array([x for _, x in runs], pa.binary())], ["shard", "h", "c"])
+            yield _runs(h[order], n_shards, b.column(1).to_numpy()[order].astype("<u8"))
 
     single = words.select("word", "c").mapInArrow(hashed, "shard int, h binary, c binary").withColumn("pair", F.lit(False))
     grams = single.unionByName(pairs.withColumn("pair", F.lit(True)))
@@ -341,7 +330,7 @@ def _log_probabilities(model: dict, batch: Batch, unigram: np.ndarray, pair: np.
 def _rows(rows: pa.Array, ids: pa.Array, batch: Batch, logs: np.ndarray, heavy: dict[bytes, int], total: int, distinct: int) -> pa.RecordBatch:
     """One row per text with what heavy words give to it, and one per text and other word."""
     starts = np.cumsum(batch.lens) - batch.lens
-    c = np.fromiter((heavy.get(w, -1) for w in batch.words), np.int64, len(batch.words))
+    c = np.fromiter(map(heavy.get, batch.words.to_pylist(), repeat(-1)), np.int64, len(batch.words))
     at = c[batch.flat]
     known = np.add.reduceat((at > 0).astype(np.int64), starts)
     base = np.add.reduceat(np.where(at >= 0, np.log10((np.maximum(at, 0) + 1) / (total + distinct + 1)), 0.0), starts)
@@ -355,7 +344,7 @@ def _rows(rows: pa.Array, ids: pa.Array, batch: Batch, logs: np.ndarray, heavy:
         [
             pa.concat_arrays([rows, rows.take(pa.array(of))]),
             pa.concat_arrays([ids, none(m, pa.string())]),
-            pa.concat_arrays([none(n, pa.binary()), pa.array([batch.words[i] for i in word], pa.binary())]),
+            pa.concat_arrays([none(n, pa.binary()), batch.words.take(pa.array(word))]),
             pa.concat_arrays([none(n, pa.int64()), pa.array(times, pa.int64())]),
             pa.concat_arrays([pa.array(batch.lens), none(m, pa.int64())]),
             pa.concat_arrays([pa.array(known), none(m, pa.int64())]),
@@ -407,7 +396,8 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             probe, common = Filter(_unpacked(pieces, int(ends[-1])), ends), heavy.value
             for b in batches:
-                for i, j, batch in _batches(b.column(2)):
+                for i, j, part in _slices(b.column(2)):
+                    batch = Batch.of(part)
                     logs = _log_probabilities(known, batch, probe.levels(batch.hashes), probe.levels(batch.pair_hashes()))
                     yield _rows(b.column(0)[i:j], b.column(1)[i:j], batch, logs, common, total, distinct)
 
@@ -436,7 +426,7 @@ def _routed(rows: DataFrame, model: Model, known: dict, heavy, total: int, disti
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                batch = Batch.of([b.column(2)[k].as_py()])
+                batch = Batch.of(pc.fill_null(b.column(2)[k : k + 1], ""))
                 h = np.concatenate([batch.hashes, batch.pair_hashes()])
                 shard = shard_of(h, n_shards)
                 order = np.argsort(shard, kind="stable")
@@ -461,7 +451,7 @@ def _routed(rows: DataFrame, model: Model, known: dict, heavy, total: int, disti
         common = heavy.value
         for b in batches:
             for k in range(b.num_rows):
-                batch = Batch.of([b.column(2)[k].as_py()])
+                batch = Batch.of(pc.fill_null(b.column(2)[k : k + 1], ""))
                 h = np.concatenate([batch.hashes, batch.pair_hashes()])
                 order = np.argsort(shard_of(h, n_shards), kind="stable")
                 levels = np.empty(len(h), np.int64)
