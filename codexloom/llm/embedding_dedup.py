@@ -8,10 +8,10 @@ enough to meet; so by default a vector visits at (c - d).x <= r |c - d| / 2, and
 the cells that a vector visits.
 
 *Pairs.* In a cell its own vectors meet each other and the visitors, in blocks of bounded size; each pair is counted in
-one cell only. A block pair hands on the number of links of each vector and a spanning forest of the links, never the
-pairs themselves.
+one cell only. A block pair hands on the number of links of each vector and, per group of linked vectors, an edge from
+each to the first, never the pairs themselves.
 
-*Groups.* Connected components of the forests; the smallest identifier of a component is its representative.
+*Groups.* Connected components of these edges; the smallest identifier of a component is its representative.
 
 Identical vectors are folded into one before any of this and get their links back by their number. Vectors of several
 dimensions are separate collections, each with its own centres.
@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codexloom.llm.components import components
 from codexloom.session import written
@@ -71,11 +72,8 @@ def visits(x: np.ndarray, centres: np.ndarray, reach: float) -> tuple[np.ndarray
 
 
 def _unit(rows: pa.Array) -> np.ndarray:
-    x = np.stack([np.asarray(r.as_py(), np.float64) for r in rows])
-    return _scaled(x)
-
-
-def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows of one length as unit vectors in double precision."""
+    x = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -83,7 +81,7 @@ def _scaled(x: np.ndarray) -> np.ndarray:
 def _deal(vectors: DataFrame, index: dict[int, np.ndarray], reach_of) -> DataFrame:
     """A row per vector and visited cell: dim, cell, home, node, copies, cells (visited), vector."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
-    schema = "dim int, cell int, home int, node long, copies long, cells array<int>, vector array<double>"
+    schema = "dim int, cell int, home int, node long, copies long, cells array<int>, vector " + vectors.schema["vector"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,20 +109,16 @@ def _deal(vectors: DataFrame, index: dict[int, np.ndarray], reach_of) -> DataFra
     return vectors.select("dim", "node", "copies", "vector").mapInArrow(run, schema)
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Of links (a, b) between n nodes, the places of a spanning forest."""
-    parent, kept = list(range(n)), []
-    for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        while parent[j] != j:
-            parent[j] = parent[parent[j]]
-            j = parent[j]
-        if i != j:
-            parent[i] = j
-            kept.append(k)
-    return kept
+def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of n nodes with links (a, b) the smallest node of each one's group, by hooking and pointer jumping."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def _compare(threshold: float):
@@ -134,7 +128,6 @@ def _compare(threshold: float):
         node, copies, home = (table[k].to_numpy() for k in ("node", "copies", "home"))
         cell, role = table["cell"][0].as_py(), table["own"].to_numpy(zero_copy_only=False)
         x = _unit(table["vector"].combine_chunks())
-        cells = table["cells"].to_pylist()
         left, right = np.flatnonzero(role), np.flatnonzero(~role)
         linked: list[np.ndarray] = []
         for i in range(0, len(left), 512):
@@ -146,13 +139,15 @@ def _compare(threshold: float):
         # visitor's cell if the own one visits there; the cell with the smaller number counts.
         both = home[b] == cell
         keep = np.where(both, node[a] < node[b], True)
-        for k in np.flatnonzero(~both).tolist():
-            keep[k] = not (home[b[k]] < cell and home[b[k]] in cells[a[k]])
+        lists = table["cells"].combine_chunks()
+        visited = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy())) * (MOST_CELLS + 1) + lists.flatten().to_numpy()
+        keep &= both | (home[b] > cell) | ~np.isin(a * (MOST_CELLS + 1) + home[b], visited)
         a, b = a[keep], b[keep]
         n = np.bincount(a, copies[b], len(node)) + np.bincount(b, copies[a], len(node))
         met = np.flatnonzero(n)
-        tree = _forest(len(node), a, b)
-        u, v = node[a[tree]], node[b[tree]]
+        root = _least(len(node), a, b)
+        far = np.flatnonzero(root != np.arange(len(node)))
+        u, v = node[far], node[root[far]]
         none = lambda k: pa.nulls(k, pa.int64())
         return pa.table({"node": pa.concat_arrays([pa.array(node[met]), none(len(u))]), "n": pa.concat_arrays([pa.array(n[met].astype(np.int64)), none(len(u))]), "u": pa.concat_arrays([none(len(met)), pa.array(u)]), "v": pa.concat_arrays([none(len(met)), pa.array(v)])})
 
@@ -162,7 +157,9 @@ def _compare(threshold: float):
 def near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, sample_rows: int = 20_000, exact: bool = False) -> DataFrame:
     """Per row of vectors: `_id`, n_links, component_id, kept. exact: visit every cell that could hold a partner."""
     spark = vectors.sparkSession
-    value = F.col(vector_col).cast("array<double>")
+    kind = vectors.select(vector_col).schema[0].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)  # kept as it is: half the bytes
+    value = F.col(vector_col).cast("array<float>" if single else "array<double>")
     good = F.coalesce((F.size(value) > 0) & ~F.exists(value, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(value, lambda v: v != 0), F.lit(False))
     rows = written(vectors.select(F.col(id_col).alias("_id"), F.when(good, value).alias("_v")).withColumn("_key", F.sha2(F.to_json(F.struct("_v")), 256)), "vectors")
     # Equal vectors are one node, named by a number of its own; the identifiers come back at the end.

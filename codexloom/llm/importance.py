@@ -1,7 +1,7 @@
 """Quality by importance resampling.
 
 Two hashed n-gram models are counted: of the target, the documents labelled good, and of raw text, all documents. Words
-are runs of letters or single other characters, A-Z in lower case; words and neighbouring pairs are hashed into
+are runs of letters or single other characters, in lower case; words and neighbouring pairs are hashed into
 `buckets` buckets. A document's weight is the likelihood ratio of its n-grams under both models; its Gumbel key is the
 log weight plus Gumbel noise drawn from a hash of its identifier and the seed. The k documents with the largest keys are
 a sample without replacement by weight.
@@ -31,8 +31,9 @@ from codexloom.session import written
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 #: Words whose hash a worker remembers.
 MEMORY = 300_000
-#: Identifiers of the target are broadcast up to this many (8 bytes each), else joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Identifiers of the target are broadcast up to this many (some 70 bytes each when they are unpacked), else joined by
+#: shuffle.
+BROADCAST_ROWS = 500_000
 
 
 class Features:

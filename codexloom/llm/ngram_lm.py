@@ -12,9 +12,9 @@ task, and it grows with the corpus: no n-gram is left out. Up to `broadcast_byte
 workers. A larger filter stays in its table: each text sends its n-grams to their shards, one row per text and shard,
 and gets the levels back; the scores are the same.
 
-Exact counts for the base score reach the texts in two ways: words that make up a 2**-22 part of all tokens or more, at
-most 2**22 words and in practice some ten thousand, are broadcast; all others are joined, and none of their keys can be
-hot.
+Exact counts for the base score reach the texts in two ways: words that make up a 2**-22 part of all tokens or more are
+broadcast; all others are joined, and none of their keys can be hot. The part is doubled until the words to broadcast are
+at most `HEAVY_WORDS` with `HEAVY_BYTES`.
 
 Cases: a null or empty text is its end token alone. Rows that repeat are trained on and scored row by row; a null
 identifier is in no held-out fold. Without training tokens, counts are zero: a token costs log10(1/1) and the model's
@@ -45,8 +45,8 @@ BASES = (1.2, math.sqrt(2))
 BITS = 12
 #: N-grams in a shard, on average.
 SHARD = 1_000_000
-#: A word with this share of all tokens is broadcast.
-HEAVY_SHARE = 1 / (1 << 22)
+#: A word with this share of all tokens is broadcast, if these words are no more than so many with so many bytes.
+HEAVY_SHARE, HEAVY_WORDS, HEAVY_BYTES = 1 / (1 << 22), 400_000, 8 << 20
 #: Words of the filter in a broadcast piece.
 PIECE = 1 << 20
 #: Bytes of text handled at a time; n-grams that a task keeps before it hands them on.
@@ -314,6 +314,13 @@ def train(texts: DataFrame, *, weight: float = 0.5) -> Model:
     return Model(words, shards, n_shards, int(total), int(distinct), float(mass), int(size), weight)
 
 
+def heavy_count(model: Model) -> float:
+    """The least count of a word that is broadcast."""
+    steps = [max(1.0, model.n_tokens * HEAVY_SHARE * 2**k) for k in range(24)]
+    sizes = model.words.agg(*[x.alias(f"{n}{k}") for k, c in enumerate(steps) for n, x in (("n", F.count_if(F.col("c") >= c)), ("b", F.coalesce(F.sum(F.when(F.col("c") >= c, F.octet_length("word"))), F.lit(0))))]).first()
+    return next((c for k, c in enumerate(steps) if sizes[f"n{k}"] <= HEAVY_WORDS and sizes[f"b{k}"] <= HEAVY_BYTES), math.inf)
+
+
 def _log_probabilities(model: dict, batch: Batch, unigram: np.ndarray, pair: np.ndarray) -> np.ndarray:
     """Per place, from the levels of the distinct tokens (the start last) and the distinct pairs."""
     n = len(batch.words) + 1
@@ -382,7 +389,8 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     kind = docs.select(id_col).schema[0].dataType
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_text"))
-    heavy_rows = model.words.where(F.col("c") >= max(1.0, model.n_tokens * HEAVY_SHARE)).select("word", "c").toArrow()
+    least = heavy_count(model)
+    heavy_rows = model.words.where(F.col("c") >= least).select("word", "c").toArrow()
     heavy = spark.sparkContext.broadcast(dict(zip(heavy_rows["word"].to_pylist(), heavy_rows["c"].to_pylist(), strict=True)))
     known = {"mass": model.mass, "n_words": model.n_words, "weight": model.weight}
     total, distinct, n_shards = model.n_tokens, model.n_words, model.n_shards
@@ -406,7 +414,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         parts = _routed(rows, model, known, heavy, total, distinct, n_shards)
     # One row of a text stands for itself; the others take their word's count. A text's own row has a key of its own.
     keyed = parts.withColumn("key", F.coalesce("word", F.concat(F.lit("\x00own\x00"), F.col("_row").cast("string")).cast("binary")))
-    words = model.words.where(F.col("c") < max(1.0, model.n_tokens * HEAVY_SHARE)).select(F.col("word").alias("key"), "c")
+    words = model.words.where(F.col("c") < least).select(F.col("word").alias("key"), "c")
     joined = keyed.join(words, "key", "left")
     c = F.coalesce("c", F.lit(0))
     out = joined.groupBy("_row").agg(

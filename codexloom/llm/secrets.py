@@ -18,6 +18,8 @@ key like any other. Extra columns are ignored by `scan` and kept by `redact`. An
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,19 +48,37 @@ BROADCAST_ROWS = 100_000
 _SPAN = "array<struct<s:long,e:long>>"
 
 
+def _bound(x: Column, use: Callable[[Column], Column]) -> Column:
+    """use(x) with x computed once: an expression inside a lambda is computed for each element."""
+    return F.transform(F.array(x), use)[0]
+
+
+def _in_blocks(items: Column, zero: Column, step: Callable[[Column, Column, Column], Column], done: Callable[[Column, Column], Column]) -> Column:
+    """A fold over blocks of items, as many as a block has items: a fold that adds to an array copies it at each step, so
+    one over n items costs n * n, and this one n * sqrt(n). step(state, block, begin) gives the next state."""
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    return _bound(F.struct(items.alias("x"), size.alias("n")), lambda b: F.aggregate(F.sequence(F.lit(0), b["n"]), zero, lambda acc, k: step(acc, F.slice(b["x"], k * b["n"] + 1, b["n"]), k), lambda acc: done(acc, b["x"])))
+
+
 def _spans(text: Column, pattern: str, group: int, least: int) -> Column:
     """Start and end, in code points, of each match whose group has `least` code points."""
-    whole, part, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern, -1)
-    found = F.arrays_zip(F.transform(gaps, lambda x: F.length(x).cast("long")).alias("gap"), F.transform(whole, lambda x: F.length(x).cast("long")).alias("len"), F.transform(part, lambda x: F.length(x)).alias("part"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
+    part = lambda w: F.length(w) if group == 0 else F.length(F.regexp_extract(w, pattern, group))
+    matched = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda w: F.struct(F.length(w).cast("long").alias("len"), part(w).alias("part")))
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
+    found = F.arrays_zip(gaps.alias("gap"), matched.alias("m"))
+    none = F.array().cast(_SPAN)
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+
+    def one(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        end = start + F.coalesce(x["len"], F.lit(0).cast("long"))
-        kept = F.when(x["part"] >= least, F.array(F.struct(start.alias("s"), end.alias("e")))).otherwise(F.array().cast(_SPAN))
-        return F.struct(end.alias("at"), F.concat(acc["out"], kept).alias("out"))
+        end = start + F.coalesce(x["m"]["len"], F.lit(0).cast("long"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.when(x["m"]["part"] >= least, F.array(F.struct(start.alias("s"), end.alias("e")))).otherwise(none)).alias("out"))
 
-    return F.when(text.rlike(pattern), F.aggregate(found, zero, step, lambda a: a["out"])).otherwise(F.array().cast(_SPAN))
+    def block(acc: Column, items: Column, _: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), none.alias("out"))
+        return F.aggregate(items, begin, one, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    return F.when(text.rlike(pattern), _in_blocks(found, zero, block, lambda acc, _: F.flatten(acc["out"]))).otherwise(none)
 
 
 def _base(rows: DataFrame) -> DataFrame:
@@ -118,19 +138,35 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rea
     return base.select("_id", "_base", F.concat("_base", "_linked").alias("_all"))
 
 
+def _cut_out(text: Column, spans: Column, mark: str) -> Column:
+    """text with mark in place of what the spans, in order, cover; spans that overlap or lie in one another get one.
+    Block by block: a block's part of the text is taken off its front, and the gaps are cut from that part."""
+    strings = "array<string>"
+    zero = F.struct(F.lit(0).cast("long").alias("at"), text.alias("rest"), F.array().cast(strings).alias("out"))
+
+    def block(acc: Column, items: Column, _: Column) -> Column:
+        end = F.greatest(acc["at"], F.coalesce(F.array_max(F.transform(items, lambda x: x["e"])), acc["at"]))
+        n = (end - acc["at"]).cast("int")
+        own = F.struct(F.substring(acc["rest"], F.lit(1), n).alias("text"), F.substring(acc["rest"], n + 1, F.length(acc["rest"])).alias("rest"))
+
+        def cut(o: Column) -> Column:
+            def one(a: Column, x: Column) -> Column:
+                gap = F.substring(o["text"], (a["at"] - acc["at"] + 1).cast("int"), (x["s"] - a["at"]).cast("int"))
+                return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(x["s"] >= a["at"], F.concat(a["out"], F.array(gap, F.lit(mark)))).otherwise(a["out"]).alias("out"))
+
+            begin = F.struct(acc["at"].alias("at"), F.array().cast(strings).alias("out"))
+            return F.aggregate(items, begin, one, lambda r: F.struct(r["at"].alias("at"), o["rest"].alias("rest"), F.concat(acc["out"], F.array(F.array_join(r["out"], ""))).alias("out")))
+
+        return _bound(own, cut)
+
+    return _in_blocks(spans, zero, block, lambda acc, _: F.concat(F.array_join(acc["out"], ""), acc["rest"]))
+
+
 def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", mark: str = "<REDACTED>", reach: int = REACH) -> DataFrame:
     """docs with every span of its texts replaced by mark; overlapping spans get one. Columns and other texts stay."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     rows = _base(_with_linked(rows, reach)).withColumn("_spans", F.array_sort(F.concat(_all_spans(), "_linked")))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    text = F.col("_text")
-
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["s"] >= acc["at"]
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(fresh, F.concat(acc["out"], F.array(gap, F.lit(mark)))).otherwise(acc["out"]).alias("out"))
-
-    cut = F.aggregate(F.col("_spans"), zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
+    cut = _cut_out(F.col("_text"), F.col("_spans"), mark)
     fields = [F.when(F.size("_spans") > 0, cut).otherwise(F.col(f"_row.`{c}`")).alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     return rows.select(*fields)
 

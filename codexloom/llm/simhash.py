@@ -3,16 +3,17 @@
 A fingerprint has 64 bits, one per bit of the XXH64 hashes of the text's word shingles: set if it is set in over half
 of them. Fingerprints that differ in at most `distance` bits are linked. The bits are cut into `blocks` blocks; two
 linked fingerprints agree in at least blocks - distance of them, so there is a table per choice of that many blocks,
-keyed by their bits, and linked fingerprints meet in a table. Six blocks for four bits give 15 tables with keys of 20 to
-22 bits; for more than some tens of millions of distinct fingerprints `blocks=7` (35 tables, 27 bits) or 8 (70 tables,
-32 bits) keep buckets small. The result is the same for any choice.
+keyed by their bits, and linked fingerprints meet in a table. For four bits, six blocks give 15 tables with keys of 20 to
+22 bits, seven give 35 with 27 to 30 and eight 70 with 32. Unless `blocks` is given, there are as many as keep the
+buckets of the distinct fingerprints small. The result is the same for any choice.
 
 Copies share a fingerprint and are folded into it before the join, whatever their number. A pair is verified in the join
 condition and emitted only in the first table in which it meets, so each link appears once.
 
 Cases: a null or wordless text has fingerprint zero, linked like any other. Texts with fewer words than a shingle are
 one shingle. Rows that repeat count as copies; a null identifier has a fingerprint, and its component is the smallest
-identifier reachable that is not null (null if there is none). An empty table gives an empty result.
+identifier reachable that is not null (null if there is none). Rows that share an identifier but not their text have
+fingerprints of their own; `drop_near` judges each by its own. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from codexloom.session import written
 
 #: Shingles whose bits are counted at a time (64 bytes each).
 SLICE = 65_536
-#: Dropped identifiers are broadcast up to this many (16 bytes each), else joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Dropped rows are broadcast up to this many (under 100 bytes each), else joined by shuffle.
+BROADCAST_ROWS = 500_000
+#: Distinct fingerprints up to which so many blocks do, for a distance of four bits.
+BLOCKS = ((6, 1 << 25), (7, 1 << 31), (8, 1 << 62))
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -91,15 +94,18 @@ def links(prints: DataFrame, *, distance: int = 4, blocks: int = 6) -> DataFrame
     return keyed.alias("a").join(keyed.alias("b"), on).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
-def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4, blocks: int = 6, seed: int = 42) -> DataFrame:
+def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4, blocks: int | None = None, seed: int = 42) -> DataFrame:
     """Per row of docs: `_id`, `_fp` (long) and `_component`, the smallest identifier that links reach."""
     rows = written(docs.select(F.col(id_col).alias("_id"), fingerprints(F.col(text_col), words, seed).alias("_fp")), "prints")
     return rows.join(_roots(rows, distance, blocks), "_fp", "left").select("_id", "_fp", "_component")
 
 
-def _roots(rows: DataFrame, distance: int, blocks: int) -> DataFrame:
+def _roots(rows: DataFrame, distance: int, blocks: int | None) -> DataFrame:
     """Of rows (_id, _fp): `_fp` and `_component` for every fingerprint."""
     prints = written(rows.groupBy("_fp").agg(F.min("_id").alias("least")), "distinct")
+    if blocks is None:
+        n = prints.count()
+        blocks = distance - 4 + next(b for b, most in BLOCKS if n <= most)
     pairs = links(prints.select(F.col("_fp").alias("fp")), distance=distance, blocks=blocks)
     roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = prints.join(roots, prints["_fp"] == roots["node"], "left").select("_fp", "least", F.coalesce("root", "_fp").alias("root"))
@@ -107,14 +113,18 @@ def _roots(rows: DataFrame, distance: int, blocks: int) -> DataFrame:
     return named.join(least, "root").select("_fp", "_component")
 
 
-def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4, blocks: int = 6) -> DataFrame:
-    """The rows of docs that stay: of each component the row with the smallest identifier. Rows that share that
-    identifier are one document and stay together; rows of a component without any identifier all stay."""
-    groups = near_dedup(docs, id_col=id_col, text_col=text_col, words=words, distance=distance, blocks=blocks)
-    dropped = written(groups.where(~F.col("_id").eqNullSafe(F.col("_component"))).select("_id").distinct(), "dropped")
+def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4, blocks: int | None = None) -> DataFrame:
+    """The rows of docs that stay: of each component the row with the smallest identifier. Rows of a component that share
+    that identifier are one document and stay together; rows of a component without any identifier all stay. A row is
+    known by its identifier and two hashes of its text, so one that goes takes no other text with it."""
+    kept = [F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_h1"), F.hash(F.col(text_col)).alias("_h2")]
+    rows = written(docs.select(*kept, fingerprints(F.col(text_col), words).alias("_fp")), "prints")
+    groups = rows.join(_roots(rows, distance, blocks), "_fp", "left")
+    dropped = written(groups.where(~F.col("_id").eqNullSafe(F.col("_component"))).select("_id", "_h1", "_h2").distinct(), "dropped")
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["_id"]), "left_anti")
+    same = docs[id_col].eqNullSafe(dropped["_id"]) & (F.xxhash64(docs[text_col]) == dropped["_h1"]) & (F.hash(docs[text_col]) == dropped["_h2"])
+    return docs.join(dropped, same, "left_anti")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ ordinary one. Three points make differences of a few bytes count:
   that are in more of them than chance allows, and ten times as frequent as in ordinary ones.
 
 Per text the windows at each threshold are counted; a logistic model, fitted on the training documents, turns the counts
-into a score. Labels are read from a bounded sample: `sample_rows` documents per class, the first by hash of the
-identifier. Every text is scored whole.
+into a score. Labels are read from a bounded sample: at most `sample_rows` documents and `sample_bytes` of text per class,
+the first by hash of the identifier, without single texts over a 64th of these bytes. Every text is scored whole.
 
 Cases: null and empty texts have no windows and get the model's score for that, as any text does. Repeated rows get
 equal scores. If the training labels lack a class, every score is the share of toxic labels (0 without any label).
@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The bytes that follow each window, which no text holds together.
@@ -147,8 +147,8 @@ def fit(rows: list[tuple[str | None, int]], *, words: int = 1, level: int = 3, o
     return model
 
 
-def fit_table(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", where: Column | None = None, sample_rows: int = 3_000, **options) -> Model:
-    """A model from at most sample_rows labelled documents per class, taken by hash of the identifier."""
+def fit_table(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", where: Column | None = None, sample_rows: int = 3_000, sample_bytes: int = 64 << 20, **options) -> Model:
+    """A model from at most sample_rows labelled documents with sample_bytes per class, taken by hash of the identifier."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_id IS NOT NULL AND _y IN (0, 1)")
     if where is not None:
         known = labels.where(where).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_id IS NOT NULL AND _y IN (0, 1)")
@@ -156,8 +156,11 @@ def fit_table(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     for k in (0, 1):
         part = known.where(F.col("_y") == k).distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
         picked = part if picked is None else picked.unionByName(part)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
-    return fit(sorted((r["_text"], r["_y"]) for r in rows.withColumn("_text", F.coalesce("_text", F.lit(""))).select("_text", "_y").toLocalIterator()), **options)
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(picked), "_id")
+    rows = rows.withColumn("_n", F.octet_length("_text")).where(F.col("_n") <= sample_bytes // 64)
+    so_far = F.sum("_n").over(Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id", "_text"))
+    rows = rows.withColumn("_so_far", so_far).where(F.col("_so_far") <= sample_bytes).select("_text", "_y")
+    return fit(sorted((r["_text"], r["_y"]) for r in rows.toLocalIterator()), **options)
 
 
 def toxicity_score(text: Column, model: Model) -> Column:
