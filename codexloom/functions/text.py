@@ -138,32 +138,51 @@ def looks_garbled(x: Column) -> Column:
     return (strip(x) != "") & (is_garbled_title(x) | (garbled_ratio(x) > 0.12))
 
 
-def keep_break(prev: Column, cur: Column) -> Column:
-    """Whether a line break between the text so far and the next line stays."""
-    return (
-        cur.rlike("^[■●•—-]")
-        | cur.rlike(r"^[（(]?\p{Nd}+[）)、.．]")
-        | cur.rlike(rx(r"^图\s*\d|^表\s*\d|^策略\s*\d+"))
-        | ((F.length(prev) <= 18) & prev.rlike("[：:？?。！!]$"))
-        | (prev.rlike("[。！？；;]$") & (F.length(cur) <= 40))
-    )
+def fold_blocks(items: Column, zero: Column, step: Callable[[Column, Column], Column], done: Callable[[Column], Column]) -> Column:
+    """A fold whose step takes a block of items, as many blocks as a block has items. A fold that adds to an array copies
+    it at each step; over blocks, n items cost n * sqrt(n) copies instead of n * n."""
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    return bound(F.struct(items.alias("x"), size.alias("n")), lambda b: F.aggregate(F.sequence(F.lit(0), b["n"]), zero, lambda acc, k: step(acc, F.slice(b["x"], k * b["n"] + 1, b["n"])), done))
+
+
+# Starts of a line that always begin a new one, and ends after which a line may.
+_STARTS = rx(r"^(?:[■●•—-]|[（(]?\d+[）)、.．]|图\s*\d|表\s*\d|策略\s*\d+)")
+_ENDS_SHORT, _ENDS_SENTENCE = ("：", ":", "？", "?", "。", "！", "!"), ("。", "！", "？", "；", ";")
 
 
 def reflow_paragraph(x: Column) -> Column:
-    """Wrapped lines joined; the fold keeps finished lines and the one that still grows apart."""
+    """Wrapped lines joined. What a line is and how the one before it ends is told beforehand; the fold carries only the
+    length of the line that still grows."""
     lines = F.filter(F.transform(splitlines(x), strip), lambda v: v != "")
-    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("line"))
-
-    def step(acc: Column, v: Column) -> Column:
-        line = acc["line"]
-        glue = F.when(line.rlike("[A-Za-z0-9]$") & v.rlike("^[A-Za-z0-9]"), " ").otherwise("")
-        return (
-            F.when(line.isNull(), F.struct(acc["done"].alias("done"), v.alias("line")))
-            .when(keep_break(line, v), F.struct(F.concat(acc["done"], F.array(line)).alias("done"), v.alias("line")))
-            .otherwise(F.struct(acc["done"].alias("done"), F.concat(line, glue, v).alias("line")))
+
+    def told(v: Column, p: Column) -> Column:
+        end = F.right(p, F.lit(1))
+        return F.struct(
+            v.alias("v"),
+            F.length(v).alias("n"),
+            (v.rlike(_STARTS) | (end.isin(*_ENDS_SENTENCE) & (F.length(v) <= 40))).alias("breaks"),
+            end.isin(*_ENDS_SHORT).alias("may"),
+            (end.rlike("[A-Za-z0-9]") & F.left(v, F.lit(1)).rlike("[A-Za-z0-9]")).alias("spaced"),
         )
 
-    return F.aggregate(lines, zero, step, lambda a: F.when(a["line"].isNull(), "").otherwise(F.array_join(F.concat(a["done"], F.array(a["line"])), "\n")))
+    def one(acc: Column, w: Column) -> Column:
+        breaks = w["breaks"] | (w["may"] & (acc["n"] <= 18))
+        glue = F.when(breaks, "\n").when(w["spaced"], " ").otherwise("")
+        n = F.when(breaks, w["n"]).otherwise(acc["n"] + F.when(w["spaced"], 1).otherwise(0) + w["n"])
+        return F.struct(n.alias("n"), F.concat(acc["out"], F.array(F.concat(glue, w["v"]))).alias("out"))
+
+    strings = "array<string>"
+
+    def block(acc: Column, some: Column) -> Column:
+        return F.aggregate(some, F.struct(acc["n"].alias("n"), F.array().cast(strings).alias("out")), one, lambda r: F.struct(r["n"].alias("n"), F.concat(acc["out"], F.array(F.array_join(r["out"], ""))).alias("out")))
+
+    def joined(all_: Column) -> Column:
+        before = F.slice(all_, 1, F.greatest(F.lit(0), F.size(all_) - 1))
+        pairs = F.zip_with(F.slice(all_, 2, F.size(all_)), before, told)
+        zero = F.struct(F.length(all_[0]).alias("n"), F.array(all_[0]).alias("out"))
+        return F.when(F.size(all_) == 0, "").when(F.size(all_) == 1, all_[0]).otherwise(fold_blocks(pairs, zero, block, lambda a: F.array_join(a["out"], "")))
+
+    return bound(lines, joined)
 
 
 def paragraphs(x: Column) -> Column:

@@ -1,6 +1,6 @@
 """Which profile a document fits: rules with points, summed per profile.
 
-The rules' patterns, points and reasons are fixed values. Each rule is a condition on one text column, so a document is
+The rules' patterns, points and reasons are fixed values. Each pattern is looked for once in a text, so a document is
 scored in one pass without a shuffle.
 """
 
@@ -61,34 +61,54 @@ def java(pattern: str) -> str:
     return "(?d)" + rx(pattern).replace(r"\b", r"(?U:\b)")
 
 
-def rules(x: Column) -> Column:
-    """array<struct<profile, points, reason>> of the rules that hold for a sample text."""
-    n = {k: F.regexp_count(x, F.lit(java(p))) for k, p in COUNTS.items()}
-    has = lambda p: x.rlike(java(p))
-    marker = has(FICTION_MARKER)
-    held: dict[str, tuple[str, Column | int, Column]] = {reason: (profile, points, has(p)) for profile, points, reason, p in PATTERNS}
+def _found(samples: DataFrame) -> DataFrame:
+    """samples with `_points`, per rule in order the points it gives or 0. Every pattern is looked for once per text."""
+    x = F.col("sample")
+    asked = {f"_n_{k}": F.regexp_count(x, F.lit(java(p))) for k, p in COUNTS.items()}
+    asked |= {f"_has{i}": x.rlike(java(p)) for i, (*_, p) in enumerate(PATTERNS)}
+    asked |= {"_top": x.rlike(java(r"(?m)^\s*\d+\s+\S+")), "_sub": x.rlike(java(r"(?m)^\s*\d+\.\d+")), "_english": T.english_letters(x), "_cjk": T.cjk_letters(x)}
+    rows = T.pinned(samples, **asked)
+    n = {k: F.col(f"_n_{k}") for k in COUNTS}
+    held = {reason: (F.col(f"_has{i}"), points) for i, (_, points, reason, _) in enumerate(PATTERNS)}
+    marker = held["detected strong fiction chapter markers"][0]
     held |= {
-        "mostly English text": ("english", 6, T.english_ratio(x) > 0.55),
-        "detected 1 / 1.1 numeric hierarchy": ("technical", 7, has(r"(?m)^\s*\d+\s+\S+") & has(r"(?m)^\s*\d+\.\d+")),
-        "detected deep numeric hierarchy": ("technical", 4, n["deep"] >= 2),
-        "detected 条 structure": ("legal", F.least(F.lit(10), n["articles"] + 2), n["articles"] > 0),
-        "detected chapter-only structure/fiction": ("fiction", 2, (n["fiction"] >= 5) & (n["sections"] == 0)),
-        "detected fiction markers with chapter sequence": ("fiction", 2, marker & (n["fiction"] > 0)),
-        "detected classical text headings": ("classical", 3, n["bios"] >= 3),
-        "detected many short entry-like headings": ("reference", 4, n["entries"] >= 20),
-        "detected alphabetical index headings": ("reference", 3, n["letters"] >= 3),
-        "detected 章/节 structure": ("textbook", 6, (n["chapters"] > 0) & (n["sections"] > 0)),
-        "detected chapter-only structure": ("social_science", 3, (n["chapters"] > 0) & (n["sections"] == 0)),
+        "mostly English text": (F.col("_english") > 0.55 * (F.col("_english") + F.col("_cjk")), 6),
+        "detected 1 / 1.1 numeric hierarchy": (F.col("_top") & F.col("_sub"), 7),
+        "detected deep numeric hierarchy": (n["deep"] >= 2, 4),
+        "detected 条 structure": (n["articles"] > 0, F.least(F.lit(10), n["articles"] + 2)),
+        "detected chapter-only structure/fiction": ((n["fiction"] >= 5) & (n["sections"] == 0), 2),
+        "detected fiction markers with chapter sequence": (marker & (n["fiction"] > 0), 2),
+        "detected classical text headings": (n["bios"] >= 3, 3),
+        "detected many short entry-like headings": (n["entries"] >= 20, 4),
+        "detected alphabetical index headings": (n["letters"] >= 3, 3),
+        "detected 章/节 structure": ((n["chapters"] > 0) & (n["sections"] > 0), 6),
+        "detected chapter-only structure": ((n["chapters"] > 0) & (n["sections"] == 0), 3),
     }
-    one = lambda reason: F.when(held[reason][2], F.struct(F.lit(held[reason][0]).alias("profile"), (held[reason][1] if isinstance(held[reason][1], Column) else F.lit(held[reason][1])).cast("int").alias("points"), F.lit(reason.split("/fiction")[0]).alias("reason")))
-    found = F.filter(F.array(*[one(r) for r in _ORDER]), lambda r: r.isNotNull())
-    fallback = F.array(F.struct(F.lit("social_science").alias("profile"), F.lit(1).alias("points"), F.lit("fallback default").alias("reason")))
-    return F.when(F.size(found) == 0, fallback).otherwise(found)
+    points = F.array(*[F.when(held[r][0], held[r][1]).otherwise(0).cast("int") for r in _ORDER])
+    return T.pinned(rows.select(*samples.columns, points.alias("_each")), _points=F.col("_each")).drop("_each")
+
+
+#: Profile of each rule that is no single pattern.
+_PROFILE = {reason: profile for profile, _, reason, _ in PATTERNS} | {
+    "mostly English text": "english", "detected 1 / 1.1 numeric hierarchy": "technical", "detected deep numeric hierarchy": "technical", "detected 条 structure": "legal",
+    "detected chapter-only structure/fiction": "fiction", "detected fiction markers with chapter sequence": "fiction", "detected classical text headings": "classical", "detected many short entry-like headings": "reference",
+    "detected alphabetical index headings": "reference", "detected 章/节 structure": "textbook", "detected chapter-only structure": "social_science",
+}
 
 
-def scores(found: Column) -> Column:
-    """map of every profile to its points."""
-    return F.create_map(*[v for p in BOOK_PROFILES for v in (F.lit(p), F.aggregate(F.filter(found, lambda r: r["profile"] == p), F.lit(0), lambda a, r: a + r["points"]))])
+def _scored(points: Column) -> list[Column]:
+    """Points per profile; the fallback gives one where no rule holds."""
+    none = F.forall(points, lambda p: p == 0)
+    total = {p: sum((points[i] for i, r in enumerate(_ORDER) if _PROFILE[r] == p), F.lit(0)) for p in BOOK_PROFILES}
+    return [(F.when(none, 1).otherwise(c) if p == "social_science" else c).cast("int").alias(f"_s_{p}") for p, c in total.items()]
+
+
+def _signals(points: Column) -> Column:
+    """array<struct<profile, points, reason>> of the rules that hold."""
+    names = F.array(*[F.struct(F.lit(_PROFILE[r]).alias("profile"), F.lit(r.split("/fiction")[0]).alias("reason")) for r in _ORDER])
+    found = F.filter(F.zip_with(names, points, lambda a, p: F.struct(a["profile"].alias("profile"), p.alias("points"), a["reason"].alias("reason"))), lambda r: r["points"] > 0)
+    fallback = F.array(F.struct(F.lit("social_science").alias("profile"), F.lit(1).alias("points"), F.lit("fallback default").alias("reason")))
+    return T.bound(found, lambda f: F.when(F.size(f) == 0, fallback).otherwise(f))
 
 
 def choose_profile(by_profile: Column) -> Column:
@@ -125,10 +145,11 @@ def sample_text(pages: DataFrame, outline: DataFrame | None = None, *, first: in
 
 
 def classify(samples: DataFrame) -> DataFrame:
-    """samples (doc, sample) with profile, scores, signals."""
-    out = samples.withColumn("_r", rules(F.col("sample"))).withColumn("scores", scores(F.col("_r")))
-    out = out.withColumn("profile", choose_profile(F.col("scores")))
-    return out.select("doc", "profile", "scores", format_scores(F.col("scores")).alias("score_text"), format_signals(F.col("profile"), F.col("scores"), F.col("_r")).alias("signals"))
+    """samples (doc, sample) with profile, scores, signals. Texts are read in one pass; what follows has small rows."""
+    rows = _found(samples).select("doc", "_points", *_scored(F.col("_points")))
+    rows = rows.withColumn("scores", F.create_map(*[v for p in BOOK_PROFILES for v in (F.lit(p), F.col(f"_s_{p}"))])).withColumn("_r", _signals(F.col("_points")))
+    rows = T.pinned(rows.select("doc", "scores", "_r"), profile=choose_profile(F.col("scores")))
+    return rows.select("doc", "profile", "scores", format_scores(F.col("scores")).alias("score_text"), format_signals(F.col("profile"), F.col("scores"), F.col("_r")).alias("signals"))
 
 
 def is_ignored_file(name: Column) -> Column:

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from codexloom.functions import headings as H
 from codexloom.functions import text as T
 from codexloom.functions.profiles import profile_table
+from codexloom.session import written
+
+#: Characters in a block of a document's text.
+BLOCK = 32_768
 
 REQUIRED_MANIFEST = ("record_type", "schema_version", "document_id", "title", "source", "toc", "chunking", "embedding")
 REQUIRED_CHUNK = ("chunk_id", "chunk_index", "text", "embedding_text", "heading_path", "source", "prev_chunk_id", "next_chunk_id", "stats", "split_info", "embedding")
@@ -117,17 +121,39 @@ def check_garbled(stats: DataFrame) -> DataFrame:
     return messages(stats, 60, (title, "WARN", "garbled_title"), (text, "WARN", "garbled_text"), (~title & ~text, "PASS", "garbled_ok"))
 
 
-def joined_text(rows: DataFrame, order: str, sep: str = "\n") -> DataFrame:
-    return rows.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, F.coalesce("text", F.lit("")).alias("t")))), lambda x: x["t"]), sep).alias("text"))
+def compact_blocks(rows: DataFrame, order: str, reach: int = 80) -> DataFrame:
+    """The texts of each doc joined without white space, in blocks: doc, total (its length), block, text. A block goes on
+    `reach` - 1 characters into the next one, so whatever is that long lies whole in a block."""
+    own = T.pinned(rows.select("doc", order, "text"), c=T.compact_text(F.coalesce(F.col("text"), F.lit("")))).select("doc", order, "c", F.length("c").cast("long").alias("n")).where("n > 0")
+    before = Window.partitionBy("doc").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy("doc")))
+    first, last = F.greatest(F.lit(0), F.floor((F.col("at") - reach + 1) / BLOCK)), F.floor((F.col("at") + F.col("n") - 1) / BLOCK)
+    pieces = own.withColumn("block", F.explode(F.sequence(first, last))).withColumn("lo", F.greatest(F.col("at"), F.col("block") * BLOCK)).withColumn("hi", F.least(F.col("at") + F.col("n"), (F.col("block") + 1) * BLOCK + reach - 1)).where("lo < hi")
+    pieces = pieces.select("doc", "total", "block", "lo", F.substring("c", (F.col("lo") - F.col("at") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int")).alias("piece"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("lo", "piece"))), lambda x: x["piece"]), "")
+    return pieces.groupBy("doc", "total", "block").agg(text.alias("text"))
+
+
+def match_rates(source: DataFrame, target: DataFrame, window: int = 80, most: int = 120) -> DataFrame:
+    """doc, rate: the share of windows spread over source's text that target's holds, both as compact_blocks. At most
+    some `most` windows of a document meet its blocks, so no row holds a whole text."""
+    step, base = F.greatest(F.lit(window), F.floor(F.col("total") / most)), F.col("block") * BLOCK
+    first, last = F.ceil(base / step), F.floor(F.least(base + BLOCK - 1, F.greatest(F.lit(0), F.col("total") - window)) / step)
+    asked = source.where(first <= last).withColumn("_k", F.explode(F.sequence(first, last)))
+    asked = asked.select("doc", "_k", F.substring("text", (F.col("_k") * step - base + 1).cast("int"), F.lit(window)).alias("_w"))
+    per = asked.groupBy("doc").agg(F.count(F.lit(1)).alias("samples"), F.collect_list(F.struct("_k", "_w")).alias("_ws"))
+    met = target.select("doc", "text").join(per.select("doc", "_ws"), "doc")
+    met = met.select("doc", F.explode(F.filter("_ws", lambda w: F.contains(F.col("text"), w["_w"]))["_k"]).alias("_k"))
+    found = met.groupBy("doc").agg(F.count_distinct("_k").alias("matched"))
+    return per.join(found, "doc", "left").select("doc", F.bround(F.coalesce("matched", F.lit(0)) / F.col("samples"), 3).alias("rate"))
 
 
 def coverage(pages: DataFrame, chunks: DataFrame) -> DataFrame:
     """How much of the source the chunks hold and the other way round, by length and by samples of 80 characters."""
-    src = joined_text(pages, "page").select("doc", F.col("text").alias("a"))
-    out = joined_text(chunks, "chunk_index").select("doc", F.col("text").alias("b"))
-    both = T.pinned(src.join(out, "doc", "left"), s=T.compact_text(F.col("a")), c=F.coalesce(T.compact_text(F.col("b")), F.lit("")))
-    both = T.pinned(both.select("doc", "s", "c"), source_rate=T.sample_match_rate(F.col("s"), F.col("c")), chunk_rate=T.sample_match_rate(F.col("c"), F.col("s")))
-    rows = both.select("doc", F.length("s").alias("source_chars"), F.length("c").alias("chunk_chars"), "source_rate", "chunk_rate")
+    a, b = written(compact_blocks(pages, "page"), "source"), written(compact_blocks(chunks, "chunk_index"), "chunked")
+    size = lambda df, name: df.groupBy("doc").agg(F.first("total").cast("int").alias(name))
+    rows = pages.select("doc").distinct().join(size(a, "source_chars"), "doc", "left").join(size(b, "chunk_chars"), "doc", "left")
+    rows = rows.join(match_rates(a, b).withColumnRenamed("rate", "source_rate"), "doc", "left").join(match_rates(b, a).withColumnRenamed("rate", "chunk_rate"), "doc", "left").fillna(0)
     ratio = F.least(F.lit(1.0), F.col("chunk_chars") / F.nullif(F.col("source_chars"), F.lit(0)))
     return rows.withColumn("char_ratio", F.coalesce(ratio, F.lit(0.0))).withColumn("coverage", F.bround(F.col("char_ratio") * 0.35 + F.col("source_rate") * 0.35 + F.col("chunk_rate") * 0.30, 3))
 

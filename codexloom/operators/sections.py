@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexloom.functions import text as T
-from codexloom.operators.toc import section_ends
+from codexloom.operators.toc import BLOCK, section_ends
 from codexloom.session import written
 
 #: Lines after a heading that may continue it.
 WRAPPED = 12
-#: Lines in a block in which sections and lines meet.
-BLOCK = 64
 
 
 def heading_extent(spans: DataFrame, lines: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ parent_ord, page, method, confidence). All windows are partitioned by doc; one d
 from __future__ import annotations
 
 import difflib
+from bisect import bisect_left
+from collections.abc import Iterable
 from functools import reduce
 
 import pandas as pd
@@ -21,6 +23,8 @@ from codexloom.session import written
 
 #: Deepest level of a heading: six from the rules, one more for Markdown, two to spare for outlines.
 DEEPEST = 9
+#: Lines in a block in which lines and spans of a document meet.
+BLOCK = 64
 
 
 def toc_id(ord_: Column) -> Column:
@@ -131,30 +135,36 @@ def locate_pages(toc: DataFrame, lines: DataFrame, *, before: int = 1, after: in
 
 
 def _sequential(lines: pd.DataFrame, toc: pd.DataFrame) -> list[int | None]:
-    """Line of each heading of one document, in order: near its page, then after the last found, then by page."""
+    """Line of each heading of one document, in order: the one it has, else near its page, then after the last found,
+    then by page. lines holds those that any open heading can be, and the first of each page."""
     lines, toc = lines.sort_values("idx"), toc.sort_values("ord")
-    text, page = lines["normalized"].tolist(), lines["page"].tolist()
+    text, page, idx = lines["normalized"].tolist(), lines["page"].tolist(), lines["idx"].tolist()
 
-    def best(target: str, places: list[int]) -> int | None:
+    def best(target: str, places: Iterable[int]) -> int | None:
+        places = list(places)
         for i in places:
             if text[i].startswith(target[:18]):
-                return i
+                return idx[i]
         top, where = 0.0, None
         matcher = difflib.SequenceMatcher(None, "", target)
         for i in places:
+            if 2 * min(len(text[i]), len(target)) < 0.9 * (len(text[i]) + len(target)):
+                continue
             matcher.set_seq1(text[i])
-            if matcher.real_quick_ratio() >= 0.9 and matcher.quick_ratio() >= 0.9 and (r := matcher.ratio()) >= 0.9 and r > top:
-                top, where = r, i
+            if matcher.quick_ratio() >= 0.9 and (r := matcher.ratio()) >= 0.9 and r > top:
+                top, where = r, idx[i]
         return where
 
     out, cursor = [], 0
-    for target, p in zip(toc["_target"], toc["page"], strict=True):
+    for target, p, start in zip(toc["_target"], toc["page"], toc["start"], strict=True):
+        at = None if pd.isna(start) else int(start)
         known = not pd.isna(p)
-        at = best(target, [i for i, q in enumerate(page) if p - 1 <= q <= p + 2]) if known else None
+        if at is None and known:
+            at = best(target, (i for i, q in enumerate(page) if p - 1 <= q <= p + 2))
         if at is None:
-            at = best(target, list(range(cursor, len(text))))
+            at = best(target, range(bisect_left(idx, cursor), len(idx)))
         if at is None and known:
-            at = next((i for i, q in enumerate(page) if q >= p), None)
+            at = next((idx[i] for i, q in enumerate(page) if q >= p), None)
         out.append(at)
         if at is not None:
             cursor = max(cursor, at + 1)
@@ -165,7 +175,9 @@ def locate_heading_lines(toc: DataFrame, lines: DataFrame) -> DataFrame:
     """doc, ord, start: the line of each heading, null where there is none.
 
     The first line near the heading's page that begins with its first 18 characters decides; those prefixes are joined
-    by equality. Documents with a heading that has no such line are worked through in order by `_sequential`.
+    by equality. Documents with a heading that has no such line are worked through in order by `_sequential`, which gets
+    the headings and only the lines that an open one can be: those of about its length or with its beginning, and the
+    first of each page.
     """
     items = toc.select("doc", "ord", "page", T.normalize_title(F.col("title")).alias("_target")).withColumn("_cut", F.least(F.length("_target"), F.lit(18))).withColumn("_head", F.left(F.col("_target"), F.lit(18)))
     cuts = items.groupBy("doc").agg(F.collect_set("_cut").alias("_cuts"))
@@ -173,7 +185,8 @@ def locate_heading_lines(toc: DataFrame, lines: DataFrame) -> DataFrame:
     heads = heads.where(F.length("normalized") >= F.col("_cut")).withColumn("_head", F.left(F.col("normalized"), F.col("_cut"))).drop("normalized")
     hits = items.join(heads, ["doc", "_cut", "_head"]).where("_page BETWEEN page - 1 AND page + 2").groupBy("doc", "ord").agg(F.min("idx").alias("start"))
     placed = written(items.join(hits, ["doc", "ord"], "left"), "placed")
-    left = placed.where("start IS NULL").select("doc").distinct()
+    open_ = placed.where("start IS NULL")
+    left = open_.groupBy("doc").agg(F.collect_set(F.length("_target")).alias("_lens"), F.collect_set("_head").alias("_heads"))
     schema = "doc string, ord int, start int"
 
     def rest(key, some_lines: pd.DataFrame, some_toc: pd.DataFrame) -> pd.DataFrame:
@@ -181,8 +194,12 @@ def locate_heading_lines(toc: DataFrame, lines: DataFrame) -> DataFrame:
         start = pd.array(_sequential(some_lines, some_toc), dtype="Int32")
         return pd.DataFrame({"doc": key[0], "ord": some_toc["ord"].to_numpy(), "start": start})
 
-    hard_lines = lines.join(left, "doc", "left_semi").select("doc", "idx", "page", "normalized")
-    hard_items = items.join(left, "doc", "left_semi").select("doc", "ord", "page", "_target")
+    n = F.length("normalized")
+    page_first = F.row_number().over(Window.partitionBy("doc", "page").orderBy("idx")) == 1
+    may = lambda x: F.least(n, x) * 20 >= (n + x) * 9
+    asked = lines.select("doc", "idx", "page", "normalized").join(left, "doc").withColumn("_first", page_first)
+    hard_lines = asked.where(F.col("_first") | F.exists("_lens", may) | F.exists("_heads", lambda h: F.col("normalized").startswith(h))).select("doc", "idx", "page", "normalized")
+    hard_items = placed.join(left, "doc", "left_semi").select("doc", "ord", "page", "_target", "start")
     # Both sides come from the same pages; names of their own keep the cogroup from mixing them up.
     fresh = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])
     walked = fresh(hard_lines).groupBy("doc").cogroup(fresh(hard_items).groupBy("doc")).applyInPandas(rest, schema)
@@ -232,7 +249,11 @@ def augment_headings(toc: DataFrame, lines: DataFrame, starts: DataFrame, profil
     spans = spans.join(parents, ["doc", "ord"], "left_anti").where((F.col("level") <= 2) & H.is_augmentable_parent(F.col("title"))).select("doc", F.col("ord").alias("parent_ord"), "level", "start", F.coalesce("end", F.lit(1 << 30)).alias("end"))
     short = lines.where(H.is_body_short_heading(F.col("text"), profile)).select("doc", "idx", "page", F.col("text").alias("title"), F.col("normalized").alias("key"))
     known = toc.select("doc", T.normalize_title(F.col("title")).alias("key")).distinct()
-    found = short.join(known, ["doc", "key"], "left_anti").join(spans, "doc").where("idx > start AND idx < end")
+    # Lines meet the chapters that they lie in by blocks of the document.
+    block = lambda c: F.floor(c / BLOCK)
+    size = lines.groupBy("doc").agg((F.max("idx") + 1).alias("_size"))
+    spans = spans.join(size, "doc").withColumn("end", F.least("end", "_size")).withColumn("_block", F.explode(F.sequence(block(F.col("start")), F.greatest(block(F.col("start")), block(F.col("end")))))).drop("_size")
+    found = short.join(known, ["doc", "key"], "left_anti").withColumn("_block", block(F.col("idx"))).join(spans, ["doc", "_block"]).where("idx > start AND idx < end")
     schema = "doc string, parent_ord int, idx int, title string, level int, page int, toc_id string"
 
     def take(table: pd.DataFrame) -> pd.DataFrame:

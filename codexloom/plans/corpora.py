@@ -5,17 +5,22 @@ The same construction is stated twice: as DataFrames here and as SQL for the ora
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: A book per source; every document is a page with a section heading, every tenth also with a chapter heading.
+#: Documents of a source that may make a book: those whose identifiers lie in the same range. So books stay of a size,
+#: however many documents a source has.
+RANGE = 2_000
+KEY_SQL = f"(source || '-' || (doc_id // {RANGE}))"
+
+#: A book per source and range; every document is a page with a section heading, every tenth also with a chapter heading.
 BOOK_SQL = """
 book AS (
   SELECT doc, n::INT AS page, (CASE WHEN (n - 1) % 10 = 0 THEN {chapter} || chr(10) ELSE '' END) || {section} || chr(10) || text AS text
-  FROM (SELECT source AS doc, doc_id, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 10 + 1 AS k FROM documents)
+  FROM (SELECT doc, doc_id, text, row_number() OVER (PARTITION BY doc ORDER BY doc_id) AS n, (row_number() OVER (PARTITION BY doc ORDER BY doc_id) - 1) // 10 + 1 AS k FROM (SELECT *, {key} AS doc FROM documents))
 )"""
-ZH = BOOK_SQL.format(chapter="'第' || k || '章 Part ' || k", section="'第' || n || '节 Doc ' || doc_id")
-EN = BOOK_SQL.format(chapter="'Part ' || k || ' Volume'", section="'Chapter ' || n || ' Doc ' || doc_id")
+ZH = BOOK_SQL.format(key=KEY_SQL, chapter="'第' || k || '章 Part ' || k", section="'第' || n || '节 Doc ' || doc_id")
+EN = BOOK_SQL.format(key=KEY_SQL, chapter="'Part ' || k || ' Volume'", section="'Chapter ' || n || ' Doc ' || doc_id")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +31,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def book_key() -> Column:
+    return F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / RANGE).cast("string"))
+
+
+def in_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc (the book), n from 1 and the columns of documents."""
+    rows = documents(spark, sf_dir).withColumn("doc", book_key())
+    return rows.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("doc_id")))
+
+
 def book(spark: SparkSession, sf_dir: str, language: str = "zh") -> DataFrame:
-    n = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    rows = documents(spark, sf_dir).select(F.col("source").alias("doc"), "doc_id", "text", n.alias("n")).withColumn("k", F.floor((F.col("n") - 1) / 10) + 1)
+    rows = in_books(spark, sf_dir).select("doc", "doc_id", "text", "n").withColumn("k", F.floor((F.col("n") - 1) / 10) + 1)
     c = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) and x not in ("n", "k", "doc_id") else F.col(x).cast("string") for x in xs])
     chapter, section = (c("第", "k", "章 Part ", "k"), c("第", "n", "节 Doc ", "doc_id")) if language == "zh" else (c("Part ", "k", " Volume"), c("Chapter ", "n", " Doc ", "doc_id"))
     head = F.when((F.col("n") - 1) % 10 == 0, F.concat(chapter, F.lit("\n"))).otherwise("")

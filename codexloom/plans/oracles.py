@@ -45,7 +45,7 @@ def lines(x: str) -> str:
 
 
 ODD = "'　' || replace(text, '. ', '.　 ' || chr(9) || chr(13) || chr(10) || chr(10) || chr(10) || chr(10) || chr(10)) || ' ' || chr(9) || ' '"
-MARKED = "left(text, 60) || CASE doc_id % 4 WHEN 0 THEN '□■�' WHEN 1 THEN '字a中b文Ab字' WHEN 2 THEN chr(57345) ELSE '' END"
+MARKED = "text || CASE doc_id % 4 WHEN 0 THEN '□■�' WHEN 1 THEN '字a中b文Ab字' WHEN 2 THEN chr(57345) ELSE '' END"
 BARE = f"regexp_replace(m, {q(W + '+')}, '', 'g')"
 REST = f"regexp_replace({BARE}, {q(T._PLAIN)}, '', 'g')"
 GARBLED = f"(m <> '' AND ({like('m', T._ODD)} OR (w + p > 0 AND w * 50 >= (w + p) * 9)))"
@@ -67,7 +67,7 @@ FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(url, '^.*/', ''), '
     "flatten_lines": f"SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS idx, t AS text FROM (SELECT doc_id, i, {strip('l[i]')} AS t FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {lines('text')} AS l FROM documents))) WHERE t <> ''",
     "candidate_runs": "WITH r AS (SELECT DISTINCT user_id, (event_id // 7)::INT AS idx FROM events), g AS (SELECT *, idx - row_number() OVER (PARTITION BY user_id ORDER BY idx) AS g FROM r) SELECT user_id, idx FROM g QUALIFY count(*) OVER (PARTITION BY user_id, g) < 3",
     "null_embedding": "SELECT doc_id, 0::INT AS dimension FROM documents",
-    "l2_normalize": "SELECT vec_id, len(embedding)::INT AS dimension, TRUE AS unit FROM embeddings",
+    "l2_normalize": "SELECT vec_id, (i - 1)::INT AS pos, round(embedding[i]::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS x FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)",
     "failed_sources": "SELECT 'raw/p' || page_id || CASE page_id % 4 WHEN 2 THEN '.docx' ELSE '' END AS path, 'UnsupportedSourceError' AS error_class, '非支持文件，请检查文件格式' AS message FROM pages WHERE page_id % 4 IN (2, 3)",
     "unique_destinations": "SELECT 'in/' || lpad(page_id::VARCHAR, 9, '0') AS path, 'book' || page_id % 11 || '.pdf' AS name, CASE WHEN n = 0 THEN 'book' || page_id % 11 || '.pdf' ELSE 'book' || page_id % 11 || '_' || n || '.pdf' END AS target FROM (SELECT page_id, row_number() OVER (PARTITION BY page_id % 11 ORDER BY page_id) - 1 AS n FROM pages)",
 }
@@ -85,9 +85,10 @@ def windows(a: str, size: int, most: int) -> str:
 
 
 ORACLES["sample_match_rate"] = f"""
-WITH r AS (SELECT doc_id, text || coalesce(left(lag(text) OVER w, 400), '') AS a, coalesce(lag(text) OVER w, '') AS b FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id))
-SELECT doc_id, CASE WHEN a = '' OR b = '' THEN 0 WHEN length(a) <= 80 THEN contains(b, a)::BIGINT ELSE len(list_filter({windows('a', 80, 120)}, lambda i: contains(b, substr(a, i + 1, 80))))::BIGINT END AS matched,
-  CASE WHEN a = '' OR b = '' THEN 0 WHEN length(a) <= 80 THEN 1 ELSE len({windows('a', 80, 120)})::BIGINT END AS samples FROM r"""
+WITH r AS (SELECT doc_id, text || coalesce(lag(text) OVER w, '') AS a, coalesce(lag(text) OVER w, '') AS b FROM documents WINDOW w AS (PARTITION BY {C.KEY_SQL} ORDER BY doc_id)),
+m AS (SELECT doc_id, CASE WHEN a = '' OR b = '' THEN 0 WHEN length(a) <= 80 THEN contains(b, a)::BIGINT ELSE len(list_filter({windows('a', 80, 120)}, lambda i: contains(b, substr(a, i + 1, 80))))::BIGINT END AS matched,
+  CASE WHEN a = '' OR b = '' THEN 0 WHEN length(a) <= 80 THEN 1 ELSE len({windows('a', 80, 120)})::BIGINT END AS samples FROM r)
+SELECT *, CASE WHEN samples = 0 THEN 0 ELSE round_even(matched / samples, 3) END::DOUBLE AS rate FROM m"""
 ORACLES["oversized_windows"] = """
 WITH n AS (SELECT doc_id, text, 1 + greatest(0, ceil((length(text) - 300) / 280.0))::BIGINT AS n FROM documents)
 SELECT doc_id, k::INT AS pos, sha256(substr(text, k * 280 + 1, 300)) AS part FROM (SELECT doc_id, text, unnest(range(0, n)) AS k FROM n)"""
@@ -152,12 +153,16 @@ ORACLES["locate_heading_lines"] = f"WITH {STARTS} SELECT doc AS book, ord, start
 for _name, _rule in (("section_spans", "b.parent_ord = a.ord"), ("section_spans_max_level", "FALSE AND b.parent_ord = a.ord")):
     ORACLES[_name] = f"""WITH {STARTS}, loc AS (SELECT h.*, s.start FROM heads h JOIN starts s USING (doc, ord) WHERE s.start IS NOT NULL)
 SELECT a.doc AS book, a.ord, a.start, arg_min(b.start, b.ord) AS "end" FROM loc a LEFT JOIN loc b ON a.doc = b.doc AND b.ord > a.ord AND (b.level <= a.level OR {_rule}) GROUP BY a.doc, a.ord, a.start"""
-ORACLES["body_short_headings"] = f"""SELECT doc_id, line FROM (SELECT doc_id, '批判思维' || left(text, 8) || CASE doc_id % 3 WHEN 0 THEN '（一）' WHEN 1 THEN '：' ELSE '' END AS line FROM documents)
-WHERE length(line) BETWEEN 4 AND 30 AND NOT {like('line', H.END_MARKS)} AND NOT {like('line', '[。！？；“”"《》]|——')} AND NOT {like('line', H.CHAPTER)} AND NOT {like('line', H.PART)} AND NOT {like('line', H.SECTION)}
+ORACLES["body_short_headings"] = f"""WITH l AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {lines('text')} AS l FROM documents)),
+r AS (SELECT doc_id, (i - 1)::INT AS i, {strip('l[i]')} AS raw FROM l WHERE i < len(l) OR l[i] <> ''),
+t AS (SELECT doc_id, i, raw AS line FROM r UNION ALL SELECT doc_id, i, '批判思维' || raw || CASE doc_id % 3 WHEN 0 THEN '（一）' WHEN 1 THEN '：' ELSE '' END FROM r)
+SELECT doc_id, i, line FROM t WHERE length(line) BETWEEN 4 AND 30 AND NOT {like('line', H.END_MARKS)} AND NOT {like('line', '[。！？；“”"《》]|——')} AND NOT {like('line', H.CHAPTER)} AND NOT {like('line', H.PART)} AND NOT {like('line', H.SECTION)}
  AND NOT {like('line', '^[（(' + chr(92) + '[A-Za-z]')} AND {count('line', '（')} = {count('line', '）')} AND {count('line', chr(92) + '(')} = {count('line', chr(92) + ')')} AND {count('line', T.CJK)} >= 4 AND {count('line', '[A-Za-z]')} * 20 <= length(line) * 7"""
-PRINTED = """parts AS (SELECT source AS doc, least(9, count(*)) AS n FROM documents GROUP BY source), items AS (SELECT doc, ord::INT AS ord, '第' || ord || CASE WHEN ord % 3 = 0 THEN '章 ' ELSE '篇 ' END || doc AS title FROM (SELECT doc, unnest(range(1, n + 1)) AS ord FROM parts))"""
-ORACLES["front_matter_candidates"] = f"WITH {PRINTED} SELECT doc AS book, ord, title, CASE WHEN ord % 3 = 0 THEN 2 ELSE 1 END::INT AS level FROM items"
-ORACLES["repair_titles"] = f"WITH {PRINTED}, n AS (SELECT doc, count(*) AS n FROM items GROUP BY doc) SELECT doc AS book, ord, CASE WHEN ord % 4 = 0 AND n < 4 THEN chr(57344) || chr(57345) ELSE title END AS title, ord % 4 = 0 AND n >= 4 AS repaired FROM items JOIN n USING (doc)"
+PRINTED = f"""items AS (SELECT *, '第' || ord || CASE WHEN ord % 3 = 0 THEN '章 ' ELSE '篇 ' END || doc AS title, (ord - 1) // ceil(m / 10.0)::INT + 1 AS page
+ FROM (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY doc_id)::INT AS ord, count(*) OVER (PARTITION BY doc) AS m FROM (SELECT {C.KEY_SQL} AS doc, doc_id FROM documents)))"""
+ORACLES["front_matter_candidates"] = f"WITH {PRINTED} SELECT doc AS book, ord, title, CASE WHEN ord % 3 = 0 THEN 2 ELSE 1 END::INT AS level FROM items WHERE page <= 8"
+ORACLES["repair_titles"] = f"""WITH {PRINTED}, n AS (SELECT doc, count(*) AS n, count(*) FILTER (page <= 8) AS seen FROM items GROUP BY doc), r AS (SELECT doc, ord, title, page <= 8 AND ord % 4 = 0 AND seen >= greatest(3, floor(n * 0.6)) AS fixed FROM items JOIN n USING (doc))
+SELECT doc AS book, ord, CASE WHEN ord % 4 = 0 AND NOT fixed THEN chr(57344) || chr(57345) ELSE title END AS title, fixed AS repaired FROM r"""
 
 # ---- Markdown -------------------------------------------------------------------------------------------------------
 
@@ -251,7 +256,7 @@ ORACLES["classify_profile"] = f"WITH {SCORED} SELECT doc_id, {_pick} AS profile,
 
 # ---- inspection -----------------------------------------------------------------------------------------------------
 
-CH = "ch AS (SELECT source AS doc, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS chunk_index, text, length(text) AS n, CASE WHEN doc_id % 9 = 0 THEN [] ELSE [source, lang] END AS path FROM documents)"
+CH = f"ch AS (SELECT {C.KEY_SQL} AS doc, doc_id, row_number() OVER (PARTITION BY {C.KEY_SQL} ORDER BY doc_id) AS chunk_index, text, length(text) AS n, CASE WHEN doc_id % 9 = 0 THEN [] ELSE [source, lang] END AS path FROM documents)"
 LEN = f"{CH}, ls AS (SELECT doc, count(*) AS chunks, min(n)::INT AS min_chars, median(n)::DOUBLE AS median_chars, sum(n)::BIGINT AS sum_chars, max(n)::INT AS max_chars, count(*) FILTER (n < 100) AS very_short, count(*) FILTER (n >= 100 AND n < 300) AS short, count(*) FILTER (n BETWEEN 300 AND 2000) AS normal, count(*) FILTER (n > 2000 AND n <= 4000) AS long, count(*) FILTER (n > 4000) AS very_long FROM ch GROUP BY doc)"
 ORACLES["length_stats"] = f"WITH {LEN} SELECT doc AS book, * EXCLUDE (doc) FROM ls"
 LCHECK = f"""lc AS (SELECT doc, 'WARN' AS status, {q(I.M['very_long'])} AS message FROM ls WHERE very_long > 0 UNION ALL SELECT doc, 'WARN', {q(I.M['very_short'])} FROM ls WHERE very_short / chunks > 0.12
@@ -260,21 +265,37 @@ ORACLES["length_checks"] = f"WITH {LEN}, {LCHECK} SELECT doc AS book, status, me
 HEAD = "hp AS (SELECT doc, array_to_string(path, ' > ') AS p, count(*) AS n, min(chunk_index) AS f FROM ch GROUP BY ALL), hb AS (SELECT doc, p, n FROM hp QUALIFY row_number() OVER (PARTITION BY doc ORDER BY n DESC, f) = 1), hs AS (SELECT doc, count(*) AS chunks, count(*) FILTER (len(path) = 0) AS empty_paths, count(*) FILTER (len(path) <= 1) AS shallow_paths, sum(len(path))::BIGINT AS depth_sum, max(len(path))::INT AS max_depth FROM ch GROUP BY doc)"
 ORACLES["heading_stats"] = f"WITH {CH}, {HEAD} SELECT doc AS book, hs.* EXCLUDE (doc), p AS common_path, n AS common_count FROM hs JOIN hb USING (doc)"
 ORACLES["verdicts"] = f"""WITH {LEN}, {LCHECK}, {HEAD}, hc AS (SELECT hs.doc, unnest([CASE WHEN empty_paths > 0 THEN 'WARN' END, CASE WHEN shallow_paths / chunks > 0.65 AND chunks >= 20 THEN 'WARN' END, CASE WHEN n / chunks > 0.35 AND chunks >= 20 THEN 'WARN' END, CASE WHEN NOT (shallow_paths / chunks > 0.65 AND chunks >= 20) AND NOT (n / chunks > 0.35 AND chunks >= 20) THEN 'PASS' END]) AS status FROM hs JOIN hb USING (doc)),
-a AS (SELECT doc, status FROM lc UNION ALL SELECT doc, status FROM hc WHERE status IS NOT NULL), v AS (SELECT doc, count(*) FILTER (status = 'PASS') AS passed, count(*) FILTER (status = 'WARN') AS warned, 0::BIGINT AS failed FROM a GROUP BY doc)
-SELECT doc AS book, passed, warned, failed, greatest(0, 100 - 8 * warned) AS score, CASE WHEN warned > 0 THEN 'WARN' ELSE 'PASS' END AS result FROM v"""
+a AS (SELECT doc, status FROM lc UNION ALL SELECT doc, status FROM hc WHERE status IS NOT NULL), v AS (SELECT doc, count(*) FILTER (status = 'PASS') + (length(doc) + 1) % 2 AS passed, count(*) FILTER (status = 'WARN') AS warned, length(doc) % 2 AS failed FROM a GROUP BY doc)
+SELECT doc AS book, passed, warned, failed, greatest(0, 100 - 35 * failed - 8 * warned) AS score, CASE WHEN failed > 0 THEN 'FAIL' WHEN warned > 0 THEN 'WARN' ELSE 'PASS' END AS result FROM v"""
 ORACLES["sample_chunks"] = f"""WITH {CH}, x AS (SELECT doc, chunk_index, count(*) OVER w AS c, chunk_index - 1 AS i, row_number() OVER (PARTITION BY doc ORDER BY n DESC, chunk_index) AS l, row_number() OVER (PARTITION BY doc ORDER BY n, chunk_index) AS s FROM ch WINDOW w AS (PARTITION BY doc)),
 y AS (SELECT doc, chunk_index, CASE WHEN i = 0 THEN 1 WHEN i = c // 2 THEN 2 WHEN i = c - 1 THEN 3 WHEN l = 1 THEN 4 WHEN s = 1 THEN 5 END AS pick FROM x)
 SELECT doc AS book, chunk_index::INT AS chunk_index, row_number() OVER (PARTITION BY doc ORDER BY pick)::INT AS pick FROM y WHERE pick IS NOT NULL"""
-ORACLES["coverage"] = f"WITH {CH} SELECT doc AS book, length({compact('string_agg(text, chr(10) ORDER BY chunk_index)')})::INT AS source_chars, length({compact('string_agg(text, chr(10) ORDER BY chunk_index) FILTER (chunk_index % 3 <> 0)')})::INT AS chunk_chars FROM ch GROUP BY doc"
+
+
+def rate(a: str, b: str) -> str:
+    many = windows(a, 80, 120)
+    found = f"list_filter({many}, lambda i: contains({b}, substr({a}, i + 1, 80)))"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 WHEN length({a}) <= 80 THEN contains({b}, {a})::INT ELSE round_even(len({found}) / len({many}), 3) END"
+
+
+COVER = f"""{CH}, cv AS (SELECT doc, {compact('string_agg(text, chr(10) ORDER BY chunk_index)')} AS s, coalesce({compact('string_agg(text, chr(10) ORDER BY chunk_index) FILTER (chunk_index % (length(doc) % 4) > 0)')}, '') AS c FROM ch GROUP BY doc),
+cr AS (SELECT doc, length(s)::INT AS source_chars, length(c)::INT AS chunk_chars, ({rate('s', 'c')})::DOUBLE AS source_rate, ({rate('c', 's')})::DOUBLE AS chunk_rate FROM cv),
+cc AS (SELECT *, coalesce(least(1.0::DOUBLE, chunk_chars / nullif(source_chars, 0)), 0) AS char_ratio FROM cr), co AS (SELECT *, round_even(char_ratio * 0.35::DOUBLE + source_rate * 0.35::DOUBLE + chunk_rate * 0.30::DOUBLE, 3) AS coverage FROM cc)"""
+ORACLES["coverage"] = f"WITH {COVER} SELECT doc AS book, * EXCLUDE (doc) FROM co"
+ORACLES["coverage_checks"] = f"""WITH {COVER} SELECT doc AS book, CASE WHEN k IN ('cover_none', 'cover_bad') THEN 'FAIL' WHEN k = 'cover_low' THEN 'WARN' ELSE 'PASS' END AS status,
+ CASE k WHEN 'cover_none' THEN {q(I.M['cover_none'])} WHEN 'cover_bad' THEN {q(I.M['cover_bad'])} WHEN 'cover_low' THEN {q(I.M['cover_low'])} ELSE {q(I.M['cover_ok'])} END AS message
+FROM (SELECT doc, CASE WHEN source_chars = 0 OR chunk_chars = 0 THEN 'cover_none' WHEN coverage < 0.45 OR chunk_rate < 0.55 THEN 'cover_bad' WHEN coverage < 0.65 THEN 'cover_low' ELSE 'cover_ok' END AS k FROM co)"""
 ORACLES["check_file_match"] = f"""SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN page_id % 5 = 0 THEN {q(I.M['hash_bad'])} ELSE {q(I.M['hash_ok'])} END AS message FROM pages
 UNION ALL SELECT page_id, 'WARN', {q(I.M['name_bad'])} FROM pages WHERE page_id % 7 = 0"""
-ORACLES["garbled_checks"] = f"""WITH {TITLE}, g AS (SELECT source, doc_id, ({strip('m')} <> '' AND ({GARBLED} OR (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.12))) AS looks, n > 0 AND least(1.0, bad::DOUBLE / n) > 0.04 AS odd, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM t2)
-SELECT source AS book, count(*) FILTER (looks) AS garbled_titles, count(*) FILTER (looks) AS garbled_headings, count(*) FILTER (odd AND k <= 80) AS garbled_chunks FROM g GROUP BY source"""
+# Of a text its first 600 characters count, of a heading all.
+ORACLES["garbled_checks"] = f"""WITH {TITLE}, u AS (SELECT {C.KEY_SQL} AS doc, doc_id, left(m, 600) AS f, {strip('m')} <> '' AND ({GARBLED} OR (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.12)) AS looks FROM t2),
+g AS (SELECT doc, looks, {count('f', f'[^{T.W_IN}]')} AS n, {count('f', '[' + chr(0xfffd) + '□■◆◇\\x00-\\x08\\x0e-\\x1b]')} + {count('f', '[\\x{e000}-\\x{f8ff}]')} + {count('f', f'[A-Za-z]{T.CJK}[A-Za-z]|{T.CJK}[A-Za-z]{{2,}}{T.CJK}')} AS bad, row_number() OVER (PARTITION BY doc ORDER BY doc_id) AS k FROM u)
+SELECT doc AS book, count(*) FILTER (looks) AS garbled_titles, count(*) FILTER (looks) AS garbled_headings, count(*) FILTER (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.04 AND k <= 80) AS garbled_chunks FROM g GROUP BY doc"""
 ORACLES["recommend_heading_level"] = f"""WITH {TB}, {LEN}, d AS (SELECT doc, max(level) AS deep FROM heads GROUP BY doc), r AS (SELECT ls.doc, deep, deep > 1 AND (long + very_long) / chunks > 0.18 AS up, (very_short + short) / chunks > 0.35 AS down FROM ls JOIN d USING (doc))
 SELECT doc AS book, 1::INT AS "current", CASE WHEN up THEN least(deep, 2) ELSE 1 END::INT AS recommended, CASE WHEN up THEN 'consider_increase' WHEN down THEN 'consider_decrease' ELSE 'keep' END AS action, CASE WHEN NOT up AND down THEN 'low' ELSE 'medium' END AS confidence FROM r"""
 ORACLES["recommend_profile"] = f"""WITH {SCORED}, {META}, s AS (SELECT doc_id, {_pick} AS top, list_sort([{', '.join(BOOK_PROFILES)}], 'DESC') AS l FROM sc), c AS (SELECT s.*, meta.profile AS cur, CASE WHEN l[1] >= 6 AND l[1] - l[2] >= 4 THEN 'high' WHEN l[1] >= 4 AND l[1] - l[2] >= 2 THEN 'medium' ELSE 'low' END AS sure FROM s JOIN meta USING (doc_id))
 SELECT doc_id, cur AS "current", CASE WHEN sure = 'low' THEN cur ELSE top END AS recommended, sure AS confidence, CASE WHEN top = cur OR sure = 'low' THEN 'keep' ELSE 'consider_change' END AS action FROM c"""
-_SHORT = ORACLES["body_short_headings"].split("WHERE ", 1)[1].replace("line", "text")
+_SHORT = ORACLES["body_short_headings"].rsplit("WHERE ", 1)[1].replace("line", "text")
 ORACLES["augment_headings"] = f"""WITH {flat(C.ZH.replace("|| text AS text", "|| text || chr(10) || '批判性思维的第' || n || '要素' AS text"))},
 chapters AS (SELECT doc, idx, row_number() OVER (PARTITION BY doc ORDER BY idx)::INT AS ord FROM flat WHERE {like('text', H.CHAPTER)} AND {gate('text', 'textbook')})
 SELECT f.doc AS book, max(c.ord) AS parent_ord, f.idx, f.text AS title, 2::INT AS level, f.page FROM flat f JOIN chapters c ON c.doc = f.doc AND c.idx < f.idx WHERE {_SHORT} GROUP BY f.doc, f.idx, f.text, f.page"""
@@ -284,7 +305,8 @@ m AS (SELECT o.doc, o.ord, k.page, k.idx, CASE WHEN k.k = t THEN 1.0 ELSE 0.9 EN
 b AS (SELECT doc, ord, page, sure FROM m QUALIFY row_number() OVER (PARTITION BY doc, ord ORDER BY sure DESC, idx) = 1)
 SELECT o.doc AS book, o.ord, coalesce(b.page, o.page)::INT AS page, CASE b.sure WHEN 1.0 THEN 'exact_normalized' WHEN 0.9 THEN 'prefix_normalized' ELSE 'bookmark_page_fallback' END AS method, coalesce(b.sure, 0.5)::DOUBLE AS confidence FROM o LEFT JOIN b USING (doc, ord)"""
 ORACLES["source_files"] = "SELECT 'raw/p' || page_id || CASE page_id % 4 WHEN 0 THEN '.pdf' ELSE '.TXT' END AS path FROM pages WHERE page_id % 4 IN (0, 1)"
-ORACLES["match_packs"] = "SELECT 'out/p' || page_id || '_noembedding.pack.jsonl' AS pack, 'p' || page_id AS stem, CASE WHEN page_id % 4 = 0 THEN 'raw/p' || page_id || '.pdf' END AS book FROM pages WHERE page_id % 3 < 2"
+ORACLES["match_packs"] = "SELECT 'out/p' || page_id || '_noembedding.pack.jsonl' AS pack, 'p' || page_id AS stem, CASE WHEN page_id % 4 = 0 THEN 'raw/p' || page_id || '.pdf' END AS book FROM pages"
 ORACLES["sample_text"] = f"WITH {C.ZH} SELECT doc AS book, sha256(string_agg(text, chr(10) ORDER BY page)) AS sample FROM book WHERE page <= 20 GROUP BY doc"
-ORACLES["remove_heading_prefix"] = "SELECT doc_id, sha256(regexp_replace(text, '\\n$', '')) AS rest FROM documents"
+ORACLES["remove_heading_prefix"] = """SELECT doc_id, sha256(CASE doc_id % 3 WHEN 0 THEN regexp_replace(text, '\\n$', '') WHEN 1 THEN repeat('x' || chr(10), 20) || 'The Title Of It, and so much more' || chr(10) || text
+ ELSE 'Intro line' || chr(10) || 'The Title Of It, and so much more' || chr(10) || text END) AS rest FROM documents"""
 ORACLES["common_parent_path"] = "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source ELSE source || '/' || lang END AS path FROM documents"

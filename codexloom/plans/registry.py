@@ -79,7 +79,7 @@ def english_ratio_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _marked() -> Column:
     i = F.col("doc_id")
-    return F.concat(F.left("text", F.lit(60)), F.when(i % 4 == 0, "□■�").when(i % 4 == 1, "字a中b文Ab字").when(i % 4 == 2, "\ue001").otherwise(""))
+    return F.concat("text", F.when(i % 4 == 0, "□■�").when(i % 4 == 1, "字a中b文Ab字").when(i % 4 == 2, "\ue001").otherwise(""))
 
 
 @query
@@ -95,7 +95,7 @@ def is_garbled_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def normalize_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.documents(spark, sf_dir).select("doc_id", T.normalize_title(F.concat(F.lit("ﬁ Ａ１："), F.left("text", F.lit(30)))).alias("title"))
+    return C.documents(spark, sf_dir).select("doc_id", T.normalize_title(F.concat(F.lit("ﬁ Ａ１："), "text")).alias("title"))
 
 
 @query
@@ -111,10 +111,10 @@ def flatten_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("doc_id")
-    rows = C.documents(spark, sf_dir).select("doc_id", F.concat("text", F.coalesce(F.left(F.lag("text").over(w), F.lit(400)), F.lit(""))).alias("a"), F.coalesce(F.lag("text").over(w), F.lit("")).alias("b"))
-    m = T.sample_matches(F.col("a"), F.col("b"), 80, 120)
-    return rows.select("doc_id", m["matched"].alias("matched"), m["samples"].alias("samples"))
+    w = Window.partitionBy("doc").orderBy("doc_id")
+    rows = C.in_books(spark, sf_dir).select("doc_id", F.concat("text", F.coalesce(F.lag("text").over(w), F.lit(""))).alias("a"), F.coalesce(F.lag("text").over(w), F.lit("")).alias("b"))
+    rows = T.pinned(rows, m=T.sample_matches(F.col("a"), F.col("b"), 80, 120), rate=T.sample_match_rate(F.col("a"), F.col("b")))
+    return rows.select("doc_id", "m.matched", "m.samples", F.col("rate").cast("double").alias("rate"))
 
 
 # ---- headings and contents ------------------------------------------------------------------------------------------
@@ -142,8 +142,11 @@ for _p in BOOK_PROFILES:
 
 @query
 def body_short_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("批判思维"), F.left("text", F.lit(8)), F.when(F.col("doc_id") % 3 == 0, "（一）").when(F.col("doc_id") % 3 == 1, "：").otherwise(""))
-    return C.documents(spark, sf_dir).select("doc_id", text.alias("line")).where(H.is_body_short_heading(F.col("line"), "textbook"))
+    """Every line of every document, as it is and behind a Chinese phrase."""
+    lines = C.documents(spark, sf_dir).select("doc_id", F.posexplode(T.splitlines(F.col("text"))).alias("i", "raw")).withColumn("raw", T.strip(F.col("raw")))
+    tail = F.when(F.col("doc_id") % 3 == 0, "（一）").when(F.col("doc_id") % 3 == 1, "：").otherwise("")
+    tried = lines.select("doc_id", "i", F.explode(F.array(F.col("raw"), F.concat(F.lit("批判思维"), "raw", tail))).alias("line"))
+    return tried.where(H.is_body_short_heading(F.col("line"), "textbook"))
 
 
 @query
@@ -152,15 +155,18 @@ def toc_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A printed table of contents on page 1 of every book, and the outline it belongs to with some titles garbled."""
-    parts = C.documents(spark, sf_dir).groupBy("source").agg(F.least(F.lit(9), F.count(F.lit(1))).cast("int").alias("n"))
-    rows = parts.select(F.col("source").alias("doc"), F.explode(F.sequence(F.lit(1), "n")).alias("ord"))
+    """The outline of every book, an entry per document, printed over its first ten pages."""
+    rows = C.in_books(spark, sf_dir).select("doc", F.col("n").cast("int").alias("ord"), F.count(F.lit(1)).over(Window.partitionBy("doc")).alias("m"))
+    rows = rows.withColumn("page", (F.floor((F.col("ord") - 1) / F.ceil(F.col("m") / 10)) + 1).cast("int"))
     return rows.withColumn("title", F.concat(F.lit("第"), F.col("ord").cast("string"), F.when(F.col("ord") % 3 == 0, "章 ").otherwise("篇 "), "doc"))
 
 
 def _contents_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with their part of the printed contents, its last line twice, and then the text of a document."""
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "title"))), lambda x: x["title"]), "\n")
-    return _contents(spark, sf_dir).groupBy("doc").agg(F.concat(F.lit("目录\n"), listed, F.lit("\n"), F.max_by("title", "ord")).alias("text")).select("doc", F.lit(1).alias("page"), "text")
+    printed = _contents(spark, sf_dir).groupBy("doc", "page").agg(F.concat(F.lit("目录\n"), listed, F.lit("\n"), F.max_by("title", "ord")).alias("head"))
+    rows = C.in_books(spark, sf_dir).select("doc", F.col("n").cast("int").alias("page"), "text").join(printed, ["doc", "page"], "left")
+    return rows.select("doc", "page", F.concat_ws("\n", "head", "text").alias("text"))
 
 
 @query
@@ -170,7 +176,7 @@ def front_matter_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def repair_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outline = _contents(spark, sf_dir).withColumn("level", F.when(F.col("ord") % 3 == 0, 2).otherwise(1)).withColumn("title", F.when(F.col("ord") % 4 == 0, F.lit("\ue000\ue001")).otherwise(F.col("title")))
+    outline = _contents(spark, sf_dir).drop("m", "page").withColumn("level", F.when(F.col("ord") % 3 == 0, 2).otherwise(1)).withColumn("title", F.when(F.col("ord") % 4 == 0, F.lit("\ue000\ue001")).otherwise(F.col("title")))
     return _key(toc.repair_titles(outline, _contents_pages(spark, sf_dir)).select("doc", "ord", "title", "repaired"))
 
 
@@ -283,7 +289,7 @@ def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pack_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = C.documents(spark, sf_dir).select(F.col("source").alias("doc")).distinct().select("doc", F.concat(F.lit("sha256:"), "doc").alias("document_id"), F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
+    docs = C.documents(spark, sf_dir).select(C.book_key().alias("doc")).distinct().select("doc", F.concat(F.lit("sha256:"), "doc").alias("document_id"), F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
     return _key(engine.pack_table(_book(spark, sf_dir), docs, "textbook"))
 
 
@@ -402,14 +408,13 @@ def recommend_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as the chunks of their source."""
-    n = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    """Documents as the chunks of their book."""
     path = F.when(F.col("doc_id") % 9 == 0, F.array().cast("array<string>")).otherwise(F.array("source", "lang"))
-    return C.documents(spark, sf_dir).select(F.col("source").alias("doc"), "doc_id", n.alias("chunk_index"), "text", path.alias("heading_path"))
+    return C.in_books(spark, sf_dir).select("doc", "doc_id", F.col("n").alias("chunk_index"), "text", path.alias("heading_path"))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.documents(spark, sf_dir).select(F.col("source").alias("doc")).distinct().withColumn("section_split_chars", F.lit(2000))
+    return C.documents(spark, sf_dir).select(C.book_key().alias("doc")).distinct().withColumn("section_split_chars", F.lit(2000))
 
 
 @query
@@ -429,22 +434,25 @@ def heading_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def garbled_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _chunks(spark, sf_dir).withColumn("text", _marked()).withColumn("heading_path", F.array(_marked()))
+    rows = _chunks(spark, sf_dir).withColumn("marked", _marked()).withColumn("heading_path", F.array("marked")).drop("text").withColumnRenamed("marked", "text")
     return _key(inspect.garbled_stats(rows.select("doc", F.element_at("heading_path", 1).alias("title")), rows))
 
 
 @query
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(_coverage(spark, sf_dir))
+
+
+def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every book against some of its documents: most, few or none."""
     rows = _chunks(spark, sf_dir)
     pages = rows.select("doc", F.col("chunk_index").alias("page"), "text")
-    kept = rows.where("chunk_index % 3 <> 0")
-    return _key(inspect.coverage(pages, kept).select("doc", "source_chars", "chunk_chars"))
+    return inspect.coverage(pages, rows.where("chunk_index % (length(doc) % 4) > 0"))
 
 
 @query
 def coverage_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _chunks(spark, sf_dir)
-    return _key(inspect.check_coverage(inspect.coverage(rows.select("doc", F.col("chunk_index").alias("page"), "text"), rows)).select("doc", "status", "message"))
+    return _key(inspect.check_coverage(_coverage(spark, sf_dir)).select("doc", "status", "message"))
 
 
 @query
@@ -492,7 +500,8 @@ def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inspect_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = C.book(spark, sf_dir)
-    sources = inspect.joined_text(pages, "page").select("doc", T.sha256_text(F.col("text")).alias("document_id"), F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
+    hashes = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", F.sha2("text", 256).alias("h")))), lambda x: x["h"]), "")
+    sources = pages.groupBy("doc").agg(T.sha256_text(hashes).alias("document_id")).select("doc", "document_id", F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
     out = engine.inspect_books(engine.build_books(pages, "textbook"), pages, "textbook", sources)
     return _key(out.select("doc", "passed", "warned", "failed", "score", "result", "recommendation", "recommendations", "samples"))
 
@@ -501,6 +510,8 @@ def inspect_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, split = _chunks(spark, sf_dir), _split(spark, sf_dir)
     checks = inspect.check_lengths(inspect.length_stats(rows, split)).unionByName(inspect.check_headings(inspect.heading_stats(rows)))
+    odd = split.select("doc", F.lit("a").alias("expected_hash"), F.when(F.length("doc") % 2 == 0, "a").otherwise("b").alias("actual_hash"), F.lit("x/n").alias("source_name"), F.lit("n").alias("actual_name"))
+    checks = checks.unionByName(inspect.check_file_match(odd))
     return _key(inspect.verdict(checks).select("doc", "passed", "warned", "failed", "score", "result"))
 
 
@@ -529,7 +540,7 @@ def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = C.table(spark, sf_dir, "embeddings").select("vec_id", embed.l2_normalize(F.col("embedding")).alias("v"))
-    return rows.select("vec_id", F.size("v").alias("dimension"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).between(0.999999, 1.000001).alias("unit"))
+    return rows.select("vec_id", F.posexplode("v").alias("pos", "x")).select("vec_id", "pos", F.round("x", 6).alias("x"))
 
 
 @query
@@ -550,7 +561,7 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def match_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("page_id").cast("string")
-    made = C.table(spark, sf_dir, "pages").where("page_id % 3 < 2").select(F.concat(F.lit("out/p"), i, F.lit("_noembedding.pack.jsonl")).alias("path"))
+    made = C.table(spark, sf_dir, "pages").select(F.concat(F.lit("out/p"), i, F.lit("_noembedding.pack.jsonl")).alias("path"))
     found, missing = S.match_packs(made, S.source_files(_raw(spark, sf_dir), ".pdf"))
     return found.unionByName(missing.withColumn("book", F.lit(None).cast("string"))).select("pack", "stem", "book")
 
@@ -562,8 +573,11 @@ def sample_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def remove_heading_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("Intro line\nThe Title Of It\n"), "text")
-    return C.documents(spark, sf_dir).select("doc_id", F.sha2(T.remove_heading_prefix(text, F.lit("The Title Of It")), 256).alias("rest"))
+    """A title in the second line, in the first beyond the twentieth, or in none."""
+    i = F.col("doc_id")
+    text = F.concat(F.when(i % 3 == 1, F.lit("x\n" * 20)).otherwise("Intro line\n"), F.lit("The Title Of It, and so much more\n"), "text")
+    title = F.when(i % 3 == 2, "Absent Title Here").otherwise("The Title Of It, and so little")
+    return C.documents(spark, sf_dir).select("doc_id", F.sha2(T.remove_heading_prefix(text, title), 256).alias("rest"))
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,12 +29,19 @@ def get_session(app: str = "codexloom", cpus: str | int = "*") -> SparkSession:
 
 #: Bytes of an Arrow batch; a worker and its executor hold a few at a time, however long the texts are.
 ARROW_BATCH = "8m"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _default(spark: SparkSession, key: str) -> str:
+    """What a session has for a setting if nobody sets it."""
+    return spark._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(key)
 
 
 def let_workers_import(spark: SparkSession) -> SparkSession:
     """Adds the folder of this package to the Python workers' path, for callers that have not installed it, and keeps
-    the batches that they get small."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+    the batches that they get small where the caller has not settled their size."""
+    if spark.conf.get(_BATCH_BYTES) == _default(spark, _BATCH_BYTES) and not spark.sparkContext.getConf().contains(_BATCH_BYTES):
+        spark.conf.set(_BATCH_BYTES, ARROW_BATCH)
     home, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
     if home not in (known := env.get("PYTHONPATH", "")).split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (home, known) if x)
@@ -41,10 +49,13 @@ def let_workers_import(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The shared folder named by spark.checkpoint.dir. Where that is unset, a folder in the warehouse, which all
+    executors reach too; a temporary folder of this machine only if the executors are threads of this process."""
     global _own_dir
     if configured := spark.conf.get("spark.checkpoint.dir", None):
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/codexloom-scratch"
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="codexloom-")
     return _own_dir

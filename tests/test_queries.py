@@ -41,4 +41,4 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.skipif(not Path(SF).exists(), reason="the driver's tables are not here")
 def test_entry(spark):
     out = entry.entry(spark)
-    assert out.count() == 20 and set(out.columns) >= {"book", "result", "score"}
+    assert out.count() >= 20 and set(out.columns) >= {"book", "result", "score"}
