@@ -45,25 +45,45 @@ def build_books(pages: DataFrame, profile: str | Profile = "social_science", out
     return Book(lines, contents, found, written(chunking.make_chunks(found, p), "chunks"))
 
 
-def build_markdown(files: DataFrame, profile: str = "tech_notes", pack: str | None = None) -> Book:
-    """files (path, text[, pack]) to chunks. A pack's files follow each other by path; a file without pack is its own."""
+def build_markdown(files: DataFrame, profile: str = "tech_notes") -> Book:
+    """files (path, text[, modified, pack]) to chunks. A pack's files follow each other by path; a file without a pack is
+    its own. Of the result, lines is a row per file with its metadata, and chunks know their sources."""
     p = PROFILES[profile]
-    found = written(markdown.sections(files), "notes")
-    chosen = markdown.select_sections(found)
-    rows = chosen.select("doc", "ord", F.format_string("toc:%06d", "ord").alias("toc_id"), "title", "level", "parent_ord", "path_ords", "text", F.lit(None).cast("int").alias("page_start"), F.lit(None).cast("int").alias("page_end"))
-    return Book(files, found, rows, chunking.make_chunks(rows, p))
-
-
-def pack_table(book: Book, docs: DataFrame, profile: str | Profile, embedder: Embedder | None = None) -> DataFrame:
-    """The lines of the packs of docs (doc, document_id, title, file_name)."""
+    files = files if "pack" in files.columns else files.withColumn("pack", F.col("path"))
+    told = written(markdown.metadata(markdown.relative_names(files, "pack"), profile).drop("text"), "files")
+    found = written(markdown.pack_sections(files), "notes")
+    contents = found.join(told.select("path", F.col("file_path").alias("file")), "path").withColumn("toc_id", toc.toc_id(F.col("ord")))
+    contents = contents.withColumn("method", F.when(F.col("line") < 0, "markdown_file").otherwise("markdown_heading")).withColumn("confidence", F.lit(1.0)).withColumn("page", F.lit(None).cast("int"))
+    chosen = markdown.select_sections(contents)
+    none = F.lit(None).cast("int")
+    rows = chosen.select("doc", "ord", "toc_id", "title", "level", "parent_ord", "path_ords", "text", none.alias("page_start"), none.alias("page_end"))
+    chunks = written(markdown.with_sources(chunking.make_chunks(rows, p), found, told), "chunks")
+    return Book(told, contents.drop("text", "is_parent", "line"), rows, chunks)
+
+
+def pack_table(book: Book, docs: DataFrame, profile: str | Profile, embedder: Embedder | None = None, **manifest) -> DataFrame:
+    """The lines of the packs of docs (doc, document_id, title, file_name); manifest: options of the manifest record."""
     p, e = PROFILES[profile] if isinstance(profile, str) else profile, embedder or NullEmbedder()
     counts = book.toc.groupBy("doc").agg(F.count(F.lit(1)).alias("item_count"))
     named = docs.join(counts, "doc", "left").withColumn("item_count", F.coalesce("item_count", F.lit(0)))
-    chunks = packs.heading_paths(book.chunks, book.toc).join(docs.select("doc", "document_id", F.col("title").alias("book_title")), "doc")
+    # A document without headings has one section that no contents list.
+    step = lambda df: df.select("doc", "ord", "toc_id", "title", "level")
+    items = step(book.toc).unionByName(step(book.sections.join(book.toc.select("doc").distinct(), "doc", "left_anti")))
+    chunks = packs.heading_paths(book.chunks, items).join(docs.select("doc", "document_id", F.col("title").alias("book_title")), "doc")
     records = packs.chunk_records(chunks)
     if e.dimension:
         records = records.withColumn("embedding", embedding(F.col("embedding_text"), e))
-    return packs.pack_lines(packs.manifest(named, p, model=e.model_name, dimension=e.dimension), packs.toc_record(book.toc), records)
+    source = manifest.get("toc_source") or F.when(F.col("item_count") > 0, "txt_heading_rules").otherwise("synthetic")
+    manifest |= {"toc_source": source, "model": e.model_name, "dimension": e.dimension, "normalize": e.normalize}
+    return packs.pack_lines(packs.manifest(named, p, **manifest), packs.toc_record(book.toc, named.select("doc", "document_id", "item_count"), source), records, p)
+
+
+def markdown_packs(files: DataFrame, docs: DataFrame, profile: str, embedder: Embedder | None = None, **manifest) -> DataFrame:
+    """The lines of the packs of notes. files: pack, path, text[, modified]; docs: doc (the pack), title, file_name."""
+    book = build_markdown(files, profile)
+    hashes = markdown.source_hash(files, "pack").withColumnRenamed("pack", "doc")
+    listed = book.lines.groupBy(F.col("pack").alias("doc")).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("o"), F.struct(*markdown.METADATA).alias("m")))), lambda x: x["m"]).alias("files"))
+    return pack_table(book, docs.join(hashes, "doc").join(listed, "doc"), profile, embedder, source_type="markdown", toc_source="markdown_headings", **manifest)
 
 
 def inspect_books(book: Book, pages: DataFrame, profile: str | Profile, docs: DataFrame) -> DataFrame:
@@ -80,14 +100,16 @@ def inspect_packs(lines: DataFrame, pages: DataFrame, sources: DataFrame) -> Dat
     chunks, items = written(inspect.pack_chunks(records), "paths"), written(inspect.pack_items(records), "items")
     lengths, heads = written(inspect.length_stats(chunks, meta), "lengths"), written(inspect.heading_stats(chunks), "heads")
     none = sources.select("doc").join(records.select("doc").distinct(), "doc", "left_anti").select("doc", F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("record_type"))
-    checks = (
+    garbled, covered = written(inspect.garbled_stats(items.select("doc", "title"), chunks), "garbled"), written(inspect.coverage(pages, chunks), "covered")
+    checks = written(
         inspect.check_file_match(meta)
         .unionByName(inspect.check_schema(records.select("doc", "line_no", "line", "record_type").unionByName(none)))
         .unionByName(inspect.check_profile(meta))
         .unionByName(inspect.check_lengths(lengths))
         .unionByName(inspect.check_headings(heads))
-        .unionByName(inspect.check_garbled(inspect.garbled_stats(items.select("doc", "title"), chunks)))
-        .unionByName(inspect.check_coverage(inspect.coverage(pages, chunks)))
+        .unionByName(inspect.check_garbled(garbled))
+        .unionByName(inspect.check_coverage(covered)),
+        "checks",
     )
     listed = inspect.body_heading_candidates(pages).join(meta.select("doc", "profile"), "doc").select("doc", F.when(F.col("profile") == "reference", 0).otherwise(F.col("candidates")).alias("candidates"))
     advice = {
@@ -95,9 +117,11 @@ def inspect_packs(lines: DataFrame, pages: DataFrame, sources: DataFrame) -> Dat
         "level": inspect.recommend_level(meta.drop("section_split_chars"), items, lengths),
         "body_headings": inspect.recommend_body_headings(meta, listed, lengths, heads),
     }
-    out = inspect.verdict(checks, meta)
-    for name, rows in advice.items():
+    stats = {"length": lengths.withColumn("average", F.round(F.col("sum_chars") / F.col("chunks"), 1)).drop("split"), "heading": heads, "garbled": garbled, "coverage": covered}
+    out = inspect.with_checks(inspect.verdict(checks, meta), checks)
+    for name, rows in (advice | stats).items():
         out = out.join(rows.select("doc", F.struct(*[c for c in rows.columns if c != "doc"]).alias(f"_{name}")), "doc", "left")
-    samples = inspect.compare_samples(chunks, pages)
-    samples = samples.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(*[c for c in samples.columns if c != "doc"]))).alias("samples"))
-    return out.withColumn("recommendations", F.struct(*[F.col(f"_{n}").alias(n) for n in advice])).drop(*[f"_{n}" for n in advice]).join(samples, "doc", "left")
+    counts = records.groupBy("doc").agg(F.count_if(F.col("record_type") == "chunk").alias("chunks")).join(items.groupBy("doc").agg(F.count(F.lit(1)).alias("toc_items")), "doc", "left").fillna(0)
+    summary = meta.join(counts, "doc", "left").select("doc", "title", F.struct("chunks", "toc_items", "toc_source", "profile", F.col("provider").alias("embedding_provider"), F.col("dimension").alias("embedding_dimension")).alias("summary"))
+    out = out.join(summary, "doc", "left").withColumn("recommendations", F.struct(*[F.col(f"_{n}").alias(n) for n in advice])).withColumn("stats", F.struct(*[F.col(f"_{n}").alias(n) for n in stats]))
+    return inspect.with_samples(out.drop(*[f"_{n}" for n in advice | stats]), inspect.compare_samples(chunks, pages))

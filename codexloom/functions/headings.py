@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from codexloom.functions.text import CJK, W, rx
+from codexloom.functions.text import CJK, W, cjk_letters, english_letters, rx
 
 _N = r"[一二三四五六七八九十百千万\d]+"
 CHAPTER = rx(rf"^第\s*{_N}\s*章[　\s]*(.+)?$")
@@ -67,7 +67,7 @@ def any_of(x: Column, patterns: tuple[str, ...]) -> Column:
 
 def is_possible_heading(x: Column, profile: str = "social_science") -> Column:
     rules = SOCIAL_RULE if profile == "social_science" else (*ANY_RULE, *((REFERENCE_ALPHA, REFERENCE_ENTRY) if profile == "reference" else ()))
-    return (x != "") & ~x.rlike("^[■•—-]") & (F.length(x) <= 60) & ~x.rlike(END_MARKS) & any_of(x, rules)
+    return (x != "") & (F.length(x) <= 60) & ~x.rlike("^[■•—-]") & ~x.rlike(END_MARKS) & any_of(x, rules)
 
 
 def own_level(x: Column, profile: str = "social_science") -> Column:
@@ -90,7 +90,7 @@ def is_augmentable_parent(title: Column) -> Column:
 def is_body_short_heading(x: Column, profile: str = "social_science") -> Column:
     if profile == "reference":
         return F.lit(False)
-    n, cjk, ascii_ = F.length(x), F.regexp_count(x, F.lit(CJK)), F.regexp_count(x, F.lit("[A-Za-z]"))
+    n, cjk, ascii_ = F.length(x), cjk_letters(x), english_letters(x)
     count = lambda c: F.length(x) - F.length(F.translate(x, c, ""))
     return (
         n.between(4, 30)

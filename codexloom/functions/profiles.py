@@ -18,6 +18,13 @@ class Profile:
     overlap: int
     max_level: int | None
 
+    @property
+    def heading_detection(self) -> str:
+        """The name of the rules that a manifest states (fixed values)."""
+        if self.kind == "markdown":
+            return f"markdown_heading_{self.name}_v1"
+        return f"pdf_outline_first_{'zh_' if self.name in ('social_science', 'textbook') else ''}{self.name}_v1"
+
     def with_(self, **given: int | None) -> Profile:
         """The profile with what was given in place of its defaults; None keeps the default."""
         return replace(self, **{k: v for k, v in given.items() if v is not None})

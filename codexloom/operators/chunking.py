@@ -103,7 +103,8 @@ def merge_plan(runs: DataFrame, p: Profile) -> DataFrame:
 
 def make_chunks(sections: DataFrame, p: Profile = PLAIN) -> DataFrame:
     """Chunks of sections (doc, ord, title, parent_ord, path_ords, text, …): doc, chunk_index from 1, text, reason,
-    part_index, part_count, ords (sections in it), path_ords, page_start, page_end."""
+    part_index, part_count, ords (sections in it), path_ords, merged_headings, merged_ords, source_ords (the sections that
+    its source is told from), page_start, page_end."""
     run = sibling_runs(sections.withColumn("_t", T.strip(F.col("text"))).where("_t <> ''"))
     run = run.withColumn("len", F.length("_t")).withColumn("_parts", F.when(F.col("len") > p.split, split_long(F.col("text"), p.max, p.overlap)))
     run = written(run, "runs")
@@ -116,10 +117,7 @@ def make_chunks(sections: DataFrame, p: Profile = PLAIN) -> DataFrame:
     pieces = pieces.withColumn("slot", F.col("slot") + F.col("part"))
     rows = pieces.groupBy("doc", "run", "slot").agg(F.array_sort(F.collect_list(F.struct("ord", "piece", "reason", "path_ords", "title"))).alias("_x"), F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), F.max("part").alias("part"), F.max("part_count").alias("part_count"))
     first = F.col("_x")[0]
-    merged = F.transform("_x", lambda x: x["path_ords"])
-    # What all paths share; the first element where they share nothing.
-    shared = F.filter(first["path_ords"], lambda o: F.forall(merged, lambda q: F.array_contains(q, o)))
-    shared = F.when(F.size(shared) == 0, F.slice(first["path_ords"], 1, 1)).otherwise(shared)
+    merged = F.transform(F.filter("_x", lambda x: x["reason"] == MERGED), lambda x: x["path_ords"])
     joined = first["reason"] == MERGED
     back = F.element_at("_x", -1)["reason"] == BACKWARD
     reason = F.when(back, BACKWARD).otherwise(first["reason"])
@@ -131,8 +129,10 @@ def make_chunks(sections: DataFrame, p: Profile = PLAIN) -> DataFrame:
         F.when(first["reason"] == CUT, F.col("part") + 1).alias("part_index"),
         F.col("part_count"),
         F.transform("_x", lambda x: x["ord"]).alias("ords"),
-        F.when(joined, shared).otherwise(first["path_ords"]).alias("path_ords"),
+        F.when(joined, T.bound(merged, common_parent_path)).otherwise(first["path_ords"]).alias("path_ords"),
         F.transform(F.filter("_x", lambda x: joined | (x["reason"] == BACKWARD)), lambda x: x["title"]).alias("merged_headings"),
+        F.transform(F.filter("_x", lambda x: joined | (x["reason"] == BACKWARD)), lambda x: x["ord"]).alias("merged_ords"),
+        F.transform(F.filter("_x", lambda x, i: F.when(joined, x["reason"] == MERGED).otherwise(i == 0)), lambda x: x["ord"]).alias("source_ords"),
         "page_start",
         "page_end",
     )

@@ -7,8 +7,10 @@ The messages are fixed values.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from codexloom.functions import headings as H
 from codexloom.functions import text as T
@@ -57,6 +59,17 @@ M = {
 }
 
 
+#: Reasons of recommendations (fixed values).
+R = {
+    "profile_weak": "离线分类信号较弱，建议保持当前 profile。",
+    "profile_same": "当前 profile 与离线分类推荐一致。",
+    "level_fits": "当前最细分块层级与 chunk 长度分布基本匹配。",
+    "body_on": "当前 RAGPack 已使用正文短标题增强，适合书签较浅但正文标题清晰的书。",
+    "body_want": "PDF 书签可能偏浅，正文中检测到较多短标题候选；如 chunk 仍偏长，可考虑启用/加强正文短标题增强。",
+    "body_no": "未发现足够强的正文短标题增强需求。",
+}
+
+
 def messages(df: DataFrame, first_ord: int, *rules: tuple[Column, str, str]) -> DataFrame:
     """Rows (doc, ord, status, message) of the rules (condition, status, message key) that hold."""
     items = [F.when(when, F.struct(F.lit(first_ord + i).alias("ord"), F.lit(status).alias("status"), F.lit(M[key]).alias("message"))) for i, (when, status, key) in enumerate(rules)]
@@ -134,6 +147,14 @@ def compact_blocks(rows: DataFrame, order: str, reach: int = 80) -> DataFrame:
     return pieces.groupBy("doc", "total", "block").agg(text.alias("text"))
 
 
+@F.arrow_udf(ArrayType(LongType()))
+def _held(texts: pa.Array, numbers: pa.Array, windows: pa.Array) -> pa.Array:
+    """Numbers of the windows that a text holds. Python's search leaps by the length of what it looks for; the built-in
+    one goes byte by byte and takes four times as long."""
+    rows = zip(texts.to_pylist(), numbers.to_pylist(), windows.to_pylist(), strict=True)
+    return pa.array([[k for k, w in zip(ks, ws, strict=True) if w in text] for text, ks, ws in rows], pa.list_(pa.int64()))
+
+
 def match_rates(source: DataFrame, target: DataFrame, window: int = 80, most: int = 120) -> DataFrame:
     """doc, rate: the share of windows spread over source's text that target's holds, both as compact_blocks. At most
     some `most` windows of a document meet its blocks, so no row holds a whole text."""
@@ -143,7 +164,7 @@ def match_rates(source: DataFrame, target: DataFrame, window: int = 80, most: in
     asked = asked.select("doc", "_k", F.substring("text", (F.col("_k") * step - base + 1).cast("int"), F.lit(window)).alias("_w"))
     per = asked.groupBy("doc").agg(F.count(F.lit(1)).alias("samples"), F.collect_list(F.struct("_k", "_w")).alias("_ws"))
     met = target.select("doc", "text").join(per.select("doc", "_ws"), "doc")
-    met = met.select("doc", F.explode(F.filter("_ws", lambda w: F.contains(F.col("text"), w["_w"]))["_k"]).alias("_k"))
+    met = met.select("doc", F.explode(_held("text", F.col("_ws")["_k"], F.col("_ws")["_w"])).alias("_k"))
     found = met.groupBy("doc").agg(F.count_distinct("_k").alias("matched"))
     return per.join(found, "doc", "left").select("doc", F.bround(F.coalesce("matched", F.lit(0)) / F.col("samples"), 3).alias("rate"))
 
@@ -263,7 +284,10 @@ def recommend_profile(classified: DataFrame, meta: DataFrame) -> DataFrame:
     sure = F.when((F.col("_best") >= 6) & (F.col("_gap") >= 4), "high").when((F.col("_best") >= 4) & (F.col("_gap") >= 2), "medium").otherwise("low")
     rows = rows.withColumn("confidence", sure)
     keep = (F.col("profile") == F.col("current")) | (F.col("confidence") == "low")
-    return rows.select("doc", "current", F.when(F.col("confidence") == "low", F.col("current")).otherwise(F.col("profile")).alias("recommended"), "confidence", F.when(keep, "keep").otherwise("consider_change").alias("action"))
+    reason = F.when(F.col("confidence") == "low", R["profile_weak"]).when(F.col("profile") == F.col("current"), R["profile_same"]).otherwise(F.concat(F.lit("离线分类器更倾向 "), "profile", F.lit("，建议确认是否应改用 --profile "), "profile", F.lit("。")))
+    told = F.when(F.col("confidence") == "low", F.col("current")).otherwise(F.col("profile"))
+    more = [F.col("profile").alias("classifier_top"), *[F.col(a).alias(b) for a, b in (("score_text", "scores"), ("signals", "signals")) if a in classified.columns]]
+    return rows.select("doc", "current", told.alias("recommended"), "confidence", F.when(keep, "keep").otherwise("consider_change").alias("action"), *more, reason.alias("reason"))
 
 
 def recommend_level(meta: DataFrame, toc: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -275,7 +299,15 @@ def recommend_level(meta: DataFrame, toc: DataFrame, lengths: DataFrame) -> Data
     plain = ~F.col("profile").isin("fiction", "reference") & (F.coalesce(level, F.lit(0)) > 0)
     up = F.coalesce(plain & (F.col("_deep") > level) & (long_ / n > 0.18), F.lit(False))
     down = F.coalesce(plain & ~up & (short / n > 0.35), F.lit(False))
-    return rows.select("doc", level.alias("current"), F.when(up, F.least(F.col("_deep"), level + 1)).when(down, F.greatest(F.lit(1), level - 1)).otherwise(level).cast("int").alias("recommended"), F.when(up, "consider_increase").when(down, "consider_decrease").otherwise("keep").alias("action"), F.when(down, "low").otherwise("medium").alias("confidence"))
+    up_to, down_to = F.least(F.col("_deep"), level + 1).cast("string"), F.greatest(F.lit(1), level - 1).cast("string")
+    reason = (
+        F.when(F.col("profile").isin("fiction", "reference"), F.concat("profile", F.lit(" 类资料通常不需要追求很深的标题层级。")))
+        .when(up, F.concat(F.lit("存在较多长 chunk，且 TOC 还有更深层级，可尝试 --max-chunk-heading-level "), up_to, F.lit("。")))
+        .when(down, F.concat(F.lit("短 chunk 比例偏高，可人工评估是否降低到 --max-chunk-heading-level "), down_to, F.lit("。")))
+        .otherwise(R["level_fits"])
+    )
+    counts = toc.groupBy("doc", "level").agg(F.count(F.lit(1)).alias("n")).groupBy("doc").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("level", "n")))).alias("toc_level_counts"))
+    return rows.join(counts, "doc", "left").select("doc", "toc_level_counts", reason.alias("reason"), level.alias("current"), F.when(up, F.least(F.col("_deep"), level + 1)).when(down, F.greatest(F.lit(1), level - 1)).otherwise(level).cast("int").alias("recommended"), F.when(up, "consider_increase").when(down, "consider_decrease").otherwise("keep").alias("action"), F.when(down, "low").otherwise("medium").alias("confidence"))
 
 
 def level_counts(toc: DataFrame) -> DataFrame:
@@ -294,7 +326,7 @@ def recommend_body_headings(meta: DataFrame, candidates: DataFrame, lengths: Dat
     on = F.contains(F.coalesce("toc_source", F.lit("")), F.lit("body_heading_augmentation"))
     never = F.col("profile").isin("reference", "fiction", "legal")
     want = ~on & ~never & (F.coalesce("candidates", F.lit(0)) >= 12) & ((F.coalesce(F.col("long") + F.col("very_long"), F.lit(0)) / n > 0.12) | (F.coalesce("shallow_paths", F.lit(0)) / n > 0.45))
-    return rows.select("doc", F.when(on, "enabled").otherwise("disabled").alias("current"), F.when(on | want, "enabled").otherwise("disabled").alias("recommended"), F.when(want, "consider_enable").otherwise("keep").alias("action"), F.when(on & (F.coalesce("body_heading_chunks", F.lit(0)) > 0), "high").otherwise("medium").alias("confidence"), F.coalesce("candidates", F.lit(0)).alias("candidates"))
+    return rows.select("doc", F.when(on, "enabled").otherwise("disabled").alias("current"), F.when(on | want, "enabled").otherwise("disabled").alias("recommended"), F.when(want, "consider_enable").otherwise("keep").alias("action"), F.when(on & (F.coalesce("body_heading_chunks", F.lit(0)) > 0), "high").otherwise("medium").alias("confidence"), F.coalesce("candidates", F.lit(0)).alias("candidates"), F.when(on, R["body_on"]).when(never, F.concat("profile", F.lit(" 类资料通常不优先使用正文短标题增强。"))).when(want, R["body_want"]).otherwise(R["body_no"]).alias("reason"))
 
 
 def sample_chunks(chunks: DataFrame, most: int = 5) -> DataFrame:
@@ -310,15 +342,16 @@ def sample_chunks(chunks: DataFrame, most: int = 5) -> DataFrame:
 
 def compare_samples(chunks: DataFrame, pages: DataFrame, most: int = 5) -> DataFrame:
     """The sample chunks beside the pages that they come from: match rate and previews."""
-    some = sample_chunks(chunks, most).join(chunks.select("doc", "chunk_index", "text", "page_start", "page_end"), ["doc", "chunk_index"])
-    spans = some.select("doc", "chunk_index", F.explode(F.sequence("page_start", "page_end")).alias("page")).join(pages.select("doc", "page", F.col("text").alias("p")), ["doc", "page"])
+    path = F.array_join(F.coalesce("heading_path", F.array().cast("array<string>")), " > ").alias("heading_path")
+    some = sample_chunks(chunks, most).join(chunks.select("doc", "chunk_index", "text", "page_start", F.coalesce("page_end", "page_start").alias("page_end"), path), ["doc", "chunk_index"])
+    spans = some.where("page_start <= page_end").select("doc", "chunk_index", F.explode(F.sequence("page_start", "page_end")).alias("page")).join(pages.select("doc", "page", F.col("text").alias("p")), ["doc", "page"])
     source = spans.groupBy("doc", "chunk_index").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "p"))), lambda x: x["p"]), "\n\n").alias("_src"))
     rows = some.join(source, ["doc", "chunk_index"], "left").withColumn("_src", F.coalesce("_src", F.lit("")))
-    rows = T.pinned(rows, _c=T.compact_text(F.col("text")), _p=T.compact_text(F.col("_src")))
+    rows = T.pinned(rows, _c=T.compact_text(F.col("text")), _p=T.compact_text(F.col("_src"))).withColumn("char_count", F.length(F.coalesce("text", F.lit(""))))
     # The offset in the compact text is used in the page text as it is.
     at = F.when(F.col("_c") == "", 0).otherwise(F.instr(F.col("_p"), F.left(F.col("_c"), F.lit(40))))
     shown = F.when(at > 0, F.substring(F.col("_src"), at, F.length("_src"))).otherwise(F.col("_src"))
-    return rows.select("doc", "pick", "chunk_index", T.sample_match_rate(F.col("_c"), F.col("_p"), 40, 30).alias("match_rate"), T.preview_text(F.col("text")).alias("chunk_preview"), T.preview_text(shown).alias("source_preview"))
+    return rows.select("doc", "pick", "chunk_index", "heading_path", "page_start", "page_end", "char_count", T.sample_match_rate(F.col("_c"), F.col("_p"), 40, 30).alias("match_rate"), T.preview_text(F.col("text")).alias("chunk_preview"), T.preview_text(shown).alias("source_preview"))
 
 
 def escape_html(x: Column) -> Column:
@@ -327,20 +360,80 @@ def escape_html(x: Column) -> Column:
     return x
 
 
-def text_report(verdicts: DataFrame, checks: DataFrame) -> DataFrame:
-    """doc, report: a plain text summary."""
-    lines = checks.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.concat(F.lit("  ["), "status", F.lit("] "), "message").alias("l")))), lambda x: x["l"]), "\n").alias("_l"))
-    return verdicts.join(lines, "doc").select("doc", F.concat_ws("\n", F.concat("result", F.lit(": "), "doc"), F.lit(""), F.concat(F.lit("score: "), F.col("score").cast("string"), F.lit("/100")), F.lit(""), F.lit("checks:"), "_l", F.lit(""), F.lit("recommendation:"), F.concat(F.lit("  "), "recommendation")).alias("report"))
+def _or(judged: DataFrame, name: str, kind: str) -> Column:
+    """A column of judged, or null of that type where it is missing."""
+    return F.col(name) if name in judged.columns else F.lit(None).cast(kind)
 
 
-def html_report(verdicts: DataFrame, checks: DataFrame, samples: DataFrame) -> DataFrame:
-    """doc, html: verdict, checks and sample cards; every value is escaped."""
-    e = lambda c: escape_html(F.coalesce(c.cast("string"), F.lit("")))
-    item = F.concat(F.lit('<li class="'), e(F.col("status")), F.lit('">'), e(F.col("message")), F.lit("</li>"))
-    listed = checks.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", item.alias("h")))), lambda x: x["h"]), "\n").alias("_c"))
-    card = F.concat(F.lit("<section><h3>chunk "), e(F.col("chunk_index")), F.lit(" · "), e(F.col("match_rate")), F.lit("</h3><pre>"), e(F.col("chunk_preview")), F.lit("</pre><pre>"), e(F.col("source_preview")), F.lit("</pre></section>"))
-    cards = samples.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pick", card.alias("h")))), lambda x: x["h"]), "\n").alias("_s"))
-    rows = verdicts.join(listed, "doc", "left").join(cards, "doc", "left")
-    return rows.select("doc", F.concat(F.lit('<!doctype html><html><head><meta charset="utf-8"></head><body><h1>'), e(F.col("doc")), F.lit("</h1><p>"), e(F.col("result")), F.lit(" · "), e(F.col("score")), F.lit("/100</p><p>"), e(F.col("recommendation")), F.lit("</p><ul>"), F.coalesce("_c", F.lit("")), F.lit("</ul>"), F.coalesce("_s", F.lit("")), F.lit("</body></html>")).alias("html"))
+_ADVICE = {"profile": ("profile", "Profile 推荐"), "level": ("max_chunk_heading_level", "标题层级推荐"), "body_headings": ("body_heading_augmentation", "正文短标题增强")}
+
+
+def _fields(judged: DataFrame, name: str) -> list[str]:
+    return judged.select(f"{name}.*").columns if name in judged.columns else []
 
 
+def reports(judged: DataFrame) -> DataFrame:
+    """judged (doc, result, score, recommendation, checks[, title, summary, stats, recommendations, samples]) as doc, json,
+    report (plain text) and html. Of what a document lacks, the reports say nothing."""
+    return judged.select("doc", _json(judged).alias("json"), _text(judged).alias("report"), _html(judged).alias("html"))
+
+
+def _json(judged: DataFrame) -> Column:
+    advice = [F.struct(*[F.col(f"recommendations.{k}").alias(name) for k, (name, _) in _ADVICE.items()]).alias("recommendations")] if "recommendations" in judged.columns else []
+    names = [c for c in ("title", "summary", "stats") if c in judged.columns]
+    samples = ["samples"] if "samples" in judged.columns else []
+    return F.to_json(F.struct("result", "score", "doc", *names, *advice, *samples, "checks", "recommendation"), {"ignoreNullFields": "false"})
+
+
+def _text(judged: DataFrame) -> Column:
+    told = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
+    lines = [F.concat("result", F.lit(": "), F.coalesce(_or(judged, "title", "string"), F.col("doc"))), F.lit(""), F.concat(F.lit("score: "), F.col("score").cast("string"), F.lit("/100"))]
+    if "summary" in judged.columns:
+        lines += [F.lit("\nsummary:"), *[F.concat(F.lit(f"  {f}: "), told(F.col(f"summary.{f}"))) for f in _fields(judged, "summary")]]
+    if "stats" in judged.columns:
+        shown = (("length", (("min", "min_chars"), ("median", "median_chars"), ("avg", "average"), ("max", "max_chars"))), ("coverage", (("estimated", "coverage"), ("source_sample", "source_rate"), ("chunk_sample", "chunk_rate"))))
+        lines += [F.lit("\nstats:"), *[F.concat(F.lit(f"  {part}: "), F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), told(F.col(f"stats.{part}.{c}"))) for n, c in fields])) for part, fields in shown]]
+    if "recommendations" in judged.columns:
+        one = lambda k, name: F.concat(F.lit(f"  {name}: "), told(F.col(f"recommendations.{k}.current")), F.lit(" -> "), told(F.col(f"recommendations.{k}.recommended")), F.lit(" ("), told(F.col(f"recommendations.{k}.action")), F.lit(", "), told(F.col(f"recommendations.{k}.confidence")), F.lit(")"))
+        lines += [F.lit("\nlocal recommendations:"), *[one(k, name) for k, (name, _) in _ADVICE.items()]]
+    checks = F.transform("checks", lambda c: F.concat(F.lit("  ["), c["status"], F.lit("] "), c["message"]))
+    return F.concat_ws("\n", *lines, F.lit("\nchecks:"), F.array_join(checks, "\n"), F.lit("\nrecommendation:"), F.concat(F.lit("  "), "recommendation"))
+
+
+_STYLE = "body{font-family:sans-serif;margin:2em}.pass{color:#176b34}.warn{color:#9a5b00}.fail{color:#a11}.card{border:1px solid #ccc;border-radius:6px;padding:1em;margin:.5em 0}td,th{border:1px solid #ccc;padding:.4em;vertical-align:top}pre{white-space:pre-wrap;background:#f6f6f6;padding:.6em}"
+
+
+def _html(judged: DataFrame) -> Column:
+    """Verdict, summary, recommendation cards, statistics, checks and sample cards; every value is escaped."""
+    e = lambda c: escape_html(F.coalesce(c.cast("string"), F.lit("")))
+    tag = lambda name, *inner, cls="": F.concat(F.lit(f"<{name}{cls and f' class={chr(34)}{cls}{chr(34)}'}>"), *inner, F.lit(f"</{name}>"))
+    heading = lambda text: F.lit(f"<h2>{text}</h2>")
+    title = e(F.coalesce(_or(judged, "title", "string"), F.col("doc")))
+    parts = [F.lit('<!doctype html><html lang="zh-CN"><head><meta charset="utf-8">'), tag("title", title), F.lit(f"<style>{_STYLE}</style></head><body>"), tag("h1", title)]
+    parts += [F.concat(F.lit('<p class="'), F.lower(e(F.col("result"))), F.lit('">'), e(F.col("result")), F.lit(" · "), e(F.col("score")), F.lit(" / 100</p>")), tag("p", e(F.col("recommendation")))]
+    if "summary" in judged.columns:
+        parts += [heading("摘要"), tag("ul", *[tag("li", F.lit(f"<strong>{f}</strong>: "), e(F.col(f"summary.{f}"))) for f in _fields(judged, "summary")])]
+    if "recommendations" in judged.columns:
+        of = lambda k, f: e(F.col(f"recommendations.{k}.{f}"))
+        parts += [heading("本地建议"), *[tag("div", F.lit(f"<h3>{label}</h3>"), tag("p", of(k, "current"), F.lit(" → "), of(k, "recommended")), tag("p", of(k, "action"), F.lit(" / "), of(k, "confidence")), tag("p", of(k, "reason")), cls="card") for k, (_, label) in _ADVICE.items()]]
+    if "stats" in judged.columns:
+        rows = [tag("tr", F.lit(f"<th>{part}.{f}</th>"), tag("td", e(F.col(f"stats.{part}.{f}")))) for part in _fields(judged, "stats") for f in judged.select(f"stats.{part}.*").columns]
+        parts += [heading("统计"), tag("table", *rows)]
+    row = lambda c: F.concat(F.lit('<tr><td class="'), F.lower(e(c["status"])), F.lit('">'), e(c["status"]), F.lit("</td><td>"), e(c["message"]), F.lit("</td></tr>"))
+    parts += [heading("检查项"), tag("table", F.array_join(F.transform("checks", row), ""))]
+    if "samples" in judged.columns:
+        card = lambda x: tag("div", F.lit("<h3>chunk "), e(x["chunk_index"]), F.lit(" · "), e(x["page_start"]), F.lit("-"), e(x["page_end"]), F.lit("</h3>"), tag("p", e(x["heading_path"])), tag("p", e(x["char_count"]), F.lit(" · "), e(x["match_rate"])), tag("pre", e(x["chunk_preview"])), tag("pre", e(x["source_preview"])), cls="card")
+        parts += [heading("抽样对照"), F.coalesce(F.array_join(F.transform("samples", card), ""), F.lit(""))]
+    return F.concat(*[F.coalesce(p, F.lit("")) for p in parts], F.lit("</body></html>"))
+
+
+def with_checks(verdicts: DataFrame, checks: DataFrame) -> DataFrame:
+    """verdicts with checks, the array of (status, message) in order."""
+    rows = checks.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "status", "message"))), lambda x: F.struct(x["status"].alias("status"), x["message"].alias("message"))).alias("checks"))
+    return verdicts.join(rows, "doc")
+
+
+def with_samples(judged: DataFrame, samples: DataFrame) -> DataFrame:
+    """judged with samples, the array of the sample chunks in order."""
+    rows = samples.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(*[c for c in samples.columns if c != "doc"]))).alias("samples"))
+    return judged.join(rows, "doc", "left")

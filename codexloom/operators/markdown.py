@@ -5,6 +5,8 @@ files: path, text[, modified]. A pack is a set of files; pack_key names it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,16 +65,78 @@ def dropped_sections(found: DataFrame) -> DataFrame:
     return found.where((F.col("text") != "") & ~F.col("is_parent") & (F.col("level") > CUT_OFF))
 
 
+def pack_sections(files: DataFrame) -> DataFrame:
+    """sections of packs of files (pack, path, text): doc is the pack, and the numbers of its files' sections follow each
+    other by path; path names the file of a section. Headings of one file have no parents in another."""
+    found = sections(files).withColumnRenamed("doc", "path")
+    sizes = found.groupBy("path").agg(F.count(F.lit(1)).cast("int").alias("_n")).join(files.select("pack", "path"), "path")
+    before = Window.partitionBy("pack").orderBy(F.split("path", "/")).rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("pack", "path", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("int").alias("_by"))
+    out = found.join(shift, "path")
+    moved = {"ord": F.col("ord") + F.col("_by"), "parent_ord": F.col("parent_ord") + F.col("_by"), "path_ords": F.transform("path_ords", lambda o: o + F.col("_by"))}
+    return out.select(F.col("pack").alias("doc"), *[moved.get(c, F.col(c)).alias(c) for c in found.columns])
+
+
+def relative_names(files: DataFrame, *by: str) -> DataFrame:
+    """files with file_path: the path below the folder that all files of a pack have in common."""
+    parts = files.withColumn("_o", F.split("path", "/"))
+    ends = parts.groupBy(*by).agg(F.min("_o").alias("_first"), F.max("_o").alias("_last"))
+    out = parts.join(ends, list(by)).withColumn("_k", _common(F.col("_first"), F.col("_last")))
+    return out.withColumn("file_path", F.array_join(F.slice("_o", F.col("_k") + 1, F.size("_o")), "/")).drop("_o", "_first", "_last", "_k")
+
+
+def _common(first: Column, last: Column) -> Column:
+    """How many folders the first and the last of some sorted paths share; all between them share these too."""
+    same = F.aggregate(F.sequence(F.lit(1), F.least(F.size(first), F.size(last))), F.lit(0), lambda a, i: F.when((a == i - 1) & (F.get(first, i - 1) == F.get(last, i - 1)), i).otherwise(a))
+    return F.least(same, F.size(first) - 1, F.size(last) - 1)
+
+
 def metadata(files: DataFrame, profile: str) -> DataFrame:
-    """files with file_name, file_stem, front_matter_date, logical_date, logical_month."""
+    """files (path, text[, modified, file_path]) with what a record tells of its file. The store knows when a file was
+    changed but not when it was made, so both times are that one."""
     front = T.simple_yaml(T.split_front_matter(F.col("text"))["head"])
     rows = files.withColumn("file_name", file_name(F.col("path"))).withColumn("file_stem", stem(F.col("path"))).withColumn("front_matter_date", T.first_date(front))
+    if "file_path" not in files.columns:
+        rows = rows.withColumn("file_path", F.col("file_name"))
     named = T.journal_date(F.col("file_stem")) if profile == "journal" else F.lit(None).cast("string")
-    stamp = F.date_format("modified", "yyyy-MM-dd") if "modified" in files.columns else F.lit(None).cast("string")
-    rows = rows.withColumn("logical_date", F.coalesce(named, T.normalize_date(F.col("front_matter_date")), stamp))
+    changed = T.timestamp_iso(F.col("modified")) if "modified" in files.columns else F.lit(None).cast("string")
+    rows = rows.withColumn("file_created_at", changed).withColumn("file_modified_at", changed)
+    rows = rows.withColumn("source_type", F.lit("markdown")).withColumn("markdown_profile", F.lit(profile))
+    rows = rows.withColumn("logical_date", F.coalesce(named, T.normalize_date(F.col("front_matter_date")), F.left("file_modified_at", F.lit(10))))
     return rows.withColumn("logical_month", F.left("logical_date", F.lit(7)))
 
 
+#: What a record tells of its file, in order (fixed names).
+METADATA = ("source_type", "markdown_profile", "file_name", "file_stem", "file_path", "file_created_at", "file_modified_at", "front_matter_date", "logical_date", "logical_month")
+
+
+def with_sources(chunks: DataFrame, found: DataFrame, files: DataFrame) -> DataFrame:
+    """chunks with source_metadata, what is told of the file of their first section, and merged_sources, that of all
+    different files (by path and date) if there are several. found: doc, ord, path; files: path and metadata."""
+    told = files.select("path", F.struct(*METADATA).alias("_m"))
+    steps = chunks.select("doc", "chunk_index", F.posexplode("source_ords").alias("_pos", "ord")).join(found.select("doc", "ord", "path"), ["doc", "ord"]).join(told, "path")
+    rows = steps.groupBy("doc", "chunk_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_m"))), lambda x: x["_m"]).alias("_s"))
+    same = lambda a, b: a["file_path"].eqNullSafe(b["file_path"]) & a["logical_date"].eqNullSafe(b["logical_date"])
+    own = F.filter("_s", lambda x, i: ~F.exists(F.slice("_s", 1, i), lambda y: same(x, y)))
+    rows = T.pinned(rows, _own=own)
+    return chunks.join(rows.select("doc", "chunk_index", F.col("_s")[0].alias("source_metadata"), F.when(F.size("_own") > 1, F.col("_own")).alias("merged_sources")), ["doc", "chunk_index"], "left")
+
+
+def collect_jobs(files: DataFrame, root: str) -> DataFrame:
+    """The packs of the notes below root: job_ord, profile, title, output_stem, pack and path, a row per file.
+
+    root/journal holds notes by day, root/TechNotes folders and loose notes, root/WebPageCollection pages."""
+    below = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/") + "/"
+    inner = files.select("path", F.substring("path", F.locate(below, F.col("path")) + len(below), F.length("path")).alias("_rel")).where(F.contains(F.col("path"), F.lit(below)))
+    inner = inner.withColumn("_top", F.substring_index("_rel", "/", 1)).withColumn("_rel", F.substring("_rel", F.length("_top") + 2, F.length("_rel")))
+    part = lambda name: inner.where(F.col("_top") == name).select(F.col("_rel").alias("path"))
+    days = part("journal").where(~F.contains(F.col("path"), F.lit("/")) & F.col("path").endswith(".md"))
+    jobs = all_packs(days, part("TechNotes"), part("WebPageCollection")).withColumn("pack", F.concat_ws("/", "profile", "title", F.col("files")[0]))
+    top = F.when(F.col("profile") == "journal", "journal").when(F.col("profile") == "tech_notes", "TechNotes").otherwise("WebPageCollection")
+    rows = jobs.withColumn("_top", top).withColumn("_rel", F.explode("files")).drop("files")
+    return rows.join(inner, ["_top", "_rel"]).drop("_top", "_rel")
+
+
 def journal_packs(paths: DataFrame) -> DataFrame:
     """One pack per month of the file name; names without a date share one."""
     month = F.coalesce(F.left(T.journal_date(stem(F.col("path"))), F.lit(7)), F.lit("undated"))
@@ -103,15 +167,7 @@ def source_hash(files: DataFrame, *by: str) -> DataFrame:
     """Per pack the digest of its files' names below their common folder and digests, in the order of paths."""
     pair = F.struct(F.split("path", "/").alias("o"), T.sha256_text(F.col("text")).alias("h"))
     rows = files.groupBy(*by).agg(F.array_sort(F.collect_list(pair)).alias("_f"))
-    # Paths in order agree as far as the first and the last do.
-    first, last = F.element_at("_f", 1)["o"], F.element_at("_f", -1)["o"]
-    same = F.size(F.filter(F.sequence(F.lit(1), F.least(F.size(first), F.size(last))), lambda i: F.slice(first, 1, i) == F.slice(last, 1, i)))
-    rows = rows.withColumn("_k", F.least(same, F.size(first) - 1, F.size(last) - 1))
+    rows = rows.withColumn("_k", _common(F.element_at("_f", 1)["o"], F.element_at("_f", -1)["o"]))
     listed = F.flatten(F.transform("_f", lambda x: F.array(F.array_join(F.slice(x["o"], F.col("_k") + 1, F.size(x["o"])), "/"), x["h"])))
     return rows.select(*by, T.sha256_text(F.to_json(F.struct(listed.alias("files")))).alias("document_id"))
 
-
-def merged_sources(sources: Column) -> Column:
-    """Of the array<struct<file_path, logical_date>> of a chunk, the distinct ones if there are several, else null."""
-    distinct = F.array_distinct(sources)
-    return F.when(F.size(distinct) > 1, distinct)

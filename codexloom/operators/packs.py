@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codexloom.functions import text as T
 from codexloom.functions.profiles import Profile
+from codexloom.operators.chunking import ALONE, BACKWARD, CUT, MERGED, NATURAL
 
 SCHEMA_VERSION = "1.0"
 
@@ -31,14 +32,32 @@ def embedding_text(title: Column, path: Column, merged: Column, text: Column) ->
     return F.array_join(lines, "\n")
 
 
+_TOC = "array<struct<toc_id:string,level:int,title:string>>"
+
+
 def heading_paths(chunks: DataFrame, toc: DataFrame) -> DataFrame:
-    """chunks with heading_path (titles) and toc_path (structs) of their path_ords."""
-    items = toc.select("doc", F.col("ord").alias("_o"), "toc_id", "title", "level")
-    steps = chunks.select("doc", "chunk_index", F.posexplode("path_ords").alias("pos", "_o")).join(items, ["doc", "_o"])
-    paths = steps.groupBy("doc", "chunk_index").agg(F.array_sort(F.collect_list(F.struct("pos", "toc_id", "level", "title"))).alias("_p"))
-    out = chunks.join(paths, ["doc", "chunk_index"], "left")
-    path = F.coalesce("_p", F.array().cast("array<struct<pos:int,toc_id:string,level:int,title:string>>"))
-    return out.withColumn("heading_path", F.transform(path, lambda x: x["title"])).withColumn("toc_path", F.transform(path, lambda x: F.struct(x["toc_id"].alias("toc_id"), x["level"].alias("level"), x["title"].alias("title")))).drop("_p")
+    """chunks with heading_path (titles), toc_path and merged_toc (structs) of their path_ords and merged_ords."""
+    items = toc.select("doc", F.col("ord").alias("_o"), F.struct("toc_id", "level", "title").alias("_t"))
+    both = [chunks.select("doc", "chunk_index", F.lit(k).alias("_k"), F.posexplode(c).alias("pos", "_o")) for k, c in enumerate(("path_ords", "merged_ords"))]
+    steps = both[0].unionByName(both[1]).join(items, ["doc", "_o"])
+    of = lambda k: F.transform(F.array_sort(F.collect_list(F.when(F.col("_k") == k, F.struct("pos", "_t")))), lambda x: x["_t"])
+    found = steps.groupBy("doc", "chunk_index").agg(of(0).alias("toc_path"), of(1).alias("merged_toc"))
+    out = chunks.join(found, ["doc", "chunk_index"], "left")
+    for c in ("toc_path", "merged_toc"):
+        out = out.withColumn(c, F.coalesce(c, F.array()).cast(_TOC))
+    return out.withColumn("heading_path", F.transform("toc_path", lambda x: x["title"]))
+
+
+#: What was done to make a chunk, by the reason that it gives.
+_STRATEGY = {NATURAL: "toc_node", ALONE: "toc_node", MERGED: "toc_node_merge", BACKWARD: "toc_node_merge", CUT: "paragraph_sentence_split"}
+
+
+def split_info(p: Profile) -> Column:
+    """Strategy and reason of a chunk; the fields that its reason does not have are null."""
+    reason = F.col("reason")
+    strategy = F.coalesce(*[F.when(reason == r, F.lit(v)) for r, v in _STRATEGY.items()])
+    ids = F.when(reason.isin(MERGED, BACKWARD), F.transform("merged_toc", lambda x: x["toc_id"]))
+    return F.struct(strategy.alias("strategy"), reason.alias("reason"), F.when(reason == NATURAL, p.split).alias("section_split_chars"), ids.alias("merged_toc_ids"), "part_index", "part_count")
 
 
 def chunk_records(chunks: DataFrame) -> DataFrame:
@@ -53,8 +72,11 @@ def chunk_records(chunks: DataFrame) -> DataFrame:
     )
 
 
-def manifest(docs: DataFrame, p: Profile, *, source_type: str = "txt", toc_source: str = "txt_heading_rules", model: str = "none", dimension: int = 0) -> DataFrame:
-    """docs (doc, document_id, title, file_name, item_count) with the manifest record."""
+def manifest(docs: DataFrame, p: Profile, *, source_type: str = "txt", toc_source: str | Column = "txt_heading_rules", model: str = "none", dimension: int = 0, normalize: bool = False, created: Column | None = None, before: int = 1, after: int = 2) -> DataFrame:
+    """docs (doc, document_id, title, file_name, item_count[, files]) with the manifest record. created: by default now."""
+    notes = source_type == "markdown"
+    parser = {"markdown": "markdown_heading_parser", "pdf": "pymupdf"}.get(source_type, "plain_text")
+    search = [] if notes else [F.lit(before).alias("search_before_pages"), F.lit(after).alias("search_after_pages"), F.lit(0.82).alias("title_match_min_confidence")]
     return docs.withColumn(
         "manifest",
         F.struct(
@@ -62,9 +84,11 @@ def manifest(docs: DataFrame, p: Profile, *, source_type: str = "txt", toc_sourc
             F.lit(SCHEMA_VERSION).alias("schema_version"),
             F.col("document_id"),
             F.col("title"),
-            F.struct("file_name", F.lit(source_type).alias("source_type"), F.col("document_id").alias("source_sha256")).alias("source"),
+            (T.now_iso() if created is None else created).alias("created_at"),
+            F.struct("file_name", F.lit(source_type).alias("source_type"), F.col("document_id").alias("source_sha256"), *(["files"] if notes else [])).alias("source"),
             F.lit("zh").alias("language"),
-            F.struct(F.lit(toc_source).alias("source"), F.col("item_count").cast("int").alias("item_count")).alias("toc"),
+            F.struct(F.lit(parser).alias("name"), F.lit(notes).alias("preserve_layout")).alias("parser"),
+            F.struct((F.lit(toc_source) if isinstance(toc_source, str) else toc_source).alias("source"), F.col("item_count").cast("int").alias("item_count")).alias("toc"),
             F.struct(
                 F.lit("hierarchical_semantic").alias("strategy"),
                 F.lit(p.name).alias("profile"),
@@ -74,28 +98,33 @@ def manifest(docs: DataFrame, p: Profile, *, source_type: str = "txt", toc_sourc
                 F.lit(p.overlap).alias("overlap_chars"),
                 F.lit(p.min).alias("min_chunk_chars"),
                 F.lit(p.max_level).cast("int").alias("max_chunk_heading_level"),
+                F.lit(p.heading_detection).alias("heading_detection"),
+                *search,
             ).alias("chunking"),
-            F.struct(F.lit("none" if model == "none" else "local").alias("provider"), F.lit(model).alias("model"), F.lit(dimension).alias("dimension"), F.lit(model != "none").alias("normalize")).alias("embedding"),
+            F.struct(F.lit("none" if model == "none" else "local").alias("provider"), F.lit(model).alias("model"), F.lit(dimension).alias("dimension"), F.lit(normalize).alias("normalize")).alias("embedding"),
         ),
     )
 
 
-def toc_record(toc: DataFrame) -> DataFrame:
-    """Per document the table of contents as one record, items in order, nulls kept."""
+def toc_record(toc: DataFrame, docs: DataFrame, source: str | Column = "txt_heading_rules") -> DataFrame:
+    """Per document of docs (doc, document_id) the table of contents as one record, items in order, nulls kept. It is an
+    empty list for documents without any."""
     parents = F.when(F.col("parent_ord").isNotNull(), F.format_string("toc:%06d", F.col("parent_ord")))
-    item = F.struct("ord", "toc_id", "title", "level", parents.alias("parent_toc_id"), "page", F.struct("method", "confidence").alias("locate"))
-    out = toc.groupBy("doc").agg(F.array_sort(F.collect_list(item)).alias("_i"))
+    file = ["file"] if "file" in toc.columns else []
+    rows = toc.select("doc", F.struct("ord", "toc_id", "title", "level", parents.alias("parent_toc_id"), "page", F.struct("method", "confidence", *file).alias("locate")).alias("_x"))
+    out = docs.select("doc", "document_id", (F.lit(source) if isinstance(source, str) else source).alias("_source")).join(rows, "doc", "left").groupBy("doc", "document_id", "_source").agg(F.array_sort(F.collect_list("_x")).alias("_i"))
     items = F.transform("_i", lambda x: F.struct(x["toc_id"].alias("toc_id"), x["title"].alias("title"), x["level"].alias("level"), x["ord"].alias("order"), x["parent_toc_id"].alias("parent_toc_id"), x["page"].alias("page"), x["locate"].alias("locate")))
-    return out.select("doc", F.struct(F.lit("toc").alias("record_type"), items.alias("items")).alias("toc"))
+    return out.select("doc", F.struct(F.lit("toc").alias("record_type"), "document_id", F.col("_source").alias("source"), items.alias("items")).alias("toc"))
 
 
-def pack_lines(manifests: DataFrame, tocs: DataFrame, chunks: DataFrame) -> DataFrame:
+def pack_lines(manifests: DataFrame, tocs: DataFrame, chunks: DataFrame, p: Profile) -> DataFrame:
     """The lines of every pack: doc, line_no from 1, line. Manifest, contents, then chunks in order."""
     keep = {"ignoreNullFields": "false"}
+    metadata = [F.col(f"source_metadata.{c}").alias(c) for c in chunks.select("source_metadata.*").columns] + ["merged_sources"] if "source_metadata" in chunks.columns else []
     chunk = F.struct(
-        F.lit("chunk").alias("record_type"), "document_id", "chunk_id", "chunk_index", "text", "embedding_text", "heading_path", "toc_path", "merged_headings",
-        F.lit("body").alias("content_type"), F.struct(F.col("page_start").alias("pdf_page_start"), F.col("page_end").alias("pdf_page_end")).alias("source"),
-        "prev_chunk_id", "next_chunk_id", "stats", "content_hash", F.struct("reason", "part_index", "part_count").alias("split_info"), F.col("embedding") if "embedding" in chunks.columns else F.array().cast("array<float>").alias("embedding"),
+        F.lit("chunk").alias("record_type"), "document_id", "chunk_id", "chunk_index", "text", "embedding_text", "heading_path", "toc_path", F.col("merged_toc").alias("merged_headings"),
+        F.lit("body").alias("content_type"), F.struct(F.col("page_start").alias("pdf_page_start"), F.col("page_end").alias("pdf_page_end"), *metadata).alias("source"),
+        "prev_chunk_id", "next_chunk_id", "stats", "content_hash", split_info(p).alias("split_info"), F.col("embedding") if "embedding" in chunks.columns else F.array().cast("array<float>").alias("embedding"),
     )
     return (
         manifests.select("doc", F.lit(1).alias("line_no"), F.to_json("manifest", keep).alias("line"))
@@ -104,6 +133,14 @@ def pack_lines(manifests: DataFrame, tocs: DataFrame, chunks: DataFrame) -> Data
     )
 
 
+def read_packs(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of the pack files in a folder: doc (the file's path), line_no from 1, line. A file is read whole, as a
+    pack holds one document."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+    lines = files.select(F.col("_metadata.file_path").alias("doc"), F.posexplode(F.split("value", "\r?\n", -1)).alias("_i", "line"))
+    return lines.select("doc", (F.col("_i") + 1).alias("line_no"), "line")
+
+
 def split_records(lines: DataFrame) -> DataFrame:
     """lines (doc, line_no, line) with record_type; the first manifest, the first contents and all chunks stay."""
     kinds = lines.where(T.strip(F.col("line")) != "").withColumn("record_type", F.get_json_object("line", "$.record_type"))

@@ -28,7 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    """The documents; those of a table that comes in fewer partitions than there are cores are dealt to all of them."""
+    df, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def book_key() -> Column:

@@ -188,6 +188,15 @@ ORACLES["tech_note_packs"] = f"""WITH {C.PATHS_SQL} SELECT t AS title, t AS outp
 ORACLES["web_page_packs"] = f"WITH {C.PATHS_SQL} SELECT t AS title, t AS output_stem, path AS files FROM (SELECT path, regexp_replace(regexp_replace(path, '^.*/', ''), '\\.[^.]*$', '') AS t FROM paths WHERE path LIKE '%.md')"
 ORACLES["markdown_source_hash"] = f"""WITH {C.NOTES_SQL} SELECT (length(path) % 3)::INT AS bucket, 'sha256:' || sha256('{{"files":["' || string_agg(path || '","sha256:' || sha256(text), '","' ORDER BY path) || '"]}}') AS document_id FROM notes GROUP BY 1"""
 
+_DIGITS = "regexp_extract(path, '(\\d+)', 1)::BIGINT"
+NPACK = f"npack AS (SELECT 'pack' || {_DIGITS} % 40 AS pack, path AS note, 'notes/part' || {_DIGITS} % 3 || '/' || path AS path FROM notes)"
+ORACLES["relative_names"] = f"""WITH {C.NOTES_SQL}, {NPACK}, k AS (SELECT pack, count(*) AS files, count(DISTINCT split_part(path, '/', 2)) AS parts FROM npack GROUP BY pack)
+SELECT pack, path, CASE WHEN parts = 1 THEN split_part(path, '/', 3) ELSE split_part(path, '/', 2) || '/' || split_part(path, '/', 3) END AS file_path FROM npack JOIN k USING (pack)"""
+ORACLES["markdown_pack_sections"] = f"""WITH RECURSIVE {MDS}, {NPACK}, nums AS (SELECT p.pack, p.path, m.ord AS o, m.title, m.level, m.parent_ord AS po, row_number() OVER (PARTITION BY p.pack ORDER BY string_split(p.path, '/'), m.ord)::INT AS ord FROM ms m JOIN npack p ON p.note = m.path),
+tied AS (SELECT c.pack, c.path, c.ord, c.title, c.level, p.ord AS parent_ord FROM nums c LEFT JOIN nums p ON p.pack = c.pack AND p.path = c.path AND p.o = c.po),
+up AS (SELECT pack, ord, ord::VARCHAR AS path_ords, parent_ord FROM tied UNION ALL SELECT u.pack, u.ord, t.ord || '>' || u.path_ords, t.parent_ord FROM up u JOIN tied t ON t.pack = u.pack AND t.ord = u.parent_ord)
+SELECT t.pack, t.path, t.ord, t.title, t.level, t.parent_ord, u.path_ords FROM tied t JOIN up u ON u.pack = t.pack AND u.ord = t.ord AND u.parent_ord IS NULL"""
+
 # ---- profiles, classification ---------------------------------------------------------------------------------------
 
 _v = ", ".join(f"({q(p.name)}, {q(p.kind)}, {p.target}, {p.max}, {p.split}, {p.min}, {p.overlap}, {p.max_level or 'NULL'}::INT)" for p in PROFILES.values())
@@ -292,9 +301,12 @@ ORACLES["garbled_checks"] = f"""WITH {TITLE}, u AS (SELECT {C.KEY_SQL} AS doc, d
 g AS (SELECT doc, looks, {count('f', f'[^{T.W_IN}]')} AS n, {count('f', '[' + chr(0xfffd) + '□■◆◇\\x00-\\x08\\x0e-\\x1b]')} + {count('f', '[\\x{e000}-\\x{f8ff}]')} + {count('f', f'[A-Za-z]{T.CJK}[A-Za-z]|{T.CJK}[A-Za-z]{{2,}}{T.CJK}')} AS bad, row_number() OVER (PARTITION BY doc ORDER BY doc_id) AS k FROM u)
 SELECT doc AS book, count(*) FILTER (looks) AS garbled_titles, count(*) FILTER (looks) AS garbled_headings, count(*) FILTER (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.04 AND k <= 80) AS garbled_chunks FROM g GROUP BY doc"""
 ORACLES["recommend_heading_level"] = f"""WITH {TB}, {LEN}, d AS (SELECT doc, max(level) AS deep FROM heads GROUP BY doc), r AS (SELECT ls.doc, deep, deep > 1 AND (long + very_long) / chunks > 0.18 AS up, (very_short + short) / chunks > 0.35 AS down FROM ls JOIN d USING (doc))
-SELECT doc AS book, 1::INT AS "current", CASE WHEN up THEN least(deep, 2) ELSE 1 END::INT AS recommended, CASE WHEN up THEN 'consider_increase' WHEN down THEN 'consider_decrease' ELSE 'keep' END AS action, CASE WHEN NOT up AND down THEN 'low' ELSE 'medium' END AS confidence FROM r"""
-ORACLES["recommend_profile"] = f"""WITH {SCORED}, {META}, s AS (SELECT doc_id, {_pick} AS top, list_sort([{', '.join(BOOK_PROFILES)}], 'DESC') AS l FROM sc), c AS (SELECT s.*, meta.profile AS cur, CASE WHEN l[1] >= 6 AND l[1] - l[2] >= 4 THEN 'high' WHEN l[1] >= 4 AND l[1] - l[2] >= 2 THEN 'medium' ELSE 'low' END AS sure FROM s JOIN meta USING (doc_id))
-SELECT doc_id, cur AS "current", CASE WHEN sure = 'low' THEN cur ELSE top END AS recommended, sure AS confidence, CASE WHEN top = cur OR sure = 'low' THEN 'keep' ELSE 'consider_change' END AS action FROM c"""
+SELECT doc AS book, (SELECT '{{' || string_agg('"' || level || '":' || n, ',' ORDER BY level) || '}}' FROM (SELECT level, count(*) AS n FROM heads h WHERE h.doc = r.doc GROUP BY level)) AS toc_level_counts,
+ CASE WHEN up THEN '存在较多长 chunk，且 TOC 还有更深层级，可尝试 --max-chunk-heading-level ' || least(deep, 2) || '。' WHEN down THEN '短 chunk 比例偏高，可人工评估是否降低到 --max-chunk-heading-level 1。' ELSE '当前最细分块层级与 chunk 长度分布基本匹配。' END AS reason,
+ 1::INT AS "current", CASE WHEN up THEN least(deep, 2) ELSE 1 END::INT AS recommended, CASE WHEN up THEN 'consider_increase' WHEN down THEN 'consider_decrease' ELSE 'keep' END AS action, CASE WHEN NOT up AND down THEN 'low' ELSE 'medium' END AS confidence FROM r"""
+ORACLES["recommend_profile"] = f"""WITH {SCORED}, {META}, s AS (SELECT doc_id, {_pick} AS top, {_told} AS told, list_sort([{', '.join(BOOK_PROFILES)}], 'DESC') AS l FROM sc), c AS (SELECT s.*, meta.profile AS cur, CASE WHEN l[1] >= 6 AND l[1] - l[2] >= 4 THEN 'high' WHEN l[1] >= 4 AND l[1] - l[2] >= 2 THEN 'medium' ELSE 'low' END AS sure FROM s JOIN meta USING (doc_id))
+SELECT doc_id, cur AS "current", CASE WHEN sure = 'low' THEN cur ELSE top END AS recommended, sure AS confidence, CASE WHEN top = cur OR sure = 'low' THEN 'keep' ELSE 'consider_change' END AS action, top AS classifier_top, told AS scores,
+ CASE WHEN sure = 'low' THEN '离线分类信号较弱，建议保持当前 profile。' WHEN top = cur THEN '当前 profile 与离线分类推荐一致。' ELSE '离线分类器更倾向 ' || top || '，建议确认是否应改用 --profile ' || top || '。' END AS reason FROM c"""
 _SHORT = ORACLES["body_short_headings"].rsplit("WHERE ", 1)[1].replace("line", "text")
 ORACLES["augment_headings"] = f"""WITH {flat(C.ZH.replace("|| text AS text", "|| text || chr(10) || '批判性思维的第' || n || '要素' AS text"))},
 chapters AS (SELECT doc, idx, row_number() OVER (PARTITION BY doc ORDER BY idx)::INT AS ord FROM flat WHERE {like('text', H.CHAPTER)} AND {gate('text', 'textbook')})

@@ -14,6 +14,7 @@ from codexloom.functions.profiles import BOOK_PROFILES, profile_table
 from codexloom.operators import chunking, classify, embed, inspect, markdown, packs, toc
 from codexloom.plans import corpora as C
 from codexloom.plans import oracles as O
+from codexloom.session import written
 from codexloom.sources import files as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,14 +190,19 @@ def _outline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def locate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = toc.flatten_lines(C.book(spark, sf_dir))
+    lines = written(toc.flatten_lines(C.book(spark, sf_dir)), "lines")
     return _key(toc.locate_pages(_outline(spark, sf_dir), lines).select("doc", "ord", "page", "method", "confidence"))
 
 
+def _textbook(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Contents and lines of the books, each written once."""
+    pages = C.book(spark, sf_dir)
+    return written(toc.infer_toc(pages, "textbook"), "toc"), written(toc.flatten_lines(pages), "lines")
+
+
 @query
 def locate_heading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = C.book(spark, sf_dir)
-    return _key(toc.locate_heading_lines(toc.infer_toc(pages, "textbook"), toc.flatten_lines(pages)))
+    return _key(toc.locate_heading_lines(*_textbook(spark, sf_dir)))
 
 
 @query
@@ -208,10 +214,10 @@ def candidate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def augment_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = C.book(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n批判性思维的第"), F.col("page").cast("string"), F.lit("要素")))
-    lines = toc.flatten_lines(pages)
+    lines = written(toc.flatten_lines(pages), "lines")
     found = toc.infer_toc(pages, "textbook").where(F.col("title").rlike(H.CHAPTER))
-    found = toc.with_parents(found.drop("parent_ord", "path_ords").withColumn("ord", F.row_number().over(Window.partitionBy("doc").orderBy("ord"))))
-    starts = toc.locate_heading_lines(found, lines)
+    found = written(toc.with_parents(found.drop("parent_ord", "path_ords").withColumn("ord", F.row_number().over(Window.partitionBy("doc").orderBy("ord")))), "toc")
+    starts = written(toc.locate_heading_lines(found, lines), "starts")
     return _key(toc.augment_headings(found, lines, starts, "textbook").select("doc", "parent_ord", "idx", "title", "level", "page"))
 
 
@@ -224,8 +230,7 @@ def _book(spark: SparkSession, sf_dir: str, profile: str = "textbook") -> engine
 
 def _spans(max_level: int | None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        pages = C.book(spark, sf_dir)
-        contents, lines = toc.infer_toc(pages, "textbook"), toc.flatten_lines(pages)
+        contents, lines = _textbook(spark, sf_dir)
         return _key(toc.section_ends(contents, toc.locate_heading_lines(contents, lines), max_level).select("doc", "ord", "start", "end"))
 
     return run
@@ -290,7 +295,36 @@ def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pack_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.documents(spark, sf_dir).select(C.book_key().alias("doc")).distinct().select("doc", F.concat(F.lit("sha256:"), "doc").alias("document_id"), F.col("doc").alias("title"), F.concat("doc", F.lit(".txt")).alias("file_name"))
-    return _key(engine.pack_table(_book(spark, sf_dir), docs, "textbook"))
+    return _key(engine.pack_table(_book(spark, sf_dir), docs, "textbook", created=F.lit("2024-01-01T00:00:00+00:00")))
+
+
+def _note_packs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Notes in packs of several folders and files, by the length of their names and numbers, and the packs."""
+    digits = F.regexp_extract("path", r"(\d+)", 1).cast("long")
+    files = C.notes(spark, sf_dir).withColumn("pack", F.concat(F.lit("pack"), (digits % 40).cast("string"))).withColumn("path", F.concat(F.lit("notes/part"), (digits % 3).cast("string"), F.lit("/"), "path"))
+    files = files.withColumn("modified", F.lit("2024-05-06 07:08:09").cast("timestamp"))
+    return files, files.select(F.col("pack").alias("doc")).distinct().select("doc", F.col("doc").alias("title"), F.col("doc").alias("file_name"))
+
+
+@query
+def markdown_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers, kinds, identifiers and sources of the records of packs of several notes."""
+    lines = engine.markdown_packs(*_note_packs(spark, sf_dir), "tech_notes", created=F.lit("2024-01-01T00:00:00+00:00"))
+    at = lambda path: F.get_json_object("line", f"$.{path}")
+    names = {"kind": "record_type", "document_id": "document_id", "file_path": "source.file_path", "logical_date": "source.logical_date", "items": "toc.item_count", "text": "text"}
+    rows = lines.select("doc", "line_no", *[at(p).alias(n) for n, p in names.items()]).withColumn("text", F.sha2("text", 256))
+    return rows.withColumnRenamed("doc", "pack")
+
+
+@query
+def markdown_pack_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = markdown.pack_sections(_note_packs(spark, sf_dir)[0])
+    return found.select(F.col("doc").alias("pack"), "path", "ord", "title", "level", "parent_ord", F.array_join("path_ords", ">").alias("path_ords"))
+
+
+@query
+def relative_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown.relative_names(_note_packs(spark, sf_dir)[0], "pack").select("pack", "path", "file_path")
 
 
 # ---- Markdown -------------------------------------------------------------------------------------------------------
@@ -401,7 +435,7 @@ def classify_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recommend_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inspect.recommend_profile(classify.classify(_samples(spark, sf_dir)), _meta(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+    return inspect.recommend_profile(classify.classify(_samples(spark, sf_dir)), _meta(spark, sf_dir)).withColumnRenamed("doc", "doc_id").drop("signals")
 
 
 # ---- inspection -----------------------------------------------------------------------------------------------------
@@ -474,7 +508,8 @@ def level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recommend_heading_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = _split(spark, sf_dir).withColumn("profile", F.lit("textbook")).withColumn("max_chunk_heading_level", F.lit(1))
-    return _key(inspect.recommend_level(meta, toc.infer_toc(C.book(spark, sf_dir), "textbook"), inspect.length_stats(_chunks(spark, sf_dir), meta)))
+    found = inspect.recommend_level(meta, toc.infer_toc(C.book(spark, sf_dir), "textbook"), inspect.length_stats(_chunks(spark, sf_dir), meta))
+    return _key(found.withColumn("toc_level_counts", F.to_json("toc_level_counts")))
 
 
 @query
@@ -520,8 +555,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, split = _chunks(spark, sf_dir), _split(spark, sf_dir)
     checks = inspect.check_lengths(inspect.length_stats(rows, split)).unionByName(inspect.check_headings(inspect.heading_stats(rows)))
     found = inspect.compare_samples(rows.withColumn("page_start", F.col("chunk_index")).withColumn("page_end", F.col("chunk_index")), rows.select("doc", F.col("chunk_index").alias("page"), "text"))
-    judged = inspect.verdict(checks)
-    return _key(inspect.text_report(judged, checks).join(inspect.html_report(judged, checks, found), "doc"))
+    return _key(inspect.reports(inspect.with_samples(inspect.with_checks(inspect.verdict(checks), checks), found)))
 
 
 # ---- embeddings and sources -----------------------------------------------------------------------------------------

@@ -113,8 +113,9 @@ def test_samples_and_reports(spark):
     samples = inspect.compare_samples(rows, pages)
     assert {r.chunk_index: r.match_rate for r in samples.collect()}[1] == 1.0
     checks = inspect.check_headings(inspect.heading_stats(rows))
-    html = inspect.html_report(inspect.verdict(checks), checks, samples).first().html
-    assert "&lt;b&gt;" in html and "<b>" not in html
+    told = inspect.reports(inspect.with_samples(inspect.with_checks(inspect.verdict(checks), checks), samples)).first()
+    assert "&lt;b&gt;" in told.html and "<b>" not in told.html
+    assert told.report.startswith("PASS: d\n\nscore: 100/100") and json.loads(told.json)["samples"][0]["chunk_index"] == 1
 
 
 def test_level_recommendation(spark):
