@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codexloom.functions.profiles import PROFILES, Profile
 from codexloom.operators import chunking, classify, inspect, markdown, packs, sections, toc
-from codexloom.operators.embed import Embedder, NullEmbedder, embedding
+from codexloom.operators.embed import NO_EMBEDDING, Embedder, embedding
 from codexloom.session import written
 
 
@@ -22,27 +22,40 @@ class Book:
     sections: DataFrame
     chunks: DataFrame
 
+    #: doc, toc_source: how the contents of documents that brought their own were made.
+    toc_source: DataFrame | None = None
+
+    def of(self, docs: DataFrame) -> Book:
+        """The part that belongs to docs (doc)."""
+        mine = docs.select("doc").distinct()
+        return Book(*[df.join(mine, "doc", "left_semi") for df in (self.lines, self.toc, self.sections, self.chunks)], self.toc_source)
+
 
 def build_books(pages: DataFrame, profile: str | Profile = "social_science", outline: DataFrame | None = None, *, before: int = 1, after: int = 2) -> Book:
     """pages (doc, page, text) to chunks. outline: doc, ord, title, level, page of documents that bring their own
     contents; those are repaired, located and augmented, all others get contents by heading rules."""
     p = PROFILES[profile] if isinstance(profile, str) else profile
     # Tables that several later steps read are written once; no plan holds them twice.
-    lines = written(toc.flatten_lines(pages), "lines")
+    lines, toc_source = written(toc.flatten_lines(pages), "lines"), None
     if outline is None:
         contents = written(toc.infer_toc(pages, p.name), "toc")
         starts = written(toc.locate_heading_lines(contents, lines), "starts")
     else:
-        fixed = toc.repair_titles(outline, pages).drop("repaired")
+        fixed = written(toc.repair_titles(outline, pages), "outline")
+        repaired = fixed.groupBy("doc").agg(F.bool_or("repaired").alias("repaired"))
+        fixed = fixed.drop("repaired")
         located = written(toc.with_parents(toc.locate_pages(fixed, lines, before=before, after=after)).withColumn("toc_id", toc.toc_id(F.col("ord"))), "outline")
         first = written(toc.locate_heading_lines(located, lines), "starts")
         contents = written(toc.augmented_toc(located, first, toc.augment_headings(located, lines, first, p.name), lines), "toc")
         starts = written(toc.locate_heading_lines(contents, lines), "starts")
+        added = contents.groupBy("doc").agg(F.bool_or(F.col("method") == "body_short_heading").alias("added"))
+        made = F.concat(F.lit("pdf_outline"), F.when(F.col("repaired"), "+front_matter_repair").otherwise(""), F.when(F.col("added"), "+body_heading_augmentation").otherwise(""))
+        toc_source = repaired.join(added, "doc").select("doc", made.alias("toc_source"))
     found = sections.build_sections(contents, lines, starts, p.max_level)
     bare = pages.join(contents.select("doc").distinct(), "doc", "left_anti")
     found = found.unionByName(sections.whole_document(bare))
     found = written(found, "sections")
-    return Book(lines, contents, found, written(chunking.make_chunks(found, p), "chunks"))
+    return Book(lines, contents, found, written(chunking.make_chunks(found, p), "chunks"), toc_source)
 
 
 def build_markdown(files: DataFrame, profile: str = "tech_notes") -> Book:
@@ -63,7 +76,7 @@ def build_markdown(files: DataFrame, profile: str = "tech_notes") -> Book:
 
 def pack_table(book: Book, docs: DataFrame, profile: str | Profile, embedder: Embedder | None = None, **manifest) -> DataFrame:
     """The lines of the packs of docs (doc, document_id, title, file_name); manifest: options of the manifest record."""
-    p, e = PROFILES[profile] if isinstance(profile, str) else profile, embedder or NullEmbedder()
+    p, e = PROFILES[profile] if isinstance(profile, str) else profile, embedder or NO_EMBEDDING
     counts = book.toc.groupBy("doc").agg(F.count(F.lit(1)).alias("item_count"))
     named = docs.join(counts, "doc", "left").withColumn("item_count", F.coalesce("item_count", F.lit(0)))
     # A document without headings has one section that no contents list.
@@ -74,8 +87,10 @@ def pack_table(book: Book, docs: DataFrame, profile: str | Profile, embedder: Em
     if e.dimension:
         records = records.withColumn("embedding", embedding(F.col("embedding_text"), e))
     source = manifest.get("toc_source") or F.when(F.col("item_count") > 0, "txt_heading_rules").otherwise("synthetic")
+    if book.toc_source is not None:
+        named, source = named.join(book.toc_source, "doc", "left"), F.col("toc_source")
     manifest |= {"toc_source": source, "model": e.model_name, "dimension": e.dimension, "normalize": e.normalize}
-    return packs.pack_lines(packs.manifest(named, p, **manifest), packs.toc_record(book.toc, named.select("doc", "document_id", "item_count"), source), records, p)
+    return packs.pack_lines(packs.manifest(named, p, **manifest), packs.toc_record(book.toc, named, source), records, p)
 
 
 def markdown_packs(files: DataFrame, docs: DataFrame, profile: str, embedder: Embedder | None = None, **manifest) -> DataFrame:

@@ -156,8 +156,23 @@ def is_ignored_file(name: Column) -> Column:
     return F.lower(name).isin(*IGNORED_NAMES) | name.startswith(".")
 
 
-def unique_destinations(names: DataFrame) -> DataFrame:
-    """names (path, name) with target: the name, or stem_1, stem_2 … where it is taken."""
-    n = F.row_number().over(Window.partitionBy("name").orderBy("path")) - 1
-    parts = F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 1), F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 2)
-    return names.withColumn("_n", n).withColumn("target", F.when(F.col("_n") == 0, F.col("name")).otherwise(F.concat(parts[0], F.lit("_"), F.col("_n").cast("string"), parts[1]))).drop("_n")
+def unique_destinations(names: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """names (path, name[, profile]) with target: the name, or the first of stem_1, stem_2 ... that neither a file of the
+    batch nor one of existing (name[, profile]) in the same folder has. Equal names of a batch go by path."""
+    by = ["profile"] if "profile" in names.columns else []
+    split = r"^(.+?)(\.[^.]*)?$"
+    numbered = r"^(.+)_(\d{1,9})$"
+    base, end = F.regexp_extract("name", split, 1), F.regexp_extract("name", split, 2)
+    rows = names.withColumn("_stem", base).withColumn("_end", end).withColumn("_n", F.row_number().over(Window.partitionBy(*by, "name").orderBy("path")))
+    there = names.select(*by, "name").distinct().withColumn("_there", F.lit(False))
+    if existing is not None:
+        there = there.unionByName(existing.select(*by, "name").distinct().withColumn("_there", F.lit(True)))
+    # A name is number 0 of itself and, if it ends in a number, that one of what stands before it.
+    own = there.where("_there").select(*by, base.alias("_stem"), end.alias("_end"), F.lit(0).alias("_k"))
+    part = there.select(*by, base.alias("_s"), end.alias("_end")).where(F.col("_s").rlike(numbered))
+    used = own.unionByName(part.select(*by, F.regexp_extract("_s", numbered, 1).alias("_stem"), "_end", F.regexp_extract("_s", numbered, 2).cast("int").alias("_k")))
+    used = used.groupBy(*by, "_stem", "_end").agg(F.collect_set("_k").alias("_used"))
+    rows = rows.join(used, [*by, "_stem", "_end"], "left").withColumn("_used", F.coalesce("_used", F.array().cast("array<int>")))
+    free = F.filter(F.sequence(F.lit(0), F.col("_n") + F.size("_used")), lambda k: ~F.array_contains("_used", k))
+    rows = T.pinned(rows, _k=F.element_at(free, F.col("_n")))
+    return rows.select(*names.columns, F.when(F.col("_k") == 0, F.col("name")).otherwise(F.concat("_stem", F.lit("_"), F.col("_k").cast("string"), "_end")).alias("target"))

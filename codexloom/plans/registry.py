@@ -563,12 +563,12 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def null_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.documents(spark, sf_dir).select("doc_id", F.size(embed.embedding(F.col("text"), embed.NullEmbedder())).alias("dimension"))
+    return C.documents(spark, sf_dir).select("doc_id", F.size(embed.embedding(F.col("text"))).alias("dimension"))
 
 
 @query
 def hash_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.documents(spark, sf_dir).select("doc_id", embed.embedding(F.col("text"), embed.HashEmbedder(16)).alias("embedding"))
+    return C.documents(spark, sf_dir).select("doc_id", embed.embedding(F.col("text"), embed.hash_embedder(16)).alias("embedding"))
 
 
 @query

@@ -6,6 +6,9 @@ of the error table and never fails the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +17,10 @@ from pyspark.sql.types import StringType
 from codexloom.functions import text as T
 from codexloom.operators.classify import is_ignored_file
 from codexloom.operators.markdown import file_name, stem
+from codexloom.session import written
 
 # Fixed values.
-UNSUPPORTED, IMAGE_ONLY, TXT_UNCLASSIFIED = "非支持文件，请检查文件格式", "该文件不是可复制文字的pdf文件，请检查格式", "txt 文件需要手动放入 profile 目录"
+UNSUPPORTED, IMAGE_ONLY, TXT_UNCLASSIFIED = "非支持文件，请检查文件格式", "该文件不是可复制文字的pdf文件，请检查格式", "TXT 文件不需要自动分类，请放入对应分类文件夹后再构建"
 SUFFIXES = (".pdf", ".txt")
 
 
@@ -74,25 +78,61 @@ def read_markdown(files: DataFrame) -> DataFrame:
     return source_files(files, ".md").select("path", "modified", decode(F.col("content")).alias("text"))
 
 
-def pdf_pages(files: DataFrame, reader=None) -> DataFrame:
-    """doc, page, text of PDF files by reader(bytes) -> list of page texts; the default needs PyMuPDF on the workers."""
+#: Bytes of a PDF to the texts of its pages and its outline, rows (level, title, page or None).
+PdfReader = Callable[[bytes], tuple[list[str], list[tuple[int, str, int | None]]]]
 
-    def default(data: bytes) -> list[str]:
-        try:
-            import pymupdf
-        except ImportError as e:
-            raise RuntimeError("no PDF library is installed; pass a reader, or a pages table") from e
-        with pymupdf.open(stream=data, filetype="pdf") as book:
-            return [p.get_text() for p in book]
 
-    read = reader or default
+def read_pdf(data: bytes) -> tuple[list[str], list[tuple[int, str, int | None]]]:
+    """By PyMuPDF, which the workers need."""
+    try:
+        import pymupdf
+    except ImportError as e:
+        raise RuntimeError("no PDF library is installed; give a reader, or a table of pages") from e
+    with pymupdf.open(stream=data, filetype="pdf") as book:
+        return [p.get_text() for p in book], [(level, title, page if page > 0 else None) for level, title, page in book.get_toc(simple=True)]
 
-    @F.arrow_udf("array<string>")
-    def run(content: pa.Array) -> pa.Array:
-        return pa.array([read(c.as_py()) for c in content], pa.list_(pa.string()))
 
-    rows = source_files(files, ".pdf").select(F.col("path").alias("doc"), F.posexplode(run(F.col("content"))).alias("p", "raw"))
-    return rows.select("doc", (F.col("p") + 1).alias("page"), T.normalize_text(F.col("raw")).alias("text"))
+@dataclass
+class Documents:
+    """pages (doc, page, text), outlines (doc, ord, title, level, page) of those that bring one, errors (path,
+    error_class, message) of those that can't be read."""
+
+    pages: DataFrame
+    outlines: DataFrame
+    errors: DataFrame
+
+
+def pdf_documents(files: DataFrame, reader: PdfReader = read_pdf) -> Documents:
+    """PDF files read once each. One that fails, or has no text on any page, is an error row and no document."""
+    shape = "struct<pages:array<string>,outline:array<struct<level:int,title:string,page:int>>,error_class:string,message:string>"
+
+    @F.arrow_udf(shape)
+    def run(content: pa.Array) -> pa.Array:
+        rows = []
+        for c in content:
+            try:
+                pages, outline = reader(c.as_py())
+                rows.append({"pages": pages, "outline": [{"level": a, "title": t, "page": p} for a, t, p in outline], "error_class": None, "message": None})
+            except Exception as e:  # any file may be broken in any way; its row says how
+                rows.append({"pages": None, "outline": None, "error_class": type(e).__name__, "message": str(e)})
+        kinds = [("pages", pa.list_(pa.string())), ("outline", pa.list_(pa.struct([("level", pa.int32()), ("title", pa.string()), ("page", pa.int32())]))), ("error_class", pa.string()), ("message", pa.string())]
+        return pa.array(rows, pa.struct(kinds))
+
+    read = written(source_files(files, ".pdf").select(F.col("path").alias("doc"), run(F.col("content")).alias("r")).select("doc", "r.*"), "pdf")
+    pages = read.select("doc", F.posexplode("pages").alias("p", "raw")).select("doc", (F.col("p") + 1).alias("page"), T.normalize_text(F.coalesce("raw", F.lit(""))).alias("text"))
+    # A PDF without pages has no text either.
+    blank = image_only(pages).unionByName(read.where("error_class IS NULL AND size(pages) = 0").select(F.col("doc").alias("path"), F.lit("ImageOnlyPdfError").alias("error_class"), F.lit(IMAGE_ONLY).alias("message")))
+    failed = read.where("error_class IS NOT NULL").select(F.col("doc").alias("path"), "error_class", "message")
+    good = pages.join(blank.select(F.col("path").alias("doc")), "doc", "left_anti")
+    outlines = read.select("doc", F.posexplode("outline").alias("p", "o")).join(good.select("doc").distinct(), "doc", "left_semi")
+    title = F.replace(T.normalize_text(F.col("o.title")), F.lit("\n"), F.lit(" "))
+    return Documents(good, outlines.select("doc", (F.col("p") + 1).alias("ord"), title.alias("title"), "o.level", "o.page"), failed.unionByName(blank))
+
+
+def documents(files: DataFrame, reader: PdfReader = read_pdf) -> Documents:
+    """Files by their suffix: text and PDF are read, all others are error rows."""
+    pdf = pdf_documents(files, reader)
+    return Documents(txt_pages(files).unionByName(pdf.pages), pdf.outlines, unsupported_files(files).unionByName(pdf.errors))
 
 
 def image_only(pages: DataFrame) -> DataFrame:

@@ -1,14 +1,74 @@
-"""Sinks: packs and reports as text files, one folder per document."""
+"""Sinks: packs and reports, one folder per document or, for a workspace, one file."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from codexloom.session import scratch_path
 
 
 def write_packs(lines: DataFrame, path: str) -> None:
-    """lines (doc, line_no, line): one folder doc=… per pack, its lines in order in one file."""
-    lines.repartition("doc").sortWithinPartitions("doc", "line_no").select("doc", "line").write.partitionBy("doc").mode("overwrite").text(path)
+    """lines (doc, line_no, line): one folder doc=… per pack, its lines in order in one file. Folders of other documents
+    stay."""
+    rows = lines.repartition("doc").sortWithinPartitions("doc", "line_no").select("doc", "line")
+    rows.write.option("partitionOverwriteMode", "dynamic").partitionBy("doc").mode("overwrite").text(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+
+
+def make_folders(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, at = _fs(spark, path)
+        fs.mkdirs(at(path))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return bool(fs.exists(at(path)))
+
+
+def move_files(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Renames files; folders are made as needed."""
+    for source, target in moves:
+        fs, at = _fs(spark, target)
+        fs.mkdirs(at(target).getParent())
+        if not fs.rename(at(source), at(target)):
+            raise OSError(f"could not move {source} to {target}")
+
+
+def write_files(lines: DataFrame, names: DataFrame, folder: str) -> list[str]:
+    """lines (doc, line_no, line) as one file per document in folder, by names (doc, file); other files there stay, and
+    one of the same name is replaced. The executors write; the driver only renames, a call per document, which suits a
+    workspace of some thousand documents. `write_packs` has no such limit."""
+    spark, scratch = lines.sparkSession, scratch_path(lines.sparkSession, "files")
+    numbered = names.select("doc", "file").distinct().orderBy("file", "doc").collect()
+    of = spark.createDataFrame([(r.doc, i) for i, r in enumerate(numbered)], "doc string, _file int")
+    rows = lines.join(F.broadcast(of), "doc").repartition("_file").sortWithinPartitions("_file", "line_no")
+    rows.select("_file", "line").write.partitionBy("_file").text(scratch)
+    fs, at = _fs(spark, folder)
+    fs.mkdirs(at(folder))
+    out = []
+    for i, r in enumerate(numbered):
+        there = at(scratch, f"_file={i}")
+        if not fs.exists(there):
+            continue
+        parts = [p.getPath() for p in fs.listStatus(there) if p.getPath().getName().startswith("part-")]
+        fs.delete(at(folder, r.file), False)
+        if len(parts) != 1 or not fs.rename(parts[0], at(folder, r.file)):
+            raise OSError(f"could not write {folder}/{r.file}")
+        out.append(f"{folder}/{r.file}")
+    return out
 
 
-def write_reports(reports: DataFrame, column: str, path: str) -> None:
-    reports.select("doc", column).repartition("doc").write.partitionBy("doc").mode("overwrite").text(path)
+def write_reports(reports: DataFrame, names: DataFrame, folder: str) -> list[str]:
+    """reports (doc, json, html) beside the packs, by names (doc, file): the file's name with .inspect.json and .inspect.html."""
+    out = []
+    for column in ("json", "html"):
+        lines = reports.select("doc", F.lit(1).alias("line_no"), F.col(column).alias("line"))
+        out += write_files(lines, names.select("doc", F.concat(F.regexp_replace("file", r"\.jsonl$", ""), F.lit(f".inspect.{column}")).alias("file")), folder)
+    return out

@@ -44,7 +44,7 @@ def test_pack_lines_read_back(spark, tmp_path):
     pages = spark.createDataFrame([("b", 1, "第一章 总论\n" + "内容说明。" * 60 + "\n第二章 方法\n" + "方法说明。" * 60)], "doc string, page int, text string")
     book = engine.build_books(pages, "textbook")
     docs = spark.createDataFrame([("b", "sha256:x", "书", "b.txt")], "doc string, document_id string, title string, file_name string")
-    lines = engine.pack_table(book, docs, "textbook", embed.HashEmbedder(8))
+    lines = engine.pack_table(book, docs, "textbook", embed.hash_embedder(8))
     rows = [json.loads(r.line) for r in lines.orderBy("line_no").collect()]
     assert [r["record_type"] for r in rows] == ["manifest", "toc", *["chunk"] * (len(rows) - 2)]
     chunks = rows[2:]
