@@ -5,8 +5,9 @@ the input, goes to the driver. A configuration is a multiset of lengths that fit
 fewest configurations, counted with multiplicity, that hold every piece. It is solved by multiplicative weights in rounds
 until every length is covered: a length's weight falls with its covered share; knapsack dynamic programming over the
 capacity prices the best configuration with each length; those near the best of all are used, in whole numbers and for
-no more than a step of a length's pieces. The step is halved until the number of sequences stops falling. Sequences of
-the cover that stay under 98 % full are packed again best-fit decreasing where that takes fewer of them.
+no more than a step of a length's pieces. The weights also give a dual bound, below which no packing can go. The step is
+halved until the number of sequences stops falling or meets the bound. Sequences of the cover that stay under 98 % full
+are packed again best-fit decreasing where that takes fewer of them.
 
 The plan then names, per length, which ranks go to which sequences and offsets. Pieces are ranked within their length:
 row numbers within (length, bucket) and the sizes of the buckets before, so that a length that a third of all pieces
@@ -18,6 +19,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -147,8 +149,13 @@ def price(lengths: np.ndarray, weight: np.ndarray, capacity: int) -> tuple[np.nd
 Uses = dict[tuple[tuple[int, int], ...], int]  # configuration -> sequences
 
 
-def cover(hist: dict[int, int], capacity: int, step: float) -> Uses:
-    """Configurations that cover every length exactly. In a round no length is served beyond `step` of its pieces."""
+def cover(hist: dict[int, int], capacity: int, step: float) -> tuple[Uses, float]:
+    """Configurations that cover every length exactly, and a lower bound for any such. In a round no length is served
+    beyond `step` of its pieces.
+
+    The weights of a round are a point of the dual program once the best configuration weighs 1: so no cover takes fewer
+    sequences than all pieces weigh by that measure. The bound is the best of all rounds."""
+    dual = 0.0
     lengths = np.array(sorted(hist, reverse=True), np.int64)
     n = np.array([hist[int(x)] for x in lengths], np.int64)
     most, left, rng, out = np.maximum(1, (step * n).astype(np.int64)), n.copy(), np.random.default_rng(0), defaultdict(int)
@@ -159,6 +166,7 @@ def cover(hist: dict[int, int], capacity: int, step: float) -> Uses:
         # A length is worth the room it takes, less the more of it is covered; a little noise parts those worth the same.
         weight = size * np.exp(share.mean() - share[at]) * (1 + 0.1 * step * rng.random(len(at)))
         best, first = price(size, weight, capacity)
+        dual = max(dual, float(weight @ n[at]) / float(best[capacity]))
         given = np.minimum(left, most)[at]
         free, sizes, worth = given.tolist(), size.tolist(), weight.tolist()
         total = weight + best[capacity - size]
@@ -186,20 +194,21 @@ def cover(hist: dict[int, int], capacity: int, step: float) -> Uses:
                 free[i] -= use * t
             out[tuple(sorted(((sizes[i], t) for i, t in times.items()), reverse=True))] += use
         left[at] -= given - np.array(free, np.int64)
-    return dict(out)
+    return dict(out), dual
 
 
-def solve(hist: dict[int, int], capacity: int, *, step: float = 0.25, gain: float = 0.002) -> Uses:
-    """Covers of every length with steps halved until the sequences stop falling by `gain`, or meet the lower bound."""
+def solve(hist: dict[int, int], capacity: int, *, step: float = 0.25, gain: float = 0.002) -> tuple[Uses, int]:
+    """A cover of every length, with steps halved until the sequences stop falling by `gain` or meet the lower bound; and
+    that bound, the greater of the room that all pieces take and the dual value."""
     bound = -(-sum(length * n for length, n in hist.items()) // capacity)
-    best = cover(hist, capacity, step)
-    while (before := sum(best.values())) > bound:
+    best, dual = cover(hist, capacity, step)
+    while (before := sum(best.values())) > (bound := max(bound, math.ceil(dual * (1 - 1e-9)))):
         step /= 2
-        finer = cover(hist, capacity, step)
+        finer, dual = cover(hist, capacity, step)
         best = min(best, finer, key=lambda uses: sum(uses.values()))
         if sum(finer.values()) > before * (1 - gain):
             break
-    return best
+    return best, max(bound, math.ceil(dual * (1 - 1e-9)))
 
 
 def best_fit(hist: dict[int, int], capacity: int) -> Plan:
@@ -237,7 +246,7 @@ def best_fit(hist: dict[int, int], capacity: int) -> Plan:
 
 def plan(hist: dict[int, int], capacity: int, **options) -> Plan:
     """Configurations with whole numbers of sequences that hold every piece exactly once."""
-    made = sorted(solve(hist, capacity, **options).items(), key=lambda kv: (-kv[1], kv[0])) if hist else []
+    made = sorted(solve(hist, capacity, **options)[0].items(), key=lambda kv: (-kv[1], kv[0])) if hist else []
     # Whole numbers may leave sequences unfilled; best fit packs those again where it needs fewer.
     loose = [(kind, n) for kind, n in made if sum(length * t for length, t in kind) < 0.98 * capacity]
     rest: dict[int, int] = defaultdict(int)

@@ -144,7 +144,9 @@ def test_plan_is_near_the_bound():
 def test_program_covers_every_length():
     for hist in ({n: 1000 for n in range(500, 1001)}, {n: 3 for n in range(1, 2049, 7)}, {700: 1, 2048: 5, 1: 3}):
         held = collections.Counter()
-        for kind, n in packing.solve(hist, 2048).items():
+        uses, bound = packing.solve(hist, 2048)
+        assert bound <= sum(n for _, n in packing.best_fit(hist, 2048)) and sum(uses.values()) <= 1.06 * bound + 1
+        for kind, n in uses.items():
             assert sum(length * times for length, times in kind) <= 2048
             for length, times in kind:
                 held[length] += n * times
@@ -153,6 +155,25 @@ def test_program_covers_every_length():
     assert sum(n for _, n in packing.plan(many, 2048)) < 0.97 * sum(n for _, n in packing.best_fit(many, 2048))
 
 
+def test_dual_bound():
+    # Two pieces of 700 fit a sequence, so ten take five, though their room is that of 3.4.
+    assert packing.solve({700: 10}, 2048) == ({((700, 2),): 5}, 5)
+    # Against the fewest sequences by exhaustion.
+    rng = random.Random(4)
+    for _ in range(30):
+        pieces = sorted((rng.randint(2, 10) for _ in range(7)), reverse=True)
+
+        def fewest(k, rooms, pieces=pieces):
+            if k == len(pieces):
+                return len(rooms)
+            options = [fewest(k + 1, [*rooms[:i], r - pieces[k], *rooms[i + 1 :]]) for i, r in enumerate(rooms) if r >= pieces[k]]
+            return min([*options, fewest(k + 1, [*rooms, 10 - pieces[k]])])
+
+        best, hist = fewest(0, []), dict(collections.Counter(pieces))
+        uses, bound = packing.solve(hist, 10)
+        assert bound <= best <= sum(uses.values()) and sum(n for _, n in packing.plan(hist, 10)) <= best + 1
+
+
 def spans(text):
     found = []
     for i, (kind, pattern, group, least) in enumerate((("assign", r"""(?ia)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24))):
