@@ -46,11 +46,12 @@ BITS = 12
 #: N-grams in a shard, on average.
 SHARD = 1_000_000
 #: A word with this share of all tokens is broadcast, if these words are no more than so many with so many bytes.
-HEAVY_SHARE, HEAVY_WORDS, HEAVY_BYTES = 1 / (1 << 22), 400_000, 8 << 20
+HEAVY_SHARE, HEAVY_WORDS, HEAVY_BYTES = 1 / (1 << 22), 200_000, 4 << 20
 #: Words of the filter in a broadcast piece.
 PIECE = 1 << 20
-#: Bytes of text handled at a time; n-grams that a task keeps before it hands them on.
-SLICE, HELD = 4_000_000, 3_000_000
+#: Bytes of text handled at a time; n-grams that a task keeps before it hands them on. Larger slices are no faster, and a
+#: worker needs some 50 MB more for each 1,000,000 bytes.
+SLICE, HELD = 1_000_000, 2_000_000
 #: The hash that stands before the first token of a text.
 START = np.array(0x9AE16A3B2F90404F, np.uint64)[()]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
