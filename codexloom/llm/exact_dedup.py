@@ -7,9 +7,12 @@ Life of a batch of documents:
 * *flush*: every memtable becomes a run in the index folder, sorted by digest, with a Bloom filter and min/max
   statistics per Parquet row group. Lookups of single digests skip what the filters rule out.
 * *compaction*: runs are merged into one sorted run that keeps the smallest (or largest) identifier per digest.
-* *verification*: a digest with more than one row is a hit. The rows of hits are regrouped by digest AND text, so two
-  texts are only ever called equal after Spark compared their bytes. Digests that prove to hold several texts are
-  resolved by text.
+* *filter*: a digest with more than one row is a hit. The compacted run gets a Bloom filter of its hits, one 64-bit word
+  with three bits per digest, in blocks of 1,024 words. Every document probes it first, and what it rules out is known to
+  be alone: its text never moves. It takes ten bits a hit and is broadcast up to `FILTER_HITS`, built and probed by
+  DataFrame functions; with more hits all documents go on to the join.
+* *verification*: the rows of hits are regrouped by digest AND text, so two texts are only ever called equal after Spark
+  compared their bytes. Digests that prove to hold several texts are resolved by text.
 
 Cases: a null text counts as empty; empty texts are equal to each other. Rows with the same identifier and text are one
 document that is counted once per row and stays or goes as a whole. A null identifier never becomes the survivor unless
@@ -26,12 +29,42 @@ from codexloom.session import scratch_path, written
 
 #: A table of hits is broadcast up to this many rows (about 100 bytes each); beyond it the join is by shuffle.
 BROADCAST_ROWS = 500_000
+#: Hits up to which their filter is broadcast: ten bits each, so 50 MB at most.
+FILTER_HITS = 40_000_000
+#: Words of a filter block, and bits of a filter per hit.
+BLOCK_WORDS, BITS_PER_HIT = 1_024, 10
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+class HitFilter:
+    """A Bloom filter of digests as a table of blocks (block, words), of a size that `hits` settles."""
+
+    def __init__(self, digests: DataFrame, hits: int):
+        spark = digests.sparkSession
+        self.words = BLOCK_WORDS * max(1, -(-hits * BITS_PER_HIT // (64 * BLOCK_WORDS)))
+        word, mask = self._place()
+        empty = spark.range(self.words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+        filled = digests.select(word.alias("word"), mask.alias("bits")).unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        blocks = filled.groupBy(F.floor(F.col("word") / BLOCK_WORDS).alias("block")).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("at"))
+        self.blocks = written(blocks.select("block", F.transform("at", lambda x: x["bits"]).alias("words")), "filter")
+
+    def _place(self) -> tuple[Column, Column]:
+        """The word of a column `digest`, and its bits there."""
+        h = F.xxhash64("digest", F.lit(1))
+        bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * k).bitwiseAND(F.lit(63)).cast("int"))
+        return F.pmod(F.xxhash64("digest"), F.lit(self.words)), bit(0).bitwiseOR(bit(1)).bitwiseOR(bit(2))
+
+    def probe(self, rows: DataFrame, *, passing: bool = True) -> DataFrame:
+        """The rows whose digest the filter lets pass, or else those that it rules out."""
+        word, mask = self._place()
+        here = F.element_at("words", (word % BLOCK_WORDS + 1).cast("int"))
+        met = (F.floor(word / BLOCK_WORDS) == F.col("block")) & (here.bitwiseAND(mask) == mask)
+        return rows.join(F.broadcast(self.blocks), met, "left_semi" if passing else "left_anti")
+
+
 class DigestIndex:
     """Sorted digest runs in one folder of the shared file system."""
 
@@ -95,8 +128,10 @@ class DigestIndex:
         rows = docs.withColumn("digest", self.digest(F.col("_text")))
         hits = self.hits()
         n_hits = hits.count()
+        held = HitFilter(hits, n_hits) if n_hits <= FILTER_HITS else None
         classes = written(
-            rows.join(_small(hits, n_hits), "digest", "left_semi")
+            (held.probe(rows) if held else rows)
+            .join(_small(hits, n_hits), "digest", "left_semi")
             .groupBy("digest", "_text")
             .agg(self._pick("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
             .select("digest", "keep_id", "group_size"),
@@ -105,7 +140,10 @@ class DigestIndex:
         groups = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
         mixed = written(groups.where("texts > 1").select("digest"), "mixed")
         n_mixed = mixed.count()
-        out = self._attach(rows, groups, n_hits)
+        if held and n_hits > BROADCAST_ROWS:  # the join is by shuffle, so rows that the filter rules out pass it by
+            out = self._attach(held.probe(rows), groups, n_hits).unionByName(self._attach(held.probe(rows, passing=False), groups.limit(0), 0))
+        else:
+            out = self._attach(rows, groups, n_hits)
         if n_mixed:
             apart = out.where("texts > 1").drop("texts", "keep_id", "group_size")
             exact = apart.groupBy("digest", "_text").agg(self._pick("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))

@@ -47,6 +47,23 @@ def test_exact_dedup_without_broadcast(spark, monkeypatch):
     assert sorted(repr((r["_id"], r.keep_id, r.group_size)) for r in got) == brute(ROWS, max)
 
 
+def test_exact_dedup_without_filter(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FILTER_HITS", -1)
+    got = exact_dedup.exact_dedup(docs(spark, ROWS), keep="min").collect()
+    assert sorted(repr((r["_id"], r.keep_id, r.group_size)) for r in got) == brute(ROWS, min)
+
+
+def test_hit_filter_passes_all_hits_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BLOCK_WORDS", 64)
+    digests = spark.range(20_000).select("id", F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256)).alias("digest"))
+    held = exact_dedup.HitFilter(digests.where("id < 2000").select("digest"), 2_000)
+    assert held.blocks.count() == -(-2_000 * exact_dedup.BITS_PER_HIT // (64 * 64))
+    passed = {r.id for r in held.probe(digests).collect()}
+    assert passed >= set(range(2_000)) and len(passed) < 2_000 + 0.1 * 18_000
+    assert {r.id for r in held.probe(digests, passing=False).collect()} == set(range(20_000)) - passed
+    assert exact_dedup.HitFilter(digests.where("false").select("digest"), 0).probe(digests).count() == 0
+
+
 def test_exact_dedup_keeps_rows_and_columns(spark):
     kept = exact_dedup.drop_exact(docs(spark, ROWS[:7]), keep="max")
     assert kept.columns == ["doc_id", "text", "keep_id", "digest", "_id"]
