@@ -8,6 +8,7 @@ from codexloom.llm import exact_dedup as e4
 from codexloom.llm import importance as e10
 from codexloom.llm import ngram_lm as e3
 from codexloom.llm import packing as e8
+from codexloom.llm import phrases as e12
 from codexloom.llm import runs as e11
 from codexloom.llm import secrets as e9
 from codexloom.llm import simhash as e2
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_secret_scan": e9.op9_secret_scan,
     "op10_importance": e10.op10_importance,
     "op11_periodic_runs": e11.op11_periodic_runs,
+    "op12_phrases": e12.op12_phrases,
 }
-ORACLES = {"op4_exact_dedup": e4.OP4_SQL, "op7_embedding_dedup": e7.OP7_SQL}
+ORACLES = {"op4_exact_dedup": e4.OP4_SQL, "op7_embedding_dedup": e7.OP7_SQL, "op12_phrases": e12.OP12_SQL}
