@@ -138,7 +138,9 @@ def periodic_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     lags = F.floor(F.size(F.split(F.btrim("_text", F.lit(" \t\n\x0b\x0c\r")), _WORDS, -1)) / exponent)
     width = F.greatest(F.lit(LAGS), F.floor(F.lit(RANGE) / F.greatest(F.lit(1), lags * exponent)))
     ranges = long_.withColumn("_width", width).withColumn("_lags", F.greatest(F.lit(1), lags)).withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_lags"), F.col("_width"))))
-    found = ranges.repartition("_row", "_first").select("_row", F.inline(_ranged(F.col("_text"), F.col("_first"), F.col("_first") + F.col("_width"), least, exponent)))
+    # A range is few bytes and much work: the number of tasks is fixed, so that small ones aren't put together again.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = ranges.repartition(tasks, "_row", "_first").select("_row", F.inline(_ranged(F.col("_text"), F.col("_first"), F.col("_first") + F.col("_width"), least, exponent)))
     runs = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("_r"))
     ordered = F.transform("_r", lambda r: F.struct(r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period")))
     met = long_.join(runs, "_row", "left").withColumn("runs", F.coalesce(ordered, F.array().cast(f"array<{_RUN}>")))
