@@ -6,6 +6,7 @@ from codexloom.llm import byte_bpe as e6
 from codexloom.llm import embedding_dedup as e7
 from codexloom.llm import exact_dedup as e4
 from codexloom.llm import importance as e10
+from codexloom.llm import language as e13
 from codexloom.llm import ngram_lm as e3
 from codexloom.llm import packing as e8
 from codexloom.llm import phrases as e12
@@ -28,5 +29,6 @@ QUERIES = {
     "op10_importance": e10.op10_importance,
     "op11_periodic_runs": e11.op11_periodic_runs,
     "op12_phrases": e12.op12_phrases,
+    "op13_language": e13.op13_language,
 }
 ORACLES = {"op4_exact_dedup": e4.OP4_SQL, "op7_embedding_dedup": e7.OP7_SQL, "op12_phrases": e12.OP12_SQL}
