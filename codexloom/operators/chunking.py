@@ -1,7 +1,8 @@
 """Chunks: sections cut, kept whole or merged with their neighbours.
 
-Sections go by runs of siblings. A fold over a run's lengths alone says which chunk a section belongs to and why; long
-sections are cut by a fold over their units; texts are put together once, at the end.
+Sections go by runs of siblings, runs by islands between sections that close any buffer. A fold over an island's lengths
+says which chunk a section belongs to and why; long sections are cut by a fold over the lengths of their units; texts are
+put together once, at the end. Folds collect in blocks, so that n items cost n * sqrt(n) copies of a pointer.
 """
 
 from __future__ import annotations
@@ -32,21 +33,44 @@ def windows_of(unit: Column, most: int, overlap: int) -> Column:
 
 
 def split_long(x: Column, most: int, overlap: int) -> Column:
-    """The parts of a long section: units packed with blank lines between, each part led by the end of the one before."""
-    zero = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"))
-    flush = lambda a: F.when(T.strip(a["cur"]) == "", a["out"]).otherwise(F.concat(a["out"], F.array(T.strip(a["cur"]))))
+    """The parts of a long section: units packed with blank lines between, each part led by the end of the one before.
+
+    The fold goes over lengths: of the growing part it knows the first unit, the length and the last `overlap` characters.
+    The parts' texts are put together once, from the units between their ends."""
+    part, open_ = "struct<lead:string,first:int,last:int>", "struct<n:int,lead:string,first:int,tail:string>"
+    parts = f"array<{part}>"
+    of = lambda kind, *fields: F.struct(*fields).cast(kind)
+    none = of(open_, F.lit(0), F.lit(None), F.lit(0), F.lit(""))
     state = lambda out, cur: F.struct(out.alias("out"), cur.alias("cur"))
+    keep = lambda t: F.right(t, F.lit(overlap)) if overlap else F.lit("")
+
+    def closed(a: Column, before: Column) -> Column:
+        """a's parts with the one that grows, which ends before a unit."""
+        cur = a["cur"]
+        return F.when(cur["n"] == 0, a["out"]).otherwise(F.concat(a["out"], F.array(of(part, cur["lead"], cur["first"], before - 1))))
 
     def step(a: Column, u: Column) -> Column:
-        tail = F.right(a["cur"], F.lit(overlap)) if overlap else F.lit("")
+        cur, begun = a["cur"], of(open_, u["n"], F.lit(None), u["i"], u["tail"])
+        led = of(open_, F.length(F.ltrim(cur["tail"], F.lit(T.WHITE))) + 2 + u["n"], F.ltrim(cur["tail"], F.lit(T.WHITE)), u["i"], keep(F.concat(F.ltrim(cur["tail"], F.lit(T.WHITE)), F.lit("\n\n"), u["tail"]))) if overlap else begun
         return (
-            F.when(F.length(u) > most, state(F.concat(flush(a), windows_of(u, most, overlap)), F.lit("")))
-            .when(a["cur"] == "", state(a["out"], u))
-            .when(F.length(a["cur"]) + F.length(u) + 2 <= most, state(a["out"], F.concat(a["cur"], F.lit("\n\n"), u)))
-            .otherwise(state(flush(a), T.strip(F.concat(tail, F.lit("\n\n"), u))))
+            F.when(u["n"] > most, state(F.concat(closed(a, u["i"]), F.array(of(part, F.lit(None), u["i"], F.lit(-1)))), none))
+            .when(cur["n"] == 0, state(a["out"], begun))
+            .when(cur["n"] + u["n"] + 2 <= most, state(a["out"], of(open_, cur["n"] + 2 + u["n"], cur["lead"], cur["first"], keep(F.concat(cur["tail"], F.lit("\n\n"), u["tail"])))))
+            .otherwise(state(closed(a, u["i"]), led))
         )
 
-    return F.aggregate(units(x), zero, step, flush)
+    def block(a: Column, some: Column) -> Column:
+        inner = F.aggregate(some, state(F.array().cast(parts), a["cur"]), step)
+        return T.bound(inner, lambda r: state(F.concat(a["out"], F.array(r["out"])), r["cur"]))
+
+    def cut(us: Column) -> Column:
+        told = F.transform(us, lambda u, i: F.struct(i.alias("i"), F.length(u).alias("n"), keep(u).alias("tail")))
+        end = lambda a: closed(state(F.flatten(a["out"]), a["cur"]), F.size(us))
+        made = T.fold_blocks(told, state(F.array().cast(f"array<{parts}>"), none), block, end)
+        text = lambda p: F.concat(F.when(p["lead"].isNull(), "").otherwise(F.concat(p["lead"], F.lit("\n\n"))), F.array_join(F.slice(us, p["first"] + 1, p["last"] - p["first"] + 1), "\n\n"))
+        return F.flatten(F.transform(made, lambda p: F.when(p["last"] < 0, windows_of(F.get(us, p["first"]), most, overlap)).otherwise(F.array(text(p)))))
+
+    return T.bound(units(x), cut)
 
 
 def sibling_runs(sections: DataFrame) -> DataFrame:
@@ -62,13 +86,18 @@ _ITEM = "array<struct<ord:int,chunk:int,role:string,part:int>>"
 def merge_plan(runs: DataFrame, p: Profile) -> DataFrame:
     """Of runs (doc, run, ord, len, head, parts, last): per section its chunk within the run and the role it has there.
 
-    head: length of the heading line; parts, last: number of parts of a long section and the length of the last."""
-    items = runs.groupBy("doc", "run").agg(F.array_sort(F.collect_list(F.struct("ord", "len", "head", "parts", "last"))).alias("items"))
+    head: length of the heading line; parts, last: number of parts of a long section and the length of the last.
+
+    A section of p.min or more always closes the open buffer, whether it joins it or not. So a run falls into islands that
+    end with such a section, and all that an island hands on is the length of its last chunk, which its own sections tell.
+    Each island is a fold of its own; the chunks before it are counted by a window."""
+    first = Window.partitionBy("doc", "run").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    cut = runs.withColumn("island", F.coalesce(F.count_if(F.col("len") >= p.min).over(first), F.lit(0)))
+    items = cut.groupBy("doc", "run", "island").agg(F.array_sort(F.collect_list(F.struct("ord", "len", "head", "parts", "last"))).alias("items"))
     buf = "array<struct<ord:int,len:int,head:int>>"
-    zero = F.struct(F.array().cast(_ITEM).alias("out"), F.array().cast(buf).alias("buf"), F.lit(0).alias("size"), F.lit(0).alias("chunk"), F.lit(-1).alias("prev"))
     made = lambda out, b, size, chunk, prev: F.struct(out.alias("out"), b.alias("buf"), size.cast("int").alias("size"), chunk.cast("int").alias("chunk"), prev.cast("int").alias("prev"))
     entry = lambda o, chunk, role, part=0: F.struct(o.alias("ord"), chunk.cast("int").alias("chunk"), F.lit(role).alias("role"), F.lit(part).alias("part"))
-    none = F.array().cast(buf)
+    none, no_items = F.array().cast(buf), F.array().cast(_ITEM)
 
     def close(a: Column) -> Column:
         """The state after the open buffer has become a chunk, or has joined the one before."""
@@ -97,8 +126,25 @@ def merge_plan(runs: DataFrame, p: Profile) -> DataFrame:
         closed = F.aggregate(F.array(a), a, lambda _, x: close(x), lambda c: fresh(c, s))
         return F.when(joins, more).otherwise(closed)
 
-    plan = items.select("doc", "run", F.explode(F.aggregate("items", zero, step, lambda a: close(a)["out"])).alias("x"))
-    return plan.select("doc", "run", "x.ord", F.col("x.chunk").alias("slot"), F.col("x.role").alias("reason"))
+    def block(a: Column, some: Column) -> Column:
+        """A block's entries, in an array of their own."""
+        inner = F.aggregate(some, made(no_items, a["buf"], a["size"], a["chunk"], a["prev"]), step)
+        return T.bound(inner, lambda r: made(F.concat(a["out"], F.array(r["out"])), r["buf"], r["size"], r["chunk"], r["prev"]))
+
+    def folded(prev: Column) -> Column:
+        end = lambda a: T.bound(close(made(no_items, a["buf"], a["size"], a["chunk"], a["prev"])), lambda c: F.struct(F.flatten(F.concat(a["out"], F.array(c["out"]))).alias("out"), c["chunk"].alias("chunks"), c["prev"].alias("prev")))
+        return T.fold_blocks(F.col("items"), made(F.array().cast(f"array<{_ITEM}>"), none, F.lit(0), F.lit(0), prev), block, end)
+
+    # What an island hands on does not depend on what it was handed: its last chunk holds its last section. And only an
+    # island whose first chunk would join the one before is folded again.
+    by = Window.partitionBy("doc", "run").orderBy("island")
+    known = items.select("doc", "run", "island", "items", folded(F.lit(-1)).alias("f")).withColumn("prev", F.coalesce(F.lag("f.prev").over(by), F.lit(-1)))
+    first = F.col("items")[0]
+    joins = (F.col("f.out")[0]["role"] == ALONE) & (F.col("prev") >= 0) & (F.col("prev") + 2 + first["len"] + first["head"] <= p.max)
+    told = known.select("doc", "run", "island", F.when(joins, folded(F.col("prev"))).otherwise(F.col("f")).alias("f"))
+    told = told.withColumn("before", F.coalesce(F.sum("f.chunks").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    plan = told.select("doc", "run", "before", F.explode("f.out").alias("x"))
+    return plan.select("doc", "run", "x.ord", (F.col("x.chunk") + F.col("before")).cast("int").alias("slot"), F.col("x.role").alias("reason"))
 
 
 def make_chunks(sections: DataFrame, p: Profile = PLAIN) -> DataFrame:
