@@ -193,13 +193,13 @@ def fragments(rows: DataFrame, order: Order, reach: int) -> DataFrame:
 
 
 def owned(reach: int) -> Column:
-    """The n-grams of a fragment that hold its pivot."""
+    """The n-grams of a fragment that hold its pivot; null in place of those that it is too short for."""
     grams = []
     for size in range(2, reach + 2):
         for before in range(size):
             words = [*[f"l{k}" for k in range(before, 0, -1)], "p", *[f"r{k}" for k in range(1, size - before)]]
             grams.append(F.concat(*[x for w in words for x in (F.lit(" "), F.col(w))][1:]))
-    return F.array_compact(F.array(*grams))
+    return F.array(*grams)
 
 
 def mined(rows: DataFrame, order: Order, share: int, *, most: int, least: int) -> DataFrame:
@@ -207,10 +207,13 @@ def mined(rows: DataFrame, order: Order, share: int, *, most: int, least: int) -
     which it is one group."""
     reach = most - 1
     beside = [f"{s}{k}" for s in "lr" for k in range(1, reach + 1)]
-    group = F.when(F.col("f") <= share, -1).otherwise(F.pmod(F.xxhash64(*beside), F.ceil(F.col("f") / share))).cast("int")
-    routed = fragments(rows, order, reach).withColumn("group", group).repartition("lang", "p", "group")
-    local = routed.select("lang", "p", "group", "n", F.explode(owned(reach)).alias("phrase")).groupBy("lang", "p", "group", "phrase").agg(F.sum("n").alias("n"))
-    return local.where((F.col("group") >= 0) | (F.col("n") >= least)).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # A group is known by a hash of its pivot; that of a pivot in several groups is negative.
+    one = F.shiftrightunsigned(F.xxhash64("lang", "p"), 1)
+    several = -F.shiftrightunsigned(F.xxhash64("lang", "p", F.pmod(F.xxhash64(*beside), F.ceil(F.col("f") / share))), 1) - 1
+    routed = fragments(rows, order, reach).withColumn("group", F.when(F.col("f") <= share, one).otherwise(several)).repartition("group")
+    grams = routed.select("group", "lang", "n", F.explode(owned(reach)).alias("phrase")).where("phrase IS NOT NULL")
+    local = grams.groupBy("group", "lang", "phrase").agg(F.sum("n").alias("n"))
+    return local.where((F.col("group") < 0) | (F.col("n") >= least)).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
 def _counted(parts: DataFrame, counts: DataFrame) -> DataFrame:
