@@ -208,8 +208,8 @@ def mined(rows: DataFrame, order: Order, share: int, *, most: int, least: int) -
     reach = most - 1
     beside = [f"{s}{k}" for s in "lr" for k in range(1, reach + 1)]
     # A group is known by a hash of its pivot; that of a pivot in several groups is negative.
-    one = F.shiftrightunsigned(F.xxhash64("lang", "p"), 1)
-    several = -F.shiftrightunsigned(F.xxhash64("lang", "p", F.pmod(F.xxhash64(*beside), F.ceil(F.col("f") / share))), 1) - 1
+    one = F.shiftrightunsigned(F.hash("lang", "p"), 1)
+    several = -F.shiftrightunsigned(F.hash("lang", "p", F.pmod(F.xxhash64(*beside), F.ceil(F.col("f") / share))), 1) - 1
     routed = fragments(rows, order, reach).withColumn("group", F.when(F.col("f") <= share, one).otherwise(several)).repartition("group")
     grams = routed.select("group", "lang", "n", F.explode(owned(reach)).alias("phrase")).where("phrase IS NOT NULL")
     local = grams.groupBy("group", "lang", "phrase").agg(F.sum("n").alias("n"))
