@@ -109,15 +109,17 @@ def inspect_books(book: Book, pages: DataFrame, profile: str | Profile, docs: Da
 def inspect_packs(lines: DataFrame, pages: DataFrame, sources: DataFrame) -> DataFrame:
     """A verdict per document from all checks of its pack's lines (doc, line_no, line) against its pages and its source
     (doc, document_id, file_name), with recommendations and samples."""
-    records = written(packs.split_records(lines), "records")
+    told = written(packs.told_lines(lines), "records")
+    records, bad = packs.split_records(told), packs.bad_records(told)
     # A pack without manifest is judged all the same.
     meta = written(sources.select("doc", F.col("document_id").alias("actual_hash"), F.col("file_name").alias("actual_name")).join(inspect.manifest_fields(records), "doc", "left"), "meta")
     chunks, items = written(inspect.pack_chunks(records), "paths"), written(inspect.pack_items(records), "items")
     lengths, heads = written(inspect.length_stats(chunks, meta), "lengths"), written(inspect.heading_stats(chunks), "heads")
     none = sources.select("doc").join(records.select("doc").distinct(), "doc", "left_anti").select("doc", F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("record_type"))
-    garbled, covered = written(inspect.garbled_stats(items.select("doc", "title"), chunks), "garbled"), written(inspect.coverage(pages, chunks), "covered")
+    garbled, covered = written(inspect.garbled_stats(items.select("doc", "ord", "title"), chunks), "garbled"), written(inspect.coverage(pages, chunks), "covered")
     checks = written(
-        inspect.check_file_match(meta)
+        inspect.check_records(bad.join(sources.select("doc").distinct(), "doc", "left_semi"))
+        .unionByName(inspect.check_file_match(meta))
         .unionByName(inspect.check_schema(records.select("doc", "line_no", "line", "record_type").unionByName(none)))
         .unionByName(inspect.check_profile(meta))
         .unionByName(inspect.check_lengths(lengths))

@@ -1,8 +1,9 @@
 """Inspection of packs: statistics, checks, recommendations, samples, verdict.
 
 chunks: doc, chunk_index, chunk_id, text, heading_path, toc_path, page_start, page_end. meta: one row per doc with the
-manifest's parameters. Each check gives rows (doc, ord, status, message); a verdict is one aggregation over them.
-The messages are fixed values.
+manifest's parameters. Each check gives rows (doc, ord, status, message, detail); a verdict is one aggregation over them.
+detail is a VARIANT object that says what the message is about: counts, ratios, the first offenders. The messages and the
+names in details are fixed values.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ BLOCK = 32_768
 REQUIRED_MANIFEST = ("record_type", "schema_version", "document_id", "title", "source", "toc", "chunking", "embedding")
 REQUIRED_CHUNK = ("chunk_id", "chunk_index", "text", "embedding_text", "heading_path", "source", "prev_chunk_id", "next_chunk_id", "stats", "split_info", "embedding")
 M = {
+    "line_json": "JSONL 第 {} 行不是合法 JSON",
+    "line_object": "JSONL 第 {} 行不是对象记录",
     "hash_bad": "PDF 文件 hash 与 manifest 不一致，可能拿错了 PDF 或 JSONL。",
     "hash_ok": "PDF 文件 hash 与 manifest 匹配。",
     "name_bad": "manifest 中记录的源文件名与当前 PDF 文件名不同。",
@@ -70,10 +73,39 @@ R = {
 }
 
 
-def messages(df: DataFrame, first_ord: int, *rules: tuple[Column, str, str]) -> DataFrame:
-    """Rows (doc, ord, status, message) of the rules (condition, status, message key) that hold."""
-    items = [F.when(when, F.struct(F.lit(first_ord + i).alias("ord"), F.lit(status).alias("status"), F.lit(M[key]).alias("message"))) for i, (when, status, key) in enumerate(rules)]
-    return df.select("doc", F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("m")).select("doc", "m.*")
+#: How many offenders a detail names.
+BAD_CHUNKS, FIRST_INDICES, EMPTY_CHUNKS, TITLES, LINES = 10, 10, 20, 5, 10
+
+
+def told(**fields: Column | str) -> Column:
+    """A detail as JSON, nulls kept; a name stands for a column."""
+    return F.to_json(F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"})
+
+
+def messages(df: DataFrame, first_ord: int, *rules: tuple) -> DataFrame:
+    """Rows (doc, ord, status, message, detail) of the rules (condition, status, message key[, detail as JSON]) that hold."""
+    items = []
+    for i, (when, status, key, *detail) in enumerate(rules):
+        items.append(F.when(when, F.struct(F.lit(first_ord + i).alias("ord"), F.lit(status).alias("status"), F.lit(M[key]).alias("message"), (detail[0] if detail else F.lit("{}")).alias("json"))))
+    rows = df.select("doc", F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("m"))
+    return rows.select("doc", "m.ord", "m.status", "m.message", F.parse_json("m.json").alias("detail"))
+
+
+def first_of(rows: DataFrame, most: int, order: str, value: str, name: str) -> DataFrame:
+    """doc and name, the values (strings) of the first `most` rows of every doc in order. Only that many of a task's rows
+    of a doc are sent on."""
+    w = Window.partitionBy("doc").orderBy(order)
+    some = rows.select("doc", order, value).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
+    return some.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", value))), lambda x: x[value]).alias(name))
+
+
+def check_records(bad: DataFrame) -> DataFrame:
+    """bad: doc, line_no, kind, as packs.bad_records gives them. A failure per pack that has any, named by the first."""
+    first = first_of(bad.withColumn("_one", told(line="line_no", kind="kind")), LINES, "line_no", "_one", "_lines")
+    rows = bad.groupBy("doc").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("line_no", "kind")).alias("first")).join(first, "doc")
+    says = lambda key: F.replace(F.lit(M[key]), F.lit("{}"), F.col("first.line_no").cast("string"))
+    detail = F.concat(F.lit('{"count":'), F.col("n").cast("string"), F.lit(',"lines":['), F.array_join("_lines", ","), F.lit("]}"))
+    return rows.select("doc", F.lit(0).alias("ord"), F.lit("FAIL").alias("status"), F.when(F.col("first.kind") == "json", says("line_json")).otherwise(says("line_object")).alias("message"), F.parse_json(detail).alias("detail"))
 
 
 def length_stats(chunks: DataFrame, meta: DataFrame) -> DataFrame:
@@ -91,7 +123,10 @@ def length_stats(chunks: DataFrame, meta: DataFrame) -> DataFrame:
 def check_lengths(stats: DataFrame) -> DataFrame:
     n = F.col("chunks")
     healthy = F.col("normal") / n >= 0.65
-    return messages(stats, 40, (F.col("very_long") > 0, "WARN", "very_long"), (F.col("very_short") / n > 0.12, "WARN", "very_short"), (healthy, "PASS", "length_ok"), (~healthy, "WARN", "length_bad"))
+    buckets = F.struct(F.col("very_short").alias("very_short_lt_100"), F.col("short").alias("short_100_300"), F.col("normal").alias("normal_300_to_section_split"), F.col("long").alias("long_section_split_to_very_long"), "very_long")
+    all_ = told(min="min_chars", median="median_chars", average=F.bround(F.col("sum_chars") / n, 1), max="max_chars", section_split_chars="split", buckets=buckets)
+    limit = told(count="very_long", limit=F.greatest(F.col("split") * 2, F.lit(3500)))
+    return messages(stats, 40, (F.col("very_long") > 0, "WARN", "very_long", limit), (F.col("very_short") / n > 0.12, "WARN", "very_short", told(ratio=F.bround(F.col("very_short") / n, 3))), (healthy, "PASS", "length_ok", all_), (~healthy, "WARN", "length_bad", all_))
 
 
 def heading_stats(chunks: DataFrame) -> DataFrame:
@@ -115,23 +150,32 @@ def heading_stats(chunks: DataFrame) -> DataFrame:
 def check_headings(stats: DataFrame) -> DataFrame:
     n = F.col("chunks")
     empty, shallow, crowded = F.col("empty_paths") > 0, (F.col("shallow_paths") / n > 0.65) & (n >= 20), (F.col("common_count") / n > 0.35) & (n >= 20)
+    all_ = told(empty_heading_path_count="empty_paths", shallow_heading_path_count="shallow_paths", average_depth=F.bround(F.col("depth_sum") / n, 2), max_depth="max_depth", most_common_path="common_path", most_common_path_count="common_count", body_heading_chunk_count="body_heading_chunks", auto_heading_chunk_count="auto_heading_chunks")
+    crowd = told(path="common_path", ratio=F.bround(F.col("common_count") / n, 3))
     # Of the three warnings only two name the title path, and only those stand against a pass.
-    return messages(stats, 50, (empty, "WARN", "path_empty"), (shallow, "WARN", "path_shallow"), (crowded, "WARN", "path_crowded"), (~shallow & ~crowded, "PASS", "path_ok"))
+    return messages(stats, 50, (empty, "WARN", "path_empty", told(count="empty_paths")), (shallow, "WARN", "path_shallow", told(shallow_ratio=F.bround(F.col("shallow_paths") / n, 3))), (crowded, "WARN", "path_crowded", crowd), (~shallow & ~crowded, "PASS", "path_ok", all_))
 
 
 def garbled_stats(titles: DataFrame, chunks: DataFrame) -> DataFrame:
-    """titles: doc, title. Garbled titles, garbled heading titles (each occurrence), garbled starts of the first 80."""
+    """titles: doc, ord, title. Garbled titles, garbled heading titles (each occurrence), garbled starts of the first 80,
+    and the first garbled titles and headings in order."""
     bad = lambda c: F.coalesce(T.looks_garbled(c), F.lit(False))
-    a = titles.groupBy("doc").agg(F.count_if(bad(F.col("title"))).alias("garbled_titles"))
-    rows = chunks.withColumn("_n", F.row_number().over(Window.partitionBy("doc").orderBy("chunk_index")))
-    head = F.size(F.filter(F.coalesce("heading_path", F.array().cast("array<string>")), bad))
-    b = rows.groupBy("doc").agg(F.sum(head).alias("garbled_headings"), F.count_if((F.col("_n") <= 80) & (T.garbled_ratio(F.left(F.coalesce("text", F.lit("")), F.lit(600))) > 0.04)).alias("garbled_chunks"))
-    return b.join(a, "doc", "left").select("doc", F.coalesce("garbled_titles", F.lit(0)).alias("garbled_titles"), "garbled_headings", "garbled_chunks")
+    none = F.array().cast("array<string>")
+    w = lambda c: Window.partitionBy("doc").orderBy(c)
+    firsts = lambda kept, value: F.transform(F.array_sort(F.collect_list(F.when(kept & (F.col("_nth") <= TITLES), F.struct("_nth", value)))), lambda x: x[value])
+    marked = titles.select("doc", "ord", "title", bad(F.col("title")).alias("_bad"))
+    a = marked.withColumn("_nth", F.count_if("_bad").over(w("ord"))).groupBy("doc").agg(F.count_if("_bad").alias("garbled_titles"), firsts(F.col("_bad"), "title").alias("title_examples"))
+    head = F.filter(F.coalesce("heading_path", none), bad)
+    rows = chunks.select("doc", "chunk_index", head.alias("_heads"), (T.garbled_ratio(F.left(F.coalesce("text", F.lit("")), F.lit(600))) > 0.04).alias("_bad"))
+    rows = rows.withColumn("_n", F.row_number().over(w("chunk_index"))).withColumn("_nth", F.count_if(F.size("_heads") > 0).over(w("chunk_index"))).withColumn("_some", F.slice("_heads", 1, TITLES))
+    b = rows.groupBy("doc").agg(F.sum(F.size("_heads")).alias("garbled_headings"), F.count_if((F.col("_n") <= 80) & F.col("_bad")).alias("garbled_chunks"), F.slice(F.flatten(firsts(F.size("_heads") > 0, "_some")), 1, TITLES).alias("heading_examples"))
+    return b.join(a, "doc", "left").select("doc", F.coalesce("garbled_titles", F.lit(0)).alias("garbled_titles"), "garbled_headings", "garbled_chunks", F.coalesce("title_examples", none).alias("title_examples"), "heading_examples")
 
 
 def check_garbled(stats: DataFrame) -> DataFrame:
     title, text = (F.col("garbled_titles") > 0) | (F.col("garbled_headings") > 0), F.col("garbled_chunks") > 0
-    return messages(stats, 60, (title, "WARN", "garbled_title"), (text, "WARN", "garbled_text"), (~title & ~text, "PASS", "garbled_ok"))
+    all_ = told(garbled_toc_title_count="garbled_titles", garbled_heading_title_count="garbled_headings", garbled_sample_chunk_count="garbled_chunks", garbled_toc_examples="title_examples", garbled_heading_examples="heading_examples")
+    return messages(stats, 60, (title, "WARN", "garbled_title", all_), (text, "WARN", "garbled_text", told(sample_chunk_count="garbled_chunks")), (~title & ~text, "PASS", "garbled_ok", all_))
 
 
 def compact_blocks(rows: DataFrame, order: str, reach: int = 80) -> DataFrame:
@@ -183,46 +227,87 @@ def check_coverage(stats: DataFrame) -> DataFrame:
     none = (F.col("source_chars") == 0) | (F.col("chunk_chars") == 0)
     bad = ~none & ((F.col("coverage") < 0.45) | (F.col("chunk_rate") < 0.55))
     low = ~none & ~bad & (F.col("coverage") < 0.65)
-    return messages(stats, 70, (none, "FAIL", "cover_none"), (bad, "FAIL", "cover_bad"), (low, "WARN", "cover_low"), (~none & ~bad & ~low, "PASS", "cover_ok"))
+    all_ = told(pdf_chars_compact="source_chars", chunk_chars_compact="chunk_chars", chunk_to_pdf_char_ratio=F.bround("char_ratio", 3), pdf_sample_match_rate="source_rate", chunk_sample_match_rate="chunk_rate", estimated_coverage="coverage")
+    return messages(stats, 70, (none, "FAIL", "cover_none"), (bad, "FAIL", "cover_bad", all_), (low, "WARN", "cover_low", all_), (~none & ~bad & ~low, "PASS", "cover_ok", all_))
 
 
 def check_file_match(packs: DataFrame) -> DataFrame:
     """packs: doc, expected_hash, actual_hash, source_name, actual_name."""
     bad = (F.coalesce("expected_hash", F.lit("")) != "") & (F.col("expected_hash") != F.col("actual_hash"))
     name = (F.coalesce("source_name", F.lit("")) != "") & (F.element_at(F.split("source_name", "/"), -1) != F.col("actual_name"))
-    return messages(packs, 1, (bad, "FAIL", "hash_bad"), (~bad, "PASS", "hash_ok"), (name, "WARN", "name_bad"))
+    return messages(packs, 1, (bad, "FAIL", "hash_bad", told(expected="expected_hash", actual="actual_hash")), (~bad, "PASS", "hash_ok"), (name, "WARN", "name_bad", told(manifest_file_name="source_name", pdf_file_name="actual_name")))
+
+
+def schema_facts(lines: DataFrame) -> DataFrame:
+    """lines (doc, line_no, line, record_type) as what their schema check asks: keys that are missing, whether items, path
+    and embedding are lists, the index (as JSON), whether the text is blank. Each line is parsed once; texts stay behind."""
+    rows = T.pinned(lines.select("doc", "line_no", "record_type", "line"), v=F.try_parse_json("line"), keys=F.json_object_keys("line"))
+    listed = lambda path: F.try_variant_get("v", f"$.{path}", "array<variant>")
+    kind = F.col("record_type")
+    lacks = lambda names: F.array_except(F.array(*[F.lit(n) for n in names]), F.coalesce("keys", F.array().cast("array<string>")))
+    missing = F.when(kind == "manifest", lacks(REQUIRED_MANIFEST)).when(kind == "chunk", lacks(REQUIRED_CHUNK))
+    return rows.select(
+        "doc", "line_no", "record_type", missing.alias("missing"), F.size(listed("items")).alias("items"),
+        listed("heading_path").isNotNull().alias("has_path"), listed("embedding").isNotNull().alias("has_vector"),
+        F.coalesce(F.to_json(F.try_variant_get("v", "$.chunk_index", "variant")), F.lit("null")).alias("index"),
+        (T.strip(F.coalesce(F.try_variant_get("v", "$.text", "string"), F.lit(""))) == "").alias("blank"),
+    )
 
 
 def check_schema(lines: DataFrame) -> DataFrame:
     """lines: doc, line_no, line, record_type, as split_records gives them."""
-    keys = F.json_object_keys("line")
-    missing = lambda names: F.size(F.array_except(F.array(*[F.lit(n) for n in names]), keys)) > 0
-    listed = lambda path: F.coalesce(F.trim(F.get_json_object("line", path)).startswith("["), F.lit(False))
-    kind = F.col("record_type")
-    index = F.get_json_object("line", "$.chunk_index").cast("int")
-    nth = F.row_number().over(Window.partitionBy("doc", "record_type").orderBy("line_no"))
-    rows = lines.withColumn("_nth", nth)
+    facts = written(schema_facts(lines), "facts")
+    chunk = F.col("record_type") == "chunk"
+    nth = F.count_if(chunk).over(Window.partitionBy("doc").orderBy("line_no"))
+    rows = facts.withColumn("nth", nth)
+    at = lambda rest: F.concat(F.lit('{"chunk_index":'), "index", F.lit(","), rest, F.lit("}"))
+    faults = F.array_compact(F.array(
+        F.when(F.size("missing") > 0, at(F.concat(F.lit('"missing":'), F.to_json("missing")))),
+        F.when(~F.col("has_path"), at(F.lit('"error":"heading_path is not list"'))),
+        F.when(~F.col("has_vector"), at(F.lit('"error":"embedding is not list"'))),
+    ))
+    bad = facts.where(chunk).select("doc", "line_no", faults.alias("_faults")).where(F.size("_faults") > 0)
+    head = lambda k: F.first(F.when(F.col("record_type") == k[0], F.col(k[1])), ignorenulls=True)
     per = rows.groupBy("doc").agg(
-        F.coalesce(F.bool_or((kind == "manifest") & ~missing(REQUIRED_MANIFEST)), F.lit(False)).alias("manifest"),
-        F.coalesce(F.bool_or((kind == "toc") & listed("$.items")), F.lit(False)).alias("toc"),
-        F.count_if(kind == "chunk").alias("n"),
-        F.count_if((kind == "chunk") & (missing(REQUIRED_CHUNK) | ~listed("$.heading_path") | ~listed("$.embedding"))).alias("bad"),
-        F.count_if((kind == "chunk") & ~index.eqNullSafe(F.col("_nth"))).alias("gaps"),
-        F.count_if((kind == "chunk") & (T.strip(F.coalesce(F.get_json_object("line", "$.text"), F.lit(""))) == "")).alias("empty"),
+        F.count_if(F.col("record_type") == "manifest").alias("_manifests"),
+        head(("manifest", "missing")).alias("_missing"),
+        head(("toc", "items")).alias("items"),
+        F.count_if(chunk).alias("n"),
+        F.count_if(chunk & (F.col("index") != F.col("nth").cast("string"))).alias("gaps"),
+        F.count_if(chunk & F.col("blank")).alias("empty"),
     )
-    n = F.col("n")
-    return messages(per, 10, (~F.col("manifest"), "FAIL", "manifest_bad"), (F.col("manifest"), "PASS", "manifest_ok"), (~F.col("toc"), "FAIL", "toc_bad"), (F.col("toc"), "PASS", "toc_ok"), (n == 0, "FAIL", "no_chunks"), ((n > 0) & (F.col("bad") > 0), "FAIL", "chunk_bad"), ((n > 0) & (F.col("bad") == 0), "PASS", "chunk_ok"), ((n > 0) & (F.col("gaps") > 0), "WARN", "index_bad"), ((n > 0) & (F.col("empty") > 0), "FAIL", "empty_chunk"))
+    named = facts.where(chunk)
+    for some in (
+        first_of(bad, BAD_CHUNKS, "line_no", "_faults", "faults"),
+        first_of(named, FIRST_INDICES, "line_no", "index", "firsts"),
+        first_of(named.where("blank"), EMPTY_CHUNKS, "line_no", "index", "blanks"),
+    ):
+        per = per.join(some, "doc", "left")
+    listed = lambda name, xs: F.concat(F.lit(f'{{"{name}":['), F.array_join(xs, ","), F.lit("]}"))
+    missing = F.when(F.col("_manifests") == 0, F.array(*[F.lit(n) for n in REQUIRED_MANIFEST])).otherwise(F.col("_missing"))
+    n, poor, toc = F.col("n"), F.size(missing) > 0, F.coalesce(F.col("items") >= 0, F.lit(False))
+    examples = listed("examples", F.slice(F.flatten("faults"), 1, BAD_CHUNKS))
+    return messages(
+        per, 10,
+        (poor, "FAIL", "manifest_bad", F.to_json(F.struct(missing.alias("missing")))), (~poor, "PASS", "manifest_ok"),
+        (~toc, "FAIL", "toc_bad"), (toc, "PASS", "toc_ok", told(toc_items="items")), (n == 0, "FAIL", "no_chunks"),
+        ((n > 0) & F.col("faults").isNotNull(), "FAIL", "chunk_bad", examples), ((n > 0) & F.col("faults").isNull(), "PASS", "chunk_ok", told(chunks="n")),
+        ((n > 0) & (F.col("gaps") > 0), "WARN", "index_bad", listed("first_indices", F.col("firsts"))), ((n > 0) & (F.col("empty") > 0), "FAIL", "empty_chunk", listed("chunk_indices", F.col("blanks"))),
+    )
 
 
 PARAMETERS = ("target_chars", "max_chars", "section_split_chars", "min_chunk_chars", "overlap_chars")
 
 
 def profile_mismatches(meta: DataFrame) -> DataFrame:
-    """meta (doc, profile, parameters) with known and mismatches, the names of parameters unlike the profile's."""
+    """meta (doc, profile, parameters) with known, mismatches (the names of parameters unlike the profile's) and unlike
+    (both values of each, as JSON)."""
     table = F.broadcast(profile_table(meta.sparkSession).where("kind = 'book'").toDF(*[f"_{c}" for c in profile_table(meta.sparkSession).columns]))
     out = meta.join(table, F.col("profile") == F.col("_profile"), "left")
-    unlike = F.filter(F.array(*[F.when(F.col(c).isNotNull() & (F.col(c) != F.col(f"_{c}")), F.lit(c)) for c in PARAMETERS]), lambda x: x.isNotNull())
-    return out.select(*[meta[c] for c in meta.columns], F.col("_profile").isNotNull().alias("known"), unlike.alias("mismatches"))
+    differs = lambda c: F.col(c).isNotNull() & (F.col(c) != F.col(f"_{c}"))
+    unlike = F.array_compact(F.array(*[F.when(differs(c), F.lit(c)) for c in PARAMETERS]))
+    both = F.map_filter(F.create_map(*[x for c in PARAMETERS for x in (F.lit(c), F.when(differs(c), F.struct(F.col(c).alias("manifest"), F.col(f"_{c}").alias("profile_default"))))]), lambda _, v: v.isNotNull())
+    return out.select(*[meta[c] for c in meta.columns], F.col("_profile").isNotNull().alias("known"), unlike.alias("mismatches"), F.to_json(both).alias("unlike"))
 
 
 def check_profile(meta: DataFrame) -> DataFrame:
@@ -231,7 +316,11 @@ def check_profile(meta: DataFrame) -> DataFrame:
     known, bad = F.col("known"), F.size("mismatches") > 0
     other = known & ~F.coalesce(F.col("provider") == "none", F.lit(False))
     wide = known & ~other & (F.coalesce("dimension", F.lit(0)) != 0)
-    return messages(rows, 30, (~known, "WARN", "profile_unknown"), (known & bad, "WARN", "profile_bad"), (known & ~bad, "PASS", "profile_ok"), (other, "WARN", "provider_bad"), (wide, "WARN", "dimension_bad"), (known & ~other & ~wide, "PASS", "embedding_ok"))
+    return messages(
+        rows, 30,
+        (~known, "WARN", "profile_unknown", told(profile="profile")), (known & bad, "WARN", "profile_bad", F.col("unlike")), (known & ~bad, "PASS", "profile_ok", told(profile="profile")),
+        (other, "WARN", "provider_bad", told(provider="provider")), (wide, "WARN", "dimension_bad", told(dimension="dimension")), (known & ~other & ~wide, "PASS", "embedding_ok"),
+    )
 
 
 def manifest_fields(records: DataFrame) -> DataFrame:
@@ -251,9 +340,9 @@ def pack_chunks(records: DataFrame) -> DataFrame:
 
 
 def pack_items(records: DataFrame) -> DataFrame:
-    """The items of the packs' contents."""
+    """The items of the packs' contents, in order."""
     items = F.from_json("line", "items array<struct<toc_id:string,title:string,level:int>>")["items"]
-    return records.where("record_type = 'toc'").select("doc", F.inline(items))
+    return records.where("record_type = 'toc'").select("doc", F.posexplode(items).alias("ord", "i")).select("doc", "ord", "i.*")
 
 
 def score(failed: Column, warned: Column) -> Column:
@@ -419,8 +508,8 @@ def _html(judged: DataFrame) -> Column:
     if "stats" in judged.columns:
         rows = [tag("tr", F.lit(f"<th>{part}.{f}</th>"), tag("td", e(F.col(f"stats.{part}.{f}")))) for part in _fields(judged, "stats") for f in judged.select(f"stats.{part}.*").columns]
         parts += [heading("统计"), tag("table", *rows)]
-    row = lambda c: F.concat(F.lit('<tr><td class="'), F.lower(e(c["status"])), F.lit('">'), e(c["status"]), F.lit("</td><td>"), e(c["message"]), F.lit("</td></tr>"))
-    parts += [heading("检查项"), tag("table", F.array_join(F.transform("checks", row), ""))]
+    row = lambda c: F.concat(F.lit('<tr><td class="'), F.lower(e(c["status"])), F.lit('">'), e(c["status"]), F.lit("</td><td>"), e(c["message"]), F.lit("</td><td><code>"), e(F.to_json(c["detail"])), F.lit("</code></td></tr>"))
+    parts += [heading("检查项"), tag("table", tag("tr", *[tag("th", F.lit(x)) for x in ("状态", "说明", "详情")]), F.array_join(F.transform("checks", row), ""))]
     if "samples" in judged.columns:
         card = lambda x: tag("div", F.lit("<h3>chunk "), e(x["chunk_index"]), F.lit(" · "), e(x["page_start"]), F.lit("-"), e(x["page_end"]), F.lit("</h3>"), tag("p", e(x["heading_path"])), tag("p", e(x["char_count"]), F.lit(" · "), e(x["match_rate"])), tag("pre", e(x["chunk_preview"])), tag("pre", e(x["source_preview"])), cls="card")
         parts += [heading("抽样对照"), F.coalesce(F.array_join(F.transform("samples", card), ""), F.lit(""))]
@@ -428,8 +517,10 @@ def _html(judged: DataFrame) -> Column:
 
 
 def with_checks(verdicts: DataFrame, checks: DataFrame) -> DataFrame:
-    """verdicts with checks, the array of (status, message) in order."""
-    rows = checks.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "status", "message"))), lambda x: F.struct(x["status"].alias("status"), x["message"].alias("message"))).alias("checks"))
+    """verdicts with checks, the array of (status, message, detail) in order."""
+    one = F.struct("ord", "status", "message", F.to_json("detail").alias("json"))
+    parsed = lambda x: F.struct(x["status"].alias("status"), x["message"].alias("message"), F.parse_json(x["json"]).alias("detail"))
+    rows = checks.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(one)), parsed).alias("checks"))
     return verdicts.join(rows, "doc")
 
 

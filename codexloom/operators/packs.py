@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from codexloom.functions import text as T
 from codexloom.functions.profiles import Profile
 from codexloom.operators.chunking import ALONE, BACKWARD, CUT, MERGED, NATURAL
+from codexloom.session import written
 
 SCHEMA_VERSION = "1.0"
+#: What may be wrong with a line of a pack.
+NO_JSON, NO_OBJECT = "json", "object"
 
 
 def document_id(content: Column) -> Column:
@@ -133,21 +140,64 @@ def pack_lines(manifests: DataFrame, tocs: DataFrame, chunks: DataFrame, p: Prof
     )
 
 
+def read_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
+    """The lines of the files in a folder, or of one file: doc (the file's path), line_no from 1, line.
+
+    Files are read in splits. Within a split lines come in order; how many a split has, and how many stand before it, is
+    counted from the written lines, which carry their place in the split."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+    split = [F.col("_metadata.file_path").alias("doc"), F.col("_metadata.file_block_start").alias("_split")]
+    lines = written(files.select(*split, F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line")), "lines")
+    sizes = lines.groupBy("doc", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("doc").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("doc", "_split", (F.coalesce(before, F.lit(0)) + 1 - F.col("_first")).alias("_shift"))
+    return lines.join(starts, ["doc", "_split"]).select("doc", (F.col("_id") + F.col("_shift")).cast("int").alias("line_no"), "line")
+
+
 def read_packs(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of the pack files in a folder: doc (the file's path), line_no from 1, line. A file is read whole, as a
-    pack holds one document."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
-    lines = files.select(F.col("_metadata.file_path").alias("doc"), F.posexplode(F.split("value", "\r?\n", -1)).alias("_i", "line"))
-    return lines.select("doc", (F.col("_i") + 1).alias("line_no"), "line")
+    """The lines of the pack files in a folder, or of one pack."""
+    return read_lines(spark, path)
+
+
+@F.arrow_udf(StringType())
+def _judged(lines: pa.Array) -> pa.Array:
+    """Why a line is no record; null if it is one after all."""
+
+    def why(line: str | None) -> str | None:
+        try:
+            return None if line is None or isinstance(json.loads(line), dict) else NO_OBJECT
+        except (ValueError, RecursionError):
+            return NO_JSON
+
+    return pa.array([why(x) for x in lines.to_pylist()], pa.string())
+
+
+def record_error(line: Column) -> Column:
+    """Null for a JSON object or a blank line, else `json` or `object`. Built-in functions pass what is surely an object;
+    they are stricter in one thing (keys that repeat) and laxer in none, and only the other lines go to Python."""
+    bare = T.strip(line)
+    # The parser does not mind what follows a value. So the line stands in a list before its own hash, which it can't hold.
+    told = F.xxhash64(bare)
+    pair = F.try_parse_json(F.concat(F.lit("["), bare, F.lit(","), told.cast("string"), F.lit("]"))).try_cast("array<variant>")
+    sure = bare.startswith("{") & F.coalesce((F.size(pair) == 2) & (F.get(pair, F.lit(1)).try_cast("long") == told), F.lit(False))
+    return _judged(F.when((bare != "") & ~sure, bare))
+
+
+def told_lines(lines: DataFrame) -> DataFrame:
+    """lines (doc, line_no, line) with record_type and kind, what is wrong with a line (null for records and blank lines)."""
+    kind = record_error(F.col("line"))
+    return lines.select("doc", "line_no", "line", F.get_json_object("line", "$.record_type").alias("record_type"), kind.alias("kind"))
 
 
-def split_records(lines: DataFrame) -> DataFrame:
-    """lines (doc, line_no, line) with record_type; the first manifest, the first contents and all chunks stay."""
-    kinds = lines.where(T.strip(F.col("line")) != "").withColumn("record_type", F.get_json_object("line", "$.record_type"))
-    first = F.row_number().over(Window.partitionBy("doc", "record_type").orderBy("line_no"))
-    return kinds.withColumn("_n", first).where("record_type = 'chunk' OR (record_type IN ('manifest', 'toc') AND _n = 1)").drop("_n")
+def bad_records(told: DataFrame) -> DataFrame:
+    """Of told_lines those that are neither blank nor a JSON object: doc, line_no, kind (`json` or `object`)."""
+    return told.where("kind IS NOT NULL").select("doc", "line_no", "kind")
 
 
-def bad_lines(lines: DataFrame) -> DataFrame:
-    """Lines that aren't blank and no JSON object: doc, line_no."""
-    return lines.where((T.strip(F.col("line")) != "") & F.json_object_keys("line").isNull()).select("doc", "line_no")
+def split_records(told: DataFrame) -> DataFrame:
+    """Of told_lines the records that count: the first manifest, the first contents and all chunks, with record_type. Of
+    the few manifests and contents the first is looked for by number; chunks are passed on as they are."""
+    good = told.where("kind IS NULL").select("doc", "line_no", "line", "record_type")
+    heads = good.where("record_type IN ('manifest', 'toc')")
+    first = heads.groupBy("doc", "record_type").agg(F.min("line_no").alias("line_no"))
+    return good.where("record_type = 'chunk'").unionByName(heads.join(first, ["doc", "record_type", "line_no"], "left_semi").select(good.columns))

@@ -15,6 +15,19 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def obj(**fields: str) -> str:
+    """A JSON object of SQL expressions that give JSON, its names in order."""
+    return "'{' || " + " || ',' || ".join(f"""'"{n}":' || {v}""" for n, v in sorted(fields.items())) + " || '}'"
+
+
+def num(x: str) -> str:
+    return f"regexp_replace(({x})::VARCHAR, '\\.0+$', '')"
+
+
+def text(x: str) -> str:
+    return f"to_json({x})::VARCHAR"
+
+
 W, LE = T.W, T.LINE_END
 
 
@@ -207,10 +220,13 @@ dim AS ({ORACLES['profile_defaults']}),
 pm AS (SELECT meta.*, dim.profile IS NOT NULL AS known, CASE WHEN dim.profile IS NULL THEN '' ELSE array_to_string(list_filter([CASE WHEN target_chars <> 700 THEN 'target_chars' END, CASE WHEN max_chars <> 1100 THEN 'max_chars' END, CASE WHEN section_split_chars <> 2000 THEN 'section_split_chars' END, CASE WHEN min_chunk_chars <> 180 THEN 'min_chunk_chars' END, CASE WHEN overlap_chars <> overlap THEN 'overlap_chars' END], lambda x: x IS NOT NULL), ',') END AS mismatches
  FROM meta LEFT JOIN dim ON dim.profile = meta.profile AND dim.kind = 'book')"""
 ORACLES["profile_mismatches"] = f"WITH {META} SELECT doc_id, profile, known, mismatches FROM pm"
-ORACLES["check_profile"] = f"""WITH {META}, r AS (
- SELECT CASE WHEN NOT known THEN 30 WHEN mismatches <> '' THEN 31 ELSE 32 END AS ord, CASE WHEN known AND mismatches = '' THEN 'PASS' ELSE 'WARN' END AS status, CASE WHEN NOT known THEN {q(I.M['profile_unknown'])} WHEN mismatches <> '' THEN {q(I.M['profile_bad'])} ELSE {q(I.M['profile_ok'])} END AS message FROM pm
- UNION ALL SELECT CASE WHEN provider <> 'none' THEN 33 WHEN dimension <> 0 THEN 34 ELSE 35 END, CASE WHEN provider = 'none' AND dimension = 0 THEN 'PASS' ELSE 'WARN' END, CASE WHEN provider <> 'none' THEN {q(I.M['provider_bad'])} WHEN dimension <> 0 THEN {q(I.M['dimension_bad'])} ELSE {q(I.M['embedding_ok'])} END FROM pm WHERE known)
-SELECT ord::INT AS ord, status, message, count(*) AS n FROM r GROUP BY ALL"""
+_pair = lambda name, mine: f"""CASE WHEN {name} <> {mine} THEN '"{name}":' || {obj(manifest=mine, profile_default=name)} END"""
+_unlike = "'{' || array_to_string(list_filter([" + ", ".join(_pair(*x) for x in (("max_chars", "1100"), ("min_chunk_chars", "180"), ("overlap_chars", "overlap"), ("section_split_chars", "2000"), ("target_chars", "700"))) + "], lambda x: x IS NOT NULL), ',') || '}'"
+ORACLES["check_profile"] = f"""WITH {META}, x AS (SELECT pm.*, CASE WHEN known THEN {_unlike} END AS unlike FROM pm LEFT JOIN dim ON dim.profile = pm.profile AND dim.kind = 'book'), r AS (
+ SELECT doc_id, CASE WHEN NOT known THEN 30 WHEN mismatches <> '' THEN 31 ELSE 32 END AS ord, CASE WHEN known AND mismatches = '' THEN 'PASS' ELSE 'WARN' END AS status, CASE WHEN NOT known THEN {q(I.M['profile_unknown'])} WHEN mismatches <> '' THEN {q(I.M['profile_bad'])} ELSE {q(I.M['profile_ok'])} END AS message, CASE WHEN known AND mismatches <> '' THEN unlike ELSE {obj(profile=text('profile'))} END AS detail FROM x
+ UNION ALL SELECT doc_id, CASE WHEN provider <> 'none' THEN 33 WHEN dimension <> 0 THEN 34 ELSE 35 END, CASE WHEN provider = 'none' AND dimension = 0 THEN 'PASS' ELSE 'WARN' END, CASE WHEN provider <> 'none' THEN {q(I.M['provider_bad'])} WHEN dimension <> 0 THEN {q(I.M['dimension_bad'])} ELSE {q(I.M['embedding_ok'])} END,
+  CASE WHEN provider <> 'none' THEN {obj(provider=text('provider'))} WHEN dimension <> 0 THEN {obj(dimension='dimension')} ELSE '{{}}' END FROM pm WHERE known)
+SELECT doc_id, ord::INT AS ord, status, message, detail FROM r"""
 
 
 def re2(pattern: str) -> str:
@@ -268,11 +284,18 @@ ORACLES["classify_profile"] = f"WITH {SCORED} SELECT doc_id, {_pick} AS profile,
 CH = f"ch AS (SELECT {C.KEY_SQL} AS doc, doc_id, row_number() OVER (PARTITION BY {C.KEY_SQL} ORDER BY doc_id) AS chunk_index, text, length(text) AS n, CASE WHEN doc_id % 9 = 0 THEN [] ELSE [source, lang] END AS path FROM documents)"
 LEN = f"{CH}, ls AS (SELECT doc, count(*) AS chunks, min(n)::INT AS min_chars, median(n)::DOUBLE AS median_chars, sum(n)::BIGINT AS sum_chars, max(n)::INT AS max_chars, count(*) FILTER (n < 100) AS very_short, count(*) FILTER (n >= 100 AND n < 300) AS short, count(*) FILTER (n BETWEEN 300 AND 2000) AS normal, count(*) FILTER (n > 2000 AND n <= 4000) AS long, count(*) FILTER (n > 4000) AS very_long FROM ch GROUP BY doc)"
 ORACLES["length_stats"] = f"WITH {LEN} SELECT doc AS book, * EXCLUDE (doc) FROM ls"
-LCHECK = f"""lc AS (SELECT doc, 'WARN' AS status, {q(I.M['very_long'])} AS message FROM ls WHERE very_long > 0 UNION ALL SELECT doc, 'WARN', {q(I.M['very_short'])} FROM ls WHERE very_short / chunks > 0.12
- UNION ALL SELECT doc, CASE WHEN normal / chunks >= 0.65 THEN 'PASS' ELSE 'WARN' END, CASE WHEN normal / chunks >= 0.65 THEN {q(I.M['length_ok'])} ELSE {q(I.M['length_bad'])} END FROM ls)"""
-ORACLES["length_checks"] = f"WITH {LEN}, {LCHECK} SELECT doc AS book, status, message FROM lc"
+_lengths = obj(min="min_chars", max="max_chars", median=num("median_chars"), average=num("round_even(sum_chars / chunks, 1)"), section_split_chars="2000", buckets=obj(very_short_lt_100="very_short", short_100_300="short", normal_300_to_section_split="normal", long_section_split_to_very_long="long", very_long="very_long"))
+LCHECK = f"""lc AS (SELECT doc, 'WARN' AS status, {q(I.M['very_long'])} AS message, {obj(count='very_long', limit='4000')} AS detail FROM ls WHERE very_long > 0 UNION ALL SELECT doc, 'WARN', {q(I.M['very_short'])}, {obj(ratio=num('round_even(very_short / chunks, 3)'))} FROM ls WHERE very_short / chunks > 0.12
+ UNION ALL SELECT doc, CASE WHEN normal / chunks >= 0.65 THEN 'PASS' ELSE 'WARN' END, CASE WHEN normal / chunks >= 0.65 THEN {q(I.M['length_ok'])} ELSE {q(I.M['length_bad'])} END, {_lengths} FROM ls)"""
+ORACLES["length_checks"] = f"WITH {LEN}, {LCHECK} SELECT doc AS book, status, message, detail FROM lc"
 HEAD = "hp AS (SELECT doc, array_to_string(path, ' > ') AS p, count(*) AS n, min(chunk_index) AS f FROM ch GROUP BY ALL), hb AS (SELECT doc, p, n FROM hp QUALIFY row_number() OVER (PARTITION BY doc ORDER BY n DESC, f) = 1), hs AS (SELECT doc, count(*) AS chunks, count(*) FILTER (len(path) = 0) AS empty_paths, count(*) FILTER (len(path) <= 1) AS shallow_paths, sum(len(path))::BIGINT AS depth_sum, max(len(path))::INT AS max_depth FROM ch GROUP BY doc)"
 ORACLES["heading_stats"] = f"WITH {CH}, {HEAD} SELECT doc AS book, hs.* EXCLUDE (doc), p AS common_path, n AS common_count FROM hs JOIN hb USING (doc)"
+_paths = obj(empty_heading_path_count="empty_paths", shallow_heading_path_count="shallow_paths", average_depth=num("round_even(depth_sum / hs.chunks, 2)"), max_depth="max_depth", most_common_path=text("p"), most_common_path_count="n", body_heading_chunk_count="0", auto_heading_chunk_count="0")
+ORACLES["heading_checks"] = f"""WITH {CH}, {HEAD}, b AS (SELECT hs.*, p, n, shallow_paths / chunks > 0.65 AND chunks >= 20 AS shallow, n / chunks > 0.35 AND chunks >= 20 AS crowded, {_paths} AS stats FROM hs JOIN hb USING (doc))
+SELECT doc AS book, 'WARN' AS status, {q(I.M['path_empty'])} AS message, {obj(count='empty_paths')} AS detail FROM b WHERE empty_paths > 0
+UNION ALL SELECT doc, 'WARN', {q(I.M['path_shallow'])}, {obj(shallow_ratio=num('round_even(shallow_paths / chunks, 3)'))} FROM b WHERE shallow
+UNION ALL SELECT doc, 'WARN', {q(I.M['path_crowded'])}, {obj(path=text('p'), ratio=num('round_even(n / chunks, 3)'))} FROM b WHERE crowded
+UNION ALL SELECT doc, 'PASS', {q(I.M['path_ok'])}, stats FROM b WHERE NOT shallow AND NOT crowded"""
 ORACLES["verdicts"] = f"""WITH {LEN}, {LCHECK}, {HEAD}, hc AS (SELECT hs.doc, unnest([CASE WHEN empty_paths > 0 THEN 'WARN' END, CASE WHEN shallow_paths / chunks > 0.65 AND chunks >= 20 THEN 'WARN' END, CASE WHEN n / chunks > 0.35 AND chunks >= 20 THEN 'WARN' END, CASE WHEN NOT (shallow_paths / chunks > 0.65 AND chunks >= 20) AND NOT (n / chunks > 0.35 AND chunks >= 20) THEN 'PASS' END]) AS status FROM hs JOIN hb USING (doc)),
 a AS (SELECT doc, status FROM lc UNION ALL SELECT doc, status FROM hc WHERE status IS NOT NULL), v AS (SELECT doc, count(*) FILTER (status = 'PASS') + (length(doc) + 1) % 2 AS passed, count(*) FILTER (status = 'WARN') AS warned, length(doc) % 2 AS failed FROM a GROUP BY doc)
 SELECT doc AS book, passed, warned, failed, greatest(0, 100 - 35 * failed - 8 * warned) AS score, CASE WHEN failed > 0 THEN 'FAIL' WHEN warned > 0 THEN 'WARN' ELSE 'PASS' END AS result FROM v"""
@@ -291,15 +314,39 @@ COVER = f"""{CH}, cv AS (SELECT doc, {compact('string_agg(text, chr(10) ORDER BY
 cr AS (SELECT doc, length(s)::INT AS source_chars, length(c)::INT AS chunk_chars, ({rate('s', 'c')})::DOUBLE AS source_rate, ({rate('c', 's')})::DOUBLE AS chunk_rate FROM cv),
 cc AS (SELECT *, coalesce(least(1.0::DOUBLE, chunk_chars / nullif(source_chars, 0)), 0) AS char_ratio FROM cr), co AS (SELECT *, round_even(char_ratio * 0.35::DOUBLE + source_rate * 0.35::DOUBLE + chunk_rate * 0.30::DOUBLE, 3) AS coverage FROM cc)"""
 ORACLES["coverage"] = f"WITH {COVER} SELECT doc AS book, * EXCLUDE (doc) FROM co"
+_covered = obj(pdf_chars_compact="source_chars", chunk_chars_compact="chunk_chars", chunk_to_pdf_char_ratio=num("round_even(char_ratio, 3)"), pdf_sample_match_rate=num("source_rate"), chunk_sample_match_rate=num("chunk_rate"), estimated_coverage=num("coverage"))
 ORACLES["coverage_checks"] = f"""WITH {COVER} SELECT doc AS book, CASE WHEN k IN ('cover_none', 'cover_bad') THEN 'FAIL' WHEN k = 'cover_low' THEN 'WARN' ELSE 'PASS' END AS status,
- CASE k WHEN 'cover_none' THEN {q(I.M['cover_none'])} WHEN 'cover_bad' THEN {q(I.M['cover_bad'])} WHEN 'cover_low' THEN {q(I.M['cover_low'])} ELSE {q(I.M['cover_ok'])} END AS message
-FROM (SELECT doc, CASE WHEN source_chars = 0 OR chunk_chars = 0 THEN 'cover_none' WHEN coverage < 0.45 OR chunk_rate < 0.55 THEN 'cover_bad' WHEN coverage < 0.65 THEN 'cover_low' ELSE 'cover_ok' END AS k FROM co)"""
-ORACLES["check_file_match"] = f"""SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN page_id % 5 = 0 THEN {q(I.M['hash_bad'])} ELSE {q(I.M['hash_ok'])} END AS message FROM pages
-UNION ALL SELECT page_id, 'WARN', {q(I.M['name_bad'])} FROM pages WHERE page_id % 7 = 0"""
+ CASE k WHEN 'cover_none' THEN {q(I.M['cover_none'])} WHEN 'cover_bad' THEN {q(I.M['cover_bad'])} WHEN 'cover_low' THEN {q(I.M['cover_low'])} ELSE {q(I.M['cover_ok'])} END AS message, CASE k WHEN 'cover_none' THEN '{{}}' ELSE {_covered} END AS detail
+FROM (SELECT *, CASE WHEN source_chars = 0 OR chunk_chars = 0 THEN 'cover_none' WHEN coverage < 0.45 OR chunk_rate < 0.55 THEN 'cover_bad' WHEN coverage < 0.65 THEN 'cover_low' ELSE 'cover_ok' END AS k FROM co)"""
+_match = obj(expected="CASE WHEN page_id % 5 > 0 THEN '\"sha256:' || sha256(html) || '\"' ELSE '\"sha256:0\"' END", actual="'\"sha256:' || sha256(html) || '\"'")
+ORACLES["check_file_match"] = f"""SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN page_id % 5 = 0 THEN {q(I.M['hash_bad'])} ELSE {q(I.M['hash_ok'])} END AS message, CASE WHEN page_id % 5 = 0 THEN {_match} ELSE '{{}}' END AS detail FROM pages
+UNION ALL SELECT page_id, 'WARN', {q(I.M['name_bad'])}, {obj(manifest_file_name="'\"a/' || page_id || '\"'", pdf_file_name="'\"other\"'")} FROM pages WHERE page_id % 7 = 0"""
 # Of a text its first 600 characters count, of a heading all.
-ORACLES["garbled_checks"] = f"""WITH {TITLE}, u AS (SELECT {C.KEY_SQL} AS doc, doc_id, left(m, 600) AS f, {strip('m')} <> '' AND ({GARBLED} OR (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.12)) AS looks FROM t2),
-g AS (SELECT doc, looks, {count('f', f'[^{T.W_IN}]')} AS n, {count('f', '[' + chr(0xfffd) + '□■◆◇\\x00-\\x08\\x0e-\\x1b]')} + {count('f', '[\\x{e000}-\\x{f8ff}]')} + {count('f', f'[A-Za-z]{T.CJK}[A-Za-z]|{T.CJK}[A-Za-z]{{2,}}{T.CJK}')} AS bad, row_number() OVER (PARTITION BY doc ORDER BY doc_id) AS k FROM u)
-SELECT doc AS book, count(*) FILTER (looks) AS garbled_titles, count(*) FILTER (looks) AS garbled_headings, count(*) FILTER (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.04 AND k <= 80) AS garbled_chunks FROM g GROUP BY doc"""
+ORACLES["garbled_checks"] = f"""WITH {TITLE}, u AS (SELECT {C.KEY_SQL} AS doc, doc_id, m, left(m, 600) AS f, {strip('m')} <> '' AND ({GARBLED} OR (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.12)) AS looks FROM t2),
+g AS (SELECT doc, m, looks, {count('f', f'[^{T.W_IN}]')} AS n, {count('f', '[' + chr(0xfffd) + '□■◆◇\\x00-\\x08\\x0e-\\x1b]')} + {count('f', '[\\x{e000}-\\x{f8ff}]')} + {count('f', f'[A-Za-z]{T.CJK}[A-Za-z]|{T.CJK}[A-Za-z]{{2,}}{T.CJK}')} AS bad, row_number() OVER (PARTITION BY doc ORDER BY doc_id) AS k FROM u)
+SELECT doc AS book, count(*) FILTER (looks) AS garbled_titles, count(*) FILTER (looks) AS garbled_headings, count(*) FILTER (n > 0 AND least(1.0, bad::DOUBLE / n) > 0.04 AND k <= 80) AS garbled_chunks, {{some}} AS title_examples, {{some}} AS heading_examples FROM g GROUP BY doc""".replace("{some}", "sha256(coalesce(array_to_string((list(m ORDER BY k) FILTER (looks))[1:5], chr(10)), ''))")
+# Packs with faults: what is wrong with a line follows from its number.
+POOR = f"""rows AS (SELECT {C.KEY_SQL} AS doc, doc_id AS i, text, row_number() OVER (PARTITION BY {C.KEY_SQL} ORDER BY doc_id) AS n FROM documents),
+bad AS (SELECT doc, (n + 2)::INT AS line_no, CASE WHEN i % 17 = 1 THEN 'json' WHEN i % 19 = 1 THEN 'object' WHEN i % 23 = 1 THEN 'json' END AS kind FROM rows WHERE i % 17 = 1 OR i % 19 = 1 OR i % 23 = 1)"""
+ORACLES["bad_records"] = f"WITH {POOR} SELECT doc AS book, line_no, kind FROM bad"
+ORACLES["check_records"] = f"""WITH {POOR} SELECT doc AS book, 0::INT AS ord, 'FAIL' AS status, 'JSONL 第 ' || min(line_no) || CASE WHEN arg_min(kind, line_no) = 'json' THEN ' 行不是合法 JSON' ELSE ' 行不是对象记录' END AS message,
+ {obj(count='count(*)', lines="'[' || array_to_string(list(" + obj(kind=text('kind'), line='line_no') + " ORDER BY line_no)[1:10], ',') || ']'")} AS detail FROM bad GROUP BY doc"""
+_i = "idx::VARCHAR"
+_lack = "CASE WHEN i % 7 = 0 THEN '[' || CASE WHEN i % 7 = 0 THEN '\"next_chunk_id\"' ELSE '' END || CASE WHEN i % 21 = 0 THEN ',\"stats\"' ELSE '' END || ']' END"
+ORACLES["check_schema"] = f"""WITH {POOR}, c AS (SELECT r.doc, r.n, i, CASE WHEN i % 97 = 5 THEN n + 1 ELSE n END AS idx, row_number() OVER (PARTITION BY r.doc ORDER BY n) AS nth FROM rows r WHERE NOT (i % 17 = 1 OR i % 19 = 1 OR i % 23 = 1 OR i % 31 = 1)),
+f AS (SELECT doc, n, 1 AS k, {obj(chunk_index=_i, missing=_lack)} AS e FROM c WHERE i % 7 = 0
+ UNION ALL SELECT doc, n, 2, {obj(chunk_index=_i, error="'\"heading_path is not list\"'")} FROM c WHERE i % 11 = 0
+ UNION ALL SELECT doc, n, 3, {obj(chunk_index=_i, error="'\"embedding is not list\"'")} FROM c WHERE i % 29 = 0),
+fs AS (SELECT doc, {obj(examples="'[' || array_to_string(list(e ORDER BY n, k)[1:10], ',') || ']'")} AS faults FROM f GROUP BY doc),
+b AS (SELECT doc, count(*) AS chunks, bool_or(idx <> nth) AS gaps, {obj(first_indices="'[' || array_to_string(list(idx ORDER BY n)[1:10], ',') || ']'")} AS firsts, {obj(chunk_indices="'[' || array_to_string((list(idx ORDER BY n) FILTER (i % 13 = 0))[1:20], ',') || ']'")} AS blanks, bool_or(i % 13 = 0) AS empty FROM c GROUP BY doc),
+d AS (SELECT doc, coalesce(chunks, 0) AS chunks, coalesce(gaps, FALSE) AS gaps, firsts, blanks, coalesce(empty, FALSE) AS empty, faults FROM (SELECT DISTINCT doc FROM rows) LEFT JOIN b USING (doc) LEFT JOIN fs USING (doc))
+SELECT doc AS book, CASE WHEN length(doc) % 2 = 0 THEN 10 ELSE 11 END::INT AS ord, CASE WHEN length(doc) % 2 = 0 THEN 'FAIL' ELSE 'PASS' END AS status, CASE WHEN length(doc) % 2 = 0 THEN {q(I.M['manifest_bad'])} ELSE {q(I.M['manifest_ok'])} END AS message, CASE WHEN length(doc) % 2 = 0 THEN '{{"missing":["title"]}}' ELSE '{{}}' END AS detail FROM d
+UNION ALL SELECT doc, CASE WHEN length(doc) % 3 = 0 THEN 12 ELSE 13 END, CASE WHEN length(doc) % 3 = 0 THEN 'FAIL' ELSE 'PASS' END, CASE WHEN length(doc) % 3 = 0 THEN {q(I.M['toc_bad'])} ELSE {q(I.M['toc_ok'])} END, CASE WHEN length(doc) % 3 = 0 THEN '{{}}' ELSE '{{"toc_items":2}}' END FROM d
+UNION ALL SELECT doc, 14, 'FAIL', {q(I.M['no_chunks'])}, '{{}}' FROM d WHERE chunks = 0
+UNION ALL SELECT doc, 15, 'FAIL', {q(I.M['chunk_bad'])}, faults FROM d WHERE faults IS NOT NULL
+UNION ALL SELECT doc, 16, 'PASS', {q(I.M['chunk_ok'])}, {obj(chunks='chunks')} FROM d WHERE chunks > 0 AND faults IS NULL
+UNION ALL SELECT doc, 17, 'WARN', {q(I.M['index_bad'])}, firsts FROM d WHERE gaps
+UNION ALL SELECT doc, 18, 'FAIL', {q(I.M['empty_chunk'])}, blanks FROM d WHERE empty"""
 ORACLES["recommend_heading_level"] = f"""WITH {TB}, {LEN}, d AS (SELECT doc, max(level) AS deep FROM heads GROUP BY doc), r AS (SELECT ls.doc, deep, deep > 1 AND (long + very_long) / chunks > 0.18 AS up, (very_short + short) / chunks > 0.35 AS down FROM ls JOIN d USING (doc))
 SELECT doc AS book, (SELECT '{{' || string_agg('"' || level || '":' || n, ',' ORDER BY level) || '}}' FROM (SELECT level, count(*) AS n FROM heads h WHERE h.doc = r.doc GROUP BY level)) AS toc_level_counts,
  CASE WHEN up THEN '存在较多长 chunk，且 TOC 还有更深层级，可尝试 --max-chunk-heading-level ' || least(deep, 2) || '。' WHEN down THEN '短 chunk 比例偏高，可人工评估是否降低到 --max-chunk-heading-level 1。' ELSE '当前最细分块层级与 chunk 长度分布基本匹配。' END AS reason,

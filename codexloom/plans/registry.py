@@ -408,7 +408,8 @@ def profile_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inspect.check_profile(_meta(spark, sf_dir)).groupBy("ord", "status", "message").agg(F.count(F.lit(1)).alias("n"))
+    found = inspect.check_profile(_meta(spark, sf_dir))
+    return found.select(F.col("doc").alias("doc_id"), "ord", "status", "message", F.to_json("detail").alias("detail"))
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,7 +459,7 @@ def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def length_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _key(inspect.check_lengths(inspect.length_stats(_chunks(spark, sf_dir), _split(spark, sf_dir))).select("doc", "status", "message"))
+    return _key(inspect.check_lengths(inspect.length_stats(_chunks(spark, sf_dir), _split(spark, sf_dir))).select("doc", "status", "message", F.to_json("detail").alias("detail")))
 
 
 @query
@@ -466,10 +467,18 @@ def heading_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key(inspect.heading_stats(_chunks(spark, sf_dir)).drop("body_heading_chunks", "auto_heading_chunks"))
 
 
+@query
+def heading_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = inspect.check_headings(inspect.heading_stats(_chunks(spark, sf_dir)))
+    return _key(found.select("doc", "status", "message", F.to_json("detail").alias("detail")))
+
+
 @query
 def garbled_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _chunks(spark, sf_dir).withColumn("marked", _marked()).withColumn("heading_path", F.array("marked")).drop("text").withColumnRenamed("marked", "text")
-    return _key(inspect.garbled_stats(rows.select("doc", F.element_at("heading_path", 1).alias("title")), rows))
+    found = inspect.garbled_stats(rows.select("doc", F.col("chunk_index").alias("ord"), F.element_at("heading_path", 1).alias("title")), rows)
+    joined = lambda c: F.sha2(F.array_join(c, "\n").cast("binary"), 256).alias(c)
+    return _key(found.select("doc", "garbled_titles", "garbled_headings", "garbled_chunks", joined("title_examples"), joined("heading_examples")))
 
 
 @query
@@ -486,7 +495,7 @@ def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def coverage_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _key(inspect.check_coverage(_coverage(spark, sf_dir)).select("doc", "status", "message"))
+    return _key(inspect.check_coverage(_coverage(spark, sf_dir)).select("doc", "status", "message", F.to_json("detail").alias("detail")))
 
 
 @query
@@ -523,13 +532,46 @@ def recommend_body_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def check_file_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = C.table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc"), F.when(F.col("page_id") % 5 > 0, T.sha256_text(F.col("html"))).otherwise("sha256:0").alias("expected_hash"), packs.document_id(F.col("html").cast("binary")).alias("actual_hash"), F.concat(F.lit("a/"), F.col("page_id").cast("string")).alias("source_name"), F.when(F.col("page_id") % 7 == 0, "other").otherwise(F.col("page_id").cast("string")).alias("actual_name"))
-    return inspect.check_file_match(rows).select(F.col("doc").alias("page_id"), "status", "message")
+    return inspect.check_file_match(rows).select(F.col("doc").alias("page_id"), "status", "message", F.to_json("detail").alias("detail"))
+
+
+def _poor_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs of the books' documents, a chunk per document, with faults by number: manifests without title, contents that
+    are no list, chunks that lack keys, have a path that is no list, a blank text or an index of their own, lines that are
+    cut off, in a list, or followed by more."""
+    rows, i = C.in_books(spark, sf_dir), F.col("doc_id")
+    books = rows.select("doc").distinct()
+    even, third = F.length("doc") % 2 == 0, F.length("doc") % 3 == 0
+    empty = F.struct(F.lit("x").alias("x"))
+    head = F.to_json(F.struct(F.lit("manifest").alias("record_type"), F.lit("1.0").alias("schema_version"), F.col("doc").alias("document_id"), F.when(~even, F.col("doc")).alias("title"), empty.alias("source"), empty.alias("toc"), empty.alias("chunking"), empty.alias("embedding")))
+    contents = F.when(third, '{"record_type":"toc","items":"[none]"}').otherwise('{"record_type":"toc","items":[{"title":"a"},{"title":"b"}]}')
+    text = F.when(i % 13 == 0, " ").otherwise(F.col("text"))
+    index = F.when(i % 97 == 5, F.col("n") + 1).otherwise(F.col("n")).cast("int")
+    one = F.to_json(F.struct(F.lit("chunk").alias("record_type"), F.col("doc_id").cast("string").alias("chunk_id"), index.alias("chunk_index"), text.alias("text"), text.alias("embedding_text"), empty.alias("source"), F.lit("p").alias("prev_chunk_id"), F.when(i % 7 != 0, "n").alias("next_chunk_id"), F.when(i % 21 != 0, empty).alias("stats"), empty.alias("split_info")))
+    path = F.when(i % 11 == 0, ',"heading_path":"[a]"').otherwise(',"heading_path":["a"]')
+    vector = F.when(i % 29 == 0, ',"embedding":null').otherwise(',"embedding":[]')
+    whole = F.concat(F.substring(one, F.lit(1), F.length(one) - 1), path, vector, F.lit("}"))
+    line = F.when(i % 17 == 1, F.substring(whole, F.lit(1), F.length(whole) - 1)).when(i % 19 == 1, F.concat(F.lit("["), whole, F.lit("]"))).when(i % 23 == 1, F.concat(whole, F.lit(" {}"))).when(i % 31 == 1, F.lit(" \t")).otherwise(whole)
+    lines = [books.select("doc", F.lit(1).alias("line_no"), head.alias("line")), books.select("doc", F.lit(2).alias("line_no"), contents.alias("line")), rows.select("doc", (F.col("n") + 2).cast("int").alias("line_no"), line.alias("line"))]
+    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+
+
+@query
+def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key(packs.bad_records(packs.told_lines(_poor_packs(spark, sf_dir))))
+
+
+@query
+def check_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = inspect.check_records(packs.bad_records(written(packs.told_lines(_poor_packs(spark, sf_dir)), "records")))
+    return _key(found.select("doc", "ord", "status", "message", F.to_json("detail").alias("detail")))
 
 
 @query
 def check_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = pack_jsonl(spark, sf_dir).withColumnRenamed("book", "doc")
-    return _key(inspect.check_schema(packs.split_records(lines)).select("doc", "status", "message"))
+    told = written(packs.told_lines(_poor_packs(spark, sf_dir)), "records")
+    return _key(inspect.check_schema(packs.split_records(told)).select("doc", "ord", "status", "message", F.to_json("detail").alias("detail")))
+
 
 
 @query

@@ -50,12 +50,45 @@ def test_pack_lines_read_back(spark, tmp_path):
     chunks = rows[2:]
     assert [c["prev_chunk_id"] for c in chunks] == [None, *[c["chunk_id"] for c in chunks[:-1]]]
     assert all(len(c["embedding"]) == 8 for c in chunks) and rows[0]["toc"]["item_count"] == 2
-    checks = inspect.check_schema(packs.split_records(lines)).collect()
+    checks = inspect.check_schema(packs.split_records(packs.told_lines(lines))).collect()
     assert {r.status for r in checks} == {"PASS"}
     write_packs(lines, str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).count() == len(rows)
     broken = spark.createDataFrame([("b", 1, "{not json"), ("b", 2, ""), ("b", 3, '{"a": 1}')], "doc string, line_no int, line string")
-    assert [r.line_no for r in packs.bad_lines(broken).collect()] == [1]
+    assert [(r.line_no, r.kind) for r in packs.bad_records(packs.told_lines(broken)).collect()] == [(1, "json")]
+
+
+def test_line_errors_are_those_of_a_json_parser(spark):
+    lines = ['{"a":1}', '{"a":1} x', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}],{"b":2}', '{"a":1},0],{}', "{'a':1}", '{"a":NaN}', '{"a":1,}', "[1,2]", '"s"', "1", "{broken", "nul", '{"a":"x\ty"}', '{"a":01}', ' {"a":1} ', '{"a":1,"a":2}', '{"a":1e999}', "", " \u3000", "null", "{}", '{"b":"\\ud800"}', '{"a":.5}', '{"a":1/*c*/}', "{}]", "{}}"]
+
+    def wrong(line):
+        if not line.strip():
+            return None
+        try:
+            return None if isinstance(json.loads(line), dict) else "object"
+        except ValueError:
+            return "json"
+
+    got = spark.createDataFrame([("d", i, x) for i, x in enumerate(lines)], "doc string, line_no int, line string")
+    assert {r.line_no: r.kind for r in packs.told_lines(got).collect()} == {i: wrong(x) for i, x in enumerate(lines)}
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    texts = {"a.jsonl": "".join(f'{{"n":{i},"x":"{"y" * (i % 97)}"}}\n' + "\n" * (i % 3 == 0) for i in range(3_000)), "sub/b.jsonl": "{}\r\n\r\n[1]\n{cut", "c.jsonl": "", "d.txt": "{}"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        lines = packs.read_lines(spark, str(tmp_path))
+        assert lines.sparkSession.read.option("pathGlobFilter", "*.jsonl").text(str(tmp_path)).rdd.getNumPartitions() > 5
+        got = sorted((r.doc.split("/")[-1], r.line_no, r.line) for r in lines.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted((name.split("/")[-1], i, x) for name, text in texts.items() if name.endswith(".jsonl") for i, x in enumerate(text.splitlines(), 1))
+    bad = packs.bad_records(packs.told_lines(lines)).select(F.element_at(F.split("doc", "/"), -1).alias("f"), "line_no", "kind")
+    assert sorted(map(tuple, bad.collect())) == [("b.jsonl", 3, "object"), ("b.jsonl", 4, "json")]
 
 
 def test_classification(spark):
@@ -87,8 +120,9 @@ def test_inspection_verdicts(spark):
     files = spark.createDataFrame([("d", "sha256:a", "sha256:b", "x.pdf", "x.pdf")], "doc string, expected_hash string, actual_hash string, source_name string, actual_name string")
     v = inspect.verdict(inspect.check_file_match(files)).first()
     assert (v.result, v.score) == ("FAIL", 65) and "hash" in v.recommendation
-    titles = spark.createDataFrame([("d", "标题□")], "doc string, title string")
-    assert inspect.garbled_stats(titles, good).first().garbled_titles == 1
+    titles = spark.createDataFrame([("d", 1, "标题□")], "doc string, ord int, title string")
+    found = inspect.garbled_stats(titles, good).first()
+    assert (found.garbled_titles, found.title_examples, found.heading_examples) == (1, ["标题□"], [])
 
 
 def test_inspection_uses_every_check_of_the_pack(spark):
@@ -103,6 +137,14 @@ def test_inspection_uses_every_check_of_the_pack(spark):
     lines["line"] = [x.replace('"schema_version"', '"version"').replace('"profile":"textbook"', '"profile":"none such"') for x in lines["line"]]
     poor = engine.inspect_packs(frame(), pages, docs).first()
     assert (poor.result, poor.failed, poor.warned) == ("FAIL", 1, good.warned + 1)
+    detail = {c.message: json.loads(c.detail.toJson()) for c in poor.checks}
+    assert detail["manifest 缺少必要字段。"] == {"missing": ["schema_version"]} and detail["manifest 中的 profile 不是已知书籍 profile。"] == {"profile": "none such"}
+    lines.loc[len(lines)] = ["b", len(lines) + 1, '{"record_type":"chunk",']
+    broken = engine.inspect_packs(frame(), pages, docs)
+    assert broken.first().failed == 2 and f"JSONL 第 {len(lines)} 行不是合法 JSON" in broken.first().recommendation
+    told = inspect.reports(broken).first()
+    assert json.loads(told.json)["checks"][0]["detail"] == {"count": 1, "lines": [{"kind": "json", "line": len(lines)}]}
+    assert "{&quot;missing&quot;:[&quot;schema_version&quot;]}" in told.html
 
 
 def test_samples_and_reports(spark):
