@@ -7,11 +7,8 @@ parent_ord, page, method, confidence). All windows are partitioned by doc; one d
 from __future__ import annotations
 
 import difflib
-from bisect import bisect_left
-from collections.abc import Iterable
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,6 +107,36 @@ def match_ratio(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
 
 
+def _pairs_of(x: Column) -> Column:
+    """Neighbouring characters of x, each pair with how often it has come so far."""
+    pairs = F.when(F.length(x) > 1, F.transform(F.sequence(F.lit(1), F.length(x) - 1), lambda i: F.substring(x, i, 2))).otherwise(F.array().cast("array<string>"))
+    return T.bound(pairs, lambda ps: F.transform(ps, lambda p, i: F.concat(p, F.size(F.filter(F.slice(ps, F.lit(1), i + 1), lambda q: q == p)).cast("string"))))
+
+
+def similar(targets: DataFrame, texts: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """Of targets (keys, target) and texts (keys, text) the pairs with equal keys and a ratio of `least` or more, once each:
+    keys, target, text, ratio. A set-similarity join: only pairs that share a rare pair of characters are compared.
+
+    Strings of a and b characters with the ratio r match in M >= r(a+b)/2 characters. What is left over, a+b-2M, parts the
+    matching blocks, so there are at most a+b-2M+1 of them, and M less their number is a lower bound of common pairs of
+    neighbours: (a+b)(1.5r-1)-1. A string with n pairs of which o must be common has one of those among its n-o+1 rarest."""
+    close = lambda a, b: F.least(a, b) * 2 >= (a + b) * least
+    common = lambda total: F.greatest(F.lit(1), F.ceil(total * (1.5 * least - 1) - 1 - 1e-6))
+    sizes = targets.groupBy(*keys).agg(F.collect_set(F.length("target")).alias("_sizes"))
+    some = texts.join(sizes, keys).where(F.exists("_sizes", lambda n: close(F.length("text"), n))).select(*keys, F.lit(1).alias("_side"), F.col("text").alias("_s"))
+    both = targets.select(*keys, F.lit(0).alias("_side"), F.col("target").alias("_s")).unionByName(some).distinct()
+    grams = both.select(*keys, "_side", "_s", F.explode(_pairs_of(F.col("_s"))).alias("_g"))
+    n = F.length("_s")
+    first = n - common(n * (2 / (2 - least)))
+    rare = grams.withColumn("_f", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_g")))
+    rare = rare.withColumn("_k", F.row_number().over(Window.partitionBy(*keys, "_side", "_s").orderBy("_f", "_g"))).where(F.col("_k") <= first)
+    side = lambda k, name: rare.where(F.col("_side") == k).select(*keys, "_g", F.col("_s").alias(name))
+    met = side(0, "target").join(side(1, "text"), [*keys, "_g"]).where(close(F.length("text"), F.length("target"))).select(*keys, "target", "text").distinct()
+    shared = F.size(F.array_intersect(_pairs_of(F.col("target")), _pairs_of(F.col("text"))))
+    met = met.where(shared >= common(F.length("text") + F.length("target")))
+    return met.withColumn("ratio", match_ratio("text", "target")).where(F.col("ratio") >= least)
+
+
 def locate_pages(toc: DataFrame, lines: DataFrame, *, before: int = 1, after: int = 2) -> DataFrame:
     """toc (doc, ord, title, page) with page, method and confidence of the best line on the pages around its own."""
     items = toc.withColumn("_target", T.normalize_title(F.col("title")))
@@ -120,9 +147,10 @@ def locate_pages(toc: DataFrame, lines: DataFrame, *, before: int = 1, after: in
     pairs = pairs.withColumn("_sure", F.when(exact, 1.0).when(starts, 0.9))
     settled = pairs.where(exact).select("doc", "ord").distinct()
     open_ = pairs.where("_sure IS NULL").join(settled, ["doc", "ord"], "left_anti")
-    # A ratio reaches 0.82 only if the lengths are close enough.
-    a, b = F.length("normalized"), F.length("_target")
-    fuzzy = open_.where(F.least(a, b) * 2 >= (a + b) * 0.82).withColumn("_sure", match_ratio("normalized", "_target")).where("_sure >= 0.82")
+    wanted = near.join(settled, ["doc", "ord"], "left_anti").select("doc", "page", F.col("_target").alias("target")).distinct()
+    alike = similar(wanted, lines.where("normalized <> ''").select("doc", "page", F.col("normalized").alias("text")), ["doc", "page"], 0.82)
+    alike = alike.select("doc", "page", F.col("target").alias("_target"), F.col("text").alias("normalized"), "ratio")
+    fuzzy = open_.drop("_sure").join(alike, ["doc", "page", "_target", "normalized"]).withColumnRenamed("ratio", "_sure").select(pairs.columns)
     best = pairs.where("_sure IS NOT NULL").unionByName(fuzzy).groupBy("doc", "ord").agg(F.max_by(F.struct("page", "_sure"), F.struct("_sure", -F.col("idx"))).alias("_b"))
     method = F.when(F.col("_b._sure") == 1.0, "exact_normalized").when(F.col("_b._sure") == 0.9, "prefix_normalized").otherwise("fuzzy_ratio")
     out = items.drop("_target", "method", "confidence").join(best, ["doc", "ord"], "left")
@@ -134,77 +162,73 @@ def locate_pages(toc: DataFrame, lines: DataFrame, *, before: int = 1, after: in
     )
 
 
-def _sequential(lines: pd.DataFrame, toc: pd.DataFrame) -> list[int | None]:
-    """Line of each heading of one document, in order: the one it has, else near its page, then after the last found,
-    then by page. lines holds those that any open heading can be, and the first of each page."""
-    lines, toc = lines.sort_values("idx"), toc.sort_values("ord")
-    text, page, idx = lines["normalized"].tolist(), lines["page"].tolist(), lines["idx"].tolist()
-
-    def best(target: str, places: Iterable[int]) -> int | None:
-        places = list(places)
-        for i in places:
-            if text[i].startswith(target[:18]):
-                return idx[i]
-        top, where = 0.0, None
-        matcher = difflib.SequenceMatcher(None, "", target)
-        for i in places:
-            if 2 * min(len(text[i]), len(target)) < 0.9 * (len(text[i]) + len(target)):
-                continue
-            matcher.set_seq1(text[i])
-            if matcher.quick_ratio() >= 0.9 and (r := matcher.ratio()) >= 0.9 and r > top:
-                top, where = r, idx[i]
-        return where
-
-    out, cursor = [], 0
-    for target, p, start in zip(toc["_target"], toc["page"], toc["start"], strict=True):
-        at = None if pd.isna(start) else int(start)
-        known = not pd.isna(p)
-        if at is None and known:
-            at = best(target, (i for i, q in enumerate(page) if p - 1 <= q <= p + 2))
-        if at is None:
-            at = best(target, range(bisect_left(idx, cursor), len(idx)))
-        if at is None and known:
-            at = next((idx[i] for i, q in enumerate(page) if q >= p), None)
-        out.append(at)
-        if at is not None:
-            cursor = max(cursor, at + 1)
-    return out
-
-
 def locate_heading_lines(toc: DataFrame, lines: DataFrame) -> DataFrame:
     """doc, ord, start: the line of each heading, null where there is none.
 
     The first line near the heading's page that begins with its first 18 characters decides; those prefixes are joined
-    by equality. Documents with a heading that has no such line are worked through in order by `_sequential`, which gets
-    the headings and only the lines that an open one can be: those of about its length or with its beginning, and the
-    first of each page.
-    """
+    by equality. Next comes the likeliest line near the page, then, behind all lines found for the headings before, the
+    first that begins so and the likeliest, then the first of its page or a later one. See `_behind`."""
     items = toc.select("doc", "ord", "page", T.normalize_title(F.col("title")).alias("_target")).withColumn("_cut", F.least(F.length("_target"), F.lit(18))).withColumn("_head", F.left(F.col("_target"), F.lit(18)))
+    hits = items.join(_heads(items, lines), ["doc", "_cut", "_head"]).where("_page BETWEEN page - 1 AND page + 2").groupBy("doc", "ord").agg(F.min("idx").alias("start"))
+    placed = written(items.join(hits, ["doc", "ord"], "left"), "placed")
+    if placed.where("start IS NULL").isEmpty():
+        return placed.select("doc", F.col("ord").cast("int").alias("ord"), F.col("start").cast("int").alias("start"))
+    return _behind(placed, lines)
+
+
+def _heads(items: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines (doc, idx, _page) by the beginnings (_cut, _head) that items of their document could have."""
     cuts = items.groupBy("doc").agg(F.collect_set("_cut").alias("_cuts"))
     heads = lines.select("doc", "idx", F.col("page").alias("_page"), "normalized").join(cuts, "doc").select("doc", "idx", "_page", "normalized", F.explode("_cuts").alias("_cut"))
-    heads = heads.where(F.length("normalized") >= F.col("_cut")).withColumn("_head", F.left(F.col("normalized"), F.col("_cut"))).drop("normalized")
-    hits = items.join(heads, ["doc", "_cut", "_head"]).where("_page BETWEEN page - 1 AND page + 2").groupBy("doc", "ord").agg(F.min("idx").alias("start"))
-    placed = written(items.join(hits, ["doc", "ord"], "left"), "placed")
-    open_ = placed.where("start IS NULL")
-    left = open_.groupBy("doc").agg(F.collect_set(F.length("_target")).alias("_lens"), F.collect_set("_head").alias("_heads"))
-    schema = "doc string, ord int, start int"
-
-    def rest(key, some_lines: pd.DataFrame, some_toc: pd.DataFrame) -> pd.DataFrame:
-        some_toc = some_toc.sort_values("ord")
-        start = pd.array(_sequential(some_lines, some_toc), dtype="Int32")
-        return pd.DataFrame({"doc": key[0], "ord": some_toc["ord"].to_numpy(), "start": start})
-
-    n = F.length("normalized")
-    page_first = F.row_number().over(Window.partitionBy("doc", "page").orderBy("idx")) == 1
-    may = lambda x: F.least(n, x) * 20 >= (n + x) * 9
-    asked = lines.select("doc", "idx", "page", "normalized").join(left, "doc").withColumn("_first", page_first)
-    hard_lines = asked.where(F.col("_first") | F.exists("_lens", may) | F.exists("_heads", lambda h: F.col("normalized").startswith(h))).select("doc", "idx", "page", "normalized")
-    hard_items = placed.join(left, "doc", "left_semi").select("doc", "ord", "page", "_target", "start")
-    # Both sides come from the same pages; names of their own keep the cogroup from mixing them up.
-    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])
-    walked = fresh(hard_lines).groupBy("doc").cogroup(fresh(hard_items).groupBy("doc")).applyInPandas(rest, schema)
-    easy = placed.join(left, "doc", "left_anti").select("doc", F.col("ord").cast("int").alias("ord"), F.col("start").cast("int").alias("start"))
-    return easy.unionByName(walked)
+    return heads.where(F.length("normalized") >= F.col("_cut")).withColumn("_head", F.left(F.col("normalized"), F.col("_cut"))).drop("normalized")
+
+
+def _behind(placed: DataFrame, lines: DataFrame) -> DataFrame:
+    """doc, ord, start of placed headings (doc, ord, page, _target, _cut, _head, start) of which some have no start yet.
+
+    Which lines a heading could have is found by joins, whatever came before it. What remains is a running maximum: a
+    heading takes the first of its lines that is not before the cursor, and moves the cursor behind it. Headings that have
+    their line move it too, which a window tells; the others follow in a fold over their lists of line numbers."""
+    open_ = placed.where("start IS NULL").drop("start")
+    mine = lines.join(open_.select("doc").distinct(), "doc", "left_semi").select("doc", "idx", "page", "normalized")
+    alike = written(similar(open_.select("doc", F.col("_target").alias("target")).distinct(), mine.select("doc", F.col("normalized").alias("text")), ["doc"], 0.9), "alike")
+    alike = mine.select("doc", "idx", F.col("page").alias("_page"), F.col("normalized").alias("text")).join(alike, ["doc", "text"]).select("doc", F.col("target").alias("_target"), "idx", "_page", "ratio")
+    close = open_.join(alike, ["doc", "_target"]).where("_page BETWEEN page - 1 AND page + 2").groupBy("doc", "ord").agg(F.max_by("idx", F.struct("ratio", -F.col("idx"))).alias("_near"))
+    before = Window.partitionBy("doc").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    known = placed.join(close, ["doc", "ord"], "left").withColumn("start", F.coalesce("start", "_near")).drop("_near")
+    known = written(known.withColumn("_cursor", F.coalesce(F.max("start").over(before) + 1, F.lit(0))), "known")
+
+    left = known.where("start IS NULL")
+    wanted = left.select("doc", "_target", "_cut", "_head").distinct().withColumn("_k", F.row_number().over(Window.partitionBy("doc").orderBy("_target")))
+    begins = wanted.join(_heads(wanted, mine), ["doc", "_cut", "_head"]).groupBy("doc", "_k").agg(F.array_sort(F.collect_list("idx")).alias("begins"))
+    likely = wanted.join(alike, ["doc", "_target"]).groupBy("doc", "_k").agg(F.collect_list(F.struct("ratio", (-F.col("idx")).alias("back"))).alias("likely"))
+    none, no_pairs = F.array().cast("array<int>"), F.array().cast("array<struct<ratio:double,back:int>>")
+    lists = wanted.select("doc", "_k").join(begins, ["doc", "_k"], "left").join(likely, ["doc", "_k"], "left")
+    lists = lists.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("_k", F.coalesce("begins", none).alias("begins"), F.coalesce("likely", no_pairs).alias("likely")))).alias("lists"))
+
+    # The first line of a page, or of the next one that has any.
+    firsts = mine.groupBy("doc", "page").agg(F.min("idx").alias("idx")).select("doc", "page", "idx", F.lit(0).alias("_asks"), F.lit(None).cast("int").alias("ord"))
+    asks = left.where("page IS NOT NULL").select("doc", "page", F.lit(None).cast("int").alias("idx"), F.lit(1).alias("_asks"), F.col("ord").cast("int").alias("ord"))
+    down = Window.partitionBy("doc").orderBy(F.desc("page"), "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    paged = firsts.unionByName(asks).withColumn("_first", F.last("idx", ignorenulls=True).over(down)).where("_asks = 1").select("doc", "ord", "_first")
+
+    asked = left.join(wanted.select("doc", "_target", "_k"), ["doc", "_target"]).join(paged, ["doc", "ord"], "left")
+    rows = asked.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(F.col("ord").cast("int").alias("ord"), "_cursor", "_k", "_first"))).alias("items")).join(lists, "doc")
+    state = lambda at, out: F.struct(at.cast("int").alias("at"), out.alias("out"))
+
+    def one(a: Column, x: Column) -> Column:
+        cursor, own = F.greatest(a["at"], x["_cursor"]), F.get(F.col("lists"), x["_k"] - 1)
+        ahead = F.get(F.filter(own["begins"], lambda i: i >= cursor), F.lit(0))
+        best = F.array_max(F.filter(own["likely"], lambda c: -c["back"] >= cursor))
+        return T.bound(F.coalesce(ahead, -best["back"], x["_first"]), lambda at: state(F.greatest(cursor, at + 1), F.concat(a["out"], F.array(at.cast("int")))))
+
+    def block(a: Column, some: Column) -> Column:
+        return T.bound(F.aggregate(some, state(a["at"], none), one), lambda r: state(r["at"], F.concat(a["out"], F.array(r["out"]))))
+
+    found = T.fold_blocks(F.col("items"), state(F.lit(0), F.array().cast("array<array<int>>")), block, lambda a: F.flatten(a["out"]))
+    walked = rows.select("doc", F.explode(F.arrays_zip(F.col("items")["ord"].alias("ord"), found.alias("start"))).alias("x")).select("doc", "x.ord", "x.start")
+    done = known.where("start IS NOT NULL").select("doc", F.col("ord").cast("int").alias("ord"), F.col("start").cast("int").alias("start"))
+    return done.unionByName(walked)
 
 
 def section_ends(toc: DataFrame, starts: DataFrame, max_level: int | None = None) -> DataFrame:
@@ -227,19 +251,34 @@ def candidate_runs(candidates: DataFrame, *by: str) -> DataFrame:
     return runs.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by, "_run"))).where("_n < 3").drop("_run", "_n")
 
 
-def _accept(table: pd.DataFrame, most: int) -> list[int]:
-    """Rows of one document's candidates that are taken, parent by parent; a title taken before is passed over."""
-    taken: set[str] = set()
-    rows: list[int] = []
-    for _, group in table.sort_values(["parent_ord", "idx"]).groupby("parent_ord", sort=True):
-        fresh = [(i, int(r.idx), r.key) for i, r in zip(group.index, group.itertuples(), strict=True) if r.key not in taken]
-        runs: dict[int, int] = {}
-        for n, (_, idx, _) in enumerate(fresh):
-            runs[idx - n] = runs.get(idx - n, 0) + 1
-        kept = [(i, key) for n, (i, idx, key) in enumerate(fresh) if runs[idx - n] < 3][:most]
-        rows += [i for i, _ in kept]
-        taken |= {key for _, key in kept}
-    return rows
+def _taken(candidates: DataFrame, most: int) -> DataFrame:
+    """The first `most` candidates under each parent that aren't in a run."""
+    rows = candidate_runs(candidates, "doc", "parent_ord")
+    return rows.withColumn("_nth", F.row_number().over(Window.partitionBy("doc", "parent_ord").orderBy("idx"))).where(F.col("_nth") <= most).drop("_nth")
+
+
+def accepted(candidates: DataFrame, most: int) -> DataFrame:
+    """Of candidates (doc, parent_ord, idx, key, …) those that are taken, parent by parent: without keys taken under a
+    parent before, then without runs of lines, then the first `most`.
+
+    All parents are decided at once, first as if none took a key from another. Then keys that a parent before has taken
+    are left out, and all are decided again, until nothing changes. After each round one more parent of every document is
+    sure to be right, mostly all of them are. Only documents where parents share a key go through rounds."""
+    shared = candidates.groupBy("doc", "key").agg(F.min("parent_ord").alias("_a"), F.max("parent_ord").alias("_b")).where("_a < _b").select("doc").distinct()
+    shared = written(shared, "shared")
+    if shared.isEmpty():
+        return _taken(candidates, most)
+    easy, hard = candidates.join(shared, "doc", "left_anti"), candidates.join(shared, "doc", "left_semi")
+    print_ = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("doc", "parent_ord", "idx").cast("decimal(38,0)"))).first()
+    now, told = None, None
+    while True:
+        fresh = hard
+        if now is not None:
+            first = now.groupBy("doc", "key").agg(F.min("parent_ord").alias("_first"))
+            fresh = hard.join(first, ["doc", "key"], "left").where(F.col("_first").isNull() | (F.col("parent_ord") <= F.col("_first"))).drop("_first")
+        now = written(_taken(fresh, most), "taken")
+        if told == (told := print_(now)):
+            return _taken(easy, most).unionByName(now.select(candidates.columns))
 
 
 def augment_headings(toc: DataFrame, lines: DataFrame, starts: DataFrame, profile: str = "social_science", most: int = 16) -> DataFrame:
@@ -254,13 +293,9 @@ def augment_headings(toc: DataFrame, lines: DataFrame, starts: DataFrame, profil
     size = lines.groupBy("doc").agg((F.max("idx") + 1).alias("_size"))
     spans = spans.join(size, "doc").withColumn("end", F.least("end", "_size")).withColumn("_block", F.explode(F.sequence(block(F.col("start")), F.greatest(block(F.col("start")), block(F.col("end")))))).drop("_size")
     found = short.join(known, ["doc", "key"], "left_anti").withColumn("_block", block(F.col("idx"))).join(spans, ["doc", "_block"]).where("idx > start AND idx < end")
-    schema = "doc string, parent_ord int, idx int, title string, level int, page int, toc_id string"
-
-    def take(table: pd.DataFrame) -> pd.DataFrame:
-        rows = table.loc[_accept(table, most)]
-        return pd.DataFrame({"doc": rows["doc"], "parent_ord": rows["parent_ord"], "idx": rows["idx"], "title": rows["title"], "level": rows["level"] + 1, "page": rows["page"], "toc_id": [f"toc:auto:{n:06d}" for n in range(1, len(rows) + 1)]})
-
-    return found.select("doc", "parent_ord", "idx", "title", "level", "page", "key").groupBy("doc").applyInPandas(take, schema)
+    rows = accepted(written(found.select("doc", "parent_ord", "idx", "title", "level", "page", "key"), "candidates"), most)
+    number = F.row_number().over(Window.partitionBy("doc").orderBy("parent_ord", "idx"))
+    return rows.select("doc", F.col("parent_ord").cast("int").alias("parent_ord"), F.col("idx").cast("int").alias("idx"), "title", (F.col("level") + 1).alias("level"), "page", F.format_string("toc:auto:%06d", number).alias("toc_id"))
 
 
 def augmented_toc(toc: DataFrame, starts: DataFrame, added: DataFrame, lines: DataFrame) -> DataFrame:

@@ -359,10 +359,30 @@ ORACLES["augment_headings"] = f"""WITH {flat(C.ZH.replace("|| text AS text", "||
 chapters AS (SELECT doc, idx, row_number() OVER (PARTITION BY doc ORDER BY idx)::INT AS ord FROM flat WHERE {like('text', H.CHAPTER)} AND {gate('text', 'textbook')})
 SELECT f.doc AS book, max(c.ord) AS parent_ord, f.idx, f.text AS title, 2::INT AS level, f.page FROM flat f JOIN chapters c ON c.doc = f.doc AND c.idx < f.idx WHERE {_SHORT} GROUP BY f.doc, f.idx, f.text, f.page"""
 ORACLES["locate_pages"] = f"""WITH {TB}, keyed AS (SELECT doc, idx, page, {key('text')} AS k FROM flat),
-o AS (SELECT doc, ord, {key("title || CASE WHEN ord % 5 = 0 THEN ' and more than that' ELSE '' END")} AS t, greatest(1, page + ord % 3 - 1)::INT AS page FROM heads WHERE starts_with(title, '第')),
-m AS (SELECT o.doc, o.ord, k.page, k.idx, CASE WHEN k.k = t THEN 1.0 ELSE 0.9 END::DOUBLE AS sure FROM o JOIN keyed k ON k.doc = o.doc AND k.page BETWEEN o.page - 1 AND o.page + 2 AND (starts_with(k.k, left(t, 18)) OR starts_with(t, k.k))),
+o AS (SELECT doc, ord, {key("CASE WHEN ord % 5 = 0 THEN title || ' and more than that' WHEN ord % 7 = 3 THEN '※' || substr(title, 2) ELSE title END")} AS t, greatest(1, page + ord % 3 - 1)::INT AS page FROM heads WHERE starts_with(title, '第')),
+m AS (SELECT o.doc, o.ord, k.page, k.idx, CASE WHEN k.k = t THEN 1.0::DOUBLE WHEN starts_with(t, '※') THEN 2.0::DOUBLE * (length(t) - 1) / (2 * length(t)) ELSE 0.9::DOUBLE END AS sure
+ FROM o JOIN keyed k ON k.doc = o.doc AND k.page BETWEEN o.page - 1 AND o.page + 2 AND (starts_with(k.k, left(t, 18)) OR starts_with(t, k.k) OR (starts_with(t, '※') AND k.k = '第' || substr(t, 2) AND length(t) >= 6))),
 b AS (SELECT doc, ord, page, sure FROM m QUALIFY row_number() OVER (PARTITION BY doc, ord ORDER BY sure DESC, idx) = 1)
-SELECT o.doc AS book, o.ord, coalesce(b.page, o.page)::INT AS page, CASE b.sure WHEN 1.0 THEN 'exact_normalized' WHEN 0.9 THEN 'prefix_normalized' ELSE 'bookmark_page_fallback' END AS method, coalesce(b.sure, 0.5)::DOUBLE AS confidence FROM o LEFT JOIN b USING (doc, ord)"""
+SELECT o.doc AS book, o.ord, coalesce(b.page, o.page)::INT AS page, CASE WHEN b.sure IS NULL THEN 'bookmark_page_fallback' WHEN b.sure = 1.0 THEN 'exact_normalized' WHEN b.sure = 0.9::DOUBLE THEN 'prefix_normalized' ELSE 'fuzzy_ratio' END AS method, coalesce(b.sure, 0.5)::DOUBLE AS confidence FROM o LEFT JOIN b USING (doc, ord)"""
+# One heading after the other; what a line has in common with an altered title is known.
+ORACLES["locate_headings_behind"] = f"""WITH RECURSIVE {TB}, keyed AS (SELECT doc, idx, page, {key('text')} AS k FROM flat),
+o AS (SELECT doc, ord, row_number() OVER (PARTITION BY doc ORDER BY ord) AS n, {key("CASE ord % 4 WHEN 2 THEN '※' || substr(title, 2) WHEN 3 THEN 'Nowhere at all ' || ord ELSE title END")} AS t, CASE ord % 4 WHEN 2 THEN page + 5 WHEN 3 THEN page + 1 WHEN 0 THEN page END AS page FROM heads WHERE starts_with(title, '第')),
+hit AS (SELECT o.doc, o.n, k.idx, k.page BETWEEN o.page - 1 AND o.page + 2 AS near, starts_with(k.k, left(t, 18)) AS sure FROM o JOIN keyed k ON k.doc = o.doc AND (starts_with(k.k, left(t, 18)) OR (starts_with(t, '※') AND k.k = '第' || substr(t, 2) AND length(t) >= 10))),
+all_ AS (SELECT o.doc, o.n, o.ord, coalesce(min(h.idx) FILTER (h.near AND h.sure), min(h.idx) FILTER (h.near)) AS near, list(h.idx) FILTER (h.sure) AS sure, list(h.idx) FILTER (NOT h.sure) AS alike,
+ any_value((SELECT min(k.idx) FROM keyed k WHERE k.doc = o.doc AND k.page >= o.page)) AS paged FROM o LEFT JOIN hit h ON h.doc = o.doc AND h.n = o.n GROUP BY o.doc, o.n, o.ord),
+walk AS (SELECT DISTINCT doc, 0::BIGINT AS n, 0 AS ord, NULL::INT AS start, 0 AS cursor FROM o
+ UNION ALL SELECT doc, n, ord, found AS start, greatest(cursor, coalesce(found + 1, 0)) AS cursor FROM (SELECT a.doc, a.n, a.ord, w.cursor, coalesce(a.near, list_min(list_filter(a.sure, lambda i: i >= w.cursor)), list_min(list_filter(a.alike, lambda i: i >= w.cursor)), a.paged)::INT AS found FROM walk w JOIN all_ a ON a.doc = w.doc AND a.n = w.n + 1))
+SELECT doc AS book, ord::INT AS ord, start FROM walk WHERE n > 0"""
+_more = "text || chr(10) || '批判性思维的第' || n || '要素' || chr(10) || '这一行不是标题。' || chr(10) || '批判思维小结之' || n % 4 || chr(10) || '这一行也不是。' || CASE WHEN n % 5 = 0 THEN chr(10) || '连续短标题甲' || n || chr(10) || '连续短标题乙' || n || chr(10) || '连续短标题丙' || n ELSE '' END AS text"
+ORACLES["augment_headings_shared"] = f"""WITH RECURSIVE {flat(C.ZH.replace("|| text AS text", "|| " + _more))},
+chapters AS (SELECT doc, idx, row_number() OVER (PARTITION BY doc ORDER BY idx)::INT AS ord FROM flat WHERE {like('text', H.CHAPTER)} AND {gate('text', 'textbook')}),
+c AS (SELECT f.doc, max(c.ord) AS ord, f.idx, f.text FROM flat f JOIN chapters c ON c.doc = f.doc AND c.idx < f.idx WHERE {_SHORT} GROUP BY f.doc, f.idx, f.text),
+cs AS (SELECT ch.doc, ch.ord, coalesce(list({{'i': c.idx, 't': c.text}} ORDER BY c.idx) FILTER (c.idx IS NOT NULL), []) AS l FROM chapters ch LEFT JOIN c ON c.doc = ch.doc AND c.ord = ch.ord GROUP BY ch.doc, ch.ord),
+walk AS (SELECT DISTINCT doc, 0 AS ord, []::STRUCT(i INTEGER, t VARCHAR)[] AS kept, []::VARCHAR[] AS taken FROM chapters
+ UNION ALL SELECT doc, ord, kept, list_concat(taken, list_transform(kept, lambda x: x.t)) FROM (SELECT doc, ord, taken, list_transform(list_filter(r, lambda x: len(list_filter(r, lambda y: y.r = x.r)) < 3)[1:16], lambda x: {{'i': x.i, 't': x.t}}) AS kept
+  FROM (SELECT doc, ord, taken, list_transform(fresh, lambda x, k: {{'i': x.i, 't': x.t, 'r': x.i - k}}) AS r FROM (SELECT cs.doc, cs.ord, w.taken, list_filter(cs.l, lambda x: NOT list_contains(w.taken, x.t)) AS fresh FROM walk w JOIN cs ON cs.doc = w.doc AND cs.ord = w.ord + 1)))),
+found AS (SELECT doc, ord, unnest(kept) AS x FROM walk)
+SELECT doc AS book, ord::INT AS parent_ord, x.i::INT AS idx, x.t AS title, 'toc:auto:' || lpad((row_number() OVER (PARTITION BY doc ORDER BY ord, x.i))::VARCHAR, 6, '0') AS toc_id FROM found"""
 ORACLES["source_files"] = "SELECT 'raw/p' || page_id || CASE page_id % 4 WHEN 0 THEN '.pdf' ELSE '.TXT' END AS path FROM pages WHERE page_id % 4 IN (0, 1)"
 ORACLES["match_packs"] = "SELECT 'out/p' || page_id || '_noembedding.pack.jsonl' AS pack, 'p' || page_id AS stem, CASE WHEN page_id % 4 = 0 THEN 'raw/p' || page_id || '.pdf' END AS book FROM pages"
 ORACLES["sample_text"] = f"WITH {C.ZH} SELECT doc AS book, sha256(string_agg(text, chr(10) ORDER BY page)) AS sample FROM book WHERE page <= 20 GROUP BY doc"

@@ -184,7 +184,7 @@ def repair_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The book's own contents with pages off by one and some titles altered."""
     found = toc.infer_toc(C.book(spark, sf_dir), "textbook").where(F.col("title").rlike("^第"))
-    title = F.when(F.col("ord") % 5 == 0, F.concat("title", F.lit(" and more than that"))).otherwise(F.col("title"))
+    title = F.when(F.col("ord") % 5 == 0, F.concat("title", F.lit(" and more than that"))).when(F.col("ord") % 7 == 3, F.concat(F.lit("※"), F.substring("title", 2, 200))).otherwise(F.col("title"))
     return found.select("doc", "ord", title.alias("title"), "level", F.greatest(F.lit(1), F.col("page") + F.col("ord") % 3 - 1).cast("int").alias("page"))
 
 
@@ -205,6 +205,17 @@ def locate_heading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key(toc.locate_heading_lines(*_textbook(spark, sf_dir)))
 
 
+@query
+def locate_headings_behind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The books' contents without pages, with altered titles on pages far behind, or with titles that no line has."""
+    found, lines = _textbook(spark, sf_dir)
+    k = F.col("ord") % 4
+    title = F.when(k == 2, F.concat(F.lit("※"), F.substring("title", 2, 200))).when(k == 3, F.concat(F.lit("Nowhere at all "), F.col("ord").cast("string"))).otherwise(F.col("title"))
+    page = F.when(k == 2, F.col("page") + 5).when(k == 3, F.col("page") + 1).when(k == 0, F.col("page"))
+    some = found.where(F.col("title").rlike("^第")).select("doc", "ord", title.alias("title"), page.cast("int").alias("page"))
+    return _key(toc.locate_heading_lines(some, lines))
+
+
 @query
 def candidate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = C.table(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.floor(F.col("event_id") / 7).cast("int").alias("idx")).distinct()
@@ -221,6 +232,20 @@ def augment_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key(toc.augment_headings(found, lines, starts, "textbook").select("doc", "parent_ord", "idx", "title", "level", "page"))
 
 
+@query
+def augment_headings_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, with more short headings than a chapter takes, some in several chapters, some in runs of three lines."""
+    n = F.col("page").cast("string")
+    runs = F.when(F.col("page") % 5 == 0, F.concat(*[x for k in "甲乙丙" for x in (F.lit(f"\n连续短标题{k}"), n)])).otherwise("")
+    more = F.concat(F.lit("\n批判性思维的第"), n, F.lit("要素\n这一行不是标题。\n批判思维小结之"), (F.col("page") % 4).cast("string"), F.lit("\n这一行也不是。"), runs)
+    pages = C.book(spark, sf_dir).withColumn("text", F.concat("text", more))
+    lines = written(toc.flatten_lines(pages), "lines")
+    found = toc.infer_toc(pages, "textbook").where(F.col("title").rlike(H.CHAPTER))
+    found = written(toc.with_parents(found.drop("parent_ord", "path_ords").withColumn("ord", F.row_number().over(Window.partitionBy("doc").orderBy("ord")))), "toc")
+    starts = written(toc.locate_heading_lines(found, lines), "starts")
+    return _key(toc.augment_headings(found, lines, starts, "textbook").select("doc", "parent_ord", "idx", "title", "toc_id"))
+
+
 # ---- sections and chunks --------------------------------------------------------------------------------------------
 
 
