@@ -24,13 +24,15 @@ from codexloom.session import drop_scratch, get_session, let_workers_import, wri
 from codexloom.sources import files as S
 from codexloom.sources import sinks
 
-PACK, DRY_PACK = ".pack.jsonl", "_noembedding.pack.jsonl"
+#: What a pack's file name ends in, and what stands before it in a pack without embeddings.
+PACK, DRY = ".pack.jsonl", "_noembedding"
 
 
 def make_parser() -> argparse.ArgumentParser:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--raw", default="raw_data", help="folder of the sources")
     common.add_argument("-o", "--output", default="output", help="folder of the packs")
+    common.add_argument("--pack-suffix", default=PACK, help="what the names of packs end in, .jsonl included; packs of other tools are found by theirs")
     build = argparse.ArgumentParser(add_help=False)
     build.add_argument("--embedding-model", default=DEFAULT_EMBEDDING_MODEL)
     build.add_argument("--embedding-dimension", type=int, default=1024)
@@ -49,6 +51,10 @@ def make_parser() -> argparse.ArgumentParser:
     for verb, run, parents in (("classify", classify_all, [common]), ("build", build_all, [common, build]), ("inspect", inspect_all, [common, report]), ("preflight", preflight_all, [common, build, report])):
         p = verbs.add_parser(verb, parents=parents)
         p.set_defaults(run=run)
+        if verb == "build":
+            p.add_argument("source", nargs="?", help="a single file or folder of files; without it, the workspace")
+            p.add_argument("--title", help="the title of a single file's pack; by default its name")
+            p.add_argument("--profile", default="social_science", choices=BOOK_PROFILES, help="how a single file is built")
         if verb == "classify":
             p.add_argument("--dry-run", action="store_true", help="only tell where files would go")
         if verb == "inspect":
@@ -108,25 +114,34 @@ def classify_all(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def build_all(spark: SparkSession, args: argparse.Namespace) -> int:
+    if getattr(args, "source", None):
+        return _build_files(spark, args, S.list_files(spark, args.source), args.profile, args.output)
     failed = classify_all(spark, args)
     for profile in BOOK_PROFILES:
-        files = _listed(spark, f"{args.raw}/books/{profile}")
-        found = S.documents(files)
-        pages, outlines = written(found.pages, "pages"), written(found.outlines, "outlines")
-        failed |= _tell(found.errors) > 0
-        p = parameters(args, profile)
-        brought = outlines.select("doc").distinct()
-        for own, how in ((pages.join(brought, "doc", "left_anti"), None), (pages.join(brought, "doc", "left_semi"), outlines)):
-            if own.isEmpty():
-                continue
-            book = engine.build_books(own, p, how, before=args.search_before_pages, after=args.search_after_pages)
-            docs = source_table(files.join(own.select(F.col("doc").alias("path")).distinct(), "path", "left_semi"))
-            for kind, some in ((k, docs.where(S.suffix(F.col("doc")) == f".{k}")) for k in ("txt", "pdf")):
-                if not some.isEmpty():
-                    _write(engine.pack_table(book.of(some), some, p, _embedder(args), before=args.search_before_pages, after=args.search_after_pages, source_type=kind), some, f"{args.output}/books_output", args)
+        failed |= _build_files(spark, args, _listed(spark, f"{args.raw}/books/{profile}"), profile, f"{args.output}/books_output")
     return int(bool(failed) | bool(build_notes(spark, args)))
 
 
+def _build_files(spark: SparkSession, args: argparse.Namespace, files: DataFrame, profile: str, folder: str) -> int:
+    """Packs of files by one profile, into folder; 1 if any could not be read."""
+    found = S.documents(files)
+    pages, outlines = written(found.pages, "pages"), written(found.outlines, "outlines")
+    failed = _tell(found.errors) > 0
+    p = parameters(args, profile)
+    brought = outlines.select("doc").distinct()
+    for own, how in ((pages.join(brought, "doc", "left_anti"), None), (pages.join(brought, "doc", "left_semi"), outlines)):
+        if own.isEmpty():
+            continue
+        book = engine.build_books(own, p, how, before=args.search_before_pages, after=args.search_after_pages)
+        docs = source_table(files.join(own.select(F.col("doc").alias("path")).distinct(), "path", "left_semi"))
+        if getattr(args, "title", None):
+            docs = docs.withColumn("title", F.lit(args.title))
+        for kind, some in ((k, docs.where(S.suffix(F.col("doc")) == f".{k}")) for k in ("txt", "pdf")):
+            if not some.isEmpty():
+                _write(engine.pack_table(book.of(some), some, p, _embedder(args), before=args.search_before_pages, after=args.search_after_pages, source_type=kind), some, folder, args)
+    return int(failed)
+
+
 def build_notes(spark: SparkSession, args: argparse.Namespace) -> int:
     root = f"{args.raw}/markdown_files"
     if (files := _listed(spark, root)) is None:
@@ -144,8 +159,15 @@ def build_notes(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def _write(lines: DataFrame, docs: DataFrame, folder: str, args: argparse.Namespace) -> None:
     name = F.when(F.col("file_name").rlike(r"\.(?i:pdf|txt)$"), T.safe_stem(stem(F.col("file_name")))).otherwise(F.col("file_name"))
-    for path in sinks.write_files(lines, docs.select("doc", F.concat(name, F.lit(DRY_PACK if args.no_embedding else PACK)).alias("file")), folder):
-        print(f"  -> {path}")
+    ending = getattr(args, "pack_suffix", PACK)
+    named = docs.select("doc", F.concat(name, F.lit(DRY + ending if args.no_embedding else ending)).alias("file"))
+    sinks.write_files(lines, named, folder)
+    _told(named, folder)
+
+
+def _told(names: DataFrame, folder: str, label: str = "  -> ") -> None:
+    for r in names.select("file").distinct().orderBy("file").toLocalIterator():
+        print(f"{label}{folder}/{r.file}")
 
 
 def inspect_all(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -157,8 +179,8 @@ def inspect_all(spark: SparkSession, args: argparse.Namespace) -> int:
     else:
         folder, files = f"{args.output}/books_output", _listed(spark, f"{args.raw}/books")
         lines = packs.read_packs(spark, folder)
-        made = lines.select(F.col("doc").alias("path")).distinct().where(F.col("path").endswith(DRY_PACK))
-        pairs, none = S.match_packs(made, S.source_files(files))
+        made = lines.select(F.col("doc").alias("path")).distinct().where(F.col("path").endswith(DRY + args.pack_suffix))
+        pairs, none = S.match_packs(made, S.source_files(files), DRY + args.pack_suffix)
         missing = _tell(none.select(F.col("pack").alias("path"), F.lit("no source of that name").alias("message")))
     pairs = written(pairs.select("pack", "book"), "pairs")
     files = files.join(pairs.select(F.col("book").alias("path")).distinct(), "path", "left_semi")
@@ -174,8 +196,8 @@ def inspect_all(spark: SparkSession, args: argparse.Namespace) -> int:
         print(r.report, end="\n\n")
     if not getattr(args, "no_report", False):
         names = told.select("doc", file_name(F.col("doc")).alias("file"))
-        for path in sinks.write_reports(told, names, folder):
-            print(f"report: {path}")
+        sinks.write_reports(told, names, folder)
+        _told(names, folder, "reports of: ")
     return int(missing + failed + judged.where("result = 'FAIL'").count() > 0)
 
 

@@ -141,8 +141,10 @@ def image_only(pages: DataFrame) -> DataFrame:
     return blank.select(F.col("doc").alias("path"), F.lit("ImageOnlyPdfError").alias("error_class"), F.lit(IMAGE_ONLY).alias("message"))
 
 
-def match_packs(packs: DataFrame, books: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Packs (path ending in _noembedding.pack.jsonl) with the book of their stem (the first by path); those without."""
-    keyed = packs.select(F.col("path").alias("pack"), F.regexp_replace(file_name(F.col("path")), r"_noembedding\.pack\.jsonl$", "").alias("stem"))
+def match_packs(packs: DataFrame, books: DataFrame, ending: str = "_noembedding.pack.jsonl") -> tuple[DataFrame, DataFrame]:
+    """Packs (path, with that ending) with the book of their stem (the first by path); those without."""
+    name = file_name(F.col("path"))
+    bare = F.when(name.endswith(ending), F.left(name, F.length(name) - len(ending))).otherwise(name)
+    keyed = packs.select(F.col("path").alias("pack"), bare.alias("stem"))
     by_stem = books.select(stem(F.col("path")).alias("stem"), "path").groupBy("stem").agg(F.min("path").alias("book"))
     return keyed.join(by_stem, "stem"), keyed.join(by_stem, "stem", "left_anti")

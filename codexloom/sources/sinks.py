@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import contextlib
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 
-from codexloom.session import scratch_path
+from pyarrow.fs import FileSystem, LocalFileSystem
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 
 def write_packs(lines: DataFrame, path: str) -> None:
@@ -41,34 +47,77 @@ def move_files(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
             raise OSError(f"could not move {source} to {target}")
 
 
-def write_files(lines: DataFrame, names: DataFrame, folder: str) -> list[str]:
+class Files(DataSource):
+    """A sink of text files: rows (file, line), those of a file together and in order, become files of a folder."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "codexloom-files"
+
+    def schema(self) -> str:
+        return "file string, line string"
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        return FilesWriter(self.options["path"])
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: int
+
+
+class FilesWriter(DataSourceWriter):
+    """Each task writes under names of its own and gives files their names when all of them are complete, one rename each,
+    on the executor. Tasks that are tried again write the same files once more; a task that fails leaves no part of a file
+    under its name. Files go through pyarrow's file systems: local and mounted folders, HDFS, object stores."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def write(self, rows: Iterator[Row]) -> Written:
+        fs, root = FileSystem.from_uri(self.folder) if "://" in self.folder or self.folder.startswith("file:") else (LocalFileSystem(), self.folder)
+        fs.create_dir(root, recursive=True)
+        mine, done, out, name = f".{uuid.uuid4().hex}", [], None, None
+        try:
+            for file, line in rows:
+                if file != name:
+                    if out is not None:
+                        out.close()
+                    name = file
+                    done.append(file)
+                    out = fs.open_output_stream(f"{root}/{mine}.{len(done)}")
+                out.write(line.encode("utf-8", "surrogatepass") + b"\n")
+            if out is not None:
+                out.close()
+        except BaseException:
+            for i in range(1, len(done) + 1):
+                with contextlib.suppress(OSError):
+                    fs.delete_file(f"{root}/{mine}.{i}")
+            raise
+        for i, file in enumerate(done, 1):
+            fs.move(f"{root}/{mine}.{i}", f"{root}/{file}")
+        return Written(len(done))
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Nothing is left to do: files have their names."""
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Files of tasks that were complete stay; each is whole."""
+
+
+def write_files(lines: DataFrame, names: DataFrame, folder: str) -> None:
     """lines (doc, line_no, line) as one file per document in folder, by names (doc, file); other files there stay, and
-    one of the same name is replaced. The executors write; the driver only renames, a call per document, which suits a
-    workspace of some thousand documents. `write_packs` has no such limit."""
-    spark, scratch = lines.sparkSession, scratch_path(lines.sparkSession, "files")
-    numbered = names.select("doc", "file").distinct().orderBy("file", "doc").collect()
-    of = spark.createDataFrame([(r.doc, i) for i, r in enumerate(numbered)], "doc string, _file int")
-    rows = lines.join(F.broadcast(of), "doc").repartition("_file").sortWithinPartitions("_file", "line_no")
-    rows.select("_file", "line").write.partitionBy("_file").text(scratch)
-    fs, at = _fs(spark, folder)
-    fs.mkdirs(at(folder))
-    out = []
-    for i, r in enumerate(numbered):
-        there = at(scratch, f"_file={i}")
-        if not fs.exists(there):
-            continue
-        parts = [p.getPath() for p in fs.listStatus(there) if p.getPath().getName().startswith("part-")]
-        fs.delete(at(folder, r.file), False)
-        if len(parts) != 1 or not fs.rename(parts[0], at(folder, r.file)):
-            raise OSError(f"could not write {folder}/{r.file}")
-        out.append(f"{folder}/{r.file}")
-    return out
-
-
-def write_reports(reports: DataFrame, names: DataFrame, folder: str) -> list[str]:
+    one of the same name is replaced. Of documents with the same name the last one's stays."""
+    spark = lines.sparkSession
+    spark.dataSource.register(Files)
+    # Every file belongs to one document, so that no two tasks write it.
+    of = names.groupBy("file").agg(F.max("doc").alias("doc"))
+    rows = lines.join(of, "doc").repartition("file").sortWithinPartitions("file", "line_no").select("file", "line")
+    rows.write.format(Files.name()).option("path", folder).mode("append").save()
+
+
+def write_reports(reports: DataFrame, names: DataFrame, folder: str) -> None:
     """reports (doc, json, html) beside the packs, by names (doc, file): the file's name with .inspect.json and .inspect.html."""
-    out = []
     for column in ("json", "html"):
         lines = reports.select("doc", F.lit(1).alias("line_no"), F.col(column).alias("line"))
-        out += write_files(lines, names.select("doc", F.concat(F.regexp_replace("file", r"\.jsonl$", ""), F.lit(f".inspect.{column}")).alias("file")), folder)
-    return out
+        write_files(lines, names.select("doc", F.concat(F.regexp_replace("file", r"\.jsonl$", ""), F.lit(f".inspect.{column}")).alias("file")), folder)

@@ -100,3 +100,35 @@ def test_options_by_verb():
     args = cli.make_parser().parse_args(["build", "--no-embedding", "--max-chars", "900", "-o", "o"])
     assert args.no_embedding and cli.parameters(args, "legal").max == 900 and cli.parameters(args, "legal").min == 120
     assert cli.make_parser().parse_args([]).run is cli.default_workflow
+
+
+def test_a_single_file_with_a_title_and_a_suffix_of_its_own(spark, tmp_path, capsys):
+    (tmp_path / "乙.txt").write_text(BOOK, encoding="utf-8")
+    source, out = str(tmp_path / "乙.txt"), str(tmp_path / "packs")
+    assert run(spark, "build", source, "--title", "我的书", "--profile", "textbook", "--no-embedding", "-o", out, "--pack-suffix", ".kb.jsonl") == 0
+    made = tmp_path / "packs" / "乙_noembedding.kb.jsonl"
+    assert [p.name for p in (tmp_path / "packs").iterdir() if not p.name.endswith(".crc")] == [made.name] and made.name in capsys.readouterr().out
+    head, contents, *chunks = records(made)
+    assert head["title"] == "我的书" and head["chunking"]["profile"] == "textbook" and len(contents["items"]) == 2
+    assert all(c["embedding_text"].startswith("书名：我的书\n") for c in chunks)
+    assert run(spark, "inspect", source, str(made)) == 0
+    assert (tmp_path / "packs" / "乙_noembedding.kb.inspect.json").exists()
+    with made.open("a", encoding="utf-8") as f:
+        f.write('{"record_type":"chunk"')
+    assert run(spark, "inspect", source, str(made), "--no-report") == 1 and f"第 {len(chunks) + 3} 行不是合法 JSON" in capsys.readouterr().out
+
+
+def test_files_are_replaced_whole_and_others_stay(spark, tmp_path):
+    from codexloom.sources import sinks
+
+    (tmp_path / "old.txt").write_text("old")
+    lines = spark.createDataFrame([(f"d{d}", i, f"{d}-{i}") for d in range(40) for i in range(30, 0, -1)] + [("x", 1, "lost"), ("y", 1, "kept")], "doc string, line_no int, line string")
+    names = spark.createDataFrame([(f"d{d}", f"f{d}.txt") for d in range(40)] + [("x", "same.txt"), ("y", "same.txt"), ("z", "none.txt")], "doc string, file string")
+    for _ in range(2):
+        sinks.write_files(lines, names, f"file://{tmp_path}")
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted([f"f{d}.txt" for d in range(40)] + ["same.txt", "old.txt"])
+    assert (tmp_path / "f7.txt").read_text() == "".join(f"7-{i}\n" for i in range(1, 31)) and (tmp_path / "same.txt").read_text() == "kept\n"
+    failing = lines.withColumn("line", F.when(F.col("line") == "3-9", F.raise_error(F.lit("stop"))).otherwise(F.col("line")))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_files(failing, names.where("file = 'f3.txt'"), f"file://{tmp_path}/sub")
+    assert not [p for p in (tmp_path / "sub").rglob("*") if p.is_file()] if (tmp_path / "sub").exists() else True

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -194,3 +195,12 @@ def test_hash_embedding_query_reads_whole_texts(spark, tmp_path):
     spark.createDataFrame([(1, "ab" * 150 + "x"), (2, "ab" * 150 + "y")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     a, b = registry.queries()["hash_embedding"](spark, str(tmp_path)).collect()
     assert a.embedding != b.embedding
+
+
+def test_windows_are_found_by_rolling_hashes():
+    rng = random.Random(3)
+    text = "".join(rng.choice("ab中😀") for _ in range(3_000))
+    windows = [text[i : i + 80] for i in rng.sample(range(2_920), 60)] + [text[5:85]] * 3 + ["".join(rng.choice("ab中😀") for _ in range(80)) for _ in range(40)] + ["a", "zz", "", text, text + "a", text[:79] + "!"]
+    rng.shuffle(windows)
+    assert inspect.held(text, windows).tolist() == [w in text for w in windows]
+    assert inspect.held("", ["", "a"]).tolist() == [True, False] and inspect.held("aaaa" * 50, ["a" * 80, "a" * 79 + "b"]).tolist() == [True, False]
