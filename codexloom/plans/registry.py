@@ -12,6 +12,7 @@ from codexloom.functions import headings as H
 from codexloom.functions import text as T
 from codexloom.functions.profiles import BOOK_PROFILES, profile_table
 from codexloom.operators import chunking, classify, embed, inspect, markdown, packs, toc
+from codexloom.plans import chunk_oracles
 from codexloom.plans import corpora as C
 from codexloom.plans import oracles as O
 from codexloom.session import written
@@ -700,7 +701,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(O.ORACLES)
-
-
-
+    return O.ORACLES | chunk_oracles.ORACLES
