@@ -43,8 +43,9 @@ WEAK = (
 
 #: Code points on either side of a part that belong to its scope.
 REACH = 200
-#: Linked rows are broadcast to their texts up to this many (a few hundred bytes each), else joined by shuffle.
-BROADCAST_ROWS = 100_000
+#: Linked rows are broadcast to their texts up to so many bytes, counting each row and each of its spans with `ROW_BYTES`,
+#: more than either takes; else they are joined by shuffle.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 128
 _SPAN = "array<struct<s:long,e:long>>"
 
 
@@ -119,7 +120,8 @@ def _with_linked(rows: DataFrame, reach: int) -> DataFrame:
     """rows with `_linked` (empty where there is none)."""
     found = written(linked(rows.select("_id", "_text"), reach), "linked")
     found = found.select(F.col("_id").alias("_fid"), F.col("_key").alias("_fkey"), "_linked")
-    if found.count() <= BROADCAST_ROWS:
+    parts = found.agg(F.coalesce(F.sum(F.size("_linked") + 1), F.lit(0))).first()[0]
+    if parts * ROW_BYTES <= BROADCAST_BYTES:
         found = F.broadcast(found)
     out = rows.withColumn("_key", F.xxhash64("_text"))
     out = out.join(found, out["_id"].eqNullSafe(found["_fid"]) & (out["_key"] == found["_fkey"]), "left")
