@@ -30,33 +30,39 @@ def parts(us: str, most: int, overlap: int) -> str:
 
 
 def chunks(source: str, p: Profile) -> str:
-    """CTEs from `source` (doc, ord, title, parent_ord, text) to chunks: doc, chunk_index, reason, text."""
-    said = lambda reason, text: f"{{'reason': '{reason}', 'text': {text}}}"
+    """CTEs from `source` (doc, ord, title, parent_ord, text) to chunks: doc, chunk_index, reason, text; o, the sections in
+    them; m, those that were merged; j, whether the first ones were; part and parts of a cut section."""
+    kind = "STRUCT(reason VARCHAR, text VARCHAR, o INT[], m INT[], j BOOLEAN, part INT, parts INT)"
+    none, empty = "[]::STRUCT(t VARCHAR, h VARCHAR, o INT)[]", f"[]::{kind}[]"
     headed = lambda b: f"'【' || {b}.h || '】' || chr(10) || {b}.t"
-    none, empty = "[]::STRUCT(t VARCHAR, h VARCHAR)[]", "[]::STRUCT(reason VARCHAR, text VARCHAR)[]"
+
+    def said(reason: str, text: str, o: str, m: str = "[]::INT[]", j: str = "FALSE", part: str = "NULL::INT", parts_: str = "NULL::INT") -> str:
+        return f"{{'reason': '{reason}', 'text': {text}, 'o': {o}, 'm': {m}, 'j': {j}, 'part': {part}, 'parts': {parts_}}}"
 
     def close(a: str) -> str:
-        joined = f"array_to_string(list_transform({a}.buf, lambda b: {headed('b')}), {NL2})"
-        own = headed(f"{a}.buf[1]")
-        return f"""CASE WHEN len({a}.buf) = 0 THEN {a}.out WHEN len({a}.buf) > 1 THEN list_append({a}.out, {said('merged_short_sibling_sections', joined)})
- WHEN len({a}.out) > 0 AND length({a}.out[len({a}.out)].text) + 2 + length({own}) <= {p.max} THEN list_append({a}.out[1:len({a}.out) - 1], {said('merged_short_last_section_backward', f"{a}.out[len({a}.out)].text || {NL2} || {own}")})
- ELSE list_append({a}.out, {said('short_section_without_merge_target', f"{a}.buf[1].t")}) END"""
-
-    n = "length(x.buf[1].t)"
-    made = lambda out, buf, size: f"{{'out': {out}, 'buf': {buf}, 'size': ({size})::BIGINT, 'parts': []::VARCHAR[]}}"
+        joined, ords = f"array_to_string(list_transform({a}.buf, lambda b: {headed('b')}), {NL2})", f"list_transform({a}.buf, lambda b: b.o)"
+        own, last = headed(f"{a}.buf[1]"), f"{a}.out[len({a}.out)]"
+        back = said("merged_short_last_section_backward", f"{last}.text || {NL2} || {own}", f"list_append({last}.o, {a}.buf[1].o)", f"list_append({last}.m, {a}.buf[1].o)", f"{last}.j", f"{last}.part", f"{last}.parts")
+        return f"""CASE WHEN len({a}.buf) = 0 THEN {a}.out WHEN len({a}.buf) > 1 THEN list_append({a}.out, {said('merged_short_sibling_sections', joined, ords, ords, 'TRUE')})
+ WHEN len({a}.out) > 0 AND length({last}.text) + 2 + length({own}) <= {p.max} THEN list_append({a}.out[1:len({a}.out) - 1], {back})
+ ELSE list_append({a}.out, {said('short_section_without_merge_target', f"{a}.buf[1].t", f"[{a}.buf[1].o]")}) END"""
+
+    n, one = "length(x.buf[1].t)", "[x.buf[1].o]"
+    made = lambda out, buf, size, cuts="[]::VARCHAR[]": f"{{'out': {out}, 'buf': {buf}, 'size': ({size})::BIGINT, 'cuts': {cuts}}}"
+    cut = said("section_exceeds_max_chars", "y", one, part="i::INT", parts_="len(x.cuts)::INT")
     step = f"""CASE WHEN len(a.buf) > 0 AND a.size < {min(p.target, p.min)} AND a.size + {n} <= {p.max} THEN {made('a.out', 'list_append(a.buf, x.buf[1])', f'a.size + {n}')}
- WHEN {n} > {p.split} THEN {made(f"list_concat({close('a')}, list_transform(x.parts, lambda y: {said('section_exceeds_max_chars', 'y')}))", none, '0')}
- WHEN {n} >= {p.min} THEN {made(f"list_append({close('a')}, {said('natural_section_within_split_threshold', 'x.buf[1].t')})", none, '0')}
+ WHEN {n} > {p.split} THEN {made(f"list_concat({close('a')}, list_transform(x.cuts, lambda y, i: {cut}))", none, '0')}
+ WHEN {n} >= {p.min} THEN {made(f"list_append({close('a')}, {said('natural_section_within_split_threshold', 'x.buf[1].t', one)})", none, '0')}
  ELSE {made(close('a'), 'x.buf', n)} END"""
     return f"""cx AS (SELECT doc, ord, title, parent_ord, text, {strip('text')} AS t FROM {source} WHERE {strip('text')} <> ''),
 cn AS (SELECT *, CASE WHEN lag(ord) OVER w IS NOT NULL AND parent_ord IS NOT DISTINCT FROM lag(parent_ord) OVER w THEN 0 ELSE 1 END AS fresh FROM cx WINDOW w AS (PARTITION BY doc ORDER BY ord)),
 cr AS (SELECT *, sum(fresh) OVER (PARTITION BY doc ORDER BY ord) AS run FROM cn),
-cp AS (SELECT doc, run, ord, {made(empty, "[{'t': t, 'h': title}]", '0').replace("'parts': []::VARCHAR[]", f"'parts': CASE WHEN length(t) > {p.split} THEN {parts(units('text'), p.max, p.overlap)} ELSE []::VARCHAR[] END")} AS item FROM cr),
+cp AS (SELECT doc, run, ord, {made(empty, "[{'t': t, 'h': title, 'o': ord::INT}]", '0', f"CASE WHEN length(t) > {p.split} THEN {parts(units('text'), p.max, p.overlap)} ELSE []::VARCHAR[] END")} AS item FROM cr),
 cl AS (SELECT doc, run, list(item ORDER BY ord) AS items FROM cp GROUP BY doc, run),
 cf AS (SELECT doc, run, list_reduce(list_prepend({made(empty, none, '0')}, items), lambda a, x: {step}) AS folded FROM cl),
 cc AS (SELECT doc, run, {close('folded')} AS cs FROM cf),
 cu AS (SELECT doc, run, i, cs[i] AS c FROM (SELECT doc, run, cs, unnest(range(1, len(cs) + 1)) AS i FROM cc)),
-made AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY run, i)::INT AS chunk_index, c.reason AS reason, c.text AS text FROM cu)"""
+made AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY run, i)::INT AS chunk_index, c.reason AS reason, c.text AS text, c.o AS o, c.m AS m, c.j AS j, c.part AS part, c.parts AS parts FROM cu)"""
 
 
 #: Sections of the books by the textbook profile: headings to level 4 hold text, those above end at their first child.
@@ -83,6 +89,32 @@ told AS (SELECT sc.*, {O._pick} AS top, {O._best} AS best, CASE WHEN len(f) = 0
 SELECT doc_id, array_to_string(list_prepend(top || '+' || best || ': ' || CASE WHEN len(list_filter(f, lambda x: x.p = top)) > 0 THEN array_to_string(list_transform(list_filter(f, lambda x: x.p = top), lambda x: x.r), '; ') ELSE 'selected by highest total score' END,
  list_transform(list_filter(f, lambda x: x.p <> top), lambda x: x.p || '+' || x.n || ': ' || x.r)), ' | ') AS signals FROM told"""
 
+# Packs: every record as it is written, its fields in order.
+_t = lambda x: f"to_json({x})::VARCHAR"
+_rec = lambda **fields: "'{' || " + " || ',' || ".join(f"""'"{n}":' || {v}""" for n, v in fields.items()) + " || '}'"
+_s = lambda x: f"""'"{x}"'"""
+_or = lambda x: f"coalesce(({x})::VARCHAR, 'null')"
+_id = lambda x: f"""'"toc:' || lpad(({x})::VARCHAR, 6, '0') || '"'"""
+_array = lambda xs: f"'[' || array_to_string({xs}, ',') || ']'"
+_p = PROFILES["textbook"]
+_doc = """'"sha256:' || doc || '"'"""
+_step = lambda xs: f"list_transform({xs}, lambda x: " + _rec(toc_id=_id("x"), level="lv[x]", title=_t("ti[x]")) + ")"
+_chunk = lambda x: f"""'"sha256:' || doc || ':chunk:' || lpad(({x})::VARCHAR, 6, '0') || '"'"""
+PACK = f"""WITH RECURSIVE {BOOK_CHUNKS},
+up AS (SELECT doc, ord, [ord]::INT[] AS path, parent_ord FROM heads UNION ALL SELECT u.doc, u.ord, list_prepend(h.ord, u.path), h.parent_ord FROM up u JOIN heads h ON h.doc = u.doc AND h.ord = u.parent_ord),
+paths AS (SELECT doc, ord, path FROM up WHERE parent_ord IS NULL),
+names AS (SELECT doc, list(title ORDER BY ord) AS ti, list(level ORDER BY ord) AS lv, count(*) AS items FROM heads GROUP BY doc),
+ext AS (SELECT m.*, ti, lv, CASE WHEN NOT j THEN p.path WHEN len(p.path) > 1 THEN p.path[1:len(p.path) - 1] ELSE p.path END AS path, (SELECT min(page_start) FROM secs s WHERE s.doc = m.doc AND list_contains(m.o, s.ord)) AS pa, (SELECT max(page_end) FROM secs s WHERE s.doc = m.doc AND list_contains(m.o, s.ord)) AS pb, max(chunk_index) OVER (PARTITION BY m.doc) AS last
+ FROM made m JOIN paths p ON p.doc = m.doc AND p.ord = m.o[1] JOIN names n ON n.doc = m.doc),
+emb AS (SELECT *, '书名：' || doc || chr(10) || '章节路径：' || array_to_string(list_transform(path, lambda x: ti[x]), ' > ') || chr(10) || CASE WHEN len(m) > 0 THEN '包含小节：' || array_to_string(list_transform(m, lambda x: ti[x]), '；') || chr(10) ELSE '' END || chr(10) || text AS embedded FROM ext)
+SELECT doc AS book, 1::INT AS line_no, {_rec(record_type=_s('manifest'), schema_version=_s('1.0'), document_id=_doc, title=_t('doc'), created_at=_s('2024-01-01T00:00:00+00:00'), source=_rec(file_name=_t("doc || '.txt'"), source_type=_s('txt'), source_sha256=_doc), language=_s('zh'),
+ parser=_rec(name=_s('plain_text'), preserve_layout="'false'"), toc=_rec(source=_s('txt_heading_rules'), item_count='items'), chunking=_rec(strategy=_s('hierarchical_semantic'), profile=_s('textbook'), target_chars=_p.target, max_chars=_p.max, section_split_chars=_p.split, overlap_chars=_p.overlap, min_chunk_chars=_p.min, max_chunk_heading_level=_p.max_level, heading_detection=_s(_p.heading_detection), search_before_pages=1, search_after_pages=2, title_match_min_confidence="'0.82'"),
+ embedding=_rec(provider=_s('none'), model=_s('none'), dimension=0, normalize="'false'"))} AS line FROM names
+UNION ALL SELECT doc, 2, {_rec(record_type=_s('toc'), document_id=_doc, source=_s('txt_heading_rules'), items=_array("list(" + _rec(toc_id=_id('ord'), title=_t('title'), level='level', order='ord', parent_toc_id=f"CASE WHEN parent_ord IS NULL THEN 'null' ELSE {_id('parent_ord')} END", page='page', locate=_rec(method=_s('textbook_heading_rule'), confidence="'0.7'")) + " ORDER BY ord)"))} FROM heads GROUP BY doc
+UNION ALL SELECT doc, chunk_index + 2, {_rec(record_type=_s('chunk'), document_id=_doc, chunk_id=_chunk('chunk_index'), chunk_index='chunk_index', text=_t('text'), embedding_text=_t('embedded'), heading_path=_array(f"list_transform(path, lambda x: {_t('ti[x]')})"), toc_path=_array(_step('path')), merged_headings=_array(_step('m')),
+ content_type=_s('body'), source=_rec(pdf_page_start='pa', pdf_page_end='pb'), prev_chunk_id=f"CASE WHEN chunk_index = 1 THEN 'null' ELSE {_chunk('chunk_index - 1')} END", next_chunk_id=f"CASE WHEN chunk_index = last THEN 'null' ELSE {_chunk('chunk_index + 1')} END", stats=_rec(char_count='length(text)', embedding_char_count='length(embedded)'), content_hash="""'"sha256:' || sha256(text) || '"'""",
+ split_info=_rec(strategy="CASE WHEN reason LIKE 'merged%' THEN '\"toc_node_merge\"' WHEN reason = 'section_exceeds_max_chars' THEN '\"paragraph_sentence_split\"' ELSE '\"toc_node\"' END", reason=_t('reason'), section_split_chars=f"CASE WHEN reason LIKE 'natural%' THEN '{_p.split}' ELSE 'null' END", merged_toc_ids=f"CASE WHEN reason LIKE 'merged%' THEN {_array('list_transform(m, lambda x: ' + _id('x') + ')')} ELSE 'null' END", part_index=_or('part'), part_count=_or('parts')), embedding="'[]'")} FROM emb"""
+
 _preview = f"CASE WHEN length({norm('text')}) <= 500 THEN {norm('text')} ELSE regexp_replace(left({norm('text')}, 500), {q(W + '+$')}, '') || '...' END"
 _short = O._SHORT.replace("text", "line")
 
@@ -94,6 +126,7 @@ SELECT doc_id, (i - 1)::INT AS pos, length(ps[i])::INT AS n, sha256(ps[i]) AS pa
     "chunks_book": f"WITH {BOOK_CHUNKS} SELECT doc AS book, chunk_index, reason, length(text)::INT AS n, sha256(text) AS text_sha256 FROM made",
     "chunk_links": f"""WITH {BOOK_CHUNKS}, ids AS (SELECT *, 'sha256:' || doc || ':chunk:' || lpad(chunk_index::VARCHAR, 6, '0') AS chunk_id FROM made)
 SELECT doc AS book, chunk_index, chunk_id, lag(chunk_id) OVER w AS prev_chunk_id, lead(chunk_id) OVER w AS next_chunk_id, 'sha256:' || sha256(text) AS content_hash FROM ids WINDOW w AS (PARTITION BY doc ORDER BY chunk_index)""",
+    "pack_jsonl": PACK,
     "chunks_markdown": f"""WITH {MDS}, chosen AS (SELECT path AS doc, ord, title, parent_ord, text FROM ms WHERE text <> '' AND (is_parent OR level <= 4)), {chunks('chosen', PROFILES['tech_notes'])}
 SELECT doc AS path, chunk_index, reason, length(text)::INT AS n FROM made""",
     "classify_signals": SIGNALS,
