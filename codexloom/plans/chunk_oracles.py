@@ -6,7 +6,7 @@ from codexloom.functions.profiles import PROFILES, Profile
 from codexloom.operators import classify as K
 from codexloom.plans import corpora as C
 from codexloom.plans import oracles as O
-from codexloom.plans.oracles import CH, GLUE, KEEP, MDS, STARTS, W, lines, norm, q, strip
+from codexloom.plans.oracles import CH, GLUE, KEEP, MDS, NPACK, STARTS, W, lines, norm, q, strip
 
 NL2 = "chr(10) || chr(10)"
 
@@ -115,6 +115,16 @@ UNION ALL SELECT doc, chunk_index + 2, {_rec(record_type=_s('chunk'), document_i
  content_type=_s('body'), source=_rec(pdf_page_start='pa', pdf_page_end='pb'), prev_chunk_id=f"CASE WHEN chunk_index = 1 THEN 'null' ELSE {_chunk('chunk_index - 1')} END", next_chunk_id=f"CASE WHEN chunk_index = last THEN 'null' ELSE {_chunk('chunk_index + 1')} END", stats=_rec(char_count='length(text)', embedding_char_count='length(embedded)'), content_hash="""'"sha256:' || sha256(text) || '"'""",
  split_info=_rec(strategy="CASE WHEN reason LIKE 'merged%' THEN '\"toc_node_merge\"' WHEN reason = 'section_exceeds_max_chars' THEN '\"paragraph_sentence_split\"' ELSE '\"toc_node\"' END", reason=_t('reason'), section_split_chars=f"CASE WHEN reason LIKE 'natural%' THEN '{_p.split}' ELSE 'null' END", merged_toc_ids=f"CASE WHEN reason LIKE 'merged%' THEN {_array('list_transform(m, lambda x: ' + _id('x') + ')')} ELSE 'null' END", part_index=_or('part'), part_count=_or('parts')), embedding="'[]'")} FROM emb"""
 
+# Packs of several notes: sections are numbered through all files of a pack; a chunk tells the file of its first section.
+NOTE_PACKS = f"""WITH {MDS}, {NPACK}, named AS ({O.ORACLES['relative_names'].replace(f'WITH {C.NOTES_SQL}, {NPACK}, k AS', 'WITH k AS')}),
+nums AS (SELECT p.pack, p.path, m.ord AS o, m.title, m.level, m.parent_ord AS po, m.is_parent, m.text, row_number() OVER (PARTITION BY p.pack ORDER BY string_split(p.path, '/'), m.ord)::INT AS ord FROM ms m JOIN npack p ON p.note = m.path),
+chosen AS (SELECT c.pack AS doc, c.ord, c.title, p.ord AS parent_ord, c.text FROM nums c LEFT JOIN nums p ON p.pack = c.pack AND p.path = c.path AND p.o = c.po WHERE c.text <> '' AND (c.is_parent OR c.level <= 4)),
+{chunks('chosen', PROFILES['tech_notes'])},
+hashed AS (SELECT n.pack, 'sha256:' || sha256('{{"files":["' || string_agg(file_path || '","sha256:' || sha256(notes.text), '","' ORDER BY string_split(n.path, '/')) || '"]}}') AS document_id FROM named n JOIN npack USING (pack, path) JOIN notes ON notes.path = npack.note GROUP BY n.pack)
+SELECT pack, 1::INT AS line_no, 'manifest' AS kind, document_id, NULL::VARCHAR AS file_path, NULL::VARCHAR AS logical_date, (SELECT count(*) FROM nums WHERE nums.pack = hashed.pack)::VARCHAR AS items, NULL::VARCHAR AS text FROM hashed
+UNION ALL SELECT pack, 2, 'toc', document_id, NULL, NULL, NULL, NULL FROM hashed
+UNION ALL SELECT h.pack, chunk_index + 2, 'chunk', document_id, file_path, regexp_extract(notes.text, 'created: (\\S+)', 1), NULL, sha256(made.text) FROM made JOIN hashed h ON h.pack = made.doc JOIN nums ON nums.pack = made.doc AND nums.ord = made.o[1] JOIN named ON named.pack = nums.pack AND named.path = nums.path JOIN npack ON npack.pack = nums.pack AND npack.path = nums.path JOIN notes ON notes.path = npack.note"""
+
 _preview = f"CASE WHEN length({norm('text')}) <= 500 THEN {norm('text')} ELSE regexp_replace(left({norm('text')}, 500), {q(W + '+$')}, '') || '...' END"
 _short = O._SHORT.replace("text", "line")
 
@@ -127,6 +137,7 @@ SELECT doc_id, (i - 1)::INT AS pos, length(ps[i])::INT AS n, sha256(ps[i]) AS pa
     "chunk_links": f"""WITH {BOOK_CHUNKS}, ids AS (SELECT *, 'sha256:' || doc || ':chunk:' || lpad(chunk_index::VARCHAR, 6, '0') AS chunk_id FROM made)
 SELECT doc AS book, chunk_index, chunk_id, lag(chunk_id) OVER w AS prev_chunk_id, lead(chunk_id) OVER w AS next_chunk_id, 'sha256:' || sha256(text) AS content_hash FROM ids WINDOW w AS (PARTITION BY doc ORDER BY chunk_index)""",
     "pack_jsonl": PACK,
+    "markdown_packs": NOTE_PACKS,
     "chunks_markdown": f"""WITH {MDS}, chosen AS (SELECT path AS doc, ord, title, parent_ord, text FROM ms WHERE text <> '' AND (is_parent OR level <= 4)), {chunks('chosen', PROFILES['tech_notes'])}
 SELECT doc AS path, chunk_index, reason, length(text)::INT AS n FROM made""",
     "classify_signals": SIGNALS,
