@@ -15,6 +15,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -157,7 +158,8 @@ def test_op3(spark, tables):
     told = {repr((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))): r.score for r in got.collect()}
     assert told.keys() == exact.keys()
     # The filter answers wrongly a few times in a thousand.
-    assert sum(math.isclose(told[k], exact[k], rel_tol=1e-9) for k in told) > 0.5 * len(told)
+    agree = sum(math.isclose(told[k], exact[k], rel_tol=1e-9) for k in told)
+    assert agree > 0.7 * len(told), agree / len(told)
     assert all(math.isclose(told[k], exact[k], rel_tol=0.05) for k in told)
 
 
@@ -187,9 +189,28 @@ def test_op5(spark, tables):
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0
     assert sorted(map(repr, ((r.doc_id, r.held_out) for r in got))) == sorted(repr((i, held(i))) for i, _ in rows)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
-    model = toxicity.trained_on(spark, folder)
-    scorer = toxicity.Scorer(model)
-    assert rows_of(asked(spark, "op5_toxicity", folder).select("doc_id", F.round("score", 9).alias("s")), "doc_id", "s") == sorted(repr((i, round(scorer.score(t), 9))) for i, t in rows)
+    # Scores from the two dictionaries by hand: a frame per word, its bytes saved, words counted per threshold, the sigmoid.
+    model, tail = toxicity.trained_on(spark, folder), toxicity.TAIL
+
+    def size(content, word):
+        content += tail
+        params = zstandard.ZstdCompressionParameters.from_level(model.level, source_size=64, dict_size=len(content), write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        return len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=params).compress(b" " + word + b" " + tail))
+
+    lean = {w: size(model.ordinary, w) - size(model.toxic, w) for w in {w for _, t in rows for w in words(t)}}
+
+    def score(t):
+        w = words(t)
+        z = model.weights[0] + sum(b * math.log1p(sum(lean[x] >= k for x in w)) for k, b in enumerate(model.weights[1:], 1))
+        return 1 / (1 + math.exp(-z))
+
+    assert rows_of(got_frame(spark, folder), "doc_id", "s") == sorted(repr((i, round(score(t), 6))) for i, t in rows)
+    asked_, by_id = [i for i in range(150) if held(i)], {r.doc_id: r.predicted for r in got}
+    assert sum(by_id[i] == int(i % 4 == 0) for i in asked_) >= 0.85 * len(asked_)
+
+
+def got_frame(spark, folder):
+    return asked(spark, "op5_toxicity", folder).select("doc_id", F.round("score", 6).alias("s"))
 
 
 def test_op5_sample_is_bounded_by_bytes(spark, tables):
