@@ -34,6 +34,8 @@ from codexloom.session import written
 RANKED = 1 << 20
 #: Counts of phrases that are broadcast (with phrases up to `SHORT` bytes); the others are joined by shuffle.
 HOT, SHORT = 20_000, 128
+#: Ranges of scores that are broadcast, some hundred per language; more are joined by shuffle.
+STEPS = 100_000
 #: Word occurrences that a worker folds at a time.
 SLICE = 1 << 20
 #: Fragments of a pivot up to which it is one group, whatever the input.
@@ -260,10 +262,12 @@ def first_of_each(rows: DataFrame, most: int) -> DataFrame:
     rows = rows.withColumn("_step", step)
     steps = rows.groupBy("lang", "_step").agg(F.count(F.lit(1)).alias("_n"))
     above = F.sum("_n").over(Window.partitionBy("lang").orderBy(F.desc("_step")).rowsBetween(Window.unboundedPreceding, -1))
-    open_ = steps.withColumn("_above", F.coalesce(above, F.lit(0))).where(F.col("_above") < most).select("lang", "_step")
+    open_ = written(steps.withColumn("_above", F.coalesce(above, F.lit(0))).where(F.col("_above") < most).select("lang", "_step"), "steps")
+    if open_.count() <= STEPS:
+        open_ = F.broadcast(open_)
     best = [F.desc("score"), F.desc("a"), "phrase"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    some = rows.join(F.broadcast(open_), ["lang", "_step"]).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    some = rows.join(open_, ["lang", "_step"]).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
     some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*best))).where(F.col("rank") <= most)
     return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")).where(F.col("rank") <= most).drop("_step", "_part")
 

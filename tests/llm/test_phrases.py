@@ -80,7 +80,7 @@ def test_sql_equals_plain_counting(folder):
     assert sorted(repr(tuple(r[rel.columns.index(c)] for c in COLUMNS)) for r in rel.fetchall()) == brute(table())
 
 
-@pytest.mark.parametrize("bounds", [{"RANKED": 40, "GROUP": 3, "HOT": 5, "SLICE": 50}, {"RANKED": 0, "HOT": 0}])
+@pytest.mark.parametrize("bounds", [{"RANKED": 40, "GROUP": 3, "HOT": 5, "SLICE": 50}, {"RANKED": 0, "HOT": 0, "STEPS": 0}])
 def test_bounds_change_nothing(spark, folder, monkeypatch, bounds):
     for name, value in bounds.items():
         monkeypatch.setattr(phrases, name, value)
