@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from codexloom.functions import headings as H
 from codexloom.functions import text as T
-from codexloom.functions.profiles import BOOK_PROFILES, PROFILES
+from codexloom.functions.profiles import BOOK_PROFILES
 from codexloom.operators import classify as K
 from codexloom.operators import inspect as I
 from codexloom.plans import corpora as C
@@ -212,13 +212,27 @@ SELECT t.pack, t.path, t.ord, t.title, t.level, t.parent_ord, u.path_ords FROM t
 
 # ---- profiles, classification ---------------------------------------------------------------------------------------
 
-_v = ", ".join(f"({q(p.name)}, {q(p.kind)}, {p.target}, {p.max}, {p.split}, {p.min}, {p.overlap}, {p.max_level or 'NULL'}::INT)" for p in PROFILES.values())
-ORACLES["profile_defaults"] = f"SELECT * FROM (VALUES {_v}) t(profile, kind, target_chars, max_chars, section_split_chars, min_chunk_chars, overlap_chars, max_chunk_heading_level)"
+# The parameters of every profile.
+DIM = """SELECT * FROM (VALUES
+ ('social_science', 'book', 800, 1200, 2000, 220, 100, NULL::INT),
+ ('textbook', 'book', 700, 1100, 2000, 180, 80, 4),
+ ('technical', 'book', 700, 1100, 2000, 180, 80, 4),
+ ('paper', 'book', 700, 1100, 1800, 180, 80, 4),
+ ('legal', 'book', 650, 1000, 1600, 120, 60, 4),
+ ('english', 'book', 900, 1400, 2200, 220, 120, 4),
+ ('fiction', 'book', 1000, 1600, 2400, 260, 160, NULL),
+ ('classical', 'book', 700, 1100, 2000, 160, 80, 3),
+ ('reference', 'book', 550, 900, 1400, 80, 40, 2),
+ ('journal', 'markdown', 700, 1100, 1800, 120, 80, 4),
+ ('tech_notes', 'markdown', 700, 1100, 2000, 120, 80, 4),
+ ('web_page_collection', 'markdown', 700, 1100, 1800, 120, 80, 4)) t(profile, kind, target_chars, max_chars, section_split_chars, min_chunk_chars, overlap_chars, max_chunk_heading_level)"""
 _names = "[" + ", ".join(q(p) for p in (*BOOK_PROFILES, "unknown")) + "]"
 META = f"""meta AS (SELECT doc_id, {_names}[(doc_id % 10 + 1)::INT] AS profile, CASE WHEN doc_id % 4 <> 0 THEN 80 END AS overlap, CASE WHEN doc_id % 3 = 0 THEN 'none' ELSE 'local' END AS provider, doc_id % 2 AS dimension FROM documents),
-dim AS ({ORACLES['profile_defaults']}),
+dim AS ({DIM}),
 pm AS (SELECT meta.*, dim.profile IS NOT NULL AS known, CASE WHEN dim.profile IS NULL THEN '' ELSE array_to_string(list_filter([CASE WHEN target_chars <> 700 THEN 'target_chars' END, CASE WHEN max_chars <> 1100 THEN 'max_chars' END, CASE WHEN section_split_chars <> 2000 THEN 'section_split_chars' END, CASE WHEN min_chunk_chars <> 180 THEN 'min_chunk_chars' END, CASE WHEN overlap_chars <> overlap THEN 'overlap_chars' END], lambda x: x IS NOT NULL), ',') END AS mismatches
  FROM meta LEFT JOIN dim ON dim.profile = meta.profile AND dim.kind = 'book')"""
+ORACLES["profile_defaults"] = f"""WITH dim AS ({DIM}), u AS (SELECT doc_id, CASE doc_id % 13 {' '.join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(('social_science', 'textbook', 'technical', 'paper', 'legal', 'english', 'fiction', 'classical', 'reference', 'journal', 'tech_notes', 'web_page_collection', 'unknown')))} END AS profile, CASE WHEN doc_id % 3 = 0 THEN (500 + doc_id % 7)::INT END AS target, CASE WHEN doc_id % 4 = 0 THEN 0::INT END AS overlap FROM documents)
+SELECT u.doc_id, u.profile, kind, coalesce(target, target_chars) AS target_chars, max_chars, section_split_chars, min_chunk_chars, coalesce(overlap, overlap_chars) AS overlap_chars, max_chunk_heading_level FROM u LEFT JOIN dim USING (profile)"""
 ORACLES["profile_mismatches"] = f"WITH {META} SELECT doc_id, profile, known, mismatches FROM pm"
 _pair = lambda name, mine: f"""CASE WHEN {name} <> {mine} THEN '"{name}":' || {obj(manifest=mine, profile_default=name)} END"""
 _unlike = "'{' || array_to_string(list_filter([" + ", ".join(_pair(*x) for x in (("max_chars", "1100"), ("min_chunk_chars", "180"), ("overlap_chars", "overlap"), ("section_split_chars", "2000"), ("target_chars", "700"))) + "], lambda x: x IS NOT NULL), ',') || '}'"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codexloom import engine
 from codexloom.functions import headings as H
 from codexloom.functions import text as T
-from codexloom.functions.profiles import BOOK_PROFILES, profile_table
+from codexloom.functions.profiles import BOOK_PROFILES, PROFILES, profile_table
 from codexloom.operators import chunking, classify, embed, inspect, markdown, packs, toc
 from codexloom.plans import chunk_oracles
 from codexloom.plans import corpora as C
@@ -417,7 +417,11 @@ def markdown_source_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_table(spark)
+    """The parameters that documents get by their profile, where none of their own is given."""
+    i, names = F.col("doc_id"), F.array(*[F.lit(p) for p in (*PROFILES, "unknown")])
+    asked = C.documents(spark, sf_dir).select("doc_id", F.element_at(names, (i % 13 + 1).cast("int")).alias("profile"), F.when(i % 3 == 0, 500 + i % 7).cast("int").alias("target"), F.when(i % 4 == 0, 0).alias("overlap"))
+    rows = asked.join(F.broadcast(profile_table(spark)), "profile", "left")
+    return rows.withColumn("target_chars", F.coalesce("target", "target_chars")).withColumn("overlap_chars", F.coalesce("overlap", "overlap_chars")).drop("target", "overlap")
 
 
 def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
