@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from codexloom.functions.profiles import PROFILES, Profile
 from codexloom.operators import classify as K
+from codexloom.operators import inspect as I
 from codexloom.plans import corpora as C
 from codexloom.plans import oracles as O
 from codexloom.plans.oracles import CH, GLUE, KEEP, MDS, NPACK, STARTS, W, lines, norm, q, strip
@@ -151,3 +152,25 @@ r AS (SELECT doc, candidates, candidates >= 12 AND ((long + very_long) / ls.chun
 SELECT doc AS book, 'disabled' AS "current", CASE WHEN want THEN 'enabled' ELSE 'disabled' END AS recommended, CASE WHEN want THEN 'consider_enable' ELSE 'keep' END AS action, 'medium' AS confidence, candidates,
  CASE WHEN want THEN 'PDF 书签可能偏浅，正文中检测到较多短标题候选；如 chunk 仍偏长，可考虑启用/加强正文短标题增强。' ELSE '未发现足够强的正文短标题增强需求。' END AS reason FROM r""",
 }
+
+# Reports of the checks of lengths and headings, with samples: JSON, plain text and HTML.
+_places = " ".join(f"WHEN {q(I.M[k])} THEN {n}" for k, n in (("very_long", 40), ("very_short", 41), ("length_ok", 42), ("length_bad", 43), ("path_empty", 50), ("path_shallow", 51), ("path_crowded", 52), ("path_ok", 53)))
+
+
+def _esc(x: str) -> str:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        x = f"replace({x}, {q(a)}, {q(b)})"
+    return x
+
+
+_sample = _rec(pick="pick", chunk_index="chunk_index", heading_path=_t("heading_path"), page_start="page_start", page_end="page_end", char_count="char_count", match_rate="match_rate::VARCHAR", chunk_preview=_t("chunk_preview"), source_preview=_t("source_preview"))
+_card = f"""'<div class="card"><h3>chunk ' || chunk_index || ' · ' || page_start || '-' || page_end || '</h3><p>' || {_esc("heading_path")} || '</p><p>' || char_count || ' · ' || match_rate::VARCHAR || '</p><pre>' || {_esc("chunk_preview")} || '</pre><pre>' || {_esc("source_preview")} || '</pre></div>'"""
+_row = f"""'<tr><td class="' || lower(status) || '">' || status || '</td><td>' || {_esc("message")} || '</td><td><code>' || {_esc("detail")} || '</code></td></tr>'"""
+ORACLES["reports"] = f"""WITH raw AS (({O.ORACLES["length_checks"]}) UNION ALL ({O.ORACLES["heading_checks"]})), ck AS (SELECT *, CASE message {_places} END AS ord FROM raw),
+v AS (SELECT book, greatest(0, 100 - 8 * count(*) FILTER (status = 'WARN')) AS score, CASE WHEN bool_or(status = 'WARN') THEN 'WARN' ELSE 'PASS' END AS result,
+ string_agg({_rec(status=_t("status"), message=_t("message"), detail="detail")}, ',' ORDER BY ord) AS checks, string_agg('  [' || status || '] ' || message, chr(10) ORDER BY ord) AS told, string_agg({_row}, '' ORDER BY ord) AS shown FROM ck GROUP BY book),
+s AS (SELECT book, string_agg({_sample}, ',' ORDER BY pick) AS samples, string_agg({_card}, '' ORDER BY pick) AS cards FROM ({ORACLES["compare_samples"]}) GROUP BY book),
+r AS (SELECT *, '这本书' || CASE result WHEN 'PASS' THEN ' 的 no-embedding 自检通过，可以继续生成 embedding。' ELSE ' 基本可用，但建议先抽查 warnings 中提到的 chunk 或标题路径，再决定是否生成 embedding。' END AS advice FROM v JOIN s USING (book))
+SELECT book, {_rec(result=_t("result"), score="score", doc=_t("book"), samples="'[' || samples || ']'", checks="'[' || checks || ']'", recommendation=_t("advice"))} AS json,
+ result || ': ' || book || chr(10) || chr(10) || 'score: ' || score || '/100' || chr(10) || chr(10) || 'checks:' || chr(10) || told || chr(10) || chr(10) || 'recommendation:' || chr(10) || '  ' || advice AS report,
+ '<!doctype html><html lang="zh-CN"><head><meta charset="utf-8"><title>' || {_esc("book")} || '</title><style>' || {q(I._STYLE)} || '</style></head><body><h1>' || {_esc("book")} || '</h1><p class="' || lower(result) || '">' || result || ' · ' || score || ' / 100</p><p>' || {_esc("advice")} || '</p><h2>检查项</h2><table><tr><th>状态</th><th>说明</th><th>详情</th></tr>' || shown || '</table><h2>抽样对照</h2>' || cards || '</body></html>' AS html FROM r"""
