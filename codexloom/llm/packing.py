@@ -2,12 +2,12 @@
 
 Only lengths matter to a packing, and there are at most `capacity` of them. Their histogram, `capacity` numbers whatever
 the input, goes to the driver. A configuration is a multiset of lengths that fits one sequence; the program asks for the
-fewest configurations, counted with multiplicity, that hold every piece. It is solved by multiplicative weights in rounds
-until every length is covered: a length's weight falls with its covered share; knapsack dynamic programming over the
-capacity prices the best configuration with each length; those near the best of all are used, in whole numbers and for
-no more than a step of a length's pieces. The weights also give a dual bound, below which no packing can go. The step is
-halved until the number of sequences stops falling or meets the bound. Sequences of the cover that stay under 98 % full
-are packed again best-fit decreasing where that takes fewer of them.
+fewest configurations, counted with multiplicity, that hold every piece. It starts from a cover in whole numbers by the
+lengths themselves. Multiplicative weights then move both the uses of configurations and the prices of lengths; knapsack
+dynamic programming over the capacity prices the best configuration with each length, adds it to the program, and gives
+a dual bound, below which no packing can go. It ends when the fractional uses meet the bound to one part in a thousand.
+The uses are rounded down; what remains is covered in whole numbers at the program's prices. Sequences that stay under
+98 % full are packed again best-fit decreasing where that takes fewer of them.
 
 The plan then names, per length, which ranks go to which sequences and offsets. Pieces are ranked within their length:
 row numbers within (length, bucket) and the sizes of the buckets before, so that a length that a third of all pieces
@@ -146,47 +146,50 @@ def price(lengths: np.ndarray, weight: np.ndarray, capacity: int) -> tuple[np.nd
     return best, first.tolist()
 
 
-Uses = dict[tuple[tuple[int, int], ...], int]  # configuration -> sequences
+Kind = tuple[tuple[int, int], ...]  # (length, times) from the longest
+Uses = dict[Kind, int]  # configuration -> sequences
 
 
-def cover(hist: dict[int, int], capacity: int, step: float) -> tuple[Uses, float]:
-    """Configurations that cover every length exactly, and a lower bound for any such. In a round no length is served
-    beyond `step` of its pieces.
+def configuration(j: int, sizes: list[int], first: list[int], free: list[int], capacity: int) -> dict[int, int]:
+    """Places of lengths and their times in the best configuration that holds length j, by a table of `price`; a length
+    used up gives way to the next shorter."""
+    room, times = capacity - sizes[j], {j: 1}
+    while first[room]:
+        i = first[room] - 1
+        while i < len(sizes) and (sizes[i] > room or times.get(i, 0) >= free[i]):
+            i += 1
+        if i == len(sizes):
+            break
+        times[i] = times.get(i, 0) + 1
+        room -= sizes[i]
+    return times
+
 
-    The weights of a round are a point of the dual program once the best configuration weighs 1: so no cover takes fewer
-    sequences than all pieces weigh by that measure. The bound is the best of all rounds."""
-    dual = 0.0
+def cover(hist: dict[int, int], capacity: int, step: float, worth: dict[int, float] | None = None) -> Uses:
+    """Configurations in whole numbers that cover every length exactly. A round serves no length beyond `step` of its
+    pieces; pieces are worth the given prices (None: the room they take), less the more of their length is covered."""
     lengths = np.array(sorted(hist, reverse=True), np.int64)
     n = np.array([hist[int(x)] for x in lengths], np.int64)
+    value = np.array([worth[int(x)] for x in lengths]) if worth else lengths / capacity
     most, left, rng, out = np.maximum(1, (step * n).astype(np.int64)), n.copy(), np.random.default_rng(0), defaultdict(int)
     while left.any():
         share = 1 - left / n
         at = np.flatnonzero(left)
         size = lengths[at]
-        # A length is worth the room it takes, less the more of it is covered; a little noise parts those worth the same.
-        weight = size * np.exp(share.mean() - share[at]) * (1 + 0.1 * step * rng.random(len(at)))
+        # A little noise parts those worth the same.
+        weight = value[at] * np.exp(share.mean() - share[at]) * (1 + 0.1 * step * rng.random(len(at)))
         best, first = price(size, weight, capacity)
-        dual = max(dual, float(weight @ n[at]) / float(best[capacity]))
         given = np.minimum(left, most)[at]
-        free, sizes, worth = given.tolist(), size.tolist(), weight.tolist()
+        free, sizes = given.tolist(), size.tolist()
         total = weight + best[capacity - size]
         enough, taken = float(total.max()) * (1 - 0.2 * step), False
-        # The best configuration with each length, from the best of all; a length used up gives way to the next shorter.
         for j in np.argsort(-total, kind="stable").tolist():
             if total[j] < enough:
                 break
             if not free[j]:
                 continue
-            room, value, times = capacity - sizes[j], worth[j], {j: 1}
-            while first[room]:
-                i = first[room] - 1
-                while i < len(sizes) and (sizes[i] > room or times.get(i, 0) >= free[i]):
-                    i += 1
-                if i == len(sizes):
-                    break
-                times[i] = times.get(i, 0) + 1
-                room, value = room - sizes[i], value + worth[i]
-            if taken and value < enough:
+            times = configuration(j, sizes, first, free, capacity)
+            if taken and sum(weight[i] * t for i, t in times.items()) < enough:
                 continue
             taken = True
             use = min(free[i] // t for i, t in times.items())
@@ -194,21 +197,103 @@ def cover(hist: dict[int, int], capacity: int, step: float) -> tuple[Uses, float
                 free[i] -= use * t
             out[tuple(sorted(((sizes[i], t) for i, t in times.items()), reverse=True))] += use
         left[at] -= given - np.array(free, np.int64)
-    return dict(out), dual
+    return dict(out)
+
 
+def fractional(hist: dict[int, int], capacity: int, start: Uses, *, rounds: int = 60, steps: int = 250, rate: float = 0.4, tolerance: float = 0.001) -> tuple[dict[Kind, float], dict[int, float], float]:
+    """The linear program by multiplicative weights: how often each configuration is used, what a piece of each length is
+    worth, and the value of these prices, below which no packing can go.
 
-def solve(hist: dict[int, int], capacity: int, *, step: float = 0.25, gain: float = 0.002) -> tuple[Uses, int]:
-    """A cover of every length, with steps halved until the sequences stop falling by `gain` or meet the lower bound; and
-    that bound, the greater of the room that all pieces take and the dual value."""
+    Both sides are weights. A configuration's use grows by exp(rate * (what its pieces are worth - 1)), the price of a
+    length by exp(rate * (1 - its covered share)), each step looking one step ahead. Uses move by their own size and
+    prices by that of the pieces they pay for, so one rate serves lengths with one piece and with a million. After
+    `steps` steps their mean is the point to go on from; the knapsack prices it, which gives a dual bound once the best
+    configuration is worth 1, and adds the best configuration with each length. It ends when the uses, with what they
+    leave uncovered put in sequences of its own, are within `tolerance` of the bound."""
+    lengths = np.array(sorted(hist, reverse=True), np.int64)
+    n = np.array([hist[int(x)] for x in lengths], np.float64)
+    sizes, place = lengths.tolist(), {int(x): i for i, x in enumerate(lengths)}
+    alone, plenty = 1.0 / (capacity // lengths), [capacity] * len(lengths)
+    kinds: dict[Kind, float] = {((x, capacity // x),): 0.1 for x in sizes} | {kind: float(use) for kind, use in start.items()}
+    y = lengths / capacity
+    prices, bound, made, least, room = y, 0.0, kinds, math.inf, float(n @ lengths) / capacity
+    for turn in range(rounds):
+        # Three prices: half way to the best so far, which moves less from turn to turn; lengths that weigh little at the
+        # price of the next shorter one that weighs more, since no configuration gains by longer pieces; and as they are.
+        heavy = np.where(n * y >= 0.1 * float(n @ y) / len(n), np.arange(len(n)), len(n))
+        next_heavy = np.minimum.accumulate(heavy[::-1])[::-1]
+        for asked in ((y + prices) / 2, np.append(y, 0)[next_heavy], y):
+            best, first = price(lengths, asked, capacity)
+            top = float(best[capacity])
+            if (value := float(asked @ n) / top) > bound:
+                prices, bound = asked / top, value
+        if least <= max(bound, room) * (1 + tolerance):
+            break
+        total = asked + best[capacity - lengths]
+        floor = 0.1 * sum(kinds.values()) / len(kinds)
+        for j in np.flatnonzero(total > top * 0.98).tolist():
+            times = configuration(j, sizes, first, plenty, capacity)
+            kinds.setdefault(tuple(sorted(((sizes[i], t) for i, t in times.items()), reverse=True)), floor)
+        entries = [(place[length], j, t) for j, kind in enumerate(kinds) for length, t in kind]
+        row, column, many = (np.array(x) for x in zip(*entries, strict=True))
+        x, sum_x, sum_y = np.array(list(kinds.values())), np.zeros(len(kinds)), np.zeros(len(n))
+        before = None
+        for step in range(steps):
+            gain = np.bincount(column, many * y[row], len(x)) - 1
+            short = 1 - np.bincount(row, many * x[column], len(n)) / n
+            ahead = (gain, short) if before is None else (2 * gain - before[0], 2 * short - before[1])
+            before = gain, short
+            x = x * np.exp(rate * np.clip(ahead[0], -2, 2))
+            # No piece is worth more than its share of a sequence of its kind; none so little that its price can't come back.
+            y = np.clip(y * np.exp(rate * np.clip(ahead[1], -2, 2)), 1e-9 * alone, 1.05 * alone)
+            if step >= steps // 2:
+                sum_x += x
+                sum_y += y
+        x, y = sum_x / (steps - steps // 2), sum_y / (steps - steps // 2)
+        short = np.maximum(0.0, n - np.bincount(row, many * x[column], len(n)))
+        if (value := float(x.sum() + short @ alone)) < least:
+            least, made = value, dict(zip(kinds, x.tolist(), strict=True))
+        # Configurations that nothing is left of go.
+        keep = x > 1e-6 * x.sum() / len(x)
+        kinds = {kind: float(u) for kind, u, k in zip(kinds, x, keep, strict=True) if k}
+    return made, dict(zip(sizes, prices.tolist(), strict=True)), bound
+
+
+def rounded(made: dict[Kind, float], hist: dict[int, int], capacity: int, prices: dict[int, float], step: float) -> Uses:
+    """A cover in whole numbers: of each configuration its whole uses, as far as pieces are left, from the most used; what
+    remains is covered by configurations that are best at the program's prices."""
+    left, out = dict(hist), defaultdict(int)
+    for kind, use in sorted(made.items(), key=lambda kv: (-kv[1], kv[0])):
+        whole = min(int(use + 1e-9), *(left[length] // times for length, times in kind))
+        if whole:
+            out[kind] += whole
+            for length, times in kind:
+                left[length] -= whole * times
+    if rest := {length: k for length, k in left.items() if k}:
+        for kind, use in cover(rest, capacity, step, prices).items():
+            out[kind] += use
+    return dict(out)
+
+
+def solve(hist: dict[int, int], capacity: int, *, step: float = 0.25, **options) -> tuple[Uses, int]:
+    """A cover of every length by the rounded program, and a lower bound for any: the greater of the room that all pieces
+    take and the dual value. The program starts from a cover by the lengths themselves, which stands if it meets the
+    bound or is not bettered; steps of the rounding are halved while that saves sequences."""
     bound = -(-sum(length * n for length, n in hist.items()) // capacity)
-    best, dual = cover(hist, capacity, step)
-    while (before := sum(best.values())) > (bound := max(bound, math.ceil(dual * (1 - 1e-9)))):
-        step /= 2
-        finer, dual = cover(hist, capacity, step)
-        best = min(best, finer, key=lambda uses: sum(uses.values()))
-        if sum(finer.values()) > before * (1 - gain):
+    best = cover(hist, capacity, step)
+    size = lambda uses: sum(uses.values())
+    if size(best) == bound:
+        return best, bound
+    made, prices, dual = fractional(hist, capacity, best, **options)
+    bound = max(bound, math.ceil(dual * (1 - 1e-9)))
+    for turn in range(4):
+        if size(best) == bound:
+            break
+        before, step = size(best), step / 2
+        best = min(best, rounded(made, hist, capacity, prices, step), key=size)
+        if turn and size(best) > before * (1 - 2e-4):
             break
-    return best, max(bound, math.ceil(dual * (1 - 1e-9)))
+    return best, bound
 
 
 def best_fit(hist: dict[int, int], capacity: int) -> Plan:

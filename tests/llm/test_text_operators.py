@@ -155,6 +155,29 @@ def test_program_covers_every_length():
     assert sum(n for _, n in packing.plan(many, 2048)) < 0.97 * sum(n for _, n in packing.best_fit(many, 2048))
 
 
+def test_the_program_meets_its_dual():
+    for hist, part in (
+        # No length falls to room alone: the bound comes from prices. In whole, 189,445 sequences at least.
+        ({n: 1000 for n in range(500, 1001, 4)}, 0.005),
+        # Many lengths with one piece, beside few with very many.
+        ({n: 1 for n in range(1, 2049)} | {700: 100_000, 701: 30_000, 1500: 50_000}, 0.002),
+    ):
+        start = packing.cover(hist, 2048, 0.25)
+        made, prices, dual = packing.fractional(hist, 2048, start)
+        # No configuration is worth more than one sequence at these prices; so the dual value is a bound.
+        lengths = np.array(sorted(hist, reverse=True), np.int64)
+        best, _ = packing.price(lengths, np.array([prices[int(n)] for n in lengths]), 2048)
+        assert best[2048] <= 1 + 1e-9 and abs(sum(prices[n] * k for n, k in hist.items()) - dual) <= 1e-6 * dual
+        held = collections.Counter()
+        for kind, use in made.items():
+            assert use >= 0 and sum(length * times for length, times in kind) <= 2048
+            for length, times in kind:
+                held[length] += use * times
+        alone = sum(max(0.0, k - held[n]) / (2048 // n) for n, k in hist.items())
+        assert dual * (1 - 1e-9) <= sum(made.values()) + alone <= dual * (1 + part)
+        assert dual <= sum(n for _, n in packing.plan(hist, 2048)) <= math.ceil(dual) * (1 + part)
+
+
 def test_dual_bound():
     # Two pieces of 700 fit a sequence, so ten take five, though their room is that of 3.4.
     assert packing.solve({700: 10}, 2048) == ({((700, 2),): 5}, 5)
