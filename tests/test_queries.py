@@ -42,3 +42,16 @@ def test_query_equals_sql(spark, duck, name):
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.count() >= 20 and set(out.columns) >= {"book", "result", "score"}
+
+
+@pytest.mark.parametrize("name", ["coverage", "coverage_checks"])
+def test_books_with_names_of_any_length(spark, tmp_path, name):
+    """Books with names of 6 to 9 characters: by one of them nothing can be divided."""
+    rows = [(i, f"Some words of the document {i}. " * 9, "en", s) for s, first in (("src1", 0), ("src1", 20_000), ("src10", 20_000), ("src10", 200_000)) for i in range(first, first + 5)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql("SET error_on_division_by_zero = false")  # what can't be divided is null, and in neither's share
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    rel = con.sql(SQL[name])
+    got = registry.queries()[name](spark, str(tmp_path)).select(*rel.columns).collect()
+    assert sorted(repr(plain(tuple(r))) for r in got) == sorted(repr(plain(r)) for r in rel.fetchall()) and len({r["book"] for r in got}) == 4
