@@ -34,12 +34,14 @@ from codexloom.llm.toxicity import in_fold
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
-#: Distinct words whose potentials a worker remembers, and words that it labels at a time.
-MEMORY, SLICE = 300_000, 1 << 19
+#: Distinct words whose potentials a worker remembers, their letters, and words that it labels at a time.
+MEMORY, LETTERS, SLICE = 300_000, 8 << 20, 1 << 19
 #: Words of a text that are swept one after the other.
 PIECE = 256
-#: Characters of a word that features are made of, at either end; longer words keep both ends.
-ENDS = 24
+#: Characters of words whose features are made at a time; the runs of a longer word are summed in slices of that size.
+BATCH = 200_000
+#: Letters of a word in training; a longer one teaches as several words, one after the other.
+TAUGHT = 64
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,20 +69,29 @@ def _mixed(codes: np.ndarray, kind: int) -> np.ndarray:
     return (h % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def features(words: list[str], lexicon: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _codes(words: list[str]) -> np.ndarray:
+    """The code points of words between marks of their ends."""
+    return np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _runs(codes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """The runs of k characters at some places, as buckets."""
+    return _mixed(np.stack([codes[at + j] for j in range(k)], axis=1), k)
+
+
+def features(words: list[str], lexicon: dict[str, list[int]], *, runs: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The features of words, one word's after the other's, and how many each has: the word, its first and last 1 to 4
-    letters, its runs of 1 to 3 characters between marks of its ends, the languages whose lexicon has it."""
-    words = [w if len(w) <= 2 * ENDS else w[:ENDS] + w[-ENDS:] for w in words]
-    codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    letters, all its runs of 1 to 3 characters between marks of its ends, the languages whose lexicon has it."""
+    codes = _codes(words)
     size = np.array([len(w) + 2 for w in words], np.int64)
     end = np.cumsum(size)
     start, of = end - size, np.repeat(np.arange(len(words)), size)
     owner, found = [np.arange(len(words))], [np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in words], np.int64)]
-    for k in (1, 2, 3):
+    for k in (1, 2, 3) if runs else ():
         at = np.arange(len(codes) - k + 1)
         at = at[of[at] == of[at + k - 1]]
         owner.append(of[at])
-        found.append(_mixed(np.stack([codes[at + j] for j in range(k)], axis=1), k))
+        found.append(_runs(codes, at, k))
     for k in (2, 3, 4, 5):
         some = np.flatnonzero(size > k)
         for first, kind in ((start[some], 10 + k), (end[some] - k, 20 + k)):
@@ -108,6 +119,51 @@ class Rows:
         return np.stack([np.bincount(self.flat, spread[:, k], size) for k in range(by_word.shape[1])], axis=1)
 
 
+def batches_of(words: list[str]) -> Iterator[list[str]]:
+    """Consecutive words with some BATCH characters; a longer word is alone."""
+    held, size = [], 0
+    for w in words:
+        if held and size + len(w) + 2 > BATCH:
+            yield held
+            held, size = [], 0
+        held.append(w)
+        size += len(w) + 2
+    if held:
+        yield held
+
+
+class Table:
+    """Features of words, made in batches; what is computed from them needs little more memory than a batch's."""
+
+    def __init__(self, words: list[str], lexicon: dict[str, list[int]]):
+        self.rows = [Rows(some, lexicon) for some in batches_of(words)]
+        self.ends = np.cumsum([len(r.sizes) for r in self.rows])
+
+    def potentials(self, weights: np.ndarray) -> np.ndarray:
+        return np.concatenate([r.potentials(weights) for r in self.rows])
+
+    def gradient(self, by_word: np.ndarray, size: int) -> np.ndarray:
+        return sum(r.gradient(part, size) for r, part in zip(self.rows, np.split(by_word, self.ends[:-1]), strict=True))
+
+
+def potentials(words: list[str], model: Model) -> np.ndarray:
+    """The potentials of words of any length."""
+    return np.concatenate([_long(some[0], model) if len(some[0]) + 2 > BATCH else Rows(some, model.lexicon).potentials(model.weights) for some in batches_of(words)])
+
+
+def _long(word: str, model: Model) -> np.ndarray:
+    """The potentials of one word; its runs are summed slice by slice."""
+    flat, size = features([word], model.lexicon, runs=False)
+    total, n = model.weights[flat].sum(axis=0, dtype=np.float64), int(size[0])
+    codes = _codes([word])
+    for k in (1, 2, 3):
+        for i in range(0, len(codes) - k + 1, BATCH):
+            at = np.arange(i, min(i + BATCH, len(codes) - k + 1))
+            total += model.weights[_runs(codes, at, k)].sum(axis=0, dtype=np.float64)
+            n += len(at)
+    return (total / np.sqrt(n))[None]
+
+
 def _at_work(sizes: np.ndarray) -> np.ndarray:
     """Of sequences, the longest first, how many have a first, second, … word."""
     return np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left")
@@ -213,7 +269,7 @@ def fit(rows: list[tuple[str | None, str]], *, sequences: int = 2_000, length: i
     by_label: dict[str, list[list[str]]] = {}
     for text, label in rows:
         if w := words_of(text):
-            by_label.setdefault(label, []).append(w)
+            by_label.setdefault(label, []).append([x[i : i + TAUGHT] for x in w for i in range(0, len(x), TAUGHT)])
     labels = sorted(by_label)
     if not labels:
         return Model()
@@ -221,7 +277,7 @@ def fit(rows: list[tuple[str | None, str]], *, sequences: int = 2_000, length: i
     lexicon = lexicons([d[::2] for d in docs])
     words, gold = switched([d[1::2] or d for d in docs], sequences, length, random.Random(seed))
     known = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    ids, table, n = np.array([known[w] for w in words]), Rows(list(known), lexicon), len(labels)
+    ids, table, n = np.array([known[w] for w in words]), Table(list(known), lexicon), len(labels)
     size, shape = np.full(sequences, length), (BUCKETS + n, n)
     inside = np.arange(len(ids)) % length > 0
     told = np.zeros((n, n))
@@ -249,18 +305,18 @@ class Labeller:
     """Labels texts, remembering words' potentials."""
 
     def __init__(self, model: Model):
-        self.model, self.known, self.table = model, {}, np.zeros((0, len(model.labels)))
+        self.model, self.known, self.table, self.letters = model, {}, np.zeros((0, len(model.labels))), 0
 
     def distributions(self, texts: list[list[str]]) -> np.ndarray:
         """Distributions of all words of texts, one after the other."""
-        if len(self.known) > MEMORY:
-            self.known, self.table = {}, self.table[:0]
+        if len(self.known) > MEMORY or self.letters > LETTERS:
+            self.known, self.table, self.letters = {}, self.table[:0], 0
         known = self.known
         new = list({w: None for t in texts for w in t if w not in known})
         if new:
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            parts = [Rows(new[i : i + 20_000], self.model.lexicon).potentials(self.model.weights) for i in range(0, len(new), 20_000)]
-            self.table = np.concatenate([self.table, *parts])
+            self.table = np.concatenate([self.table, potentials(new, self.model)])
+            self.letters += sum(map(len, new))
         ids = np.fromiter((known[w] for t in texts for w in t), np.int64, sum(map(len, texts)))
         return forward_backward(self.table[ids], np.array([len(t) for t in texts]), self.model.steps, self.model.starts)
 

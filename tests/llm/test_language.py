@@ -102,6 +102,25 @@ def test_features_of_a_word_do_not_depend_on_the_others():
     assert (flat == language.BUCKETS + 1).sum() == 2
 
 
+def test_the_middle_of_a_long_word_counts(monkeypatch):
+    """All runs of a word are features, however long it is; batches and slices change nothing."""
+    word_ = "ka" * 20 + "schung" * 50 + "ka" * 20
+    codes = np.array([ord(c) for c in f"^{word_}$"], np.uint64)
+    found = set(language.features([word_], {})[0].tolist())
+    assert len(language.features([word_], {})[0]) == 1 + sum(len(codes) - k + 1 for k in (1, 2, 3)) + 8
+    assert all(set(language._mixed(np.stack([codes[j : len(codes) - k + 1 + j] for j in range(k)], axis=1), k).tolist()) <= found for k in (1, 2, 3))
+    model = language.fit([(t, lang) for _, t, lang in table() if t and lang], rounds=40)
+    words = ["ka", word_, "", "pfekeit", "x" * 7, word_[::-1]]
+    whole = language.Rows(words, model.lexicon).potentials(model.weights)
+    assert model.labels[int(whole[1].argmax())] == "zz"
+    monkeypatch.setattr(language, "BATCH", 20)
+    assert np.allclose(language.potentials(words, model), whole, atol=1e-4)
+    assert [w for some in language.batches_of(words) for w in some] == words
+    table_ = language.Table(words, model.lexicon)
+    rows, size = language.Rows(words, model.lexicon), len(model.weights)
+    assert np.allclose(table_.potentials(model.weights), whole, atol=1e-4) and np.allclose(table_.gradient(whole, size), rows.gradient(whole, size), atol=1e-4)
+
+
 def test_passages_of_a_mixed_text(spark):
     rng = random.Random(4)
     model = language.fit([(t, lang) for _, t, lang in table() if t and lang], rounds=40)
