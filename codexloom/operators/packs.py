@@ -46,7 +46,7 @@ def heading_paths(chunks: DataFrame, toc: DataFrame) -> DataFrame:
     """chunks with heading_path (titles), toc_path and merged_toc (structs) of their path_ords and merged_ords."""
     items = toc.select("doc", F.col("ord").alias("_o"), F.struct("toc_id", "level", "title").alias("_t"))
     both = [chunks.select("doc", "chunk_index", F.lit(k).alias("_k"), F.posexplode(c).alias("pos", "_o")) for k, c in enumerate(("path_ords", "merged_ords"))]
-    steps = both[0].unionByName(both[1]).join(items, ["doc", "_o"])
+    steps = both[0].unionByName(both[1]).join(items.hint("merge"), ["doc", "_o"])
     of = lambda k: F.transform(F.array_sort(F.collect_list(F.when(F.col("_k") == k, F.struct("pos", "_t")))), lambda x: x["_t"])
     found = steps.groupBy("doc", "chunk_index").agg(of(0).alias("toc_path"), of(1).alias("merged_toc"))
     out = chunks.join(found, ["doc", "chunk_index"], "left")
@@ -119,7 +119,7 @@ def toc_record(toc: DataFrame, docs: DataFrame, source: str | Column = "txt_head
     parents = F.when(F.col("parent_ord").isNotNull(), F.format_string("toc:%06d", F.col("parent_ord")))
     file = ["file"] if "file" in toc.columns else []
     rows = toc.select("doc", F.struct("ord", "toc_id", "title", "level", parents.alias("parent_toc_id"), "page", F.struct("method", "confidence", *file).alias("locate")).alias("_x"))
-    out = docs.select("doc", "document_id", (F.lit(source) if isinstance(source, str) else source).alias("_source")).join(rows, "doc", "left").groupBy("doc", "document_id", "_source").agg(F.array_sort(F.collect_list("_x")).alias("_i"))
+    out = docs.select("doc", "document_id", (F.lit(source) if isinstance(source, str) else source).alias("_source")).join(rows.hint("merge"), "doc", "left").groupBy("doc", "document_id", "_source").agg(F.array_sort(F.collect_list("_x")).alias("_i"))
     items = F.transform("_i", lambda x: F.struct(x["toc_id"].alias("toc_id"), x["title"].alias("title"), x["level"].alias("level"), x["ord"].alias("order"), x["parent_toc_id"].alias("parent_toc_id"), x["page"].alias("page"), x["locate"].alias("locate")))
     return out.select("doc", F.struct(F.lit("toc").alias("record_type"), "document_id", F.col("_source").alias("source"), items.alias("items")).alias("toc"))
 

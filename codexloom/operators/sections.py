@@ -16,7 +16,7 @@ WRAPPED = 12
 def heading_extent(spans: DataFrame, lines: DataFrame) -> DataFrame:
     """spans (doc, ord, title, start) with body: the first line after the heading, which may run over several lines."""
     ahead = spans.select("doc", "ord", "start", T.normalize_title(F.col("title")).alias("_t")).withColumn("idx", F.explode(F.sequence(F.col("start"), F.col("start") + WRAPPED)))
-    joined = ahead.join(lines.select("doc", "idx", "normalized"), ["doc", "idx"]).groupBy("doc", "ord").agg(F.first("_t").alias("_t"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "normalized"))), lambda x: x["normalized"]).alias("_l"))
+    joined = ahead.hint("merge").join(lines.select("doc", "idx", "normalized"), ["doc", "idx"]).groupBy("doc", "ord").agg(F.first("_t").alias("_t"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "normalized"))), lambda x: x["normalized"]).alias("_l"))
     zero = F.struct(F.col("_l")[0].alias("seen"), F.lit(1).alias("n"), F.lit(True).alias("on"))
 
     def step(a, v):
@@ -25,7 +25,7 @@ def heading_extent(spans: DataFrame, lines: DataFrame) -> DataFrame:
         return F.when(on, F.struct(both.alias("seen"), (a["n"] + 1).alias("n"), F.lit(True).alias("on"))).otherwise(F.struct(a["seen"].alias("seen"), a["n"].alias("n"), F.lit(False).alias("on")))
 
     extra = joined.select("doc", "ord", F.aggregate(F.slice("_l", 2, WRAPPED), zero, step, lambda a: a["n"]).alias("_n"))
-    return spans.join(extra, ["doc", "ord"]).withColumn("body", F.col("start") + F.col("_n")).drop("_n")
+    return spans.hint("merge").join(extra, ["doc", "ord"]).withColumn("body", F.col("start") + F.col("_n")).drop("_n")
 
 
 def build_sections(toc: DataFrame, lines: DataFrame, starts: DataFrame, max_level: int | None = None) -> DataFrame:
@@ -41,7 +41,7 @@ def build_sections(toc: DataFrame, lines: DataFrame, starts: DataFrame, max_leve
     held = marks.join(lines.select("doc", "idx", "page", "text", block(F.col("idx")).alias("_block")), ["doc", "_block"]).where("idx >= start AND (idx < hi OR idx = start)")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("idx") >= F.col("lo")) & (F.col("idx") < F.col("hi")), F.struct("idx", "text")))), lambda x: x["text"]), "\n")
     body = held.groupBy("doc", "ord").agg(text.alias("_raw"), F.min_by("page", "idx").alias("page_start"), F.max_by("page", "idx").alias("page_end"))
-    out = T.pinned(spans.join(body, ["doc", "ord"]), text=T.reflow_text(F.col("_raw")))
+    out = T.pinned(spans.hint("merge").join(body, ["doc", "ord"]), text=T.reflow_text(F.col("_raw")))
     return out.where(T.strip(F.col("text")) != "").select("doc", "ord", "toc_id", "title", "level", "parent_ord", "path_ords", "text", "page_start", "page_end")
 
 
