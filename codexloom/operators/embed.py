@@ -37,17 +37,47 @@ def _vectors(rows: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), rows.shape[1]).cast(pa.list_(pa.float32()))
 
 
-def hash_embedder(dimension: int = 64) -> Embedder:
-    """A stand-in for tests: signed hashes of character pairs, of unit length. It knows no meaning."""
+#: Texts' characters whose pairs are looked up at a time, and distinct pairs that a worker remembers.
+_SLICE, _PAIRS = 1 << 20, 1 << 20
+
 
-    def of(text: str) -> np.ndarray:
-        row = np.zeros(dimension)
-        for a, b in zip(text, text[1:], strict=False):
-            h = int.from_bytes(hashlib.blake2b((a + b).encode(), digest_size=8).digest(), "little")
-            row[h % dimension] += 1 if h >> 63 else -1
-        return row / max(float(np.linalg.norm(row)), 1e-12)
+def hash_embedder(dimension: int = 64) -> Embedder:
+    """A stand-in for tests: signed hashes of character pairs, of unit length. It knows no meaning. A worker hashes each
+    distinct pair once."""
 
-    return Embedder(f"hash-{dimension}", dimension, True, lambda: lambda texts: _vectors(np.stack([of(t.as_py()) for t in texts]) if len(texts) else np.zeros((0, dimension))))
+    def start() -> Vectors:
+        # Distinct pairs, sorted, as one number each, and the signed place (from 1) that each adds to.
+        known, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def place(pair: int) -> int:
+            h = int.from_bytes(hashlib.blake2b((chr(pair >> 32) + chr(pair & 0xFFFFFFFF)).encode(), digest_size=8).digest(), "little")
+            return (h % dimension + 1) * (1 if h >> 63 else -1)
+
+        def counted(text: str) -> np.ndarray:
+            nonlocal known, places
+            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+            pairs, times = np.unique(codes[:-1] << np.uint64(32) | codes[1:], return_counts=True)
+            at = np.minimum(np.searchsorted(known, pairs), max(0, len(known) - 1))
+            new = pairs[known[at] != pairs] if len(known) else pairs
+            if len(new):
+                if len(known) > _PAIRS:
+                    known, places, new = known[:0], places[:0], pairs
+                order = np.argsort(both := np.concatenate([known, new]))
+                known, places = both[order], np.concatenate([places, np.array([place(p) for p in new.tolist()], np.int64)])[order]
+                at = np.searchsorted(known, pairs)
+            told = places[at] if len(pairs) else places[:0]
+            return np.bincount(np.abs(told) - 1, np.sign(told) * times, dimension)
+
+        def of(text: str) -> np.ndarray:
+            # A slice goes on one character into the next, so each pair is in one of them.
+            row = np.zeros(dimension)
+            for i in range(0, len(text) - 1, _SLICE):
+                row += counted(text[i : i + _SLICE + 1])
+            return row / max(float(np.linalg.norm(row)), 1e-12)
+
+        return lambda texts: _vectors(np.stack([of(t.as_py()) for t in texts]) if len(texts) else np.zeros((0, dimension)))
+
+    return Embedder(f"hash-{dimension}", dimension, True, start)
 
 
 def model_embedder(model_name: str, dimension: int, *, normalize: bool = True, batch_size: int = 16) -> Embedder:
