@@ -9,8 +9,9 @@ lookup probes level after level until one is missing: the last level found gives
 
 with c as the filter gives it. The filter is made of shards of bounded size, one per group of hashes, each built by one
 task, and it grows with the corpus: no n-gram is left out. Up to `broadcast_bytes` the shards are broadcast to the
-workers. A larger filter stays in its table: each text sends its n-grams to their shards, one row per text and shard,
-and gets the levels back; the scores are the same.
+workers. A larger filter stays in its table: texts are put into blocks, each block sends its distinct n-grams to their
+shards, and gets the levels back; the scores are the same. No shard is copied: a block asks for an n-gram once, so none
+is hot.
 
 Exact counts for the base score reach the texts in two ways: words that make up a 2**-22 part of all tokens or more are
 broadcast; all others are joined, and none of their keys can be hot. The part is doubled until the words to broadcast are
@@ -55,6 +56,10 @@ SLICE, HELD = 1_000_000, 2_000_000
 #: The hash that stands before the first token of a text.
 START = np.array(0x9AE16A3B2F90404F, np.uint64)[()]
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: The bits of a filter's word that twelve bits of a hash set: one for each six of them.
+_BITS = np.array([(1 << (i & 63)) | (1 << (i >> 6)) for i in range(1 << 12)], np.uint64)
+#: Hashes whose levels a filter remembers, and groups of shards that blocks ask.
+KNOWN, GROUPS = 1 << 20, 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -87,9 +92,25 @@ def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return distinct.cast(pa.binary()), flat, lens + (which[np.cumsum(lens) - 1] != end if len(lens) else 0)
 
 
-def word_hashes(words: pa.Array) -> np.ndarray:
-    h = xxhash.xxh64_intdigest
-    return np.fromiter((h(w, 7) for w in words.to_pylist()), np.uint64, len(words))
+def listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(7)), np.uint64, len(words))
+
+
+def planes(h: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Ascending hashes as differences, anew from each of firsts on: numbers whose high bytes are mostly nothing."""
+    out = h.copy()
+    out[1:] -= h[:-1]
+    out[firsts] = h[firsts]
+    return out.astype("<u8").view(np.uint8).reshape(-1, 8)
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    """Ascending hashes from the bytes of their planes, one plane after the other."""
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8")[:, 0], dtype=np.uint64)
 
 
 def before(flat: np.ndarray, lens: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -110,18 +131,16 @@ def count_of(level: np.ndarray, base: float) -> np.ndarray:
     return np.where(level > 0, np.where(high > low, (low + high) / 2, low), 0.0)
 
 
-def place(h: np.ndarray, level: np.ndarray, base: np.ndarray, size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The two words of each hash at its level, in a shard of so many words that begins at base, and their bits."""
-    out, x = [], mix(h + level * _GOLD)
-    for _ in range(2):
-        at = base + (((x >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
-        bits = np.zeros(len(x), np.uint64)
-        for k in (0, 6, 12, 18):
-            bits |= np.uint64(1) << ((x >> np.uint64(k)) & np.uint64(63))
-        out.append((at, bits))
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = x ^ (x >> np.uint64(32))
-    return out
+def place(x: np.ndarray, base: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A word of each scrambled hash, in a shard of so many words that begins at base, and its bits."""
+    bits = _BITS[x & np.uint64(0xFFF)] | _BITS[(x >> np.uint64(12)) & np.uint64(0xFFF)]
+    return base + (((x >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64), bits
+
+
+def second(x: np.ndarray) -> np.ndarray:
+    """The scrambled hashes for the second word."""
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
 def build_shard(h: np.ndarray, levels: np.ndarray) -> bytes:
@@ -131,22 +150,25 @@ def build_shard(h: np.ndarray, levels: np.ndarray) -> bytes:
     for i in range(0, len(h), 200_000):
         hh, n = h[i : i + 200_000], levels[i : i + 200_000]
         level = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + 1
-        for at, bits in place(np.repeat(hh, n), level.astype(np.uint64), zero, size):
-            np.bitwise_or.at(words, at, bits)
+        x = mix(np.repeat(hh, n) + level.astype(np.uint64) * _GOLD)
+        for y in (x, second(x)):
+            np.bitwise_or.at(words, *place(y, zero, size))
     return words.tobytes()
 
 
 class Filter:
-    """The words of all shards end to end, and where each shard begins."""
+    """The words of shards end to end, and where each shard begins: all shards, or some of n_shards from `first` on."""
 
-    def __init__(self, words: np.ndarray, ends: np.ndarray):
-        self.words, self.n_shards = words, len(ends)
+    def __init__(self, words: np.ndarray, ends: np.ndarray, first: int = 0, n_shards: int | None = None):
+        self.words, self.first, self.n_shards = words, first, n_shards or len(ends)
         self.base = np.append(0, ends[:-1]).astype(np.int64)
         self.size = (ends - self.base).astype(np.uint64)
+        self.known, self.known_levels = np.zeros(KNOWN, np.uint64), np.zeros(KNOWN, np.uint8)
+        self.known[0] = 1  # not yet anything: 1 has another slot
 
     @classmethod
-    def joined(cls, shards: Iterator[tuple[int, bytes]], n_shards: int, n_bytes: int) -> Filter:
-        """From (shard, bytes) in the order of shards; one that is missing holds nothing."""
+    def joined(cls, shards: Iterator[tuple[int, bytes]], n_shards: int, n_bytes: int, first: int = 0, of: int | None = None) -> Filter:
+        """From (shard, bytes) in the order of shards, numbered from `first`; one that is missing holds nothing."""
         words, ends, at, last = np.zeros(n_bytes // 8 + 2 * n_shards, "<u8"), np.zeros(n_shards, np.int64), 0, -1
         for s, data in shards:
             for k in range(last + 1, s):
@@ -158,18 +180,33 @@ class Filter:
         for k in range(last + 1, n_shards):
             at += 2
             ends[k] = at
-        return cls(words[:at], ends)
+        return cls(words[:at], ends, first, of)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        """The top level found of each hash, 0 for none."""
+        """The top level found of each hash, 0 for none. What was found before is remembered, high levels first: those
+        of n-grams that come again take most steps."""
+        slot = (h & np.uint64(KNOWN - 1)).astype(np.int64)
+        out = self.known_levels[slot].astype(np.int64)
+        ask = np.flatnonzero(self.known[slot] != h)
+        held, slot = out[ask], slot[ask]
+        out[ask] = told = self._asked(h[ask])
+        keep = np.flatnonzero((told >= held) & (told < 256))
+        self.known[slot[keep]] = h[ask[keep]]
+        self.known_levels[slot[keep]] = told[keep]
+        return out
+
+    def _asked(self, h: np.ndarray) -> np.ndarray:
         out, todo, level = np.zeros(len(h), np.int64), np.arange(len(h)), 1
-        shard = shard_of(h, self.n_shards)
+        shard = shard_of(h, self.n_shards) - self.first
         base, size = self.base[shard], self.size[shard]
         while len(todo):
-            found = np.ones(len(todo), bool)
-            for at, bits in place(h, np.array([level], np.uint64), base, size):
-                found &= self.words[at] & bits == bits
-            todo, h, base, size = todo[found], h[found], base[found], size[found]
+            x = mix(h + np.array([level], np.uint64) * _GOLD)
+            for step in (lambda y: y, second):
+                x = step(x)
+                at, bits = place(x, base, size)
+                found = np.flatnonzero(self.words[at] & bits == bits)
+                if len(found) < len(x):
+                    x, todo, h, base, size = x[found], todo[found], h[found], base[found], size[found]
             out[todo] = level
             level += 1
         return out
@@ -185,6 +222,7 @@ class Batch:
     """Texts as token numbers, with the distinct tokens and pairs."""
 
     words: pa.Array
+    listed: list[bytes]
     flat: np.ndarray  # token numbers of all texts, end to end
     lens: np.ndarray
     hashes: np.ndarray  # per distinct token, the last for the start
@@ -194,9 +232,9 @@ class Batch:
     @classmethod
     def of(cls, texts: pa.Array) -> Batch:
         words, flat, lens = tokens(texts)
-        n = len(words) + 1
+        n, each = len(words) + 1, listed(words)
         pairs = pa.array(before(flat, lens, n - 1) * n + flat).dictionary_encode()
-        return cls(words, flat, lens, np.append(word_hashes(words), START), pairs.dictionary.to_numpy(), pairs.indices.to_numpy())
+        return cls(words, each, flat, lens, np.append(word_hashes(each), START), pairs.dictionary.to_numpy(), pairs.indices.to_numpy())
 
     def pair_hashes(self) -> np.ndarray:
         n = len(self.words) + 1
@@ -224,16 +262,16 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def _runs(h: np.ndarray, n_shards: int, *columns: np.ndarray) -> pa.RecordBatch:
-    """Sorted hashes and what belongs to them, a row per shard, as little-endian arrays."""
+    """Sorted hashes (as planes) and what belongs to them (as little-endian arrays), a row per shard."""
     shard = shard_of(h, n_shards)
     firsts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(h) else np.zeros(0, np.int64)
     ends = [*firsts[1:].tolist(), len(h)][: len(firsts)]
-    cut = [pa.array([x[a:b].tobytes() for a, b in zip(firsts.tolist(), ends, strict=True)], pa.binary()) for x in (h.astype("<u8"), *columns)]
+    cut = [pa.array([x[a:b].T.tobytes() for a, b in zip(firsts.tolist(), ends, strict=True)], pa.binary()) for x in (planes(h, firsts), *columns)]
     return pa.RecordBatch.from_arrays([pa.array(shard[firsts], pa.int32()), *cut], ["shard", "h", "c"])
 
 
 def count_pairs(texts: DataFrame, n_shards: int) -> DataFrame:
-    """Of one text column: shard, and runs of pair hashes with their counts, pre-summed per task, as little-endian arrays."""
+    """Of one text column: shard, and runs of pair hashes with their counts, pre-summed per task, as `_runs` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -246,7 +284,7 @@ def count_pairs(texts: DataFrame, n_shards: int) -> DataFrame:
         for b in batches:
             for _, _, part in _slices(b.column(0)):
                 words, flat, lens = tokens(part)
-                h = word_hashes(words)[flat]
+                h = word_hashes(listed(words))[flat]
                 held.append(pair_hash(before(h, lens, START), h))
                 if sum(map(len, held)) >= HELD:
                     yield out()
@@ -261,7 +299,7 @@ def build_filter(words: DataFrame, pairs: DataFrame, starts: int, n_shards: int)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = word_hashes(b.column(0))
+            h = word_hashes(listed(b.column(0)))
             order = np.argsort(h)
             yield _runs(h[order], n_shards, b.column(1).to_numpy()[order].astype("<u8"))
 
@@ -273,7 +311,7 @@ def build_filter(words: DataFrame, pairs: DataFrame, starts: int, n_shards: int)
         for b in batches:
             for s, h, c, pair in zip(*(b.column(k).to_pylist() for k in ("shard", "h", "c", "pair")), strict=True):
                 shard = s
-                found[pair][0].append(np.frombuffer(h, "<u8"))
+                found[pair][0].append(from_planes(h))
                 found[pair][1].append(np.frombuffer(c, "<u4" if pair else "<u8").astype(np.int64))
         hashes, levels, mass = [], [], 0.0
         for pair, (h, c) in found.items():
@@ -338,7 +376,7 @@ def _log_probabilities(model: dict, batch: Batch, unigram: np.ndarray, pair: np.
 def _rows(rows: pa.Array, ids: pa.Array, batch: Batch, logs: np.ndarray, heavy: dict[bytes, int], total: int, distinct: int) -> pa.RecordBatch:
     """One row per text with what heavy words give to it, and one per text and other word."""
     starts = np.cumsum(batch.lens) - batch.lens
-    c = np.fromiter(map(heavy.get, batch.words.to_pylist(), repeat(-1)), np.int64, len(batch.words))
+    c = np.fromiter(map(heavy.get, batch.listed, repeat(-1)), np.int64, len(batch.words))
     at = c[batch.flat]
     known = np.add.reduceat((at > 0).astype(np.int64), starts)
     base = np.add.reduceat(np.where(at >= 0, np.log10((np.maximum(at, 0) + 1) / (total + distinct + 1)), 0.0), starts)
@@ -430,45 +468,53 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 def _routed(rows: DataFrame, model: Model, known: dict, heavy, total: int, distinct: int, n_shards: int) -> DataFrame:
     """The rows that the broadcast filter gives, for a filter that is too large to broadcast."""
-    rows = written(rows, "texts")
+    per = -(-n_shards // GROUPS)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, part in _slices(b.column(2)):
+                yield pa.RecordBatch.from_arrays([b.column(0)[i : i + 1], *[pa.array([x.to_pylist()], t) for x, t in ((b.column(0)[i:j], pa.list_(pa.int64())), (b.column(1)[i:j], pa.list_(pa.string())), (part, pa.list_(pa.string())))]], ["_block", "_rows", "_ids", "_texts"])
+
+    blocks = written(rows.mapInArrow(pack, "_block long, _rows array<long>, _ids array<string>, _texts array<string>"), "texts", compression="zstd")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                batch = Batch.of(pc.fill_null(b.column(2)[k : k + 1], ""))
-                h = np.concatenate([batch.hashes, batch.pair_hashes()])
-                shard = shard_of(h, n_shards)
-                order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.diff(shard[order])) + 1
-                groups = np.split(order, cuts)
-                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[k].as_py()] * len(groups), pa.int64()), pa.array([int(shard[g[0]]) for g in groups], pa.int32()), pa.array([h[g].tobytes() for g in groups], pa.binary())], ["_row", "shard", "asked"])
-
-    def answer(asked: pa.Table, shard: pa.Table) -> pa.Table:
-        data = shard["bits"][0].as_py() if shard.num_rows else bytes(16)
-        probe = Filter.joined(iter([(0, data)]), 1, len(data))
-        told = [probe.levels(np.frombuffer(a.as_py(), np.uint64)).astype("<u2").tobytes() for a in asked["asked"]]
-        return pa.table({"_row": asked["_row"], "shard": asked["shard"], "told": pa.array(told, pa.binary())})
-
-    # A shard's questions are dealt to several tasks, each with its own copy of the shard.
-    salts = 8
-    asked = rows.mapInArrow(ask, "_row long, shard int, asked binary").withColumn("salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
-    shards = model.shards.select("shard", "bits").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    told = asked.groupBy("shard", "salt").cogroup(shards.groupBy("shard", "salt")).applyInArrow(answer, "_row long, shard int, told binary")
-    told = told.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("shard", "told"))).alias("told"))
+                batch = Batch.of(b.column(1)[k].values)
+                h = np.sort(np.concatenate([batch.hashes, batch.pair_hashes()]))
+                group = shard_of(h, n_shards) // per
+                firsts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+                ends, all_ = [*firsts[1:].tolist(), len(h)], planes(h, firsts)
+                asked = [all_[x:y].T.tobytes() for x, y in zip(firsts.tolist(), ends, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[k].as_py()] * len(firsts), pa.int64()), pa.array(group[firsts], pa.int32()), pa.array(asked, pa.binary())], ["_block", "group", "asked"])
+
+    def answer(asked: pa.Table, shards: pa.Table) -> pa.Table:
+        told = []
+        if asked.num_rows:
+            first, held = asked["group"][0].as_py() * per, shards.sort_by("shard")
+            found = ((s - first, data) for s, data in zip(held["shard"].to_pylist(), held["bits"].to_pylist(), strict=True))
+            probe = Filter.joined(found, per, pc.sum(pc.binary_length(held["bits"])).as_py() or 0, first, n_shards)
+            told = [probe.levels(from_planes(a.as_py())).astype(np.uint8).tobytes() for a in asked["asked"]]
+        return pa.table({"_block": asked["_block"], "group": asked["group"], "told": pa.array(told, pa.binary())})
+
+    asked = blocks.select("_block", "_texts").mapInArrow(ask, "_block long, group int, asked binary")
+    shards = model.shards.select((F.col("shard") / per).cast("int").alias("group"), "shard", "bits")
+    # Written, so that the questions are gone from the disk before texts and answers meet.
+    told = written(asked.groupBy("group").cogroup(shards.groupBy("group")).applyInArrow(answer, "_block long, group int, told binary"), "told", compression="zstd")
+    told = told.groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("group", "told"))).alias("told"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = heavy.value
         for b in batches:
             for k in range(b.num_rows):
-                batch = Batch.of(pc.fill_null(b.column(2)[k : k + 1], ""))
+                batch = Batch.of(b.column(2)[k].values)
                 h = np.concatenate([batch.hashes, batch.pair_hashes()])
-                order = np.argsort(shard_of(h, n_shards), kind="stable")
                 levels = np.empty(len(h), np.int64)
-                levels[order] = np.frombuffer(b"".join(x["told"] for x in b.column(3)[k].as_py()), "<u2")
+                levels[np.argsort(h)] = np.frombuffer(b"".join(x["told"] for x in b.column(3)[k].as_py()), np.uint8)
                 logs = _log_probabilities(known, batch, levels[: len(batch.hashes)], levels[len(batch.hashes) :])
-                yield _rows(b.column(0)[k : k + 1], b.column(1)[k : k + 1], batch, logs, common, total, distinct)
+                yield _rows(b.column(0)[k].values, b.column(1)[k].values, batch, logs, common, total, distinct)
 
-    return rows.join(told, "_row").select("_row", "_id", "_text", "told").mapInArrow(finish, _OUT)
+    return blocks.hint("merge").join(told, "_block").select("_rows", "_ids", "_texts", "told").mapInArrow(finish, _OUT)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:

@@ -75,6 +75,34 @@ def test_language_model(spark, monkeypatch):
     assert {r.n_known for r in ngram_lm.score(df, empty).collect()} == {0}
 
 
+def test_routed_filter_asks_groups_of_shards(spark, monkeypatch):
+    """Blocks of texts ask groups of several shards, a long text and a null among them."""
+    rng = random.Random(9)
+    values = [" ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(n)) for n in [0, 5, 4_000, *rng.choices(range(60), k=150)]] + [None]
+    df = frame(spark, values)
+    for name, value in (("SHARD", 500), ("GROUPS", 4), ("SLICE", 3_000), ("KNOWN", 64)):
+        monkeypatch.setattr(ngram_lm, name, value)
+    model = ngram_lm.train(df.select("text"))
+    assert model.n_shards > 3 * ngram_lm.GROUPS
+    want = {r["_id"]: tuple(r) for r in ngram_lm.score(df, model).collect()}
+    got = {r["_id"]: tuple(r) for r in ngram_lm.score(df, model, broadcast_bytes=0).collect()}
+    assert got.keys() == want.keys() and all(got[i][:3] == want[i][:3] and np.allclose(got[i][3:], want[i][3:], rtol=1e-12) for i in want)
+
+
+def test_levels_that_are_remembered_are_those_found():
+    rng = np.random.default_rng(5)
+    h, levels = rng.integers(0, 1 << 63, 5_000).astype(np.uint64), rng.integers(1, 9, 5_000)
+    data = ngram_lm.build_shard(h, levels)
+    found = ngram_lm.Filter.joined(iter([(0, data)]), 1, len(data))
+    asked = np.append(h, rng.integers(0, 1 << 63, 5_000).astype(np.uint64))
+    asked = np.append(asked, np.array([0, 1], np.uint64))
+    first = found._asked(asked)
+    assert (found.levels(asked) == first).all() and (found.levels(asked) == first).all()
+    run = np.sort(h)
+    cut = ngram_lm.planes(run, np.array([0, 700]))
+    assert (np.concatenate([ngram_lm.from_planes(cut[a:b].T.tobytes()) for a, b in ((0, 700), (700, 5_000))]) == run).all()
+
+
 def test_filter_has_no_false_negatives():
     rng = np.random.default_rng(1)
     h, levels = rng.integers(0, 1 << 63, 20_000).astype(np.uint64), rng.integers(1, 6, 20_000)
