@@ -112,3 +112,31 @@ def test_no_headings_no_lines(spark):
     assert toc.locate_heading_lines(spark.createDataFrame([], items), spark.createDataFrame([], lines)).count() == 0
     alone = toc.locate_heading_lines(spark.createDataFrame([("d", 1, "t", 1)], items), spark.createDataFrame([], lines))
     assert [tuple(r) for r in alone.select("doc", "ord", F.col("start")).collect()] == [("d", 1, None)]
+
+
+def test_lines_are_numbered_by_pages(spark):
+    """Windows put pages in order, not lines; empty, blank and null pages count for nothing."""
+    texts = ["a\n\n b \r\nc", "", None, " \n\t\n", "d", "e\nf\n"]
+    pages = spark.createDataFrame([(doc, k, t) for doc in "xy" for k, t in enumerate(texts, 1)][::-1], "doc string, page int, text string")
+    lines = toc.flatten_lines(pages, normalized=False)
+    want = [(i, p, t) for i, (p, t) in enumerate([(1, "a"), (1, "b"), (1, "c"), (5, "d"), (6, "e"), (6, "f")])]
+    assert sorted(tuple(r) for r in lines.select("doc", "idx", "page", "text").collect()) == [(d, *w) for d in "xy" for w in want]
+    plan = lines._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate") < plan.index("Window")
+
+
+def test_contents_are_worked_out_once(spark):
+    """locate_pages asks for its contents once, whatever they cost; long lines count by how they begin."""
+    long = "第2节 beginning of everything" + " and so on" * 30
+    lines = spark.createDataFrame([("d", 0, 1, "x", "第1节Doc"), ("d", 1, 2, "x", long.replace(" ", "")), ("d", 2, 3, "x", "第3节Dcc more"), ("d", 3, 7, "x", "第")], "doc string, idx int, page int, text string, normalized string")
+    asked = spark.sparkContext.accumulator(0)
+
+    def told(title):
+        asked.add(1)
+        return title
+
+    titles = [("d", 1, "第1节Doc", 1), ("d", 2, "第2节 beginning of everything here", 2), ("d", 3, "第3节Doc more", 3), ("d", 4, "第4", 7), ("d", 5, "nowhere", 9)]
+    heads = spark.createDataFrame(titles, "doc string, ord int, title string, page int").withColumn("title", F.udf(told, "string")("title"))
+    got = {r.ord: (r.page, r.method) for r in toc.locate_pages(heads, lines).collect()}
+    assert got == {1: (1, "exact_normalized"), 2: (2, "prefix_normalized"), 3: (3, "fuzzy_ratio"), 4: (7, "prefix_normalized"), 5: (9, "bookmark_page_fallback")}
+    assert asked.value == len(titles)
