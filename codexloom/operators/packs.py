@@ -161,7 +161,7 @@ def read_packs(spark: SparkSession, path: str) -> DataFrame:
 
 @F.arrow_udf(StringType())
 def _judged(lines: pa.Array) -> pa.Array:
-    """Why a line is no record; null if it is one after all."""
+    """Why a line is no record; null if it is one after all. One line of a batch at a time is a Python string."""
 
     def why(line: str | None) -> str | None:
         try:
@@ -169,7 +169,11 @@ def _judged(lines: pa.Array) -> pa.Array:
         except (ValueError, RecursionError):
             return NO_JSON
 
-    return pa.array([why(x) for x in lines.to_pylist()], pa.string())
+    return pa.array([why(x.as_py()) for x in lines], pa.string())
+
+
+#: Else a filter on what it says is pushed down as a copy of it, and every task keeps two workers.
+_judged = _judged.asNondeterministic()
 
 
 def record_error(line: Column) -> Column:

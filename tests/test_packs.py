@@ -3,7 +3,9 @@
 import hashlib
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from codexloom import engine
@@ -74,6 +76,27 @@ def test_line_errors_are_those_of_a_json_parser(spark):
     assert {r.line_no: r.kind for r in packs.told_lines(got).collect()} == {i: wrong(x) for i, x in enumerate(lines)}
 
 
+def test_bad_records_judge_a_line_once(spark, tmp_path):
+    lines = [("d", i, x) for i, x in enumerate(["{}", "[1]", "{cut", "", '{"a":1}'] * 8)]
+    bad = packs.bad_records(packs.told_lines(spark.createDataFrame(lines, "doc string, line_no int, line string")))
+    assert bad._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [_judged") == 1
+    assert sorted((r.line_no, r.kind) for r in bad.collect()) == [(i, "object" if x == "[1]" else "json") for _, i, x in lines if x in ("[1]", "{cut")]
+    spark.createDataFrame([(i, "x", "s") for i in range(60)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = registry.queries()["bad_records"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [_judged") == 1
+
+
+def test_lines_are_judged_one_at_a_time():
+    lines = pa.array([None, "{}", *['{"a":"' + "x" * 200_000] * 40, "[1]"])
+    tracemalloc.start()
+    try:
+        got = packs._judged.func(lines)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.to_pylist() == [None, None, *["json"] * 40, "object"] and most < 2e6
+
+
 def test_lines_are_numbered_across_splits(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     texts = {"a.jsonl": "".join(f'{{"n":{i},"x":"{"y" * (i % 97)}"}}\n' + "\n" * (i % 3 == 0) for i in range(3_000)), "sub/b.jsonl": "{}\r\n\r\n[1]\n{cut", "c.jsonl": "", "d.txt": "{}"}
