@@ -21,15 +21,15 @@ NATURAL, CUT, MERGED, BACKWARD, ALONE = "natural_section_within_split_threshold"
 
 def units(x: Column) -> Column:
     """Paragraphs, the long ones as sentences."""
-    sentences = lambda p: F.filter(F.transform(F.split(p, "(?<=[。！？；;!?])", -1), T.strip), lambda s: s != "")
-    return F.flatten(F.transform(F.transform(T.paragraphs(x), T.strip), lambda p: F.when(F.length(p) <= PARAGRAPH, F.array(p)).otherwise(sentences(p))))
+    sentences = lambda p: F.filter(F.transform(F.split(p, "(?<=[。！？；;!?])", -1), T.stripped), lambda s: s != "")
+    return F.flatten(F.transform(F.transform(T.paragraphs(x), T.stripped), lambda p: F.when(F.length(p) <= PARAGRAPH, F.array(p)).otherwise(sentences(p))))
 
 
 def windows_of(unit: Column, most: int, overlap: int) -> Column:
     """A unit longer than most as overlapping windows."""
     step = max(1, most - overlap)
     n = 1 + F.greatest(F.lit(0), F.ceil((F.length(unit) - most) / step).cast("int"))
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substring(unit, k * step + 1, F.lit(most)))
+    return T.bound(T.wide(unit), lambda w: F.transform(F.sequence(F.lit(0), n - 1), lambda k: T.cut(w, k * step, most)))
 
 
 def split_long(x: Column, most: int, overlap: int) -> Column:
@@ -160,7 +160,8 @@ def make_chunks(sections: DataFrame, p: Profile = PLAIN) -> DataFrame:
     headed = F.concat(F.lit("【"), F.col("title"), F.lit("】\n"), F.col("_t"))
     body = F.when(F.col("reason").isin(MERGED, BACKWARD), headed).otherwise(F.col("_t"))
     pieces = told.select("doc", "run", "ord", "title", "path_ords", "page_start", "page_end", "reason", F.posexplode(F.when(F.col("reason") == CUT, F.col("_parts")).otherwise(F.array(body))).alias("part", "piece"), F.when(F.col("reason") == CUT, F.size("_parts")).alias("part_count"), "slot")
-    pieces = pieces.withColumn("slot", F.col("slot") + F.col("part"))
+    # Dealt by document, as the chunks are numbered, so texts are sent once.
+    pieces = pieces.withColumn("slot", F.col("slot") + F.col("part")).repartition("doc")
     rows = pieces.groupBy("doc", "run", "slot").agg(F.array_sort(F.collect_list(F.struct("ord", "piece", "reason", "path_ords", "title"))).alias("_x"), F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), F.max("part").alias("part"), F.max("part_count").alias("part_count"))
     first = F.col("_x")[0]
     merged = F.transform(F.filter("_x", lambda x: x["reason"] == MERGED), lambda x: x["path_ords"])

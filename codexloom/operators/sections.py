@@ -16,7 +16,9 @@ WRAPPED = 12
 def heading_extent(spans: DataFrame, lines: DataFrame) -> DataFrame:
     """spans (doc, ord, title, start) with body: the first line after the heading, which may run over several lines."""
     ahead = spans.select("doc", "ord", "start", T.normalize_title(F.col("title")).alias("_t")).withColumn("idx", F.explode(F.sequence(F.col("start"), F.col("start") + WRAPPED)))
-    joined = ahead.hint("merge").join(lines.select("doc", "idx", "normalized"), ["doc", "idx"]).groupBy("doc", "ord").agg(F.first("_t").alias("_t"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "normalized"))), lambda x: x["normalized"]).alias("_l"))
+    # A line that is longer than all titles continues none, so no more of it is sent to them than shows this.
+    most = spans.agg(F.coalesce(F.max(F.length(T.normalize_title(F.col("title")))), F.lit(0))).first()[0] + 1
+    joined = ahead.hint("merge").join(lines.select("doc", "idx", F.left(F.col("normalized"), F.lit(most)).alias("normalized")), ["doc", "idx"]).groupBy("doc", "ord").agg(F.first("_t").alias("_t"), F.transform(F.array_sort(F.collect_list(F.struct("idx", "normalized"))), lambda x: x["normalized"]).alias("_l"))
     zero = F.struct(F.col("_l")[0].alias("seen"), F.lit(1).alias("n"), F.lit(True).alias("on"))
 
     def step(a, v):
